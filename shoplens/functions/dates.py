@@ -98,22 +98,32 @@ def parse_in_style(text: Column, pattern: str) -> Column:
     return F.when(s < 60, made) if "ss" in pattern else made
 
 
-def standardise(text: Column, styles=DATE_STYLES) -> tuple[Column, Column]:
-    """(timestamp, style name) for a string column in any of ``styles``.
+def style_index(shape: Column, styles=DATE_STYLES) -> Column:
+    """Position (0-based) of the style whose shape equals ``shape``, or NULL.
 
-    Both are NULL for text in no style or with impossible field values.
+    Pass a column holding :func:`text_shape` so the shape is computed once.
     """
-    shape = text_shape(text)
-    ts_case = None
-    style_case = None
-    for name, pattern in styles:
+    index = None
+    for i, (_, pattern) in enumerate(styles):
         hit = shape == F.lit(pattern_shape(pattern))
-        parsed = parse_in_style(text, pattern)
-        ts_case = F.when(hit, parsed) if ts_case is None else ts_case.when(hit, parsed)
-        style_case = (
-            F.when(hit, F.lit(name)) if style_case is None else style_case.when(hit, F.lit(name))
+        index = F.when(hit, F.lit(i)) if index is None else index.when(hit, F.lit(i))
+    return index
+
+
+def parse_by_index(text: Column, index: Column, styles=DATE_STYLES) -> Column:
+    """TIMESTAMP_NTZ of ``text`` read in style number ``index``: only the one
+    matching arm is evaluated."""
+    parsed = None
+    for i, (_, pattern) in enumerate(styles):
+        arm = parse_in_style(text, pattern)
+        parsed = (
+            F.when(index == i, arm) if parsed is None else parsed.when(index == i, arm)
         )
-    return ts_case, style_case
+    return parsed
+
+
+def style_name(index: Column, styles=DATE_STYLES) -> Column:
+    return F.element_at(F.array(*[F.lit(name) for name, _ in styles]), index + 1)
 
 
 def render(ts: Column, style: str) -> Column:

@@ -29,7 +29,6 @@ def _per_day(coupons: DataFrame, cond: Column, out: str) -> DataFrame:
         coupons.filter(cond)
         .groupBy(day_key(t).alias("d"))
         .agg(F.count("member_id").alias(out))
-        .orderBy("d")
         .select(day_label(F.col("d")).alias("day"), out)
     )
 

@@ -32,9 +32,15 @@ def date_standardise(
     A string matching no style, or with impossible values, gets NULL in all
     three.  Year-less styles resolve to 1970, date-less ones to 1970-01-01.
     """
-    ts, style = D.standardise(F.col(col))
-    result = df.withColumn(out, ts).withColumn(
-        style_col, F.when(F.col(out).isNotNull(), style)
+    shape, index = "__shoplens_shape", "__shoplens_style"
+    # Shape and style index are separate projections: each is referenced by
+    # many CASE arms and is computed once per row.
+    result = (
+        df.withColumn(shape, D.text_shape(F.col(col)))
+        .withColumn(index, D.style_index(F.col(shape)))
+        .withColumn(out, D.parse_by_index(F.col(col), F.col(index)))
+        .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(F.col(index))))
+        .drop(shape, index)
     )
     if target_style is not None:
         result = result.withColumn(text_col, D.render(F.col(out), target_style))

@@ -84,12 +84,9 @@ def member_heat(
     rc = _registration_counts(members, null_as_missing)
     oc = _one_row(_order_counts(orders, status))
     cp = coupons.agg(F.count_distinct("member_id").alias("coupon")).select("coupon").scalar()
-    return rc.select(
-        cp.alias("coupon"),
-        "reg",
-        "complete",
-        oc.getField("order").alias("order"),
-        oc.getField("orderAgain").alias("orderAgain"),
+    # the order-count struct is one subquery, referenced once, then unpacked
+    return rc.select(cp.alias("coupon"), "reg", "complete", oc.alias("o")).select(
+        "coupon", "reg", "complete", "o.order", "o.orderAgain"
     )
 
 
@@ -152,12 +149,14 @@ def member_overview(
     oc = _one_row(_order_counts(orders, status))
     cp = coupons.agg(F.count_distinct("member_id").alias("coupon")).select("coupon").scalar()
     heat = F.struct(
-        cp.alias("coupon"),
+        F.col("coupon"),
         F.col("reg"),
         F.col("complete"),
-        oc.getField("order").alias("order"),
-        oc.getField("orderAgain").alias("orderAgain"),
+        F.col("o.order").alias("order"),
+        F.col("o.orderAgain").alias("orderAgain"),
     )
     parts = ["memberSexs", "memberChannels", "memberMpSubs", "memberHeat"]
-    out = row.select("memberSexs", "memberChannels", "memberMpSubs", heat.alias("memberHeat"))
+    out = row.select("*", cp.alias("coupon"), oc.alias("o")).select(
+        "memberSexs", "memberChannels", "memberMpSubs", heat.alias("memberHeat")
+    )
     return out.withColumn("report", F.to_json(F.struct(*parts)))

@@ -19,10 +19,24 @@ WORD_FIELD = 2  # zero-based position of the query word in a log line
 def search_words(
     log: DataFrame, *, sep: str = "\t", field: int = WORD_FIELD, keep_empty: bool = False
 ) -> DataFrame:
-    """One ``word`` per usable log line."""
-    word = F.get(F.split(F.col("value"), sep), field)
-    cond = word.isNotNull() if keep_empty else (word.isNotNull() & (word != ""))
-    return log.select(word.alias("word")).filter(cond)
+    """One ``word`` per usable log line.
+
+    By default the word is ``split_part`` of the line (a plain, non-regex
+    split) and an empty word, or a line with too few fields, is skipped with
+    one predicate.  ``keep_empty=True`` keeps a genuinely empty field and
+    still skips lines that are too short.
+    """
+    if keep_empty:
+        word = F.get(F.split(F.col("value"), _regex_literal(sep)), field)
+        return log.select(word.alias("word")).filter(F.col("word").isNotNull())
+    word = F.split_part(F.col("value"), F.lit(sep), F.lit(field + 1))
+    return log.select(word.alias("word")).filter(F.col("word") != "")
+
+
+def _regex_literal(sep: str) -> str:
+    import re
+
+    return re.escape(sep)
 
 
 def search_word_counts(log: DataFrame, **options) -> DataFrame:
