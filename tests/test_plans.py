@@ -1,0 +1,61 @@
+"""Plan shape: top-k, no Python in any plan, pushdown, pruning, scan counts."""
+
+import pytest
+
+from shoplens.plans import inspect as P
+from shoplens.plans.registry import QUERIES
+from tests.conftest import SF_SMALL
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_python_and_no_cartesian(spark, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    assert not P.has_python(df)
+    assert P.count_nodes(df, r"CartesianProduct|BroadcastNestedLoopJoin") == 0
+
+
+def test_hot_words_is_take_ordered(spark):
+    df = QUERIES["search_hot_words"](spark, SF_SMALL)
+    assert P.count_nodes(df, r"TakeOrderedAndProject") == 1
+    # one shuffle for the counts, no range-partitioned global sort
+    assert P.count_nodes(df, r"rangepartitioning") == 0
+
+
+def test_window_filters_reach_the_scan(spark):
+    df = QUERIES["growth_daily_orders"](spark, SF_SMALL)
+    (scan,) = P.scans(df)
+    assert "GreaterThanOrEqual(o_orderdate,2001-07-18T00:00)" in scan["pushed"]
+    assert scan["schema"] == "struct<o_orderkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>"
+    wow = P.scans(QUERIES["wow_daily_orders"](spark, SF_SMALL))
+    assert any("LessThan(o_orderdate,2001-07-25T00:00)" in s["pushed"] for s in wow)
+    mk = P.scans(QUERIES["marketing_free_coupons"](spark, SF_SMALL))
+    assert any("GreaterThan(ts,2024-01-18T00:00)" in s["pushed"] for s in mk)
+
+
+def _tables(df):
+    return sorted(s["table"] for s in P.scans(df))
+
+
+def test_one_scan_per_table(spark):
+    # funnel: orders and coupons read once each, in one plan
+    assert _tables(QUERIES["funnel_summary"](spark, SF_SMALL)) == ["events.parquet", "orders.parquet"]
+    # overview: members once (grouping sets), orders once, coupons once
+    overview = _tables(QUERIES["member_overview"](spark, SF_SMALL))
+    assert overview == ["customer.parquet", "events.parquet", "orders.parquet"]
+    # growth: the order table once for both the window and the prior total
+    growth = [t for t in _tables(QUERIES["growth_report"](spark, SF_SMALL)) if t == "orders.parquet"]
+    assert growth == ["orders.parquet"]
+
+
+def test_column_pruning(spark):
+    (scan,) = P.scans(QUERIES["funnel_buyers"](spark, SF_SMALL))
+    assert scan["schema"] == "struct<o_custkey:bigint,o_orderstatus:string>"
+    (scan,) = P.scans(QUERIES["calendar_enrich"](spark, SF_SMALL))
+    assert scan["schema"] == "struct<event_id:bigint,ts:timestamp_ntz>"
+
+
+def test_funnel_join_does_not_reshuffle(spark):
+    # per-member aggregates are already partitioned on member_id (or the
+    # coupon side is small enough to broadcast): at most one shuffle per side
+    df = QUERIES["funnel_summary"](spark, SF_SMALL)
+    assert P.exchanges(df) <= 3
