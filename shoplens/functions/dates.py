@@ -6,7 +6,9 @@ letter is mapped to ``d`` the same way.  All styles have fixed-width fields,
 so the shape picks at most one style and the field positions within the
 string.  The fields are then validated and assembled by
 ``try_make_timestamp_ntz``: one CASE, one construction per row, no exception
-per failed pattern, and no dependence on the session time zone.
+per failed pattern, and no dependence on the session time zone.  The CASE
+expressions are generated as Spark SQL expression text from the style table
+(one ``expr`` per column instead of hundreds of Column calls).
 """
 
 from __future__ import annotations
@@ -77,49 +79,55 @@ def text_shape(text: Column) -> Column:
     return F.translate(text, _DIGITS, "d" * len(_DIGITS))
 
 
-def _field(text: Column, pattern: str, token: str, default: int) -> Column:
+def _sql_field(text: str, pattern: str, token: str, default: int) -> str:
     pos = pattern.find(token)
     if pos < 0:
-        return F.lit(default)
+        return str(default)
     # try_cast guards against a literal 'd' in the input, which has the
     # same shape as a digit
-    return F.substring(text, pos + 1, len(token)).try_cast("int")
+    return f"try_cast(substring({text}, {pos + 1}, {len(token)}) AS INT)"
 
 
-def parse_in_style(text: Column, pattern: str) -> Column:
-    """TIMESTAMP_NTZ from a string already known to have ``pattern``'s shape.
-
-    NULL for impossible values (month 13, 30 February, 24:00, second 60).
-    """
-    y, mo, d, h, mi, s = (_field(text, pattern, tok, dflt) for tok, dflt in _FIELDS)
-    made = F.try_make_timestamp_ntz(y, mo, d, h, mi, s)
+def _sql_parse(text: str, pattern: str) -> str:
+    y, mo, d, h, mi, s = (_sql_field(text, pattern, tok, dflt) for tok, dflt in _FIELDS)
+    made = f"try_make_timestamp_ntz({y}, {mo}, {d}, {h}, {mi}, {s})"
     # make_timestamp rolls second 60 into the next minute; a strict parse
     # rejects it
-    return F.when(s < 60, made) if "ss" in pattern else made
+    return f"CASE WHEN {s} < 60 THEN {made} END" if "ss" in pattern else made
 
 
-def style_index(shape: Column, styles=DATE_STYLES) -> Column:
-    """Position (0-based) of the style whose shape equals ``shape``, or NULL.
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
-    Pass a column holding :func:`text_shape` so the shape is computed once.
-    """
-    index = None
-    for i, (_, pattern) in enumerate(styles):
-        hit = shape == F.lit(pattern_shape(pattern))
-        index = F.when(hit, F.lit(i)) if index is None else index.when(hit, F.lit(i))
-    return index
-
-
-def parse_by_index(text: Column, index: Column, styles=DATE_STYLES) -> Column:
-    """TIMESTAMP_NTZ of ``text`` read in style number ``index``: only the one
-    matching arm is evaluated."""
-    parsed = None
-    for i, (_, pattern) in enumerate(styles):
-        arm = parse_in_style(text, pattern)
-        parsed = (
-            F.when(index == i, arm) if parsed is None else parsed.when(index == i, arm)
-        )
-    return parsed
+
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def parse_in_style(text: Column | str, pattern: str) -> Column:
+    """TIMESTAMP_NTZ from a string (column name) known to have ``pattern``'s
+    shape.  NULL for impossible values (month 13, 30 February, 24:00,
+    second 60)."""
+    return F.expr(_sql_parse(_quote(text), pattern))
+
+
+def style_index(shape_col: str, styles=DATE_STYLES) -> Column:
+    """Position (0-based) of the style whose shape equals column
+    ``shape_col`` (a :func:`text_shape` result, computed once), or NULL."""
+    arms = " ".join(
+        f"WHEN {_sql_string(pattern_shape(p))} THEN {i}" for i, (_, p) in enumerate(styles)
+    )
+    return F.expr(f"CASE {_quote(shape_col)} {arms} END")
+
+
+def parse_by_index(text_col: str, index_col: str, styles=DATE_STYLES) -> Column:
+    """TIMESTAMP_NTZ of column ``text_col`` read in style number
+    ``index_col``: only the one matching arm is evaluated."""
+    text = _quote(text_col)
+    arms = " ".join(
+        f"WHEN {i} THEN {_sql_parse(text, p)}" for i, (_, p) in enumerate(styles)
+    )
+    return F.expr(f"CASE {_quote(index_col)} {arms} END")
 
 
 def style_name(index: Column, styles=DATE_STYLES) -> Column:

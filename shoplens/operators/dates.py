@@ -37,8 +37,8 @@ def date_standardise(
     # many CASE arms and is computed once per row.
     result = (
         df.withColumn(shape, D.text_shape(F.col(col)))
-        .withColumn(index, D.style_index(F.col(shape)))
-        .withColumn(out, D.parse_by_index(F.col(col), F.col(index)))
+        .withColumn(index, D.style_index(shape))
+        .withColumn(out, D.parse_by_index(col, index))
         .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(F.col(index))))
         .drop(shape, index)
     )

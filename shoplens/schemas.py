@@ -55,3 +55,38 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
     )
+
+
+# Declared schemas of the given test tables the canonical tables derive from.
+# Reading with a declared schema skips footer inference at planning time.
+SOURCE_TABLES: dict[str, T.StructType] = {
+    "customer": T.StructType(
+        [
+            T.StructField("c_custkey", T.LongType()),
+            T.StructField("c_name", T.StringType()),
+            T.StructField("c_nationkey", T.IntegerType()),
+            T.StructField("c_acctbal", T.DoubleType()),
+            T.StructField("c_mktsegment", T.StringType()),
+        ]
+    ),
+    "orders": T.StructType(
+        [
+            T.StructField("o_orderkey", T.LongType()),
+            T.StructField("o_custkey", T.LongType()),
+            T.StructField("o_orderstatus", T.StringType()),
+            T.StructField("o_totalprice", T.DoubleType()),
+            T.StructField("o_orderdate", T.TimestampNTZType()),
+            T.StructField("o_orderpriority", T.StringType()),
+        ]
+    ),
+    "events": T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+            T.StructField("props", T.StringType()),
+        ]
+    ),
+}

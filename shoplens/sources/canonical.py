@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.dates import DATE_STYLES
-from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, SEARCH_LOG, conform
 from shoplens.sources.readers import read_parquet_table
 
 # First registration instant; registration day then rises with the key over
@@ -46,7 +45,7 @@ def members(spark: SparkSession, base_dir: str) -> DataFrame:
     df = customer.select(
         (key + 1).alias("id"),
         (nation % 3).alias("sex"),
-        channel.alias("member_channel"),
+        channel.cast("int").alias("member_channel"),
         _three_state(nation % 4, key, "mp_").alias("mp_open_id"),
         _three_state(nation % 5, key, "1").alias("phone"),
         (
@@ -54,7 +53,7 @@ def members(spark: SparkSession, base_dir: str) -> DataFrame:
             + F.make_dt_interval(day_offset, hour)
         ).alias("create_time"),
     )
-    return conform(df, MEMBER)
+    return df
 
 
 def orders(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -65,11 +64,11 @@ def orders(spark: SparkSession, base_dir: str) -> DataFrame:
     df = o.select(
         F.col("o_orderkey").alias("order_id"),
         (F.col("o_custkey") + 1).alias("member_id"),
-        status.alias("order_status"),
+        status.cast("int").alias("order_status"),
         F.col("o_totalprice").alias("origin_price"),
         F.col("o_orderdate").alias("create_time"),
     )
-    return conform(df, ORDER)
+    return df
 
 
 def coupon_members(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -80,7 +79,7 @@ def coupon_members(spark: SparkSession, base_dir: str) -> DataFrame:
         (F.lit(1) + F.col("event_id") % 2).alias("coupon_channel"),
         F.col("ts").alias("create_time"),
     )
-    return conform(df, COUPON_MEMBER)
+    return df
 
 
 def search_log(spark: SparkSession, base_dir: str) -> DataFrame:
@@ -96,14 +95,14 @@ def search_log(spark: SparkSession, base_dir: str) -> DataFrame:
             F.col("value").cast("string"),
         ).alias("value")
     )
-    return conform(df, SEARCH_LOG)
+    return df
 
 
 def date_strings(spark: SparkSession, base_dir: str) -> DataFrame:
     """Event times printed in style number ``event_id % 24`` (23 = junk)."""
     ev = read_parquet_table(spark, base_dir, "events")
-    slot = F.col("event_id") % (len(DATE_STYLES) + 1)
-    text = F.lit("n/a")
-    for i, (_, pattern) in reversed(list(enumerate(DATE_STYLES))):
-        text = F.when(slot == i, F.date_format("ts", pattern)).otherwise(text)
+    arms = " ".join(
+        f"WHEN {i} THEN date_format(ts, '{pattern}')" for i, (_, pattern) in enumerate(DATE_STYLES)
+    )
+    text = F.expr(f"CASE event_id % {len(DATE_STYLES) + 1} {arms} ELSE 'n/a' END")
     return ev.select("event_id", text.alias("ds"))

@@ -9,12 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from shoplens.schemas import SEARCH_LOG, conform
+from shoplens.schemas import SEARCH_LOG, SOURCE_TABLES, conform
 
 
-def read_parquet_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """``<base_dir>/<name>.parquet`` (a file or a directory of parts)."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+def read_parquet_table(
+    spark: SparkSession, base_dir: str, name: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """``<base_dir>/<name>.parquet`` (a file or a directory of parts).
+
+    With ``schema`` (or a declared schema for a known table) nothing is read
+    at planning time; otherwise Spark infers the schema from a footer.
+    """
+    schema = schema or SOURCE_TABLES.get(name)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
 
 
 def read_catalog_table(

@@ -33,3 +33,15 @@ def test_partition_independence(spark):
     base = _results(spark, 1)
     for n in (4, 17):
         assert _results(spark, n) == base
+
+
+def test_canonical_schemas(spark):
+    from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, SEARCH_LOG
+
+    def shape(schema):  # names and types; nullability may be narrower
+        return [(f.name, f.dataType) for f in schema.fields]
+
+    assert shape(src.members(spark, SF_SMALL).schema) == shape(MEMBER)
+    assert shape(src.orders(spark, SF_SMALL).schema) == shape(ORDER)
+    assert shape(src.coupon_members(spark, SF_SMALL).schema) == shape(COUPON_MEMBER)
+    assert shape(src.search_log(spark, SF_SMALL).schema) == shape(SEARCH_LOG)
