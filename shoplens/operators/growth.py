@@ -157,7 +157,7 @@ def growth_report_complete(
     start = days_before(as_of, days)
     end = ts_lit(as_of)
     spark = members.sparkSession
-    spine = spark.range(days).select(
+    spine = spark.range(0, days, 1, numPartitions=1).select(
         F.date_add(date_lit(start), F.col("id").cast("int")).alias("d"),
         _null_long().alias("member_id"),
         F.lit(0).alias("is_member"),

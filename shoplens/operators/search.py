@@ -10,38 +10,54 @@ k rows per task, then a k-row merge, with no global sort.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD_FIELD = 2  # zero-based position of the query word in a log line
 
 
+def _word(sep: str, field: int, keep_empty: bool):
+    """(word expression, usable-word test on the projected ``word``)."""
+    if keep_empty:
+        # a plain split keeps an empty field; get() is NULL past the end
+        word = F.get(F.split(F.col("value"), re.escape(sep)), field)
+        return word, F.col("word").isNotNull()
+    # split_part is a literal (non-regex) split, '' past the end
+    word = F.split_part(F.col("value"), F.lit(sep), F.lit(field + 1))
+    return word, F.col("word") != ""
+
+
 def search_words(
     log: DataFrame, *, sep: str = "\t", field: int = WORD_FIELD, keep_empty: bool = False
 ) -> DataFrame:
     """One ``word`` per usable log line.
 
-    By default the word is ``split_part`` of the line (a plain, non-regex
-    split) and an empty word, or a line with too few fields, is skipped with
-    one predicate.  ``keep_empty=True`` keeps a genuinely empty field and
-    still skips lines that are too short.
+    A line with too few fields, or (unless ``keep_empty``) an empty word, is
+    skipped rather than failing the job.
     """
-    if keep_empty:
-        word = F.get(F.split(F.col("value"), _regex_literal(sep)), field)
-        return log.select(word.alias("word")).filter(F.col("word").isNotNull())
-    word = F.split_part(F.col("value"), F.lit(sep), F.lit(field + 1))
-    return log.select(word.alias("word")).filter(F.col("word") != "")
+    word, usable = _word(sep, field, keep_empty)
+    return log.select(word.alias("word")).filter(usable)
 
 
-def _regex_literal(sep: str) -> str:
-    import re
-
-    return re.escape(sep)
-
+def search_word_counts(
+    log: DataFrame, *, sep: str = "\t", field: int = WORD_FIELD, keep_empty: bool = False
+) -> DataFrame:
+    """``word, cnt``: occurrences of each query word.
 
-def search_word_counts(log: DataFrame, **options) -> DataFrame:
-    """``word, cnt``: occurrences of each query word."""
-    return search_words(log, **options).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    The usable-word test is a conditional count and unusable groups are
+    dropped after counting (they count 0).  Filtering first would let
+    Catalyst push the test below the projection and extract the word twice
+    per line; this way each line is split once.
+    """
+    word, usable = _word(sep, field, keep_empty)
+    return (
+        log.select(word.alias("word"))
+        .groupBy("word")
+        .agg(F.count(F.when(usable, True)).alias("cnt"))
+        .filter(F.col("cnt") > 0)
+    )
 
 
 def search_hot_words(log: DataFrame, *, k: int = 10, **options) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shoplens.operators.search import search_words
+from shoplens.operators.search import search_word_counts
 from shoplens.functions.timewin import DAY_FORMAT
 from shoplens.session import checkpoint_dir
 
@@ -32,8 +32,7 @@ def search_word_counts_stream(
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    log = reader.load(log_dir)
-    return search_words(log, **options).groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
+    return search_word_counts(reader.load(log_dir), **options)
 
 
 def daily_counts_stream(
