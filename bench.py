@@ -17,6 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from shoplens.plans import inspect as plan_facts  # noqa: E402
 from shoplens.plans.registry import HEADLINE, QUERIES  # noqa: E402
 from shoplens.session import build_session  # noqa: E402
 
@@ -37,15 +38,21 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="shoplens-bench",
         shuffle_partitions=cpus,
-        extra={"spark.driver.memory": "8g"},
+        extra={"spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "10000"},
     )
     sc = spark.sparkContext
     tracker = sc.statusTracker()
 
     timings: dict[str, float] = {}
     jobs: dict[str, int] = {}
+    shuffles: dict[str, int] = {}
+    scans: dict[str, int] = {}
     for name in names:
         build = QUERIES[name]
+        probe = build(spark, sf_dir)
+        shuffles[name] = plan_facts.exchanges(probe)
+        # identical scans (a reused subquery printed at each use) count once
+        scans[name] = len({tuple(sorted(x.items())) for x in plan_facts.scans(probe)})
         samples = []
         for i in range(runs + 1):
             group = f"bench-{name}-{i}"
@@ -58,7 +65,12 @@ def main() -> None:
             else:
                 samples.append(elapsed)
         timings[name] = round(statistics.median(samples), 4)
-        print(f"{name:30s} {timings[name]:.3f}s jobs={jobs[name]}", file=sys.stderr, flush=True)
+        print(
+            f"{name:30s} {timings[name]:.3f}s jobs={jobs[name]} "
+            f"shuffles={shuffles[name]} scans={scans[name]}",
+            file=sys.stderr,
+            flush=True,
+        )
     sc.setLocalProperty("spark.jobGroup.id", None)
 
     headline = [q for q in HEADLINE if q in timings]
@@ -69,6 +81,8 @@ def main() -> None:
         "queries": timings,
         "headline_sec": round(sum(timings[q] for q in headline), 4),
         "spark_jobs": jobs,
+        "shuffles": shuffles,
+        "parquet_scans": scans,
         "sf": _sf_of(sf_dir),
         "cpus": cpus,
         "runs": runs,
