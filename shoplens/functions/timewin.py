@@ -51,8 +51,12 @@ def day_label(day: Column) -> Column:
 
 def money(amount: Column) -> Column:
     """Amounts as DECIMAL(18,2), so sums are exact and independent of the
-    order in which partitions are combined."""
-    return amount.cast("decimal(18,2)")
+    order in which partitions are combined.
+
+    A value that is no amount (NaN, infinite, beyond 10^16) becomes NULL and
+    is left out of sums like a missing amount, instead of failing the job.
+    """
+    return amount.try_cast("decimal(18,2)")
 
 
 def money_out(total: Column) -> Column:

@@ -192,3 +192,11 @@ def test_19_month_and_year_steps_clamp(spark):
     assert (got[0]["weekday"], got[0]["weekday_cn"], got[0]["weekday_short"], got[0]["weekday_no"]) == (
         "Wednesday", "星期三", "Wed.", 3,
     )
+
+
+def test_non_amounts_do_not_fail_the_job(spark):
+    o = orders_df(
+        spark,
+        [(1, 1, 2, float("nan"), START7), (2, 1, 2, float("inf"), START7), (3, 1, 2, 2.5, START7)],
+    )
+    assert rows(op.growth_daily_orders(o, as_of=AS_OF)) == [("2019-11-23", 3, 2.5)]
