@@ -9,7 +9,7 @@ FIXTURES.md and repeated verbatim in the oracle SQL (plans/oracle.py).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.functions.dates import DATE_STYLES
@@ -19,83 +19,63 @@ from shoplens.sources.readers import read_parquet_table
 # this many days.
 _MEMBER_EPOCH = "1995-01-01 00:00:00"
 _MEMBER_SPAN_DAYS = 2404
-_SEGMENT_CHANNEL = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
-_ORDER_STATUS = {"F": 2, "O": 1}
 
-
-def _three_state(code: Column, key: Column, prefix: str) -> Column:
-    """'null' text, SQL NULL, or a value: all three states the jobs see."""
-    return (
-        F.when(code == 0, F.lit("null"))
-        .when(code == 1, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(prefix), key.cast("string")))
-    )
+# Each column is one SQL expression (one call to build, not dozens).
+_MEMBER_COLUMNS = (
+    "c_custkey + 1 AS id",
+    "c_nationkey % 3 AS sex",
+    "CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2"
+    " WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 ELSE 5 END AS INT) AS member_channel",
+    # 'null' text, SQL NULL, or a value: all three states the jobs see
+    "CASE WHEN c_nationkey % 4 = 0 THEN 'null' WHEN c_nationkey % 4 = 1 THEN NULL"
+    " ELSE concat('mp_', CAST(c_custkey AS STRING)) END AS mp_open_id",
+    "CASE WHEN c_nationkey % 5 = 0 THEN 'null' WHEN c_nationkey % 5 = 1 THEN NULL"
+    " ELSE concat('1', CAST(c_custkey AS STRING)) END AS phone",
+)
+
+_ORDER_COLUMNS = (
+    "o_orderkey AS order_id",
+    "o_custkey + 1 AS member_id",
+    "CAST(CASE o_orderstatus WHEN 'F' THEN 2 WHEN 'O' THEN 1 ELSE 0 END AS INT) AS order_status",
+    "o_totalprice AS origin_price",
+    "o_orderdate AS create_time",
+)
+
+_COUPON_COLUMNS = (
+    "user_id + 1 AS member_id",
+    "1 + event_id % 3 AS coupon_id",
+    "1 + event_id % 2 AS coupon_channel",
+    "ts AS create_time",
+)
+
+_SEARCH_LINE = (
+    "concat_ws('\\t', CAST(event_id AS STRING), CAST(user_id AS STRING),"
+    " concat(event_type, '_', get_json_object(props, '$.k')), CAST(value AS STRING)) AS value"
+)
 
 
 def members(spark: SparkSession, base_dir: str) -> DataFrame:
     customer = read_parquet_table(spark, base_dir, "customer")
     n_customers = customer.select(F.count(F.lit(1))).scalar()
     key = F.col("c_custkey")
-    nation = F.col("c_nationkey")
-    channel = F.lit(5)
-    for segment, code in reversed(list(_SEGMENT_CHANNEL.items())):
-        channel = F.when(F.col("c_mktsegment") == segment, F.lit(code)).otherwise(channel)
     day_offset = F.call_function("div", key * _MEMBER_SPAN_DAYS, n_customers).cast("int")
     hour = (key % 24).cast("int")
-    df = customer.select(
-        (key + 1).alias("id"),
-        (nation % 3).alias("sex"),
-        channel.cast("int").alias("member_channel"),
-        _three_state(nation % 4, key, "mp_").alias("mp_open_id"),
-        _three_state(nation % 5, key, "1").alias("phone"),
-        (
-            F.lit(_MEMBER_EPOCH).cast("timestamp_ntz")
-            + F.make_dt_interval(day_offset, hour)
-        ).alias("create_time"),
-    )
-    return df
+    create_time = F.lit(_MEMBER_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(day_offset, hour)
+    return customer.select(*[F.expr(c) for c in _MEMBER_COLUMNS], create_time.alias("create_time"))
 
 
 def orders(spark: SparkSession, base_dir: str) -> DataFrame:
-    o = read_parquet_table(spark, base_dir, "orders")
-    status = F.lit(0)
-    for letter, code in reversed(list(_ORDER_STATUS.items())):
-        status = F.when(F.col("o_orderstatus") == letter, F.lit(code)).otherwise(status)
-    df = o.select(
-        F.col("o_orderkey").alias("order_id"),
-        (F.col("o_custkey") + 1).alias("member_id"),
-        status.cast("int").alias("order_status"),
-        F.col("o_totalprice").alias("origin_price"),
-        F.col("o_orderdate").alias("create_time"),
-    )
-    return df
+    return read_parquet_table(spark, base_dir, "orders").selectExpr(*_ORDER_COLUMNS)
 
 
 def coupon_members(spark: SparkSession, base_dir: str) -> DataFrame:
     ev = read_parquet_table(spark, base_dir, "events")
-    df = ev.filter(F.col("event_type").isin("purchase", "signup")).select(
-        (F.col("user_id") + 1).alias("member_id"),
-        (F.lit(1) + F.col("event_id") % 3).alias("coupon_id"),
-        (F.lit(1) + F.col("event_id") % 2).alias("coupon_channel"),
-        F.col("ts").alias("create_time"),
-    )
-    return df
+    return ev.filter("event_type IN ('purchase', 'signup')").selectExpr(*_COUPON_COLUMNS)
 
 
 def search_log(spark: SparkSession, base_dir: str) -> DataFrame:
     """Tab-separated lines: event id, user id, query word, value."""
-    ev = read_parquet_table(spark, base_dir, "events")
-    word = F.concat(F.col("event_type"), F.lit("_"), F.get_json_object("props", "$.k"))
-    df = ev.select(
-        F.concat_ws(
-            "\t",
-            F.col("event_id").cast("string"),
-            F.col("user_id").cast("string"),
-            word,
-            F.col("value").cast("string"),
-        ).alias("value")
-    )
-    return df
+    return read_parquet_table(spark, base_dir, "events").selectExpr(_SEARCH_LINE)
 
 
 def date_strings(spark: SparkSession, base_dir: str) -> DataFrame:
