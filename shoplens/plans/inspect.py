@@ -36,3 +36,41 @@ def exchanges(df: DataFrame) -> int:
 
 def has_python(df: DataFrame) -> bool:
     return count_nodes(df, r"(BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|PythonUDF)") > 0
+
+
+def _tree_lines(plan: str) -> list[tuple[int, str]]:
+    """(depth, text) of each operator line in a plan tree string."""
+    out = []
+    for line in plan.splitlines():
+        m = re.match(r"^([\s:|]*)(\+- |:- )?([A-Z*(].*)$", line)
+        if not m:
+            continue
+        prefix = m.group(1) + (m.group(2) or "")
+        out.append((len(prefix), m.group(3).lstrip("* ")))
+    return out
+
+
+def shuffle_inputs(df: DataFrame) -> list[tuple[str, str]]:
+    """For each shuffle (hash, range or single-partition Exchange), the
+    operator that produces its rows, looking through projections and
+    filters: (exchange text, producer text)."""
+    lines = _tree_lines(physical_plan(df))
+    pairs = []
+    for i, (depth, text) in enumerate(lines):
+        if re.match(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", text):
+            # look through projections and filters to the producing operator
+            child = next(
+                (t for d, t in lines[i + 1 :] if d > depth and not re.match(r"(Project|Filter) ", t)),
+                "",
+            )
+            pairs.append((text, child))
+    return pairs
+
+
+def unaggregated_shuffles(df: DataFrame) -> list[tuple[str, str]]:
+    """Shuffles whose input is not an aggregate, i.e. that move raw rows."""
+    return [
+        (ex, child)
+        for ex, child in shuffle_inputs(df)
+        if not re.match(r"(HashAggregate|ObjectHashAggregate|SortAggregate)", child)
+    ]

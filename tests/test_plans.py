@@ -59,3 +59,32 @@ def test_funnel_join_does_not_reshuffle(spark):
     # coupon side is small enough to broadcast): at most one shuffle per side
     df = QUERIES["funnel_summary"](spark, SF_SMALL)
     assert P.exchanges(df) <= 3
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_every_shuffle_carries_aggregated_rows(spark, name):
+    """No query shuffles raw rows: each exchange is fed by a (partial)
+    aggregate, so a key holding a third of the rows is one row per task when
+    it crosses the network."""
+    df = QUERIES[name](spark, SF_SMALL)
+    assert P.shuffle_inputs(df) or P.exchanges(df) == 0
+    assert P.unaggregated_shuffles(df) == []
+
+
+@pytest.mark.parametrize("name", ["funnel_summary", "funnel_repeat_and_coupon"])
+def test_large_scale_join_reuses_aggregate_partitioning(spark, name):
+    """With broadcasting off (both sides too large), the join is a sort-merge
+    join on member_id over the two per-member aggregates, with no extra
+    shuffle: each side is shuffled once, by its own aggregate."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        assert P.count_nodes(df, r"SortMergeJoin") == 1
+        assert P.count_nodes(df, r"BroadcastExchange") == 0
+        assert P.unaggregated_shuffles(df) == []
+        sides = [ex for ex, _ in P.shuffle_inputs(df) if "hashpartitioning(member_id" in ex]
+        assert len(sides) == 2
+    finally:
+        spark.conf.set(key, old)
