@@ -130,6 +130,26 @@ def parse_by_index(text_col: str, index_col: str, styles=DATE_STYLES) -> Column:
     return F.expr(f"CASE {_quote(index_col)} {arms} END")
 
 
+def render_by_index(ts: Column, index_col: str, styles=DATE_STYLES) -> Column:
+    """Render ``ts`` in style number ``index_col`` (the row's own style)."""
+    return F.coalesce(
+        *[
+            F.when(F.col(index_col) == i, F.date_format(ts, pattern))
+            for i, (_, pattern) in enumerate(styles)
+        ]
+    )
+
+
+def select_styles(names=None) -> tuple[tuple[str, str], ...]:
+    """The style table restricted to ``names`` (all 23 when None)."""
+    if names is None:
+        return DATE_STYLES
+    unknown = set(names) - set(STYLE_PATTERNS)
+    if unknown:
+        raise ValueError(f"unknown date styles: {sorted(unknown)}")
+    return tuple((n, p) for n, p in DATE_STYLES if n in set(names))
+
+
 def style_name(index: Column, styles=DATE_STYLES) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name, _ in styles]), index + 1)
 

@@ -7,6 +7,7 @@ over at most 24 keys.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,34 +24,54 @@ def date_standardise(
     *,
     out: str = "ts",
     style_col: str = "style",
-    target_style: str | None = "YYYY_MM_DD_HH_MM_SS",
+    target_style: str | dict[str, str] | None = "YYYY_MM_DD_HH_MM_SS",
     text_col: str = "ds_std",
+    styles: Sequence[str] | None = None,
+    shift_in_style: Sequence[tuple[str, str, int]] = (),
 ) -> DataFrame:
-    """Add the parsed timestamp, the matched style name and (optionally) the
-    timestamp re-rendered in ``target_style``.
-
-    A string matching no style, or with impossible values, gets NULL in all
-    three.  Year-less styles resolve to 1970, date-less ones to 1970-01-01.
+    """Add the parsed timestamp, the matched style name and re-rendered text.
+
+    * ``styles``: style names to recognise (default all 23); one name reads
+      the column in a known style.
+    * ``target_style``: a style name, rendered into ``text_col``, or a
+      mapping ``{output column: style name}`` (e.g. a date-only and a
+      time-only column); None for no text.
+    * ``shift_in_style``: ``(output column, unit, amount)`` entries: the
+      timestamp moved by calendar units and written back in the row's own
+      style (``'2019-11-30'`` + 1 day = ``'2019-12-01'``).
+
+    A string matching no style, or with impossible values, gets NULL in every
+    added column.  Year-less styles resolve to 1970, date-less ones to
+    1970-01-01.
     """
+    table = D.select_styles(styles)
     shape, index = "__shoplens_shape", "__shoplens_style"
     # Shape and style index are separate projections: each is referenced by
     # many CASE arms and is computed once per row.
     result = (
         df.withColumn(shape, D.text_shape(F.col(col)))
-        .withColumn(index, D.style_index(shape))
-        .withColumn(out, D.parse_by_index(col, index))
-        .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(F.col(index))))
-        .drop(shape, index)
+        .withColumn(index, D.style_index(shape, table))
+        .withColumn(out, D.parse_by_index(col, index, table))
+        .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(F.col(index), table)))
     )
-    if target_style is not None:
-        result = result.withColumn(text_col, D.render(F.col(out), target_style))
+    added = {}
+    for name, unit, amount in shift_in_style:
+        added[name] = D.render_by_index(D.shift(F.col(out), unit, amount), index, table)
+    if added:
+        result = result.withColumns(added)
+    result = result.drop(shape, index)
+    renders = {text_col: target_style} if isinstance(target_style, str) else (target_style or {})
+    if renders:
+        result = result.withColumns(
+            {name: D.render(F.col(out), style) for name, style in renders.items()}
+        )
     return result
 
 
-def date_quality(df: DataFrame, col: str = "ds") -> DataFrame:
+def date_quality(df: DataFrame, col: str = "ds", *, styles: Sequence[str] | None = None) -> DataFrame:
     """``style, n``: rows per matched style, unmatched rows as 'rejected'."""
     return (
-        date_standardise(df.select(col), col, target_style=None)
+        date_standardise(df.select(col), col, target_style=None, styles=styles)
         .groupBy(F.coalesce(F.col("style"), F.lit(REJECTED)).alias("style"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -200,3 +200,24 @@ def test_non_amounts_do_not_fail_the_job(spark):
         [(1, 1, 2, float("nan"), START7), (2, 1, 2, float("inf"), START7), (3, 1, 2, 2.5, START7)],
     )
     assert rows(op.growth_daily_orders(o, as_of=AS_OF)) == [("2019-11-23", 3, 2.5)]
+
+
+def test_known_style_renders_and_same_style_shifts(spark):
+    df = spark.createDataFrame(
+        [(0, "2019-11-30"), (1, "2019/11/30 23:59"), (2, "11月30日"), (3, "11-30")],
+        "event_id long, ds string",
+    )
+    out = op.date_standardise(
+        df,
+        "ds",
+        target_style={"date": "YYYY_MM_DD", "time": "HH_MM_SS"},
+        shift_in_style=[("next_day", "day", 1), ("last_year", "year", -1)],
+    ).orderBy("event_id").collect()
+    assert [r["date"] for r in out] == ["2019-11-30", "2019-11-30", "1970-11-30", "1970-11-30"]
+    assert [r["time"] for r in out] == ["00:00:00", "23:59:00", "00:00:00", "00:00:00"]
+    assert [r["next_day"] for r in out] == ["2019-12-01", "2019/12/01 23:59", "12月01日", "12-01"]
+    assert [r["last_year"] for r in out] == ["2018-11-30", "2018/11/30 23:59", "11月30日", "11-30"]
+    # a known style only: the other shapes are rejected
+    only = op.date_standardise(df, "ds", styles=["MM_DD"], target_style=None).orderBy("event_id")
+    assert [r["style"] for r in only.collect()] == [None, None, None, "MM_DD"]
+    assert rows(op.date_quality(df, styles=["MM_DD"]), ["style"]) == [("MM_DD", 1), ("rejected", 3)]
