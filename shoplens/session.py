@@ -16,6 +16,12 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcast only what has been measured: no broadcast from planning-time
+    # estimates (compressed file sizes can understate a side many times);
+    # AQE turns a join into a broadcast join when a side's shuffle output,
+    # as written, is under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.ansi.enabled": "true",
 }
 
