@@ -31,8 +31,12 @@ def days_before(as_of, days: int) -> dt.datetime:
 
 
 def ts_lit(value) -> Column:
-    """A TIMESTAMP_NTZ literal (pushable into Parquet filters)."""
-    return F.lit(as_datetime(value)).cast("timestamp_ntz")
+    """A TIMESTAMP_NTZ literal (pushable into Parquet filters).
+
+    Built from text, so neither the Python process's nor the session's time
+    zone can shift it.
+    """
+    return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def date_lit(value) -> Column:

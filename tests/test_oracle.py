@@ -31,3 +31,17 @@ def test_entry_runs_on_smoke_data(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["day", "newRegCount", "totalMemberCount", "totalOrderCount", "gmv"]
     assert df.count() == 7
+
+
+@pytest.mark.parametrize(
+    "name", ["growth_report", "wow_daily_orders", "marketing_free_coupons", "date_standardise", "calendar_enrich"]
+)
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "Asia/Shanghai")
+    try:
+        ok, msg = compare(QUERIES[name](spark, SF_ORACLE), con, ORACLE[name])
+    finally:
+        spark.conf.set(key, old)
+    assert ok, msg
