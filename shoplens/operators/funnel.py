@@ -2,10 +2,10 @@
 
 Every member list is aggregated per ``member_id`` before anything else, so a
 member with a third of all orders is one row after the map-side partial
-aggregate.  The lists are unique per member, which makes the join between
-them one-to-one: no key can blow up or skew it.  Both sides come out of an
-aggregate hash-partitioned on ``member_id``, so the join reuses that
-partitioning instead of shuffling again.
+aggregate.  Lists that combine orders and coupons (repeat buyers who bought a
+coupon, the summary) come from one aggregate over both tables' rows
+(:func:`member_activity`): one shuffle and no join, so there is nothing to
+skew, sort or broadcast.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators.activity import known_coupon_holder, member_activity
 from shoplens.operators.coupons import CHANNEL_BOUGHT, FREE_COUPON_ID
 
 COMPLETED = 2  # order status of a completed purchase
@@ -42,23 +43,29 @@ def funnel_repeat_buyers(
     )
 
 
+def _paid_coupons(coupons: DataFrame) -> DataFrame:
+    return coupons.filter(
+        (F.col("coupon_id") != FREE_COUPON_ID) & (F.col("coupon_channel") == CHANNEL_BOUGHT)
+    )
+
+
 def funnel_coupon_buyers(coupons: DataFrame) -> DataFrame:
     """Distinct ``member_id`` that bought a paid coupon."""
-    return (
-        coupons.filter(
-            (F.col("coupon_id") != FREE_COUPON_ID) & (F.col("coupon_channel") == CHANNEL_BOUGHT)
-        )
-        .select("member_id")
-        .distinct()
-    )
+    return _paid_coupons(coupons).select("member_id").distinct()
+
+
+def _buyer_activity(orders: DataFrame, coupons: DataFrame, status: int) -> DataFrame:
+    return member_activity(_completed(orders, status), _paid_coupons(coupons))
 
 
 def funnel_repeat_and_coupon(
     orders: DataFrame, coupons: DataFrame, *, status: int = COMPLETED, min_orders: int = 2
 ) -> DataFrame:
     """Repeat buyers who also bought a paid coupon (NULL never matches)."""
-    return funnel_repeat_buyers(orders, status=status, min_orders=min_orders).join(
-        funnel_coupon_buyers(coupons), "member_id", "left_semi"
+    return (
+        _buyer_activity(orders, coupons, status)
+        .filter((F.col("n") >= min_orders) & known_coupon_holder())
+        .select("member_id")
     )
 
 
@@ -74,16 +81,16 @@ def funnel_summary(
     """One row: ``view, click, order, orderAgain, chargeCoupon``.
 
     view and click are supplied counts (the shop has no page log); the rest
-    come from one plan: per-buyer order counts left-joined to the paid-coupon
-    buyers, then one aggregate.
+    come from one plan over per-member activity: buyers (one NULL buyer
+    counts once, as DISTINCT does), repeat buyers, and repeat buyers holding
+    a paid coupon.
     """
-    buyers = _orders_per_buyer(orders, status)
-    charged = funnel_coupon_buyers(coupons).withColumn("charged", F.lit(True))
-    repeat = F.col("n") >= min_orders
-    return buyers.join(charged, "member_id", "left").agg(
+    n = F.col("n")
+    repeat = n >= min_orders
+    return _buyer_activity(orders, coupons, status).agg(
         F.lit(view).cast("bigint").alias("view"),
         F.lit(click).cast("bigint").alias("click"),
-        F.count(F.lit(1)).alias("order"),
+        F.count(F.when(n >= 1, True)).alias("order"),
         F.count(F.when(repeat, True)).alias("orderAgain"),
-        F.count(F.when(repeat & F.col("charged"), True)).alias("chargeCoupon"),
+        F.count(F.when(repeat & known_coupon_holder(), True)).alias("chargeCoupon"),
     )

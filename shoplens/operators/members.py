@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.operators.activity import known_coupon_holder, member_activity
+
 _MISSING = "null"  # the sentinel text the member table uses for "absent"
 
 
@@ -51,13 +53,16 @@ def _registration_counts(members: DataFrame, null_as_missing: bool) -> DataFrame
     )
 
 
-def _order_counts(orders: DataFrame, status: int | None) -> DataFrame:
+def _activity_counts(orders: DataFrame, coupons: DataFrame, status: int | None) -> DataFrame:
+    """One row: ``order``, ``orderAgain`` (members with exactly one / at least
+    two orders) and ``coupon`` (distinct members holding a coupon)."""
     if status is not None:
         orders = orders.filter(F.col("order_status") == status)
-    per_member = orders.groupBy("member_id").agg(F.count("order_id").alias("n"))
-    return per_member.agg(
-        F.count(F.when(F.col("n") == 1, True)).alias("order"),
-        F.count(F.when(F.col("n") >= 2, True)).alias("orderAgain"),
+    n = F.col("n")
+    return member_activity(orders, coupons).agg(
+        F.count(F.when(n == 1, True)).alias("order"),
+        F.count(F.when(n >= 2, True)).alias("orderAgain"),
+        F.count(F.when(known_coupon_holder(), True)).alias("coupon"),
     )
 
 
@@ -82,11 +87,10 @@ def member_heat(
       (any status unless ``status`` is given).
     """
     rc = _registration_counts(members, null_as_missing)
-    oc = _one_row(_order_counts(orders, status))
-    cp = coupons.agg(F.count_distinct("member_id").alias("coupon")).select("coupon").scalar()
-    # the order-count struct is one subquery, referenced once, then unpacked
-    return rc.select(cp.alias("coupon"), "reg", "complete", oc.alias("o")).select(
-        "coupon", "reg", "complete", "o.order", "o.orderAgain"
+    act = _one_row(_activity_counts(orders, coupons, status))
+    # the activity struct is one subquery, referenced once, then unpacked
+    return rc.select("reg", "complete", act.alias("a")).select(
+        "a.coupon", "reg", "complete", "a.order", "a.orderAgain"
     )
 
 
@@ -145,18 +149,16 @@ def member_overview(
         F.max(F.when(whole, F.col("reg"))).alias("reg"),
         F.max(F.when(whole, F.col("complete"))).alias("complete"),
     )
-    status = heat_options.get("status")
-    oc = _one_row(_order_counts(orders, status))
-    cp = coupons.agg(F.count_distinct("member_id").alias("coupon")).select("coupon").scalar()
+    act = _one_row(_activity_counts(orders, coupons, heat_options.get("status")))
     heat = F.struct(
-        F.col("coupon"),
+        F.col("a.coupon").alias("coupon"),
         F.col("reg"),
         F.col("complete"),
-        F.col("o.order").alias("order"),
-        F.col("o.orderAgain").alias("orderAgain"),
+        F.col("a.order").alias("order"),
+        F.col("a.orderAgain").alias("orderAgain"),
     )
     parts = ["memberSexs", "memberChannels", "memberMpSubs", "memberHeat"]
-    out = row.select("*", cp.alias("coupon"), oc.alias("o")).select(
+    out = row.select("*", act.alias("a")).select(
         "memberSexs", "memberChannels", "memberMpSubs", heat.alias("memberHeat")
     )
     return out.withColumn("report", F.to_json(F.struct(*parts)))

@@ -54,11 +54,10 @@ def test_column_pruning(spark):
     assert scan["schema"] == "struct<event_id:bigint,ts:timestamp_ntz>"
 
 
-def test_funnel_join_does_not_reshuffle(spark):
-    # per-member aggregates are already partitioned on member_id (or the
-    # coupon side is small enough to broadcast): at most one shuffle per side
+def test_funnel_summary_shuffles_twice(spark):
+    # once by member_id (pre-aggregated), once to the single result row
     df = QUERIES["funnel_summary"](spark, SF_SMALL)
-    assert P.exchanges(df) <= 3
+    assert P.exchanges(df) == 2
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -71,20 +70,20 @@ def test_every_shuffle_carries_aggregated_rows(spark, name):
     assert P.unaggregated_shuffles(df) == []
 
 
-@pytest.mark.parametrize("name", ["funnel_summary", "funnel_repeat_and_coupon"])
-def test_large_scale_join_reuses_aggregate_partitioning(spark, name):
-    """With broadcasting off (both sides too large), the join is a sort-merge
-    join on member_id over the two per-member aggregates, with no extra
-    shuffle: each side is shuffled once, by its own aggregate."""
+@pytest.mark.parametrize("name", ["funnel_summary", "funnel_repeat_and_coupon", "member_heat"])
+def test_per_member_facts_need_no_join(spark, name):
+    """Facts from orders and coupons are combined by one aggregate over both
+    tables' rows: one shuffle on member_id, no join of any kind, with or
+    without broadcasting allowed."""
     key = "spark.sql.autoBroadcastJoinThreshold"
     old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    try:
-        df = QUERIES[name](spark, SF_SMALL)
-        assert P.count_nodes(df, r"SortMergeJoin") == 1
-        assert P.count_nodes(df, r"BroadcastExchange") == 0
-        assert P.unaggregated_shuffles(df) == []
-        sides = [ex for ex, _ in P.shuffle_inputs(df) if "hashpartitioning(member_id" in ex]
-        assert len(sides) == 2
-    finally:
-        spark.conf.set(key, old)
+    for setting in ("-1", "100MB"):
+        spark.conf.set(key, setting)
+        try:
+            df = QUERIES[name](spark, SF_SMALL)
+            assert P.count_nodes(df, r"Join") == 0
+            by_member = [ex for ex, _ in P.shuffle_inputs(df) if "hashpartitioning(member_id" in ex]
+            assert len(by_member) == 1
+            assert P.unaggregated_shuffles(df) == []
+        finally:
+            spark.conf.set(key, old)
