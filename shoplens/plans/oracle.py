@@ -108,6 +108,37 @@ def _weekday_list(field: int) -> str:
     return "[" + ", ".join(f"'{w[field]}'" for w in WEEKDAYS) + "]"
 
 
+_HEAT = """select c.coupon, r.reg, r.complete, o."order", o."orderAgain"
+from (select count(distinct member_id) as coupon from t_coupon_member) c
+cross join (select count(case when phone = 'null' then 1 end) as reg,
+                   count(case when phone != 'null' then 1 end) as complete from t_member) r
+cross join (select count(case when n = 1 then 1 end) as "order",
+                   count(case when n >= 2 then 1 end) as "orderAgain"
+            from (select member_id, count(order_id) as n from t_order group by member_id) t) o"""
+
+
+def _member_overview_sql() -> str:
+    """The overview document: both distributions as code-sorted lists, the
+    subscription split as a one-element list and the heat row, as JSON."""
+    return _with(
+        _T_MEMBER,
+        _T_ORDER,
+        _T_COUPON,
+        "sx as (select sex, count(id) as n from t_member group by sex)",
+        "ch as (select member_channel, count(id) as n from t_member group by member_channel)",
+        "sub as (select count(case when mp_open_id != 'null' then 1 end) as s,\n"
+        "               count(case when mp_open_id = 'null' then 1 end) as u from t_member)",
+        f"h as ({_HEAT})",
+    ) + """select to_json(struct_pack(
+  "memberSexs" := (select list(struct_pack("memberSex" := sex, "sexCount" := n) order by sex, n) from sx),
+  "memberChannels" := (select list(struct_pack("memberChannel" := member_channel, "channelCount" := n)
+                                   order by member_channel, n) from ch),
+  "memberMpSubs" := (select list(struct_pack("subCount" := s, "unSubCount" := u)) from sub),
+  "memberHeat" := (select struct_pack(coupon := coupon, reg := reg, complete := complete,
+                                      "order" := "order", "orderAgain" := "orderAgain") from h)
+)) as report"""
+
+
 def oracle_queries() -> dict[str, str]:
     g_start = _ts(days_before(GROWTH_AS_OF, 7))
     w_start = _ts(days_before(GROWTH_AS_OF, 14))
@@ -134,13 +165,8 @@ def oracle_queries() -> dict[str, str]:
         "select count(case when mp_open_id != 'null' then 1 end) as \"subCount\",\n"
         "       count(case when mp_open_id = 'null' then 1 end) as \"unSubCount\" from t_member"
     )
-    q["member_heat"] = _with(_T_MEMBER, _T_ORDER, _T_COUPON) + """select c.coupon, r.reg, r.complete, o."order", o."orderAgain"
-from (select count(distinct member_id) as coupon from t_coupon_member) c
-cross join (select count(case when phone = 'null' then 1 end) as reg,
-                   count(case when phone != 'null' then 1 end) as complete from t_member) r
-cross join (select count(case when n = 1 then 1 end) as "order",
-                   count(case when n >= 2 then 1 end) as "orderAgain"
-            from (select member_id, count(order_id) as n from t_order group by member_id) t) o"""
+    q["member_heat"] = _with(_T_MEMBER, _T_ORDER, _T_COUPON) + _HEAT
+    q["member_overview"] = _member_overview_sql()
     q["growth_daily_registrations"] = _with(_T_MEMBER) + (
         f'select {day} as day, count(id) as "newRegCount", max(id) as "totalMemberCount"\n'
         f"from t_member where create_time >= {g_start} group by 1"

@@ -45,9 +45,10 @@ QUERIES: dict[str, Query] = {
     "member_channel_distribution": lambda s, d: op.member_channel_distribution(_members(s, d)),
     "member_subscription_split": lambda s, d: op.member_subscription_split(_members(s, d)),
     "member_heat": lambda s, d: op.member_heat(_members(s, d), _orders(s, d), _coupons(s, d)),
+    # the report document, as the overview job prints it
     "member_overview": lambda s, d: op.member_overview(
         _members(s, d), _orders(s, d), _coupons(s, d)
-    ),
+    ).select("report"),
     "growth_daily_registrations": lambda s, d: op.growth_daily_registrations(
         _members(s, d), as_of=GROWTH_AS_OF
     ),
