@@ -13,7 +13,6 @@ from collections import Counter
 import duckdb
 from pyspark.sql import DataFrame
 
-from shoplens.sources.readers import read_parquet_table  # noqa: F401  (documented entry)
 
 TEST_TABLES = (
     "region nation customer supplier part orders lineitem events documents "

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from shoplens import operators as op
 from tests.helpers import coupons_df, log_df, members_df, orders_df, rows, ts

@@ -1,6 +1,5 @@
 """Results do not depend on how the input is partitioned."""
 
-import pytest
 
 from shoplens import operators as op
 from shoplens.sources import canonical as src
