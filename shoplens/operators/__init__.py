@@ -10,11 +10,15 @@ from shoplens.operators.funnel import (
     funnel_summary,
 )
 from shoplens.operators.growth import (
+    daily_activity,
     growth_daily_orders,
     growth_daily_registrations,
     growth_prior_gmv,
     growth_report,
     growth_report_complete,
+    growth_report_complete_from_daily,
+    growth_report_from_daily,
+    merge_daily,
 )
 from shoplens.operators.members import (
     member_channel_distribution,
@@ -28,6 +32,7 @@ from shoplens.operators.weekly import wow_daily_orders, wow_daily_registrations
 
 __all__ = [
     "calendar_enrich",
+    "daily_activity",
     "date_quality",
     "date_standardise",
     "funnel_buyers",
@@ -40,12 +45,15 @@ __all__ = [
     "growth_prior_gmv",
     "growth_report",
     "growth_report_complete",
+    "growth_report_complete_from_daily",
+    "growth_report_from_daily",
     "marketing_free_coupons",
     "marketing_paid_coupons",
     "member_channel_distribution",
     "member_heat",
     "member_overview",
     "member_sex_distribution",
+    "merge_daily",
     "member_subscription_split",
     "search_hot_words",
     "search_word_counts",

@@ -107,91 +107,151 @@ def _tagged_orders(orders: DataFrame, cond: Column | None) -> DataFrame:
     )
 
 
-def growth_report(members: DataFrame, orders: DataFrame, *, as_of, days: int = 7) -> DataFrame:
-    """``day, newRegCount, totalMemberCount, totalOrderCount, gmv`` for window
-    days with both registrations and orders, ordered by day.
+# Every summary column is a sum or a maximum, so summaries of disjoint row
+# sets merge exactly (merge_daily).
+_MERGE = {
+    "member_rows": F.sum,
+    "new_members": F.sum,
+    "max_member_id": F.max,
+    "order_rows": F.sum,
+    "orders": F.sum,
+    "max_order_id": F.max,
+    "amount": F.sum,
+}
+
 
-    gmv = all orders before the window + amounts of the listed days so far.
+def daily_activity(
+    members: DataFrame, orders: DataFrame, *, members_since=None, until=None
+) -> DataFrame:
+    """Per-day summary of both tables, one row per calendar day ``d`` with any
+    member or order row: ``member_rows, new_members (non-NULL ids),
+    max_member_id, order_rows, orders (non-NULL ids), max_order_id, amount``.
+
+    One aggregate over the union of both tables' rows (partial aggregation
+    first).  At scale, write it once partitioned by ``d``, add each new day
+    with :func:`merge_daily`, and run the growth reports from it: a few
+    thousand rows instead of the whole history.  ``members_since`` and
+    ``until`` bound the rows read (both push into the scans).
     """
-    start = days_before(as_of, days)
-    start_day = date_lit(start)
-    daily = (
-        _tagged_members(members, F.col("create_time") >= ts_lit(start))
-        .unionByName(_tagged_orders(orders, None))
+    m_cond = None
+    o_cond = None
+    if members_since is not None:
+        m_cond = F.col("create_time") >= ts_lit(members_since)
+    if until is not None:
+        upper = F.col("create_time") < ts_lit(until)
+        m_cond = upper if m_cond is None else m_cond & upper
+        o_cond = upper
+    return (
+        _tagged_members(members, m_cond)
+        .unionByName(_tagged_orders(orders, o_cond))
         .groupBy("d")
         .agg(
-            F.count("member_id").alias("newRegCount"),
-            F.max("member_id").alias("totalMemberCount"),
-            F.max("order_id").alias("totalOrderCount"),
-            F.sum("amount").alias("g"),
-            F.max("is_member").alias("has_member"),
-            F.max("is_order").alias("has_order"),
+            F.sum("is_member").alias("member_rows"),
+            F.count("member_id").alias("new_members"),
+            F.max("member_id").alias("max_member_id"),
+            F.sum("is_order").alias("order_rows"),
+            F.count("order_id").alias("orders"),
+            F.max("order_id").alias("max_order_id"),
+            F.sum("amount").alias("amount"),
         )
+        .filter(F.col("d").isNotNull())
     )
+
+
+def merge_daily(*summaries: DataFrame) -> DataFrame:
+    """Merge per-day summaries of disjoint row sets (e.g. the stored history
+    and the rows of a new day) into one."""
+    combined = summaries[0]
+    for other in summaries[1:]:
+        combined = combined.unionByName(other)
+    return combined.groupBy("d").agg(*[f(c).alias(c) for c, f in _MERGE.items()])
+
+
+def growth_report_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+    """:func:`growth_report` from a :func:`daily_activity` summary."""
+    start_day = date_lit(days_before(as_of, days))
     in_window = F.col("d") >= start_day
     kept = daily.filter(
-        (F.col("has_order") == 1) & (~in_window | (F.col("has_member") == 1))
-    ).withColumn("running", F.sum(F.coalesce(F.col("g"), F.lit(0))).over(_running()))
+        (F.col("order_rows") > 0) & (~in_window | (F.col("member_rows") > 0))
+    ).withColumn("running", F.sum(F.coalesce(F.col("amount"), F.lit(0))).over(_running()))
     return (
         kept.filter(in_window)
         .orderBy("d")
         .select(
             day_label(F.col("d")).alias("day"),
-            "newRegCount",
-            "totalMemberCount",
-            "totalOrderCount",
+            F.col("new_members").alias("newRegCount"),
+            F.col("max_member_id").alias("totalMemberCount"),
+            F.col("max_order_id").alias("totalOrderCount"),
             money_out(F.col("running")).alias("gmv"),
         )
     )
 
 
-def growth_report_complete(
-    members: DataFrame, orders: DataFrame, *, as_of, days: int = 7
-) -> DataFrame:
-    """The corrected report: every day in ``[as_of - days, as_of)``.
+def growth_report(members: DataFrame, orders: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+    """``day, newRegCount, totalMemberCount, totalOrderCount, gmv`` for window
+    days with both registrations and orders, ordered by day.
 
-    ``newRegCount`` members registered that day; ``totalMemberCount``,
-    ``totalOrderCount`` and ``gmv`` count all members / orders / amounts up
-    to the end of that day.  Days without activity show zeros.
+    totalMemberCount / totalOrderCount are the day's highest ids; gmv = all
+    orders before the window + amounts of the listed days so far.  Members
+    before the window are not read.
+    """
+    daily = daily_activity(members, orders, members_since=days_before(as_of, days))
+    return growth_report_from_daily(daily, as_of=as_of, days=days)
+
+
+def growth_report_complete_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+    """:func:`growth_report_complete` from a :func:`daily_activity` summary.
+
+    The window's days are added as marker rows with zero activity; running
+    totals use a RANGE frame, so a marker row sees every row of its own day,
+    and only the marker rows are kept: every window day appears once, with
+    or without activity, and no second aggregate is needed.
     """
     start = days_before(as_of, days)
-    end = ts_lit(as_of)
-    spark = members.sparkSession
-    spine = spark.range(0, days, 1, numPartitions=1).select(
+    spark = daily.sparkSession
+    marks = spark.range(0, days, 1, numPartitions=1).select(
         F.date_add(date_lit(start), F.col("id").cast("int")).alias("d"),
-        _null_long().alias("member_id"),
-        F.lit(0).alias("is_member"),
-        _null_long().alias("order_id"),
+        F.lit(0).cast("bigint").alias("new_members"),
+        F.lit(0).cast("bigint").alias("orders"),
         _null_money().alias("amount"),
-        F.lit(0).alias("is_order"),
-    )
-    daily = (
-        _tagged_members(members, F.col("create_time") < end)
-        .unionByName(_tagged_orders(orders, F.col("create_time") < end))
-        .unionByName(spine)
-        .groupBy("d")
-        .agg(
-            F.count("member_id").alias("reg"),
-            F.count("order_id").alias("n_orders"),
-            F.sum("amount").alias("g"),
-        )
-        .filter(F.col("d").isNotNull())
+        F.lit(True).alias("mark"),
     )
-    running = daily.select(
-        "d",
-        "reg",
-        F.sum("reg").over(_running()).alias("members_so_far"),
-        F.sum("n_orders").over(_running()).alias("orders_so_far"),
-        F.sum(F.coalesce(F.col("g"), F.lit(0))).over(_running()).alias("gmv_so_far"),
+    rows = (
+        daily.filter(F.col("d") < date_lit(as_of))
+        .select("d", "new_members", "orders", "amount", F.lit(False).alias("mark"))
+        .unionByName(marks)
     )
+    so_far = Window.orderBy("d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    same_day = Window.orderBy("d").rangeBetween(Window.currentRow, Window.currentRow)
     return (
-        running.filter(F.col("d") >= date_lit(start))
+        rows.select(
+            "d",
+            "mark",
+            F.sum("new_members").over(same_day).alias("reg"),
+            F.sum("new_members").over(so_far).alias("members_so_far"),
+            F.sum("orders").over(so_far).alias("orders_so_far"),
+            F.sum(F.coalesce(F.col("amount"), F.lit(0))).over(so_far).alias("gmv_so_far"),
+        )
+        .filter(F.col("mark"))
         .orderBy("d")
         .select(
             day_label(F.col("d")).alias("day"),
-            F.col("reg").alias("newRegCount"),
+            F.col("reg").cast("bigint").alias("newRegCount"),
             F.col("members_so_far").cast("bigint").alias("totalMemberCount"),
             F.col("orders_so_far").cast("bigint").alias("totalOrderCount"),
             money_out(F.col("gmv_so_far")).alias("gmv"),
         )
     )
+
+
+def growth_report_complete(
+    members: DataFrame, orders: DataFrame, *, as_of, days: int = 7
+) -> DataFrame:
+    """The corrected report: every day in ``[as_of - days, as_of)``.
+
+    ``newRegCount`` members registered that day; ``totalMemberCount``,
+    ``totalOrderCount`` and ``gmv`` count all members / orders / amounts up
+    to the end of that day.  Days without activity show zeros.
+    """
+    daily = daily_activity(members, orders, until=as_of)
+    return growth_report_complete_from_daily(daily, as_of=as_of, days=days)
