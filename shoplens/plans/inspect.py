@@ -39,38 +39,66 @@ def has_python(df: DataFrame) -> bool:
 
 
 def _tree_lines(plan: str) -> list[tuple[int, str]]:
-    """(depth, text) of each operator line in a plan tree string."""
+    """(column, text) of each operator line in a plan tree string; the
+    column is where the operator name starts, so children sit deeper."""
     out = []
     for line in plan.splitlines():
-        m = re.match(r"^([\s:|]*)(\+- |:- )?([A-Z*(].*)$", line)
-        if not m:
+        m = re.match(r"^([\s:|]*)(\+- |:- )?(\*?\(?\d*\)?\s*)?([A-Z].*)$", line)
+        if not m or not (m.group(2) or not m.group(1)):
             continue
-        prefix = m.group(1) + (m.group(2) or "")
-        out.append((len(prefix), m.group(3).lstrip("* ")))
+        out.append((len(line) - len(m.group(4)), m.group(4)))
     return out
 
 
+def _children(lines: list[tuple[int, str]], i: int) -> list[int]:
+    depth = lines[i][0]
+    kids, child_depth = [], None
+    for j in range(i + 1, len(lines)):
+        d, text = lines[j]
+        if d <= depth:
+            break
+        if child_depth is None:
+            child_depth = d
+        if d == child_depth and not text.startswith(("Subquery", "ReusedSubquery")):
+            kids.append(j)
+    return kids
+
+
+_AGGREGATE = re.compile(r"(HashAggregate|ObjectHashAggregate|SortAggregate)")
+_PASS_THROUGH = re.compile(r"(Project|Filter) ")
+
+
+def _producers(lines, i) -> list[str]:
+    """Operators that produce node i's rows, looking through projections,
+    filters and unions."""
+    text = lines[i][1]
+    if _PASS_THROUGH.match(text) or text.startswith("Union"):
+        out = []
+        for k in _children(lines, i):
+            out.extend(_producers(lines, k))
+        return out
+    return [text]
+
+
 def shuffle_inputs(df: DataFrame) -> list[tuple[str, str]]:
-    """For each shuffle (hash, range or single-partition Exchange), the
-    operator that produces its rows, looking through projections and
-    filters: (exchange text, producer text)."""
+    """For each shuffle (hash, range or single-partition Exchange), each
+    operator producing its rows (through projections, filters and unions):
+    (exchange text, producer text)."""
     lines = _tree_lines(physical_plan(df))
     pairs = []
-    for i, (depth, text) in enumerate(lines):
+    for i, (_, text) in enumerate(lines):
         if re.match(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", text):
-            # look through projections and filters to the producing operator
-            child = next(
-                (t for d, t in lines[i + 1 :] if d > depth and not re.match(r"(Project|Filter) ", t)),
-                "",
-            )
-            pairs.append((text, child))
+            for k in _children(lines, i):
+                for producer in _producers(lines, k):
+                    pairs.append((text, producer))
     return pairs
 
 
 def unaggregated_shuffles(df: DataFrame) -> list[tuple[str, str]]:
-    """Shuffles whose input is not an aggregate, i.e. that move raw rows."""
+    """Shuffles fed by rows that are neither aggregated nor a bounded,
+    parameter-sized range (e.g. the days of a report window)."""
     return [
-        (ex, child)
-        for ex, child in shuffle_inputs(df)
-        if not re.match(r"(HashAggregate|ObjectHashAggregate|SortAggregate)", child)
+        (ex, producer)
+        for ex, producer in shuffle_inputs(df)
+        if not (_AGGREGATE.match(producer) or producer.startswith("Range ("))
     ]
