@@ -2,8 +2,14 @@
 
 from shoplens.streaming.reports import (
     daily_counts_stream,
+    search_hot_words_stream,
     search_word_counts_stream,
     start_stream,
 )
 
-__all__ = ["daily_counts_stream", "search_word_counts_stream", "start_stream"]
+__all__ = [
+    "daily_counts_stream",
+    "search_hot_words_stream",
+    "search_word_counts_stream",
+    "start_stream",
+]

@@ -4,7 +4,8 @@ A search log grows by appended text files; shop tables grow by appended
 Parquet files.  The operators below reuse the batch expressions unchanged:
 
 * ``search_word_counts_stream`` keeps one running count per word in the state
-  store (``update`` or ``complete`` output);
+  store (``update`` or ``complete`` output), ``search_hot_words_stream``
+  ranks them (``complete`` output);
 * ``daily_counts_stream`` counts rows per calendar day with an event-time
   watermark, so a day's count is emitted once, when the watermark passes the
   end of the day, and its state is then dropped (``append`` output).
@@ -35,6 +36,13 @@ def search_word_counts_stream(
     return search_word_counts(reader.load(log_dir), **options)
 
 
+def search_hot_words_stream(spark: SparkSession, log_dir: str, *, k: int = 10, **options) -> DataFrame:
+    """The ``k`` most frequent words so far (run with ``complete`` output:
+    each trigger re-ranks the running counts held in the state store)."""
+    counts = search_word_counts_stream(spark, log_dir, **options)
+    return counts.orderBy(F.col("cnt").desc(), F.col("word").asc()).limit(k)
+
+
 def daily_counts_stream(
     rows: DataFrame,
     *,

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from shoplens import operators as op
 from shoplens.schemas import COUPON_MEMBER
 from shoplens.sources import canonical as src
-from shoplens.streaming import daily_counts_stream, search_word_counts_stream, start_stream
+from shoplens.streaming import (
+    daily_counts_stream,
+    search_hot_words_stream,
+    search_word_counts_stream,
+    start_stream,
+)
 from shoplens.streaming.reports import parquet_stream
 from tests.conftest import SF_SMALL
 
@@ -42,6 +47,17 @@ def test_word_counts_stream_equals_batch(spark):
     want = sorted(tuple(r) for r in op.search_word_counts(log).collect())
     assert got == want
 
+    top_name = _name("hot")
+    top = start_stream(
+        search_hot_words_stream(spark, folder, k=10), top_name, sink="memory", output_mode="complete"
+    )
+    try:
+        top.processAllAvailable()
+        got_top = [tuple(r) for r in spark.table(top_name).collect()]
+    finally:
+        top.stop()
+    assert got_top == [tuple(r) for r in op.search_hot_words(log, k=10).collect()]
+
 
 def test_daily_coupon_stream_finalises_days(spark):
     coupons = src.coupon_members(spark, SF_SMALL)
