@@ -51,9 +51,20 @@ SEARCH_LOG = T.StructType([T.StructField("value", T.StringType())])
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select the schema's columns by name, cast to the declared types."""
+    """Select the schema's columns by name, in the declared types.
+
+    A column already of its declared type is passed through; any other is
+    converted with ``try_cast`` (e.g. a text ``create_time``), so a malformed
+    value becomes NULL instead of failing a job over the whole table.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        *[
+            (F.col(f.name) if have.get(f.name) == f.dataType else F.col(f.name).try_cast(f.dataType)).alias(
+                f.name
+            )
+            for f in schema.fields
+        ]
     )
 
 

@@ -34,3 +34,18 @@ def test_jobs_round_trip(spark, capsys):
     assert jobs.main(["member", "--parquet", base, "--show"]) == 0
     printed = capsys.readouterr().out.strip().splitlines()
     assert len(printed) == 1 and '"memberHeat"' in printed[0]
+
+
+def test_conform_converts_text_columns(spark):
+    from shoplens.schemas import MEMBER, conform
+
+    raw = spark.createDataFrame(
+        [("1", "1", "2", "x", "138", "2019-11-30 10:00:00"), ("2", "0", "1", "null", "null", "junk")],
+        "id string, sex string, member_channel string, mp_open_id string, phone string, create_time string",
+    )
+    got = conform(raw, MEMBER).orderBy("id").collect()
+    assert [(f.name, f.dataType) for f in conform(raw, MEMBER).schema.fields] == [
+        (f.name, f.dataType) for f in MEMBER.fields
+    ]
+    assert got[0]["create_time"].isoformat() == "2019-11-30T10:00:00"
+    assert got[1]["create_time"] is None
