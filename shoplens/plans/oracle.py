@@ -243,20 +243,24 @@ def oracle_queries() -> dict[str, str]:
         f"select word, count(*) as cnt from ({words}) t where word != '' group by word\n"
         "order by cnt desc, word limit 10"
     )
+    # timestamps leave as TIMESTAMP_NS: same values, and the same pandas
+    # dtype (datetime64[ns]) as Spark's toPandas()
     q["date_standardise"] = _with(_t_dates(), f"s as ({_standardised_sql()})") + (
-        "select event_id, ds, ts, case when ts is null then null else style end as style,\n"
+        "select event_id, ds, cast(ts as timestamp_ns) as ts,\n"
+        "       case when ts is null then null else style end as style,\n"
         "       strftime(ts, '%Y-%m-%d %H:%M:%S') as ds_std from s"
     )
     q["date_quality"] = _with(_t_dates(), f"s as ({_standardised_sql()})") + (
         "select case when ts is null then 'rejected' else style end as style, count(*) as n\n"
         "from s group by 1"
     )
-    q["calendar_enrich"] = f"""select event_id, ts, year(ts) as y, month(ts) as m, day(ts) as d,
+    q["calendar_enrich"] = f"""select event_id, cast(ts as timestamp_ns) as ts, year(ts) as y, month(ts) as m, day(ts) as d,
        hour(ts) as h, minute(ts) as mi, cast(second(ts) as bigint) as s,
        dayname(ts) as weekday, isodow(ts) as weekday_no,
        {_weekday_list(1)}[isodow(ts)] as weekday_cn,
        {_weekday_list(2)}[isodow(ts)] as weekday_short,
-       ts + interval 1 month as next_month, ts - interval 7 day as week_before,
+       cast(ts + interval 1 month as timestamp_ns) as next_month,
+       cast(ts - interval 7 day as timestamp_ns) as week_before,
        abs(date_diff('day', ts, date '{CALENDAR_REFERENCE:%Y-%m-%d}')) as days_to
 from events"""
     return q
