@@ -66,3 +66,22 @@ def compare(df: DataFrame, con, sql: str) -> tuple[bool, str]:
             f"only spark {only_s}; only duckdb {only_d}"
         )
     return True, f"{sum(s_rows.values())} rows equal"
+
+
+def compare_frames(df: DataFrame, con, sql: str) -> tuple[bool, str]:
+    """Stricter form: both results as pandas frames (columns sorted by name,
+    rows sorted) must be equal including dtypes."""
+    import pandas as pd
+
+    s = df.toPandas()
+    d = con.sql(sql).df()
+    s, d = s[sorted(s.columns)], d[sorted(d.columns)]
+    if list(s.columns) != list(d.columns):
+        return False, f"columns differ: {list(s.columns)} vs {list(d.columns)}"
+    s = s.sort_values(list(s.columns)).reset_index(drop=True)
+    d = d.sort_values(list(d.columns)).reset_index(drop=True)
+    try:
+        pd.testing.assert_frame_equal(s, d, check_dtype=True)
+    except AssertionError as exc:
+        return False, str(exc)[:500]
+    return True, f"{len(s)} rows equal"

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from shoplens.plans.compare import compare, duckdb_connection
+from shoplens.plans.compare import compare, compare_frames, duckdb_connection
 from tests.conftest import SF_ORACLE
 
 ORACLE = entry_mod.oracle_sql()
@@ -27,6 +27,12 @@ def test_query_matches_oracle(spark, con, name):
     assert ok, msg
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_pandas_frames_equal_with_dtypes(spark, con, name):
+    ok, msg = compare_frames(QUERIES[name](spark, SF_ORACLE), con, ORACLE[name])
+    assert ok, msg
+
+
 def test_entry_runs_on_smoke_data(spark):
     df = entry_mod.entry(spark)
     assert df.columns == ["day", "newRegCount", "totalMemberCount", "totalOrderCount", "gmv"]
