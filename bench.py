@@ -47,23 +47,29 @@ def main() -> None:
     jobs: dict[str, int] = {}
     shuffles: dict[str, int] = {}
     scans: dict[str, int] = {}
+    failed: dict[str, str] = {}
     for name in names:
         build = QUERIES[name]
-        probe = build(spark, sf_dir)
-        shuffles[name] = plan_facts.exchanges(probe)
-        # identical scans (a reused subquery printed at each use) count once
-        scans[name] = len({tuple(sorted(x.items())) for x in plan_facts.scans(probe)})
-        samples = []
-        for i in range(runs + 1):
-            group = f"bench-{name}-{i}"
-            sc.setJobGroup(group, name)
-            t0 = time.perf_counter()
-            build(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            elapsed = time.perf_counter() - t0
-            if i == 0:
-                jobs[name] = len(tracker.getJobIdsForGroup(group))
-            else:
-                samples.append(elapsed)
+        try:
+            probe = build(spark, sf_dir)
+            shuffles[name] = plan_facts.exchanges(probe)
+            # identical scans (a reused subquery printed at each use) count once
+            scans[name] = len({tuple(sorted(x.items())) for x in plan_facts.scans(probe)})
+            samples = []
+            for i in range(runs + 1):
+                group = f"bench-{name}-{i}"
+                sc.setJobGroup(group, name)
+                t0 = time.perf_counter()
+                build(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                elapsed = time.perf_counter() - t0
+                if i == 0:
+                    jobs[name] = len(tracker.getJobIdsForGroup(group))
+                else:
+                    samples.append(elapsed)
+        except Exception as exc:  # record and go on: one failure must not hide the rest
+            failed[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            print(f"{name:30s} FAILED {failed[name]}", file=sys.stderr, flush=True)
+            continue
         timings[name] = round(statistics.median(samples), 4)
         print(
             f"{name:30s} {timings[name]:.3f}s jobs={jobs[name]} "
@@ -80,6 +86,7 @@ def main() -> None:
         "unit": "sec",
         "queries": timings,
         "headline_sec": round(sum(timings[q] for q in headline), 4),
+        "failed": failed,
         "spark_jobs": jobs,
         "shuffles": shuffles,
         "parquet_scans": scans,
