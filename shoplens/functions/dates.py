@@ -5,10 +5,9 @@ A string is matched to a style by its *shape*: every ASCII digit is mapped to
 letter is mapped to ``d`` the same way.  All styles have fixed-width fields,
 so the shape picks at most one style and the field positions within the
 string.  The fields are then validated and assembled by
-``try_make_timestamp_ntz``: one CASE, one construction per row, no exception
-per failed pattern, and no dependence on the session time zone.  The CASE
-expressions are generated as Spark SQL expression text from the style table
-(one ``expr`` per column instead of hundreds of Column calls).
+``try_make_timestamp_ntz``: one lookup of the style, one construction per
+row, no exception per failed pattern, and no dependence on the session time
+zone.
 """
 
 from __future__ import annotations
@@ -79,55 +78,52 @@ def text_shape(text: Column) -> Column:
     return F.translate(text, _DIGITS, "d" * len(_DIGITS))
 
 
-def _sql_field(text: str, pattern: str, token: str, default: int) -> str:
-    pos = pattern.find(token)
-    if pos < 0:
-        return str(default)
-    # try_cast guards against a literal 'd' in the input, which has the
-    # same shape as a digit
-    return f"try_cast(substring({text}, {pos + 1}, {len(token)}) AS INT)"
+def parse_in_style(text_col: str, pattern: str) -> Column:
+    """TIMESTAMP_NTZ of column ``text_col`` read strictly in one pattern:
+    NULL for text of another shape or with impossible values (month 13,
+    30 February, 24:00, second 60)."""
+    shape = text_shape(F.col(text_col))
+    parsed = parse_by_index(text_col, F.lit(0), styles=(("", pattern),))
+    return F.when(shape == F.lit(pattern_shape(pattern)), parsed)
 
 
-def _sql_parse(text: str, pattern: str) -> str:
-    y, mo, d, h, mi, s = (_sql_field(text, pattern, tok, dflt) for tok, dflt in _FIELDS)
-    made = f"try_make_timestamp_ntz({y}, {mo}, {d}, {h}, {mi}, {s})"
-    # make_timestamp rolls second 60 into the next minute; a strict parse
-    # rejects it
-    return f"CASE WHEN {s} < 60 THEN {made} END" if "ss" in pattern else made
-
-
-def _quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _sql_string(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
+def style_index(shape_col: str, styles=DATE_STYLES) -> Column:
+    """Position (0-based) of the style whose shape equals column
+    ``shape_col`` (a :func:`text_shape` result, computed once), or NULL:
+    one lookup in a literal map from shape to style number."""
+    pairs = []
+    for i, (_, pattern) in enumerate(styles):
+        pairs += [F.lit(pattern_shape(pattern)), F.lit(i)]
+    return F.try_element_at(F.create_map(*pairs), F.col(shape_col))
 
-def parse_in_style(text: Column | str, pattern: str) -> Column:
-    """TIMESTAMP_NTZ from a string (column name) known to have ``pattern``'s
-    shape.  NULL for impossible values (month 13, 30 February, 24:00,
-    second 60)."""
-    return F.expr(_sql_parse(_quote(text), pattern))
 
+def _positions(token: str, styles) -> list[int]:
+    """1-based position of ``token`` in each style's pattern, 0 if absent."""
+    return [pattern.find(token) + 1 for _, pattern in styles]
 
-def style_index(shape_col: str, styles=DATE_STYLES) -> Column:
-    """Position (0-based) of the style whose shape equals column
-    ``shape_col`` (a :func:`text_shape` result, computed once), or NULL."""
-    arms = " ".join(
-        f"WHEN {_sql_string(pattern_shape(p))} THEN {i}" for i, (_, p) in enumerate(styles)
-    )
-    return F.expr(f"CASE {_quote(shape_col)} {arms} END")
 
+def parse_by_index(text_col: str, index_col: str | Column, styles=DATE_STYLES) -> Column:
+    """TIMESTAMP_NTZ of column ``text_col`` read in style number ``index_col``.
 
-def parse_by_index(text_col: str, index_col: str, styles=DATE_STYLES) -> Column:
-    """TIMESTAMP_NTZ of column ``text_col`` read in style number
-    ``index_col``: only the one matching arm is evaluated."""
-    text = _quote(text_col)
-    arms = " ".join(
-        f"WHEN {i} THEN {_sql_parse(text, p)}" for i, (_, p) in enumerate(styles)
-    )
-    return F.expr(f"CASE {_quote(index_col)} {arms} END")
+    Every style has fixed-width fields, so one parse serves all of them: the
+    position of each field for the row's style comes from a literal array
+    indexed by the style number (0 = the field is absent and takes its
+    default).  One small expression instead of one arm per style keeps the
+    generated code small enough for the JIT.
+    """
+    text = F.col(text_col)
+    index = F.col(index_col) if isinstance(index_col, str) else index_col
+    fields = []
+    for token, default in _FIELDS:
+        # get() is 0-based and NULL for a NULL index; element_at(array, NULL)
+        # is not NULL under whole-stage codegen in Spark 4.1
+        pos = F.get(F.array(*[F.lit(p) for p in _positions(token, styles)]), index)
+        value = F.substring(text, pos, F.lit(len(token))).try_cast("int")
+        fields.append(F.when(pos == 0, F.lit(default)).otherwise(value))
+    y, mo, d, h, mi, s = fields
+    # make_timestamp rolls second 60 into the next minute; a strict parse
+    # rejects it
+    return F.when(s < 60, F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
 
 
 def render_by_index(ts: Column, index_col: str, styles=DATE_STYLES) -> Column:
@@ -151,7 +147,7 @@ def select_styles(names=None) -> tuple[tuple[str, str], ...]:
 
 
 def style_name(index: Column, styles=DATE_STYLES) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name, _ in styles]), index + 1)
+    return F.get(F.array(*[F.lit(name) for name, _ in styles]), index)
 
 
 def render(ts: Column, style: str) -> Column:
@@ -166,7 +162,7 @@ def weekday_number(ts: Column) -> Column:
 
 def _weekday_lookup(number: Column, field: int) -> Column:
     names = F.array(*[F.lit(w[field]) for w in WEEKDAYS])
-    return F.element_at(names, number)
+    return F.get(names, number - 1)
 
 
 def weekday_name(number: Column) -> Column:

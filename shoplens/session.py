@@ -23,6 +23,11 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.ansi.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
+    # whole-stage method above that runs interpreted.  With the limit at
+    # 8000 Spark falls back to per-operator code for such plans, whose
+    # expressions are split into small, compiled methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -220,3 +220,20 @@ def test_known_style_renders_and_same_style_shifts(spark):
     only = op.date_standardise(df, "ds", styles=["MM_DD"], target_style=None).orderBy("event_id")
     assert [r["style"] for r in only.collect()] == [None, None, None, "MM_DD"]
     assert rows(op.date_quality(df, styles=["MM_DD"]), ["style"]) == [("MM_DD", 1), ("rejected", 3)]
+
+
+def test_parse_in_one_known_style(spark):
+    from shoplens.functions.dates import parse_in_style
+
+    df = spark.createDataFrame([("2019年11月30日",), ("2019-11-30",), ("2019年02月30日",)], "ds string")
+    got = [r[0] for r in df.select(parse_in_style("ds", "yyyy年MM月dd日")).collect()]
+    assert got == [dt.datetime(2019, 11, 30), None, None]
+
+
+def test_null_timestamps_get_null_calendar_parts(spark):
+    df = spark.createDataFrame([(None,), (dt.datetime(2024, 1, 1),)], "ts timestamp_ntz")
+    got = op.calendar_enrich(df, reference_date="2024-01-01").orderBy("ts").collect()
+    assert (got[0]["weekday"], got[0]["weekday_cn"], got[0]["weekday_short"], got[0]["weekday_no"]) == (
+        None, None, None, None,
+    )
+    assert got[1]["weekday"] == "Monday"
