@@ -1,5 +1,6 @@
 """Report operators: DataFrames in, DataFrame out, built-in expressions only."""
 
+from shoplens.operators.activity import member_activity
 from shoplens.operators.coupons import marketing_free_coupons, marketing_paid_coupons
 from shoplens.operators.dates import calendar_enrich, date_quality, date_standardise
 from shoplens.operators.funnel import (
@@ -51,6 +52,7 @@ __all__ = [
     "marketing_paid_coupons",
     "member_channel_distribution",
     "member_heat",
+    "member_activity",
     "member_overview",
     "member_sex_distribution",
     "merge_daily",
