@@ -1,6 +1,6 @@
 """Daily growth: registrations, orders and the running transaction total.
 
-The parity report keeps the reference's shape: per window day, new members
+The parity report keeps the original report's shape: per window day, new members
 and the day's highest member id, the day's highest order id, and the total
 amount so far; only days with both registrations and orders appear, and a
 day's amount counts in later totals only if the day appears.
@@ -28,7 +28,6 @@ from shoplens.functions.timewin import (
 )
 
 
-
 def _null_long() -> Column:
     return F.lit(None).cast("bigint")
 
