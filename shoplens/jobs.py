@@ -20,7 +20,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens import operators as op
-from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER
+from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
 from shoplens.session import build_session
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
 from shoplens.sources.sinks import to_json_lines, write_report
@@ -31,7 +31,9 @@ TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER
 def _table(spark: SparkSession, args, name: str) -> DataFrame:
     if args.catalog:
         return read_catalog_table(spark, f"{args.catalog}.{name}", TABLES[name])
-    return read_parquet_table(spark, args.parquet, name, TABLES[name])
+    # read by the files' own schema, then narrow: stored types may differ
+    # (e.g. TIMESTAMP rather than TIMESTAMP_NTZ)
+    return conform(read_parquet_table(spark, args.parquet, name), TABLES[name])
 
 
 def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:

@@ -49,3 +49,19 @@ def test_conform_converts_text_columns(spark):
     ]
     assert got[0]["create_time"].isoformat() == "2019-11-30T10:00:00"
     assert got[1]["create_time"] is None
+
+
+def test_jobs_accept_ltz_timestamps(spark):
+    from pyspark.sql import functions as F
+
+    base = tempfile.mkdtemp(prefix="shoplens-jobs-ltz-")
+    o = src.orders(spark, SF_SMALL).withColumn("create_time", F.col("create_time").cast("timestamp"))
+    c = src.coupon_members(spark, SF_SMALL).withColumn("create_time", F.col("create_time").cast("timestamp"))
+    o.write.parquet(os.path.join(base, "t_order.parquet"))
+    c.write.parquet(os.path.join(base, "t_coupon_member.parquet"))
+    out = os.path.join(base, "out")
+    assert jobs.main(["conversion", "--parquet", base, "--out", out]) == 0
+    want = op.funnel_summary(src.orders(spark, SF_SMALL), src.coupon_members(spark, SF_SMALL))
+    assert [tuple(r) for r in spark.read.parquet(os.path.join(out, "funnel")).collect()] == [
+        tuple(r) for r in want.collect()
+    ]
