@@ -29,7 +29,12 @@ from shoplens.operators.members import (
     member_subscription_split,
 )
 from shoplens.operators.search import search_hot_words, search_word_counts, search_words
-from shoplens.operators.weekly import wow_daily_orders, wow_daily_registrations
+from shoplens.operators.weekly import (
+    wow_daily_orders,
+    wow_daily_orders_from_daily,
+    wow_daily_registrations,
+    wow_daily_registrations_from_daily,
+)
 
 __all__ = [
     "calendar_enrich",
@@ -61,5 +66,7 @@ __all__ = [
     "search_word_counts",
     "search_words",
     "wow_daily_orders",
+    "wow_daily_orders_from_daily",
     "wow_daily_registrations",
+    "wow_daily_registrations_from_daily",
 ]

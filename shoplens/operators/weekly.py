@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.timewin import day_key, day_label, days_before, ts_lit
+from shoplens.functions.timewin import date_lit, day_key, day_label, days_before, ts_lit
 
 
 def _daily_count(df: DataFrame, key: str, out: str, as_of, days: int) -> DataFrame:
@@ -31,3 +31,22 @@ def wow_daily_registrations(members: DataFrame, *, as_of, days: int = 14) -> Dat
 def wow_daily_orders(orders: DataFrame, *, as_of, days: int = 14) -> DataFrame:
     """Orders placed per day: ``day, orderCount``, ordered by day."""
     return _daily_count(orders, "order_id", "orderCount", as_of, days)
+
+
+def _from_daily(daily: DataFrame, rows: str, count: str, out: str, as_of, days: int) -> DataFrame:
+    d = F.col("d")
+    return (
+        daily.filter((d >= date_lit(days_before(as_of, days))) & (d < date_lit(as_of)) & (F.col(rows) > 0))
+        .orderBy("d")
+        .select(day_label(d).alias("day"), F.col(count).alias(out))
+    )
+
+
+def wow_daily_registrations_from_daily(daily: DataFrame, *, as_of, days: int = 14) -> DataFrame:
+    """:func:`wow_daily_registrations` from a ``daily_activity`` summary."""
+    return _from_daily(daily, "member_rows", "new_members", "regCount", as_of, days)
+
+
+def wow_daily_orders_from_daily(daily: DataFrame, *, as_of, days: int = 14) -> DataFrame:
+    """:func:`wow_daily_orders` from a ``daily_activity`` summary."""
+    return _from_daily(daily, "order_rows", "orders", "orderCount", as_of, days)

@@ -34,5 +34,11 @@ def test_merged_stored_summary_gives_the_same_reports(spark):
     assert _sorted(op.growth_report_complete_from_daily(stored, as_of=AS_OF)) == _sorted(
         op.growth_report_complete(m, o, as_of=AS_OF)
     )
+    assert _sorted(op.wow_daily_registrations_from_daily(stored, as_of=AS_OF)) == _sorted(
+        op.wow_daily_registrations(m, as_of=AS_OF)
+    )
+    assert _sorted(op.wow_daily_orders_from_daily(stored, as_of=AS_OF)) == _sorted(
+        op.wow_daily_orders(o, as_of=AS_OF)
+    )
     # the merged summary equals the summary built in one pass
     assert _sorted(stored.select(*op.daily_activity(m, o).columns)) == _sorted(op.daily_activity(m, o))
