@@ -84,3 +84,34 @@ def test_daily_coupon_stream_finalises_days(spark):
     # every day the watermark has closed is final and equals the batch count
     assert got
     assert all(want[day] == n for day, n in got.items())
+
+
+def test_daily_stream_counts_late_rows_inside_the_watermark_only(spark):
+    def t(day, hour):
+        return dt.datetime(2024, 1, day, hour)
+
+    folder = tempfile.mkdtemp(prefix="shoplens-late-")
+
+    def drop_batch(i, rows):
+        spark.createDataFrame(rows, COUPON_MEMBER).coalesce(1).write.parquet(os.path.join(folder, f"b{i}"))
+
+    # batch 0: days 1-3; event time reaches 3 Jan 12:00 -> watermark 2 Jan 12:00
+    drop_batch(0, [(1, 2, 1, t(1, 9)), (2, 2, 1, t(1, 10)), (3, 2, 1, t(2, 9)), (4, 2, 1, t(3, 12))])
+    stream = spark.readStream.schema(COUPON_MEMBER).option("recursiveFileLookup", "true").parquet(folder)
+    name = _name("late")
+    query = start_stream(
+        daily_counts_stream(stream, count_col="member_id", out="n"), name, sink="memory", output_mode="append"
+    )
+    try:
+        query.processAllAvailable()
+        # batch 1: a row for 1 Jan (its day closed: dropped), one for 2 Jan
+        # 18:00 (still after the watermark: counted), and 6 Jan to move time on
+        drop_batch(1, [(5, 2, 1, t(1, 11)), (6, 2, 1, t(2, 18)), (7, 2, 1, t(6, 9))])
+        query.processAllAvailable()
+        query.processAllAvailable()
+        got = dict(tuple(r) for r in spark.table(name).collect())
+    finally:
+        query.stop()
+    assert got["2024-01-01"] == 2  # the late 1 Jan row was dropped
+    assert got["2024-01-02"] == 2  # the 2 Jan row within the watermark counted
+    assert "2024-01-06" not in got  # still open
