@@ -65,3 +65,15 @@ def test_jobs_accept_ltz_timestamps(spark):
     assert [tuple(r) for r in spark.read.parquet(os.path.join(out, "funnel")).collect()] == [
         tuple(r) for r in want.collect()
     ]
+
+
+def test_jobs_read_catalog_tables(spark, capsys):
+    src.members(spark, SF_SMALL).createOrReplaceGlobalTempView("t_member")
+    src.orders(spark, SF_SMALL).createOrReplaceGlobalTempView("t_order")
+    src.coupon_members(spark, SF_SMALL).createOrReplaceGlobalTempView("t_coupon_member")
+    capsys.readouterr()
+    assert jobs.main(["wow", "--catalog", "global_temp", "--as-of", "2001-07-25", "--show"]) == 0
+    printed = capsys.readouterr().out.strip().splitlines()
+    want = op.wow_daily_registrations(src.members(spark, SF_SMALL), as_of="2001-07-25").count()
+    want += op.wow_daily_orders(src.orders(spark, SF_SMALL), as_of="2001-07-25").count()
+    assert len(printed) == want and all(line.startswith('{"day":') for line in printed)
