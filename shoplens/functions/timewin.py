@@ -66,3 +66,37 @@ def money(amount: Column) -> Column:
 def money_out(total: Column) -> Column:
     """A money total rounded to cents and returned as DOUBLE."""
     return F.round(total, 2).cast("double")
+
+
+def time_window(
+    lower=None,
+    upper=None,
+    *,
+    lower_inclusive: bool = True,
+    partition_day: str | None = None,
+    time_col: str = "create_time",
+) -> Column:
+    """``lower <= time_col < upper`` (strict lower bound when
+    ``lower_inclusive`` is False); either bound may be omitted.
+
+    With ``partition_day`` (the day column a table is partitioned by, e.g.
+    ``dt``) the same bounds are also put on that column, whole days
+    included, so Spark skips the partitions outside the window; the exact
+    bounds on ``time_col`` still decide every row.
+    """
+    t = F.col(time_col)
+    conds = []
+    if lower is not None:
+        conds.append(t >= ts_lit(lower) if lower_inclusive else t > ts_lit(lower))
+        if partition_day:
+            conds.append(F.col(partition_day) >= date_lit(lower))
+    if upper is not None:
+        conds.append(t < ts_lit(upper))
+        if partition_day:
+            conds.append(F.col(partition_day) <= date_lit(upper))
+    if not conds:
+        return F.lit(True)
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond & c
+    return cond

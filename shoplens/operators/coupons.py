@@ -10,17 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.timewin import day_key, day_label, days_before, ts_lit
+from shoplens.functions.timewin import day_key, day_label, days_before, time_window
 
 FREE_COUPON_ID = 1
 CHANNEL_BOUGHT = 1
 CHANNEL_HANDED_OUT = 2
 
 
-def _since(as_of, days: int, inclusive: bool) -> Column:
-    start = ts_lit(days_before(as_of, days))
-    t = F.col("create_time")
-    return t >= start if inclusive else t > start
+def _since(as_of, days: int, inclusive: bool, partition_day: str | None) -> Column:
+    return time_window(
+        days_before(as_of, days), lower_inclusive=inclusive, partition_day=partition_day
+    )
 
 
 def _per_day(coupons: DataFrame, cond: Column, out: str) -> DataFrame:
@@ -34,20 +34,30 @@ def _per_day(coupons: DataFrame, cond: Column, out: str) -> DataFrame:
 
 
 def marketing_free_coupons(
-    coupons: DataFrame, *, as_of, days: int = 7, inclusive: bool = False
+    coupons: DataFrame,
+    *,
+    as_of,
+    days: int = 7,
+    inclusive: bool = False,
+    partition_day: str | None = None,
 ) -> DataFrame:
     """Free coupons handed out per day: ``day, freeCount``."""
     cond = (
         (F.col("coupon_id") == FREE_COUPON_ID)
         & (F.col("coupon_channel") == CHANNEL_HANDED_OUT)
-        & _since(as_of, days, inclusive)
+        & _since(as_of, days, inclusive, partition_day)
     )
     return _per_day(coupons, cond, "freeCount")
 
 
 def marketing_paid_coupons(
-    coupons: DataFrame, *, as_of, days: int = 7, inclusive: bool = False
+    coupons: DataFrame,
+    *,
+    as_of,
+    days: int = 7,
+    inclusive: bool = False,
+    partition_day: str | None = None,
 ) -> DataFrame:
     """Other (paid) coupons obtained per day: ``day, couponCount``."""
-    cond = (F.col("coupon_id") != FREE_COUPON_ID) & _since(as_of, days, inclusive)
+    cond = (F.col("coupon_id") != FREE_COUPON_ID) & _since(as_of, days, inclusive, partition_day)
     return _per_day(coupons, cond, "couponCount")

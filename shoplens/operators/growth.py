@@ -24,7 +24,7 @@ from shoplens.functions.timewin import (
     days_before,
     money,
     money_out,
-    ts_lit,
+    time_window,
 )
 
 
@@ -42,7 +42,9 @@ def _running():
     return Window.orderBy("d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def growth_daily_registrations(members: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+def growth_daily_registrations(
+    members: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+) -> DataFrame:
     """Per day from ``as_of - days`` on: ``day, newRegCount, totalMemberCount``.
 
     totalMemberCount is the day's highest member id, which equals the member
@@ -50,18 +52,20 @@ def growth_daily_registrations(members: DataFrame, *, as_of, days: int = 7) -> D
     """
     start = days_before(as_of, days)
     return (
-        members.filter(F.col("create_time") >= ts_lit(start))
+        members.filter(time_window(start, partition_day=partition_day))
         .groupBy(day_key(F.col("create_time")).alias("d"))
         .agg(F.count("id").alias("newRegCount"), F.max("id").alias("totalMemberCount"))
         .select(day_label(F.col("d")).alias("day"), "newRegCount", "totalMemberCount")
     )
 
 
-def growth_daily_orders(orders: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+def growth_daily_orders(
+    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+) -> DataFrame:
     """Per day from ``as_of - days`` on: ``day, totalOrderCount, gmv``."""
     start = days_before(as_of, days)
     return (
-        orders.filter(F.col("create_time") >= ts_lit(start))
+        orders.filter(time_window(start, partition_day=partition_day))
         .groupBy(day_key(F.col("create_time")).alias("d"))
         .agg(
             F.max("order_id").alias("totalOrderCount"),
@@ -71,11 +75,13 @@ def growth_daily_orders(orders: DataFrame, *, as_of, days: int = 7) -> DataFrame
     )
 
 
-def growth_prior_gmv(orders: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+def growth_prior_gmv(
+    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+) -> DataFrame:
     """One row: ``totalGmv``, the amount of all orders before the window
     (NULL when there are none)."""
     start = days_before(as_of, days)
-    return orders.filter(F.col("create_time") < ts_lit(start)).agg(
+    return orders.filter(time_window(upper=start, partition_day=partition_day)).agg(
         money_out(F.sum(money(F.col("origin_price")))).alias("totalGmv")
     )
 
@@ -120,7 +126,12 @@ _MERGE = {
 
 
 def daily_activity(
-    members: DataFrame, orders: DataFrame, *, members_since=None, until=None
+    members: DataFrame,
+    orders: DataFrame,
+    *,
+    members_since=None,
+    until=None,
+    partition_day: str | None = None,
 ) -> DataFrame:
     """Per-day summary of both tables, one row per calendar day ``d`` with any
     member or order row: ``member_rows, new_members (non-NULL ids),
@@ -130,16 +141,11 @@ def daily_activity(
     first).  At scale, write it once partitioned by ``d``, add each new day
     with :func:`merge_daily`, and run the growth reports from it: a few
     thousand rows instead of the whole history.  ``members_since`` and
-    ``until`` bound the rows read (both push into the scans).
+    ``until`` bound the rows read (both push into the scans; with
+    ``partition_day`` they also prune day partitions).
     """
-    m_cond = None
-    o_cond = None
-    if members_since is not None:
-        m_cond = F.col("create_time") >= ts_lit(members_since)
-    if until is not None:
-        upper = F.col("create_time") < ts_lit(until)
-        m_cond = upper if m_cond is None else m_cond & upper
-        o_cond = upper
+    m_cond = time_window(members_since, until, partition_day=partition_day)
+    o_cond = time_window(upper=until, partition_day=partition_day)
     return (
         _tagged_members(members, m_cond)
         .unionByName(_tagged_orders(orders, o_cond))
@@ -186,7 +192,14 @@ def growth_report_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataF
     )
 
 
-def growth_report(members: DataFrame, orders: DataFrame, *, as_of, days: int = 7) -> DataFrame:
+def growth_report(
+    members: DataFrame,
+    orders: DataFrame,
+    *,
+    as_of,
+    days: int = 7,
+    partition_day: str | None = None,
+) -> DataFrame:
     """``day, newRegCount, totalMemberCount, totalOrderCount, gmv`` for window
     days with both registrations and orders, ordered by day.
 
@@ -194,7 +207,9 @@ def growth_report(members: DataFrame, orders: DataFrame, *, as_of, days: int = 7
     orders before the window + amounts of the listed days so far.  Members
     before the window are not read.
     """
-    daily = daily_activity(members, orders, members_since=days_before(as_of, days))
+    daily = daily_activity(
+        members, orders, members_since=days_before(as_of, days), partition_day=partition_day
+    )
     return growth_report_from_daily(daily, as_of=as_of, days=days)
 
 
@@ -244,7 +259,12 @@ def growth_report_complete_from_daily(daily: DataFrame, *, as_of, days: int = 7)
 
 
 def growth_report_complete(
-    members: DataFrame, orders: DataFrame, *, as_of, days: int = 7
+    members: DataFrame,
+    orders: DataFrame,
+    *,
+    as_of,
+    days: int = 7,
+    partition_day: str | None = None,
 ) -> DataFrame:
     """The corrected report: every day in ``[as_of - days, as_of)``.
 
@@ -252,5 +272,5 @@ def growth_report_complete(
     ``totalOrderCount`` and ``gmv`` count all members / orders / amounts up
     to the end of that day.  Days without activity show zeros.
     """
-    daily = daily_activity(members, orders, until=as_of)
+    daily = daily_activity(members, orders, until=as_of, partition_day=partition_day)
     return growth_report_complete_from_daily(daily, as_of=as_of, days=days)

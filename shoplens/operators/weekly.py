@@ -9,13 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.timewin import date_lit, day_key, day_label, days_before, ts_lit
+from shoplens.functions.timewin import date_lit, day_key, day_label, days_before, time_window
 
 
-def _daily_count(df: DataFrame, key: str, out: str, as_of, days: int) -> DataFrame:
+def _daily_count(
+    df: DataFrame, key: str, out: str, as_of, days: int, partition_day: str | None
+) -> DataFrame:
     t = F.col("create_time")
     return (
-        df.filter((t >= ts_lit(days_before(as_of, days))) & (t < ts_lit(as_of)))
+        df.filter(time_window(days_before(as_of, days), as_of, partition_day=partition_day))
         .groupBy(day_key(t).alias("d"))
         .agg(F.count(key).alias(out))
         .orderBy("d")
@@ -23,14 +25,18 @@ def _daily_count(df: DataFrame, key: str, out: str, as_of, days: int) -> DataFra
     )
 
 
-def wow_daily_registrations(members: DataFrame, *, as_of, days: int = 14) -> DataFrame:
+def wow_daily_registrations(
+    members: DataFrame, *, as_of, days: int = 14, partition_day: str | None = None
+) -> DataFrame:
     """Members registered per day: ``day, regCount``, ordered by day."""
-    return _daily_count(members, "id", "regCount", as_of, days)
+    return _daily_count(members, "id", "regCount", as_of, days, partition_day)
 
 
-def wow_daily_orders(orders: DataFrame, *, as_of, days: int = 14) -> DataFrame:
+def wow_daily_orders(
+    orders: DataFrame, *, as_of, days: int = 14, partition_day: str | None = None
+) -> DataFrame:
     """Orders placed per day: ``day, orderCount``, ordered by day."""
-    return _daily_count(orders, "order_id", "orderCount", as_of, days)
+    return _daily_count(orders, "order_id", "orderCount", as_of, days, partition_day)
 
 
 def _from_daily(daily: DataFrame, rows: str, count: str, out: str, as_of, days: int) -> DataFrame:
