@@ -18,6 +18,7 @@ import datetime as dt
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from shoplens import operators as op
 from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
@@ -29,11 +30,14 @@ TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER
 
 
 def _table(spark: SparkSession, args, name: str) -> DataFrame:
+    schema = TABLES[name]
+    if args.partition_day:
+        schema = T.StructType(schema.fields + [T.StructField(args.partition_day, T.DateType())])
     if args.catalog:
-        return read_catalog_table(spark, f"{args.catalog}.{name}", TABLES[name])
+        return read_catalog_table(spark, f"{args.catalog}.{name}", schema)
     # read by the files' own schema, then narrow: stored types may differ
     # (e.g. TIMESTAMP rather than TIMESTAMP_NTZ)
-    return conform(read_parquet_table(spark, args.parquet, name), TABLES[name])
+    return conform(read_parquet_table(spark, args.parquet, name), schema)
 
 
 def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
@@ -53,17 +57,18 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     )
     if job == "member":
         return {"member_overview": op.member_overview(m, o, c)}
+    pd = args.partition_day
     if job == "growth":
-        return {"growth": op.growth_report(m, o, as_of=as_of)}
+        return {"growth": op.growth_report(m, o, as_of=as_of, partition_day=pd)}
     if job == "wow":
         return {
-            "registrations": op.wow_daily_registrations(m, as_of=as_of),
-            "orders": op.wow_daily_orders(o, as_of=as_of),
+            "registrations": op.wow_daily_registrations(m, as_of=as_of, partition_day=pd),
+            "orders": op.wow_daily_orders(o, as_of=as_of, partition_day=pd),
         }
     if job == "marketing":
         return {
-            "free": op.marketing_free_coupons(c, as_of=as_of),
-            "paid": op.marketing_paid_coupons(c, as_of=as_of),
+            "free": op.marketing_free_coupons(c, as_of=as_of, partition_day=pd),
+            "paid": op.marketing_paid_coupons(c, as_of=as_of, partition_day=pd),
         }
     if job == "conversion":
         return {"funnel": op.funnel_summary(o, c)}
@@ -78,6 +83,10 @@ def main(argv: list[str] | None = None) -> int:
     src.add_argument("--parquet", help="directory holding <table>.parquet")
     p.add_argument("--log", help="search log path (text, tab-separated)")
     p.add_argument("--as-of", default=dt.date.today().isoformat())
+    p.add_argument(
+        "--partition-day",
+        help="day column the tables are partitioned by (prunes partitions outside the window)",
+    )
     p.add_argument("--k", type=int, default=10)
     p.add_argument("--out", help="output folder; one sub-folder per result")
     p.add_argument("--format", default="parquet")

@@ -77,3 +77,19 @@ def test_jobs_read_catalog_tables(spark, capsys):
     want = op.wow_daily_registrations(src.members(spark, SF_SMALL), as_of="2001-07-25").count()
     want += op.wow_daily_orders(src.orders(spark, SF_SMALL), as_of="2001-07-25").count()
     assert len(printed) == want and all(line.startswith('{"day":') for line in printed)
+
+
+def test_jobs_on_day_partitioned_tables(spark):
+    from pyspark.sql import functions as F
+
+    base = tempfile.mkdtemp(prefix="shoplens-jobs-parted-")
+    for name, df in [("t_member", src.members(spark, SF_SMALL)), ("t_order", src.orders(spark, SF_SMALL))]:
+        df.withColumn("dt", F.to_date("create_time")).write.partitionBy("dt").parquet(
+            os.path.join(base, f"{name}.parquet")
+        )
+    out = os.path.join(base, "out")
+    args = ["wow", "--parquet", base, "--as-of", "2001-07-25", "--partition-day", "dt", "--out", out]
+    assert jobs.main(args) == 0
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "orders")).collect())
+    want = sorted(tuple(r) for r in op.wow_daily_orders(src.orders(spark, SF_SMALL), as_of="2001-07-25").collect())
+    assert got == want
