@@ -60,13 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there and we use it as is.  Only when it
-    is unset (local tests) do we make a fresh scratch folder and record it on
-    the session, so later callers see the same folder.
+    is unset on a local master (tests) do we make a fresh scratch folder and
+    record it on the session, so later callers see the same folder; on a
+    cluster an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive a lost executor or driver
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
     local = tempfile.mkdtemp(prefix="shoplens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
