@@ -1,7 +1,14 @@
 """Report operators: DataFrames in, DataFrame out, built-in expressions only."""
 
 from shoplens.operators.activity import member_activity
-from shoplens.operators.coupons import marketing_free_coupons, marketing_paid_coupons
+from shoplens.operators.coupons import (
+    daily_coupons,
+    marketing_free_coupons,
+    marketing_free_coupons_from_daily,
+    marketing_paid_coupons,
+    marketing_paid_coupons_from_daily,
+    merge_daily_coupons,
+)
 from shoplens.operators.dates import calendar_enrich, date_quality, date_standardise
 from shoplens.operators.funnel import (
     funnel_buyers,
@@ -39,6 +46,7 @@ from shoplens.operators.weekly import (
 __all__ = [
     "calendar_enrich",
     "daily_activity",
+    "daily_coupons",
     "date_quality",
     "date_standardise",
     "funnel_buyers",
@@ -54,13 +62,16 @@ __all__ = [
     "growth_report_complete_from_daily",
     "growth_report_from_daily",
     "marketing_free_coupons",
+    "marketing_free_coupons_from_daily",
     "marketing_paid_coupons",
+    "marketing_paid_coupons_from_daily",
     "member_channel_distribution",
     "member_heat",
     "member_activity",
     "member_overview",
     "member_sex_distribution",
     "merge_daily",
+    "merge_daily_coupons",
     "member_subscription_split",
     "search_hot_words",
     "search_word_counts",

@@ -42,3 +42,42 @@ def test_merged_stored_summary_gives_the_same_reports(spark):
     )
     # the merged summary equals the summary built in one pass
     assert _sorted(stored.select(*op.daily_activity(m, o).columns)) == _sorted(op.daily_activity(m, o))
+
+
+MARKETING = dt.datetime(2024, 1, 25)
+
+
+def test_coupon_series_from_stored_summary(spark):
+    c = src.coupon_members(spark, SF_ORACLE)
+    cut = F.col("create_time") < F.lit("2024-01-20 08:30:00").cast("timestamp_ntz")
+    folder = os.path.join(tempfile.mkdtemp(prefix="shoplens-coupons-daily-"), "daily")
+    op.merge_daily_coupons(op.daily_coupons(c.filter(cut)), op.daily_coupons(c.filter(~cut))).write.partitionBy(
+        "d"
+    ).parquet(folder)
+    stored = spark.read.parquet(folder)
+    for inclusive in (False, True):
+        assert _sorted(op.marketing_free_coupons_from_daily(stored, as_of=MARKETING, inclusive=inclusive)) == _sorted(
+            op.marketing_free_coupons(c, as_of=MARKETING, inclusive=inclusive)
+        )
+        assert _sorted(op.marketing_paid_coupons_from_daily(stored, as_of=MARKETING, inclusive=inclusive)) == _sorted(
+            op.marketing_paid_coupons(c, as_of=MARKETING, inclusive=inclusive)
+        )
+
+
+def test_coupon_summary_keeps_the_strict_start_exact(spark):
+    from tests.helpers import coupons_df
+
+    as_of = dt.datetime(2019, 11, 30)
+    start = as_of - dt.timedelta(days=7)
+    c = coupons_df(
+        spark,
+        [(1, 1, 2, start), (None, 1, 2, start), (2, 1, 2, start + dt.timedelta(seconds=1)), (3, 2, 1, start)],
+    )
+    daily = op.daily_coupons(c)
+    for inclusive in (False, True):
+        for from_daily, direct in (
+            (op.marketing_free_coupons_from_daily, op.marketing_free_coupons),
+            (op.marketing_paid_coupons_from_daily, op.marketing_paid_coupons),
+        ):
+            got = _sorted(from_daily(daily, as_of=as_of, inclusive=inclusive))
+            assert got == _sorted(direct(c, as_of=as_of, inclusive=inclusive)), (from_daily, inclusive)
