@@ -51,3 +51,24 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, name):
     finally:
         spark.conf.set(key, old)
     assert ok, msg
+
+
+@pytest.mark.parametrize(
+    "name", ["member_overview", "growth_report_complete", "funnel_summary", "search_hot_words", "date_quality"]
+)
+def test_results_do_not_depend_on_configuration(spark, con, name):
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "37",
+        "spark.sql.ansi.enabled": "false",
+        "spark.sql.codegen.wholeStage": "false",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        ok, msg = compare(QUERIES[name](spark, SF_ORACLE), con, ORACLE[name])
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert ok, msg
