@@ -72,3 +72,18 @@ def test_results_do_not_depend_on_configuration(spark, con, name):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert ok, msg
+
+
+SURVEY_KEYS = {
+    "member_sex_distribution", "member_channel_distribution", "member_subscription_split",
+    "member_heat", "member_overview", "growth_daily_registrations", "growth_daily_orders",
+    "growth_prior_gmv", "growth_report", "growth_report_complete", "wow_daily_registrations",
+    "wow_daily_orders", "marketing_free_coupons", "marketing_paid_coupons", "funnel_buyers",
+    "funnel_repeat_buyers", "funnel_coupon_buyers", "funnel_repeat_and_coupon", "funnel_summary",
+    "search_word_counts", "search_hot_words", "date_standardise", "date_quality", "calendar_enrich",
+}
+
+
+def test_every_survey_operator_is_registered_with_an_oracle():
+    assert set(QUERIES) == SURVEY_KEYS
+    assert set(ORACLE) == SURVEY_KEYS
