@@ -2,7 +2,10 @@
 
 The window start is strict by default (``create_time > as_of - days``) and
 has no upper bound, as the marketing report defines it; ``inclusive=True``
-makes the start inclusive.
+makes the start inclusive.  Each series is one filter (pushed into the scan)
+and one per-day grouped count.  For repeated runs at scale the same series
+come from a stored per-day summary (:func:`daily_coupons`), which also counts
+the rows at each day's first instant so the strict start stays exact.
 """
 
 from __future__ import annotations
