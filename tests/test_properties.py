@@ -141,3 +141,10 @@ def test_shape_dispatch_equals_brute_force(spark):
     out = op.date_standardise(df, "ds").withColumn("brute", brute.cast("timestamp_ntz"))
     diff = out.filter(~F.col("ts").eqNullSafe(F.col("brute")))
     assert diff.count() == 0, diff.limit(5).collect()
+
+
+def test_overview_passes_heat_options(spark):
+    m, o, c = _random_tables(spark, 9)
+    for options in ({"status": 2}, {"null_as_missing": True}, {"status": 2, "null_as_missing": True}):
+        ov = op.member_overview(m, o, c, **options).first()
+        assert ov["memberHeat"].asDict() == op.member_heat(m, o, c, **options).first().asDict(), options
