@@ -148,3 +148,25 @@ def test_overview_passes_heat_options(spark):
     for options in ({"status": 2}, {"null_as_missing": True}, {"status": 2, "null_as_missing": True}):
         ov = op.member_overview(m, o, c, **options).first()
         assert ov["memberHeat"].asDict() == op.member_heat(m, o, c, **options).first().asDict(), options
+
+
+def test_growth_report_equals_the_original_algorithm(spark):
+    from decimal import Decimal
+
+    m, o, _ = _random_tables(spark, 10)
+    start = AS_OF - dt.timedelta(days=7)
+    pm, po = m.toPandas(), o.toPandas()
+    pm = pm[pm.create_time >= start].assign(day=lambda x: x.create_time.dt.strftime("%Y-%m-%d"))
+    po_win = po[po.create_time >= start].assign(day=lambda x: x.create_time.dt.strftime("%Y-%m-%d"))
+    money = lambda s: sum((Decimal(str(v)) for v in s if v == v), Decimal(0))
+    r = pm.groupby("day").agg(newRegCount=("id", "count"), totalMemberCount=("id", "max"))
+    g = po_win.groupby("day").agg(totalOrderCount=("order_id", "max"), g=("origin_price", money))
+    joined = r.join(g, how="inner").sort_index()
+    running = money(po[po.create_time < start].origin_price)
+    want = []
+    for day, row in joined.iterrows():
+        running += row["g"]
+        want.append((day, int(row["newRegCount"]), int(row["totalMemberCount"]),
+                     int(row["totalOrderCount"]), float(round(running, 2))))
+    got = [tuple(r) for r in op.growth_report(m, o, as_of=AS_OF).collect()]
+    assert got == want
