@@ -15,24 +15,26 @@ from pyspark.sql import functions as F
 from shoplens.functions.dates import DATE_STYLES
 from shoplens.sources.readers import read_parquet_table
 
-# First registration instant; registration day then rises with the key over
-# this many days.
-_MEMBER_EPOCH = "1995-01-01 00:00:00"
-_MEMBER_SPAN_DAYS = 2404
+# Members: one Spark SQL statement over the customer table.  Registration
+# day rises with the key over 2404 days from 1995-01-01 (the count of
+# customers is a scalar subquery, run once); 'null' text, SQL NULL or a value
+# are the three states the jobs see in mp_open_id and phone.
+_MEMBER_SQL = """
+SELECT c_custkey + 1 AS id,
+       c_nationkey % 3 AS sex,
+       CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2
+            WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 ELSE 5 END AS INT) AS member_channel,
+       CASE WHEN c_nationkey % 4 = 0 THEN 'null' WHEN c_nationkey % 4 = 1 THEN NULL
+            ELSE concat('mp_', CAST(c_custkey AS STRING)) END AS mp_open_id,
+       CASE WHEN c_nationkey % 5 = 0 THEN 'null' WHEN c_nationkey % 5 = 1 THEN NULL
+            ELSE concat('1', CAST(c_custkey AS STRING)) END AS phone,
+       TIMESTAMP_NTZ '1995-01-01 00:00:00'
+         + make_dt_interval(CAST((c_custkey * 2404) DIV (SELECT count(*) FROM {customer}) AS INT),
+                            CAST(c_custkey % 24 AS INT)) AS create_time
+FROM {customer}
+"""
 
 # Each column is one SQL expression (one call to build, not dozens).
-_MEMBER_COLUMNS = (
-    "c_custkey + 1 AS id",
-    "c_nationkey % 3 AS sex",
-    "CAST(CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2"
-    " WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 ELSE 5 END AS INT) AS member_channel",
-    # 'null' text, SQL NULL, or a value: all three states the jobs see
-    "CASE WHEN c_nationkey % 4 = 0 THEN 'null' WHEN c_nationkey % 4 = 1 THEN NULL"
-    " ELSE concat('mp_', CAST(c_custkey AS STRING)) END AS mp_open_id",
-    "CASE WHEN c_nationkey % 5 = 0 THEN 'null' WHEN c_nationkey % 5 = 1 THEN NULL"
-    " ELSE concat('1', CAST(c_custkey AS STRING)) END AS phone",
-)
-
 _ORDER_COLUMNS = (
     "o_orderkey AS order_id",
     "o_custkey + 1 AS member_id",
@@ -56,12 +58,7 @@ _SEARCH_LINE = (
 
 def members(spark: SparkSession, base_dir: str) -> DataFrame:
     customer = read_parquet_table(spark, base_dir, "customer")
-    n_customers = customer.select(F.count(F.lit(1))).scalar()
-    key = F.col("c_custkey")
-    day_offset = F.call_function("div", key * _MEMBER_SPAN_DAYS, n_customers).cast("int")
-    hour = (key % 24).cast("int")
-    create_time = F.lit(_MEMBER_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(day_offset, hour)
-    return customer.select(*[F.expr(c) for c in _MEMBER_COLUMNS], create_time.alias("create_time"))
+    return spark.sql(_MEMBER_SQL, customer=customer)
 
 
 def orders(spark: SparkSession, base_dir: str) -> DataFrame:
