@@ -28,10 +28,6 @@ from shoplens.functions.timewin import (
 )
 
 
-def _null_long() -> Column:
-    return F.lit(None).cast("bigint")
-
-
 def _null_money() -> Column:
     return F.lit(None).cast("decimal(18,2)")
 
@@ -86,31 +82,47 @@ def growth_prior_gmv(
     )
 
 
+# Member and order rows in one shape, so one aggregate can take both.  SQL
+# expression text: one call per column to build.
+_MEMBER_ROW = (
+    "to_date(create_time) AS d",
+    "id AS member_id",
+    "1 AS is_member",
+    "CAST(NULL AS BIGINT) AS order_id",
+    "CAST(NULL AS DECIMAL(18,2)) AS amount",
+    "0 AS is_order",
+)
+_ORDER_ROW = (
+    "to_date(create_time) AS d",
+    "CAST(NULL AS BIGINT) AS member_id",
+    "0 AS is_member",
+    "order_id",
+    "try_cast(origin_price AS DECIMAL(18,2)) AS amount",  # as timewin.money()
+    "1 AS is_order",
+)
+
+
 def _tagged_members(members: DataFrame, cond: Column | None) -> DataFrame:
     if cond is not None:
         members = members.filter(cond)
-    return members.select(
-        day_key(F.col("create_time")).alias("d"),
-        F.col("id").alias("member_id"),
-        F.lit(1).alias("is_member"),
-        _null_long().alias("order_id"),
-        _null_money().alias("amount"),
-        F.lit(0).alias("is_order"),
-    )
+    return members.selectExpr(*_MEMBER_ROW)
 
 
 def _tagged_orders(orders: DataFrame, cond: Column | None) -> DataFrame:
     if cond is not None:
         orders = orders.filter(cond)
-    return orders.select(
-        day_key(F.col("create_time")).alias("d"),
-        _null_long().alias("member_id"),
-        F.lit(0).alias("is_member"),
-        F.col("order_id"),
-        money(F.col("origin_price")).alias("amount"),
-        F.lit(1).alias("is_order"),
-    )
+    return orders.selectExpr(*_ORDER_ROW)
+
 
+_DAILY_AGGS = (
+    "sum(is_member) AS member_rows",
+    "count(member_id) AS new_members",
+    "max(member_id) AS max_member_id",
+    "sum(is_order) AS order_rows",
+    "count(order_id) AS orders",
+    "max(order_id) AS max_order_id",
+    "sum(amount) AS amount",
+)
 
 # Every summary column is a sum or a maximum, so summaries of disjoint row
 # sets merge exactly (merge_daily).
@@ -150,15 +162,7 @@ def daily_activity(
         _tagged_members(members, m_cond)
         .unionByName(_tagged_orders(orders, o_cond))
         .groupBy("d")
-        .agg(
-            F.sum("is_member").alias("member_rows"),
-            F.count("member_id").alias("new_members"),
-            F.max("member_id").alias("max_member_id"),
-            F.sum("is_order").alias("order_rows"),
-            F.count("order_id").alias("orders"),
-            F.max("order_id").alias("max_order_id"),
-            F.sum("amount").alias("amount"),
-        )
+        .agg(*[F.expr(e) for e in _DAILY_AGGS])
         .filter(F.col("d").isNotNull())
     )
 
