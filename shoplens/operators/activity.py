@@ -17,18 +17,19 @@ from pyspark.sql import functions as F
 def member_activity(orders: DataFrame, coupons: DataFrame) -> DataFrame:
     """One row per ``member_id`` present in either input (one NULL group):
     ``n`` = non-NULL order ids, ``coupon`` = any coupon row."""
-    o = orders.select("member_id", "order_id", F.lit(False).alias("coupon"))
-    c = coupons.select(
-        "member_id", F.lit(None).cast("bigint").alias("order_id"), F.lit(True).alias("coupon")
-    )
+    o = orders.selectExpr("member_id", "order_id", "false AS coupon")
+    c = coupons.selectExpr("member_id", "CAST(NULL AS BIGINT) AS order_id", "true AS coupon")
     return (
         o.unionByName(c)
         .groupBy("member_id")
-        .agg(F.count("order_id").alias("n"), F.max("coupon").alias("coupon"))
+        .agg(F.expr("count(order_id) AS n"), F.expr("max(coupon) AS coupon"))
     )
 
 
+# A real member (not the NULL group) holding a coupon: a NULL member id never
+# counts as distinct and never matches another table.
+KNOWN_COUPON_HOLDER = "coupon AND member_id IS NOT NULL"
+
+
 def known_coupon_holder() -> Column:
-    """A real member (not the NULL group) holding a coupon: a NULL member id
-    never counts as distinct and never matches another table."""
-    return F.col("coupon") & F.col("member_id").isNotNull()
+    return F.expr(KNOWN_COUPON_HOLDER)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.operators.activity import known_coupon_holder, member_activity
+from shoplens.operators.activity import KNOWN_COUPON_HOLDER, member_activity
 
 _MISSING = "null"  # the sentinel text the member table uses for "absent"
 
@@ -58,11 +58,10 @@ def _activity_counts(orders: DataFrame, coupons: DataFrame, status: int | None)
     two orders) and ``coupon`` (distinct members holding a coupon)."""
     if status is not None:
         orders = orders.filter(F.col("order_status") == status)
-    n = F.col("n")
     return member_activity(orders, coupons).agg(
-        F.count(F.when(n == 1, True)).alias("order"),
-        F.count(F.when(n >= 2, True)).alias("orderAgain"),
-        F.count(F.when(known_coupon_holder(), True)).alias("coupon"),
+        F.expr("count(CASE WHEN n = 1 THEN true END) AS `order`"),
+        F.expr("count(CASE WHEN n >= 2 THEN true END) AS orderAgain"),
+        F.expr(f"count(CASE WHEN {KNOWN_COUPON_HOLDER} THEN true END) AS coupon"),
     )
 
 
@@ -111,43 +110,37 @@ def member_overview(
     result has one row per distinct code.  The arrays are built from that
     small result, so ``collect_list`` holds at most one entry per code.
     """
-    phone, open_id = F.col("phone"), F.col("mp_open_id")
-    missing = phone == _MISSING
+    missing = "phone = 'null'"
     if heat_options.get("null_as_missing"):
-        missing = missing | phone.isNull()
-    grouped = (
-        members.groupingSets([["sex"], ["member_channel"], []], "sex", "member_channel")
-        .agg(
-            F.grouping_id().alias("gid"),
-            F.count("id").alias("n"),
-            F.count(F.when(open_id != _MISSING, True)).alias("subCount"),
-            F.count(F.when(open_id == _MISSING, True)).alias("unSubCount"),
-            F.count(F.when(missing, True)).alias("reg"),
-            F.count(F.when(phone != _MISSING, True)).alias("complete"),
-        )
+        missing = "(phone = 'null' OR phone IS NULL)"
+    grouped = members.groupingSets([["sex"], ["member_channel"], []], "sex", "member_channel").agg(
+        *[
+            F.expr(e)
+            for e in (
+                "grouping_id() AS gid",
+                "count(id) AS n",
+                "count(CASE WHEN mp_open_id != 'null' THEN true END) AS subCount",
+                "count(CASE WHEN mp_open_id = 'null' THEN true END) AS unSubCount",
+                f"count(CASE WHEN {missing} THEN true END) AS reg",
+                "count(CASE WHEN phone != 'null' THEN true END) AS complete",
+            )
+        ]
     )
-    # grouping_id bit 1 = sex rolled up, bit 0 = member_channel rolled up
-    by_sex, by_channel, whole = F.col("gid") == 1, F.col("gid") == 2, F.col("gid") == 3
+    # grouping_id: 1 = per sex (channel rolled up), 2 = per channel, 3 = all
     row = grouped.agg(
-        F.array_sort(
-            F.collect_list(
-                F.when(by_sex, F.struct(F.col("sex").alias("memberSex"), F.col("n").alias("sexCount")))
-            )
-        ).alias("memberSexs"),
-        F.array_sort(
-            F.collect_list(
-                F.when(
-                    by_channel,
-                    F.struct(
-                        F.col("member_channel").alias("memberChannel"),
-                        F.col("n").alias("channelCount"),
-                    ),
-                )
+        *[
+            F.expr(e)
+            for e in (
+                "array_sort(collect_list(CASE WHEN gid = 1 THEN"
+                " named_struct('memberSex', sex, 'sexCount', n) END)) AS memberSexs",
+                "array_sort(collect_list(CASE WHEN gid = 2 THEN"
+                " named_struct('memberChannel', member_channel, 'channelCount', n) END)) AS memberChannels",
+                "collect_list(CASE WHEN gid = 3 THEN"
+                " named_struct('subCount', subCount, 'unSubCount', unSubCount) END) AS memberMpSubs",
+                "max(CASE WHEN gid = 3 THEN reg END) AS reg",
+                "max(CASE WHEN gid = 3 THEN complete END) AS complete",
             )
-        ).alias("memberChannels"),
-        F.collect_list(F.when(whole, F.struct("subCount", "unSubCount"))).alias("memberMpSubs"),
-        F.max(F.when(whole, F.col("reg"))).alias("reg"),
-        F.max(F.when(whole, F.col("complete"))).alias("complete"),
+        ]
     )
     act = _one_row(_activity_counts(orders, coupons, heat_options.get("status")))
     heat = F.struct(
