@@ -87,14 +87,22 @@ def parse_in_style(text_col: str, pattern: str) -> Column:
     return F.when(shape == F.lit(pattern_shape(pattern)), parsed)
 
 
+def _q(name: str) -> str:
+    """A column name quoted for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    """A string literal for SQL expression text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def style_index(shape_col: str, styles=DATE_STYLES) -> Column:
     """Position (0-based) of the style whose shape equals column
     ``shape_col`` (a :func:`text_shape` result, computed once), or NULL:
     one lookup in a literal map from shape to style number."""
-    pairs = []
-    for i, (_, pattern) in enumerate(styles):
-        pairs += [F.lit(pattern_shape(pattern)), F.lit(i)]
-    return F.try_element_at(F.create_map(*pairs), F.col(shape_col))
+    pairs = ", ".join(f"{_lit(pattern_shape(p))}, {i}" for i, (_, p) in enumerate(styles))
+    return F.expr(f"try_element_at(map({pairs}), {_q(shape_col)})")
 
 
 def _positions(token: str, styles) -> list[int]:
@@ -109,21 +117,32 @@ def parse_by_index(text_col: str, index_col: str | Column, styles=DATE_STYLES) -
     position of each field for the row's style comes from a literal array
     indexed by the style number (0 = the field is absent and takes its
     default).  One small expression instead of one arm per style keeps the
-    generated code small enough for the JIT.
+    generated code small enough for the JIT; ``get`` is 0-based and NULL for
+    a NULL index (``element_at(array, NULL)`` is not NULL under whole-stage
+    codegen in Spark 4.1).
     """
-    text = F.col(text_col)
-    index = F.col(index_col) if isinstance(index_col, str) else index_col
+    if not isinstance(index_col, str):
+        # a constant style number (single-pattern parse)
+        return _parse_sql(text_col, "0", styles)
+    return _parse_sql(text_col, _q(index_col), styles)
+
+
+def _parse_sql(text_col: str, index: str, styles) -> Column:
+    text = _q(text_col)
     fields = []
     for token, default in _FIELDS:
-        # get() is 0-based and NULL for a NULL index; element_at(array, NULL)
-        # is not NULL under whole-stage codegen in Spark 4.1
-        pos = F.get(F.array(*[F.lit(p) for p in _positions(token, styles)]), index)
-        value = F.substring(text, pos, F.lit(len(token))).try_cast("int")
-        fields.append(F.when(pos == 0, F.lit(default)).otherwise(value))
-    y, mo, d, h, mi, s = fields
+        positions = _positions(token, styles)
+        pos = f"get(array({', '.join(map(str, positions))}), {index})"
+        fields.append(
+            f"CASE WHEN {pos} = 0 THEN {default}"
+            f" ELSE try_cast(substring({text}, {pos}, {len(token)}) AS INT) END"
+        )
+    y, mo, d, h, mi, sec = fields
     # make_timestamp rolls second 60 into the next minute; a strict parse
     # rejects it
-    return F.when(s < 60, F.try_make_timestamp_ntz(y, mo, d, h, mi, s))
+    return F.expr(
+        f"CASE WHEN {sec} < 60 THEN try_make_timestamp_ntz({y}, {mo}, {d}, {h}, {mi}, {sec}) END"
+    )
 
 
 def render_by_index(ts: Column, index_col: str, styles=DATE_STYLES) -> Column:
@@ -146,8 +165,9 @@ def select_styles(names=None) -> tuple[tuple[str, str], ...]:
     return tuple((n, p) for n, p in DATE_STYLES if n in set(names))
 
 
-def style_name(index: Column, styles=DATE_STYLES) -> Column:
-    return F.get(F.array(*[F.lit(name) for name, _ in styles]), index)
+def style_name(index_col: str, styles=DATE_STYLES) -> Column:
+    names = ", ".join(_lit(name) for name, _ in styles)
+    return F.expr(f"get(array({names}), {_q(index_col)})")
 
 
 def render(ts: Column, style: str) -> Column:

@@ -52,7 +52,7 @@ def date_standardise(
         df.withColumn(shape, D.text_shape(F.col(col)))
         .withColumn(index, D.style_index(shape, table))
         .withColumn(out, D.parse_by_index(col, index, table))
-        .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(F.col(index), table)))
+        .withColumn(style_col, F.when(F.col(out).isNotNull(), D.style_name(index, table)))
     )
     added = {}
     for name, unit, amount in shift_in_style:
