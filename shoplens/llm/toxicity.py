@@ -4,8 +4,8 @@ Document labels are turned into token labels: a word or word beginning that
 is far likelier in toxic than in clean training texts marks its tokens in
 toxic texts.  A two-state chain (hashed word, prefix and suffix features,
 transitions) is fitted to these tokens by maximum likelihood; forward-backward
-marginals of every token of a text give the offending spans, and their
-noisy-or and sum give the document's score through a fitted logistic curve.
+marginals of every token of a text give the offending spans; the largest one
+and the sum over offending tokens give the score through a fitted logistic curve.
 
 Training uses a bounded sample (``max_rows`` labelled rows of either class, in
 keyed-hash order); scoring reads every whole text.  Labels, language, source
@@ -34,9 +34,10 @@ from pyspark.sql import types as T
 
 WORD = re.compile(r"\w+")
 DIMS = 1 << 18
-MAX_FEATURES = 6  # of a token
+MAX_FEATURES = 9  # of a token
 SEGMENT = 64  # tokens in one training sequence
 CLIP = 12.0
+MARKING = frozenset(("w=", "p4", "p5", "p6", "p7", "p8"))  # features that may mark tokens
 
 
 @dataclass
@@ -44,14 +45,14 @@ class ToxicityModel:
     weights: np.ndarray  # emission weight of state 1 by hashed feature
     transition: np.ndarray  # 2 x 2, log scale
     start: float  # log odds of state 1 at the first token
-    curve: tuple[float, float, float]  # document logistic: bias, noisy-or, sum
+    curve: tuple[float, float, float]  # document logistic: bias, largest log odds, sum
     constant: float | None = None  # score of all texts when one class is missing
 
 
 def features(word: str) -> list[str]:
     """A token's features: itself, its beginnings and endings."""
     out = ["w=" + word]
-    for n in (3, 4, 5):
+    for n in range(3, 9):
         if len(word) > n:
             out.append(f"p{n}={word[:n]}")
     for n in (3, 4):
@@ -106,7 +107,7 @@ def token_labels(texts: list[tuple[list[str], int]], odds: float = 30.0, evidenc
     """
     seen = (Counter(), Counter())
     for words, label in distinct_texts(texts):
-        seen[label].update({f for w in set(words) for f in features(w) if f[:2] in ("w=", "p4", "p5")})
+        seen[label].update({f for w in set(words) for f in features(w) if f[:2] in MARKING})
         seen[label][""] += 1
     n0, n1 = seen[0][""], seen[1][""]
 
@@ -129,7 +130,11 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) ->
     return fit(training_rows(docs, labels, max_rows))
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 60) -> ToxicityModel:
+def _spread(items: list, most: int) -> list:
+    return items if len(items) <= most else [items[i * len(items) // most] for i in range(most)]
+
+
+def fit(rows: list[tuple[str, int]], steps: int = 50, max_segments: int = 6000) -> ToxicityModel:
     """The model of labelled texts (at most a few thousand)."""
     texts = [(WORD.findall(t.lower()), y) for t, y in rows]
     n1 = sum(y for _, y in texts)
@@ -139,7 +144,7 @@ def fit(rows: list[tuple[str, int]], steps: int = 60) -> ToxicityModel:
     marks = token_labels(texts)
     index: dict[str, int] = {}
     slot_rows, word_marked = [], []
-    sequences, targets = [], []
+    marked, plain = [], []  # (words of a segment, labels)
     for words, label in texts:
         ids = []
         for w in words:
@@ -151,11 +156,15 @@ def fit(rows: list[tuple[str, int]], steps: int = 60) -> ToxicityModel:
             ids.append(index[w])
         for a in range(0, len(ids), SEGMENT):
             seq = ids[a : a + SEGMENT]
-            sequences.append(seq)
-            targets.append([int(label and word_marked[i]) for i in seq])
+            target = [int(label and word_marked[i]) for i in seq]
+            (marked if any(target) else plain).append((seq, target))
     table = np.array(slot_rows, dtype=np.int32)  # word -> its slots; slot 0 is the bias
     used = np.ones_like(table, dtype=np.float32)
     used[:, 1:][table[:, 1:] == 0] = 0
+    # at most ``max_segments`` training sequences, evenly spread over the sample
+    kept = _spread(marked, max_segments // 2)
+    kept += _spread(plain, max_segments - len(kept))
+    sequences, targets = [s for s, _ in kept], [t for _, t in kept]
     lengths = np.array([len(s) for s in sequences])
     x = np.zeros((len(sequences), SEGMENT), np.int32)
     y = np.zeros((len(sequences), SEGMENT), np.int8)
@@ -264,21 +273,20 @@ class Scorer(dict):
         return out
 
     def summary(self, words: list[str]):
-        """Clipped log odds that any token is toxic, log of the expected toxic tokens, odds."""
+        """Clipped log odds of the likeliest toxic token, log of the number of toxic tokens, odds."""
         odds = self.odds(words)
-        clean = sum(map(math.log1p, odds))  # minus the log chance that no token is toxic
-        any_toxic = clean + math.log(-math.expm1(-clean)) if clean > 1e-9 else math.log(clean + 1e-9)
-        some = sum(o / (1 + o) for o in odds if o > 1e-4)
-        return min(CLIP, max(-CLIP, any_toxic)), math.log1p(some), odds
+        top = max(odds, default=0.0)
+        peak = min(CLIP, max(-CLIP, math.log(top))) if top > 0 else -CLIP
+        return peak, math.log1p(sum(o / (1 + o) for o in odds if o >= 1)), odds
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int]]]:
         """Score and offending spans (code points, end exclusive) of a text."""
         if self.model.constant is not None:
             return self.model.constant, []
         words = WORD.findall(text.lower())
-        noisy_or, some, odds = self.summary(words)
+        peak, some, odds = self.summary(words)
         a, b, c = self.model.curve
-        value = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * noisy_or + c * some))))
+        value = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * peak + c * some))))
         spans: list[tuple[int, int]] = []
         if any(o >= 1 for o in odds) and len(text.lower()) == len(text):
             last = -2
