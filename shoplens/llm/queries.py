@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import ship_package
+from shoplens.llm.fingerprints import fingerprint_documents
 from shoplens.llm.html_main import extract_main_text
+from shoplens.llm.ngram_join import near_duplicates
 from shoplens.llm.norm_topk import top_k
 from shoplens.llm.orc_ids import orc_token_ids
 from shoplens.llm.packing import pack_documents
+from shoplens.llm.pii import find_personal_data
 from shoplens.llm.sharding import shard_documents
 from shoplens.llm.toxicity import score_documents
 
@@ -24,6 +27,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -33,6 +44,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary, end_id=2, capacity=1024)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
@@ -53,8 +68,11 @@ def op10_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_order_minhash,
+        op2_personal_data,
         op4_html_main_text,
         op5_best_fit_packing,
+        op6_ngram_jaccard_join,
         op7_norm_bucket_topk,
         op8_toxicity,
         op9_hypergeometric_shards,
