@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import ship_package
 from shoplens.llm.fingerprints import fingerprint_documents
 from shoplens.llm.html_main import extract_main_text
+from shoplens.llm.merge_dropout import encode_and_decode
 from shoplens.llm.ngram_join import near_duplicates
 from shoplens.llm.norm_topk import top_k
 from shoplens.llm.orc_ids import orc_token_ids
@@ -35,6 +36,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op4_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -70,6 +75,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_order_minhash,
         op2_personal_data,
+        op3_merge_dropout,
         op4_html_main_text,
         op5_best_fit_packing,
         op6_ngram_jaccard_join,
