@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 
 def member_activity(orders: DataFrame, coupons: DataFrame) -> DataFrame:
     """One row per ``member_id`` present in either input (one NULL group):
-    ``n`` = non-NULL order ids, ``coupon`` = any coupon row."""
-    o = orders.selectExpr("member_id", "order_id", "false AS coupon")
-    c = coupons.selectExpr("member_id", "CAST(NULL AS BIGINT) AS order_id", "true AS coupon")
+    ``n`` = non-NULL order ids, ``ordered`` = any order row (with or without
+    an id), ``coupon`` = any coupon row."""
+    o = orders.selectExpr("member_id", "order_id", "true AS ordered", "false AS coupon")
+    c = coupons.selectExpr("member_id", "CAST(NULL AS BIGINT) AS order_id", "false AS ordered", "true AS coupon")
     return (
         o.unionByName(c)
         .groupBy("member_id")
-        .agg(F.expr("count(order_id) AS n"), F.expr("max(coupon) AS coupon"))
+        .agg(F.expr("count(order_id) AS n"), F.expr("max(ordered) AS ordered"), F.expr("max(coupon) AS coupon"))
     )
 
 

@@ -81,8 +81,8 @@ def funnel_summary(
     """One row: ``view, click, order, orderAgain, chargeCoupon``.
 
     view and click are supplied counts (the shop has no page log); the rest
-    come from one plan over per-member activity: buyers (one NULL buyer
-    counts once, as DISTINCT does), repeat buyers, and repeat buyers holding
+    come from one plan over per-member activity: buyers (any completed order
+    row, as ``funnel_buyers``; one NULL buyer counts once, as DISTINCT does), repeat buyers, and repeat buyers holding
     a paid coupon.
     """
     n = F.col("n")
@@ -90,7 +90,7 @@ def funnel_summary(
     return _buyer_activity(orders, coupons, status).agg(
         F.lit(view).cast("bigint").alias("view"),
         F.lit(click).cast("bigint").alias("click"),
-        F.count(F.when(n >= 1, True)).alias("order"),
+        F.count(F.when(F.col("ordered"), True)).alias("order"),
         F.count(F.when(repeat, True)).alias("orderAgain"),
         F.count(F.when(repeat & known_coupon_holder(), True)).alias("chargeCoupon"),
     )
