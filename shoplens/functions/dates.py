@@ -46,15 +46,15 @@ DATE_STYLES: tuple[tuple[str, str], ...] = (
 )
 
 # --- Fixed values (must equal the reference's weekday table) ---
-# (English name, Chinese name, short name, number), Monday first
+# (Chinese name, English name, short name, number), Monday first
 WEEKDAYS: tuple[tuple[str, str, str, int], ...] = (
-    ("Monday", "星期一", "Mon.", 1),
-    ("Tuesday", "星期二", "Tues.", 2),
-    ("Wednesday", "星期三", "Wed.", 3),
-    ("Thursday", "星期四", "Thur.", 4),
-    ("Friday", "星期五", "Fri.", 5),
-    ("Saturday", "星期六", "Sat.", 6),
-    ("Sunday", "星期日", "Sun.", 7),
+    ("星期一", "Monday", "Mon.", 1),
+    ("星期二", "Tuesday", "Tues.", 2),
+    ("星期三", "Wednesday", "Wed.", 3),
+    ("星期四", "Thursday", "Thur.", 4),
+    ("星期五", "Friday", "Fri.", 5),
+    ("星期六", "Saturday", "Sat.", 6),
+    ("星期日", "Sunday", "Sun.", 7),
 )
 
 STYLE_PATTERNS: dict[str, str] = dict(DATE_STYLES)
@@ -186,11 +186,11 @@ def _weekday_lookup(number: Column, field: int) -> Column:
 
 
 def weekday_name(number: Column) -> Column:
-    return _weekday_lookup(number, 0)
+    return _weekday_lookup(number, 1)
 
 
 def weekday_name_cn(number: Column) -> Column:
-    return _weekday_lookup(number, 1)
+    return _weekday_lookup(number, 0)
 
 
 def weekday_short_name(number: Column) -> Column:

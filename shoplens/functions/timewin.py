@@ -9,9 +9,11 @@ never written on a formatted day string.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_FORMAT = "yyyy-MM-dd"
 
@@ -30,6 +32,17 @@ def days_before(as_of, days: int) -> dt.datetime:
     return as_datetime(as_of) - dt.timedelta(days=days)
 
 
+def is_midnight(value) -> bool:
+    t = as_datetime(value)
+    return t == dt.datetime.combine(t.date(), dt.time())
+
+
+def require_midnight(value) -> None:
+    """Per-day summaries hold whole days only."""
+    if not is_midnight(value):
+        raise ValueError("a per-day summary answers windows that start and end at midnight only")
+
+
 def ts_lit(value) -> Column:
     """A TIMESTAMP_NTZ literal (pushable into Parquet filters).
 
@@ -53,19 +66,54 @@ def day_label(day: Column) -> Column:
     return F.date_format(day, DAY_FORMAT)
 
 
-def money(amount: Column) -> Column:
-    """Amounts as DECIMAL(18,2), so sums are exact and independent of the
-    order in which partitions are combined.
-
-    A value that is no amount (NaN, infinite, beyond 10^16) becomes NULL and
-    is left out of sums like a missing amount, instead of failing the job.
+# Amounts.  A DECIMAL column keeps its own scale.  A floating-point amount
+# below MONEY_EXACT is summed as a decimal of MONEY_SCALE places, so sums are
+# exact and do not depend on the order partitions are combined in; a larger
+# finite one (it has no cents left to lose) goes into a second, floating-point
+# sum; NaN and infinite amounts are in neither and are counted.
+MONEY_SCALE = 10
+MONEY_EXACT = "1e15"
+
+
+def money_columns(df: DataFrame, amount: str = "origin_price") -> dict[str, str]:
+    """SQL text of ``amount`` (exact part), ``big_amount`` (double) and
+    ``odd_amount`` (1 for NaN or infinity) for an amount column."""
+    kind = df.schema[amount].dataType
+    if isinstance(kind, T.DecimalType):
+        exact = f"CAST({amount} AS DECIMAL(38,{max(kind.scale, MONEY_SCALE) if kind.precision - kind.scale <= 28 else kind.scale}))"
+        return {"amount": exact, "big_amount": "CAST(NULL AS DOUBLE)", "odd_amount": "0"}
+    x = f"CAST({amount} AS DOUBLE)"
+    return {
+        "amount": f"CASE WHEN abs({x}) < {MONEY_EXACT}D THEN CAST({x} AS DECIMAL(38,{MONEY_SCALE})) END",
+        "big_amount": f"CASE WHEN abs({x}) >= {MONEY_EXACT}D AND abs({x}) < double('Infinity') THEN {x} END",
+        "odd_amount": f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN 1 ELSE 0 END",
+    }
+
+
+def money_out(exact: Column, big: Column) -> Column:
+    """Total of the two sums, rounded to cents once, as DOUBLE (NULL without amounts)."""
+    small = F.round(exact, 2).cast("double")
+    both = F.round(F.coalesce(exact.cast("double"), F.lit(0.0)) + big, 2)
+    return F.when(big.isNull(), small).otherwise(both)
+
+
+@dataclass(frozen=True)
+class DayPartition:
+    """A day column a table is partitioned by, and how far it may be off.
+
+    A row's partition day must lie between ``lead_days`` before and
+    ``lag_days`` after the calendar day of its ``create_time`` (load-day
+    partitions: ``lag_days`` = the longest delay).  Rows outside that range
+    may be skipped; inside it, no row is lost.
     """
-    return amount.try_cast("decimal(18,2)")
+
+    column: str
+    lag_days: int = 0
+    lead_days: int = 0
 
 
-def money_out(total: Column) -> Column:
-    """A money total rounded to cents and returned as DOUBLE."""
-    return F.round(total, 2).cast("double")
+def _partition(partition_day: str | DayPartition | None) -> DayPartition | None:
+    return DayPartition(partition_day) if isinstance(partition_day, str) else partition_day
 
 
 def time_window(
@@ -73,27 +121,29 @@ def time_window(
     upper=None,
     *,
     lower_inclusive: bool = True,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
     time_col: str = "create_time",
 ) -> Column:
     """``lower <= time_col < upper`` (strict lower bound when
     ``lower_inclusive`` is False); either bound may be omitted.
 
     With ``partition_day`` (the day column a table is partitioned by, e.g.
-    ``dt``) the same bounds are also put on that column, whole days
-    included, so Spark skips the partitions outside the window; the exact
-    bounds on ``time_col`` still decide every row.
+    ``dt``) whole-day bounds are also put on that column, so Spark skips the
+    partitions outside the window.  A plain name promises that a row's
+    partition day is the calendar day of ``time_col``; a :class:`DayPartition`
+    widens the bounds by its lag and lead.
     """
     t = F.col(time_col)
+    part = _partition(partition_day)
     conds = []
     if lower is not None:
         conds.append(t >= ts_lit(lower) if lower_inclusive else t > ts_lit(lower))
-        if partition_day:
-            conds.append(F.col(partition_day) >= date_lit(lower))
+        if part:
+            conds.append(F.col(part.column) >= date_lit(days_before(lower, part.lead_days)))
     if upper is not None:
         conds.append(t < ts_lit(upper))
-        if partition_day:
-            conds.append(F.col(partition_day) <= date_lit(upper))
+        if part:
+            conds.append(F.col(part.column) <= date_lit(days_before(upper, -part.lag_days)))
     if not conds:
         return F.lit(True)
     cond = conds[0]

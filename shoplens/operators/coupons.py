@@ -10,19 +10,25 @@ the rows at each day's first instant so the strict start stays exact.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.timewin import date_lit, day_key, day_label, days_before, time_window
+from shoplens.functions.timewin import (
+    DayPartition,
+    date_lit,
+    day_key,
+    day_label,
+    days_before,
+    require_midnight,
+    time_window,
+)
 
 FREE_COUPON_ID = 1
 CHANNEL_BOUGHT = 1
 CHANNEL_HANDED_OUT = 2
 
 
-def _since(as_of, days: int, inclusive: bool, partition_day: str | None) -> Column:
+def _since(as_of, days: int, inclusive: bool, partition_day: str | DayPartition | None) -> Column:
     return time_window(
         days_before(as_of, days), lower_inclusive=inclusive, partition_day=partition_day
     )
@@ -44,7 +50,7 @@ def marketing_free_coupons(
     as_of,
     days: int = 7,
     inclusive: bool = False,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
 ) -> DataFrame:
     """Free coupons handed out per day: ``day, freeCount``."""
     cond = (
@@ -61,7 +67,7 @@ def marketing_paid_coupons(
     as_of,
     days: int = 7,
     inclusive: bool = False,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
 ) -> DataFrame:
     """Other (paid) coupons obtained per day: ``day, couponCount``."""
     cond = (F.col("coupon_id") != FREE_COUPON_ID) & _since(as_of, days, inclusive, partition_day)
@@ -76,7 +82,7 @@ _COUPON_DAILY = [
 ]
 
 
-def daily_coupons(coupons: DataFrame, *, partition_day: str | None = None, since=None) -> DataFrame:
+def daily_coupons(coupons: DataFrame, *, partition_day: str | DayPartition | None = None, since=None) -> DataFrame:
     """Per calendar day ``d``: for free coupons handed out and for paid
     coupons, the rows, the rows at exactly the day's first instant, and the
     same two as non-NULL member counts.
@@ -116,8 +122,7 @@ def merge_daily_coupons(*summaries: DataFrame) -> DataFrame:
 
 def _series_from_daily(daily: DataFrame, kind: str, out: str, as_of, days: int, inclusive: bool) -> DataFrame:
     start = days_before(as_of, days)
-    if start != dt.datetime.combine(start.date(), dt.time()):
-        raise ValueError("a per-day summary answers windows that start at midnight only")
+    require_midnight(start)
     d = F.col("d")
     first = (d == date_lit(start)) & F.lit(not inclusive)
     rows = F.when(first, F.col(f"{kind}_rows") - F.col(f"{kind}_rows_at_start")).otherwise(F.col(f"{kind}_rows"))

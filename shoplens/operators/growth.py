@@ -18,20 +18,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.timewin import (
+    DayPartition,
+    as_datetime,
     date_lit,
     day_key,
     day_label,
     days_before,
-    money,
+    is_midnight,
+    money_columns,
     money_out,
+    require_midnight,
     time_window,
 )
 
 
-def _null_money() -> Column:
-    return F.lit(None).cast("decimal(18,2)")
-
-
 def _running():
     """All day rows up to the current one.  No partitioning: the input has
     one row per calendar day, so it fits one task at any data volume."""
@@ -39,7 +39,7 @@ def _running():
 
 
 def growth_daily_registrations(
-    members: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+    members: DataFrame, *, as_of, days: int = 7, partition_day: str | DayPartition | None = None
 ) -> DataFrame:
     """Per day from ``as_of - days`` on: ``day, newRegCount, totalMemberCount``.
 
@@ -56,62 +56,79 @@ def growth_daily_registrations(
 
 
 def growth_daily_orders(
-    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | DayPartition | None = None
 ) -> DataFrame:
     """Per day from ``as_of - days`` on: ``day, totalOrderCount, gmv``."""
     start = days_before(as_of, days)
+    price = money_columns(orders)
     return (
         orders.filter(time_window(start, partition_day=partition_day))
         .groupBy(day_key(F.col("create_time")).alias("d"))
         .agg(
             F.max("order_id").alias("totalOrderCount"),
-            F.sum(money(F.col("origin_price"))).alias("g"),
+            F.expr(f"sum({price['amount']})").alias("g"),
+            F.expr(f"sum({price['big_amount']})").alias("b"),
+        )
+        .select(
+            day_label(F.col("d")).alias("day"), "totalOrderCount", money_out(F.col("g"), F.col("b")).alias("gmv")
         )
-        .select(day_label(F.col("d")).alias("day"), "totalOrderCount", money_out(F.col("g")).alias("gmv"))
     )
 
 
 def growth_prior_gmv(
-    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | None = None
+    orders: DataFrame, *, as_of, days: int = 7, partition_day: str | DayPartition | None = None
 ) -> DataFrame:
     """One row: ``totalGmv``, the amount of all orders before the window
     (NULL when there are none)."""
     start = days_before(as_of, days)
+    price = money_columns(orders)
     return orders.filter(time_window(upper=start, partition_day=partition_day)).agg(
-        money_out(F.sum(money(F.col("origin_price")))).alias("totalGmv")
+        money_out(F.expr(f"sum({price['amount']})"), F.expr(f"sum({price['big_amount']})")).alias("totalGmv")
     )
 
 
 # Member and order rows in one shape, so one aggregate can take both.  SQL
-# expression text: one call per column to build.
+# expression text: one call per column to build.  ``{d}`` is the day key.
 _MEMBER_ROW = (
-    "to_date(create_time) AS d",
+    "{d} AS d",
     "id AS member_id",
     "1 AS is_member",
     "CAST(NULL AS BIGINT) AS order_id",
-    "CAST(NULL AS DECIMAL(18,2)) AS amount",
+    "CAST(NULL AS {amount_type}) AS amount",
+    "CAST(NULL AS DOUBLE) AS big_amount",
+    "0 AS odd_amount",
     "0 AS is_order",
 )
 _ORDER_ROW = (
-    "to_date(create_time) AS d",
+    "{d} AS d",
     "CAST(NULL AS BIGINT) AS member_id",
     "0 AS is_member",
     "order_id",
-    "try_cast(origin_price AS DECIMAL(18,2)) AS amount",  # as timewin.money()
+    "{amount} AS amount",
+    "{big_amount} AS big_amount",
+    "{odd_amount} AS odd_amount",
     "1 AS is_order",
 )
 
 
-def _tagged_members(members: DataFrame, cond: Column | None) -> DataFrame:
-    if cond is not None:
-        members = members.filter(cond)
-    return members.selectExpr(*_MEMBER_ROW)
+def _day_text(edge) -> str:
+    """The day key; rows before the instant ``edge`` belong to the day before
+    it, so a window may start inside a day."""
+    if edge is None or is_midnight(edge):
+        return "to_date(create_time)"
+    at = as_datetime(edge)
+    return (
+        f"CASE WHEN create_time < TIMESTAMP_NTZ '{at.isoformat(sep=' ')}' "
+        f"THEN least(to_date(create_time), DATE '{days_before(at, 1).date()}') ELSE to_date(create_time) END"
+    )
+
+
+def _sql_type(df: DataFrame, expression: str) -> str:
+    return df.selectExpr(f"{expression} AS x").schema["x"].dataType.simpleString()
 
 
-def _tagged_orders(orders: DataFrame, cond: Column | None) -> DataFrame:
-    if cond is not None:
-        orders = orders.filter(cond)
-    return orders.selectExpr(*_ORDER_ROW)
+def _tagged(rows: DataFrame, cond: Column, columns: tuple[str, ...], values: dict[str, str]) -> DataFrame:
+    return rows.filter(cond).selectExpr(*[c.format(**values) for c in columns])
 
 
 _DAILY_AGGS = (
@@ -122,6 +139,8 @@ _DAILY_AGGS = (
     "count(order_id) AS orders",
     "max(order_id) AS max_order_id",
     "sum(amount) AS amount",
+    "sum(big_amount) AS big_amount",
+    "sum(odd_amount) AS odd_amounts",
 )
 
 # Every summary column is a sum or a maximum, so summaries of disjoint row
@@ -134,6 +153,8 @@ _MERGE = {
     "orders": F.sum,
     "max_order_id": F.max,
     "amount": F.sum,
+    "big_amount": F.sum,
+    "odd_amounts": F.sum,
 }
 
 
@@ -143,24 +164,31 @@ def daily_activity(
     *,
     members_since=None,
     until=None,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
+    edge=None,
 ) -> DataFrame:
     """Per-day summary of both tables, one row per calendar day ``d`` with any
     member or order row: ``member_rows, new_members (non-NULL ids),
-    max_member_id, order_rows, orders (non-NULL ids), max_order_id, amount``.
+    max_member_id, order_rows, orders (non-NULL ids), max_order_id, amount,
+    big_amount, odd_amounts`` (the exact sum, the sum of amounts too large
+    for it, and the number of NaN or infinite amounts, which no sum holds).
 
     One aggregate over the union of both tables' rows (partial aggregation
     first).  At scale, write it once partitioned by ``d``, add each new day
     with :func:`merge_daily`, and run the growth reports from it: a few
     thousand rows instead of the whole history.  ``members_since`` and
     ``until`` bound the rows read (both push into the scans; with
-    ``partition_day`` they also prune day partitions).
+    ``partition_day`` they also prune day partitions).  Rows before the
+    instant ``edge`` count for the day before it (reports whose window starts
+    inside a day; never use it for a stored summary).
     """
     m_cond = time_window(members_since, until, partition_day=partition_day)
     o_cond = time_window(upper=until, partition_day=partition_day)
+    price = money_columns(orders)
+    values = price | {"d": _day_text(edge), "amount_type": _sql_type(orders, price["amount"])}
     return (
-        _tagged_members(members, m_cond)
-        .unionByName(_tagged_orders(orders, o_cond))
+        _tagged(members, m_cond, _MEMBER_ROW, values)
+        .unionByName(_tagged(orders, o_cond, _ORDER_ROW, values))
         .groupBy("d")
         .agg(*[F.expr(e) for e in _DAILY_AGGS])
         .filter(F.col("d").isNotNull())
@@ -177,12 +205,24 @@ def merge_daily(*summaries: DataFrame) -> DataFrame:
 
 
 def growth_report_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataFrame:
-    """:func:`growth_report` from a :func:`daily_activity` summary."""
-    start_day = date_lit(days_before(as_of, days))
-    in_window = F.col("d") >= start_day
-    kept = daily.filter(
-        (F.col("order_rows") > 0) & (~in_window | (F.col("member_rows") > 0))
-    ).withColumn("running", F.sum(F.coalesce(F.col("amount"), F.lit(0))).over(_running()))
+    """:func:`growth_report` from a :func:`daily_activity` summary (``as_of``
+    at midnight; a summary of whole days cannot answer other windows)."""
+    require_midnight(as_of)
+    return _report(daily, as_of, days)
+
+
+def _running_money(window) -> tuple[Column, Column]:
+    return F.sum(F.coalesce(F.col("amount"), F.lit(0))).over(window), F.sum("big_amount").over(window)
+
+
+def _report(daily: DataFrame, as_of, days: int) -> DataFrame:
+    in_window = F.col("d") >= date_lit(days_before(as_of, days))
+    exact, big = _running_money(_running())
+    kept = (
+        daily.filter((F.col("order_rows") > 0) & (~in_window | (F.col("member_rows") > 0)))
+        .withColumn("running", exact)
+        .withColumn("running_big", big)
+    )
     return (
         kept.filter(in_window)
         .orderBy("d")
@@ -191,7 +231,7 @@ def growth_report_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataF
             F.col("new_members").alias("newRegCount"),
             F.col("max_member_id").alias("totalMemberCount"),
             F.col("max_order_id").alias("totalOrderCount"),
-            money_out(F.col("running")).alias("gmv"),
+            money_out(F.col("running"), F.col("running_big")).alias("gmv"),
         )
     )
 
@@ -202,45 +242,54 @@ def growth_report(
     *,
     as_of,
     days: int = 7,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
 ) -> DataFrame:
     """``day, newRegCount, totalMemberCount, totalOrderCount, gmv`` for window
     days with both registrations and orders, ordered by day.
 
     totalMemberCount / totalOrderCount are the day's highest ids; gmv = all
     orders before the window + amounts of the listed days so far.  Members
-    before the window are not read.
+    before the window are not read.  The window starts at the instant
+    ``as_of - days``: of a day it cuts, the later part is listed and the
+    earlier part is prior.
     """
-    daily = daily_activity(
-        members, orders, members_since=days_before(as_of, days), partition_day=partition_day
-    )
-    return growth_report_from_daily(daily, as_of=as_of, days=days)
+    start = days_before(as_of, days)
+    daily = daily_activity(members, orders, members_since=start, partition_day=partition_day, edge=start)
+    return _report(daily, as_of, days)
 
 
 def growth_report_complete_from_daily(daily: DataFrame, *, as_of, days: int = 7) -> DataFrame:
-    """:func:`growth_report_complete` from a :func:`daily_activity` summary.
+    """:func:`growth_report_complete` from a :func:`daily_activity` summary
+    (``as_of`` at midnight)."""
+    require_midnight(as_of)
+    return _report_complete(daily, as_of, days)
+
 
-    The window's days are added as marker rows with zero activity; running
+def _report_complete(daily: DataFrame, as_of, days: int) -> DataFrame:
+    """The window's days are added as marker rows with zero activity; running
     totals use a RANGE frame, so a marker row sees every row of its own day,
     and only the marker rows are kept: every window day appears once, with
     or without activity, and no second aggregate is needed.
     """
     start = days_before(as_of, days)
     spark = daily.sparkSession
-    marks = spark.range(0, days, 1, numPartitions=1).select(
+    listed = days if is_midnight(as_of) else days + 1  # a cut day shows at both ends
+    marks = spark.range(0, listed, 1, numPartitions=1).select(
         F.date_add(date_lit(start), F.col("id").cast("int")).alias("d"),
         F.lit(0).cast("bigint").alias("new_members"),
         F.lit(0).cast("bigint").alias("orders"),
-        _null_money().alias("amount"),
+        F.lit(None).cast(daily.schema["amount"].dataType).alias("amount"),
+        F.lit(None).cast("double").alias("big_amount"),
         F.lit(True).alias("mark"),
     )
     rows = (
-        daily.filter(F.col("d") < date_lit(as_of))
-        .select("d", "new_members", "orders", "amount", F.lit(False).alias("mark"))
+        daily.filter(F.col("d") < date_lit(days_before(start, -listed)))
+        .select("d", "new_members", "orders", "amount", "big_amount", F.lit(False).alias("mark"))
         .unionByName(marks)
     )
     so_far = Window.orderBy("d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     same_day = Window.orderBy("d").rangeBetween(Window.currentRow, Window.currentRow)
+    exact, big = _running_money(so_far)
     return (
         rows.select(
             "d",
@@ -248,7 +297,8 @@ def growth_report_complete_from_daily(daily: DataFrame, *, as_of, days: int = 7)
             F.sum("new_members").over(same_day).alias("reg"),
             F.sum("new_members").over(so_far).alias("members_so_far"),
             F.sum("orders").over(so_far).alias("orders_so_far"),
-            F.sum(F.coalesce(F.col("amount"), F.lit(0))).over(so_far).alias("gmv_so_far"),
+            exact.alias("gmv_so_far"),
+            big.alias("big_so_far"),
         )
         .filter(F.col("mark"))
         .orderBy("d")
@@ -257,7 +307,7 @@ def growth_report_complete_from_daily(daily: DataFrame, *, as_of, days: int = 7)
             F.col("reg").cast("bigint").alias("newRegCount"),
             F.col("members_so_far").cast("bigint").alias("totalMemberCount"),
             F.col("orders_so_far").cast("bigint").alias("totalOrderCount"),
-            money_out(F.col("gmv_so_far")).alias("gmv"),
+            money_out(F.col("gmv_so_far"), F.col("big_so_far")).alias("gmv"),
         )
     )
 
@@ -268,13 +318,16 @@ def growth_report_complete(
     *,
     as_of,
     days: int = 7,
-    partition_day: str | None = None,
+    partition_day: str | DayPartition | None = None,
 ) -> DataFrame:
     """The corrected report: every day in ``[as_of - days, as_of)``.
 
     ``newRegCount`` members registered that day; ``totalMemberCount``,
     ``totalOrderCount`` and ``gmv`` count all members / orders / amounts up
-    to the end of that day.  Days without activity show zeros.
+    to the end of that day.  Days without activity show zeros.  Both bounds
+    are instants: of a day they cut, only the part inside is counted.
     """
-    daily = daily_activity(members, orders, until=as_of, partition_day=partition_day)
-    return growth_report_complete_from_daily(daily, as_of=as_of, days=days)
+    daily = daily_activity(
+        members, orders, until=as_of, partition_day=partition_day, edge=days_before(as_of, days)
+    )
+    return _report_complete(daily, as_of, days)
