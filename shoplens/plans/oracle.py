@@ -2,8 +2,8 @@
 
 The test tables are registered in DuckDB under their own names; the
 canonical shop tables are rebuilt from them as CTEs with the same rules as
-``shoplens.sources.canonical``.  Money is summed as DECIMAL(18,2) on both
-sides so totals are exact; counts are BIGINT on both sides.
+``shoplens.sources.canonical``.  Money is a plain sum rounded to cents at the
+end, whatever the Spark side does to sum it; counts are BIGINT on both sides.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ _T_MEMBER = """t_member as (
          case when c_nationkey % 5 = 0 then 'null' when c_nationkey % 5 = 1 then null
               else concat('1', cast(c_custkey as varchar)) end as phone,
          timestamp '1995-01-01 00:00:00'
-           + to_days(cast(c_custkey * 2404 // (select count(*) from customer) as int))
+           + to_days(cast((c_custkey * 1601) % 2404 as int))
            + to_hours(cast(c_custkey % 24 as int)) as create_time
   from customer)"""
 
@@ -78,7 +78,7 @@ def _ts(value) -> str:
 
 
 def _money_sum(expr: str = "origin_price") -> str:
-    return f"sum(cast({expr} as decimal(18,2)))"
+    return f"sum({expr})"
 
 
 def _money_out(expr: str) -> str:
@@ -104,6 +104,12 @@ from (select event_id, ds, try_strptime(ds, [{formats}]) as t,
       from t_dates) x"""
 
 
+def _own_style(moved: str) -> str:
+    """A moved time written in the row's own style."""
+    arms = " ".join(f"when '{name}' then strftime({moved}, '{strftime_format(p)}')" for name, p in DATE_STYLES)
+    return f"case when ts is null then null else case style {arms} end end"
+
+
 def _weekday_list(field: int) -> str:
     return "[" + ", ".join(f"'{w[field]}'" for w in WEEKDAYS) + "]"
 
@@ -248,7 +254,10 @@ def oracle_queries() -> dict[str, str]:
     q["date_standardise"] = _with(_t_dates(), f"s as ({_standardised_sql()})") + (
         "select event_id, ds, cast(ts as timestamp_ns) as ts,\n"
         "       case when ts is null then null else style end as style,\n"
-        "       strftime(ts, '%Y-%m-%d %H:%M:%S') as ds_std from s"
+        "       strftime(ts, '%Y-%m-%d %H:%M:%S') as ds_std,\n"
+        "       strftime(ts, '%Y-%m-%d') as ds_date, strftime(ts, '%H:%M:%S') as ds_time,\n"
+        f"       {_own_style('ts + interval 1 day')} as ds_next_day,\n"
+        f"       {_own_style('ts - interval 90 minute')} as ds_earlier from s"
     )
     q["date_quality"] = _with(_t_dates(), f"s as ({_standardised_sql()})") + (
         "select case when ts is null then 'rejected' else style end as style, count(*) as n\n"
@@ -257,10 +266,14 @@ def oracle_queries() -> dict[str, str]:
     q["calendar_enrich"] = f"""select event_id, cast(ts as timestamp_ns) as ts, year(ts) as y, month(ts) as m, day(ts) as d,
        hour(ts) as h, minute(ts) as mi, cast(second(ts) as bigint) as s,
        dayname(ts) as weekday, isodow(ts) as weekday_no,
-       {_weekday_list(1)}[isodow(ts)] as weekday_cn,
+       {_weekday_list(0)}[isodow(ts)] as weekday_cn,
        {_weekday_list(2)}[isodow(ts)] as weekday_short,
        cast(ts + interval 1 month as timestamp_ns) as next_month,
        cast(ts - interval 7 day as timestamp_ns) as week_before,
+       cast(ts + interval 1 year as timestamp_ns) as next_year,
+       cast(ts + interval 36 hour as timestamp_ns) as hours_on,
+       cast(ts - interval 90 minute as timestamp_ns) as minutes_before,
+       cast(ts + interval 4000 second as timestamp_ns) as seconds_on,
        abs(date_diff('day', ts, date '{CALENDAR_REFERENCE:%Y-%m-%d}')) as days_to
 from events"""
     return q

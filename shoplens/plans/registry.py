@@ -19,6 +19,15 @@ from shoplens.sources.readers import read_parquet_table
 GROWTH_AS_OF = dt.datetime(2001, 7, 25)
 MARKETING_AS_OF = dt.datetime(2024, 1, 25)
 CALENDAR_REFERENCE = dt.date(2024, 6, 30)
+# one shift per calendar unit
+ALL_SHIFTS = (
+    ("next_year", "year", 1),
+    ("next_month", "month", 1),
+    ("week_before", "day", -7),
+    ("hours_on", "hour", 36),
+    ("minutes_before", "minute", -90),
+    ("seconds_on", "second", 4000),
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +46,16 @@ def _coupons(spark, d):
 
 def _calendar(spark, d):
     events = read_parquet_table(spark, d, "events").select("event_id", "ts")
-    return op.calendar_enrich(events, "ts", reference_date=CALENDAR_REFERENCE)
+    return op.calendar_enrich(events, "ts", reference_date=CALENDAR_REFERENCE, shifts=ALL_SHIFTS)
+
+
+def _standardised(spark, d):
+    return op.date_standardise(
+        src.date_strings(spark, d),
+        "ds",
+        target_style={"ds_std": "YYYY_MM_DD_HH_MM_SS", "ds_date": "YYYY_MM_DD", "ds_time": "HH_MM_SS"},
+        shift_in_style=(("ds_next_day", "day", 1), ("ds_earlier", "minute", -90)),
+    )
 
 
 QUERIES: dict[str, Query] = {
@@ -79,7 +97,7 @@ QUERIES: dict[str, Query] = {
     "funnel_summary": lambda s, d: op.funnel_summary(_orders(s, d), _coupons(s, d)),
     "search_word_counts": lambda s, d: op.search_word_counts(src.search_log(s, d)),
     "search_hot_words": lambda s, d: op.search_hot_words(src.search_log(s, d), k=10),
-    "date_standardise": lambda s, d: op.date_standardise(src.date_strings(s, d), "ds"),
+    "date_standardise": _standardised,
     "date_quality": lambda s, d: op.date_quality(src.date_strings(s, d), "ds"),
     "calendar_enrich": _calendar,
 }

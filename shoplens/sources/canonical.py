@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from shoplens.functions.dates import DATE_STYLES
 from shoplens.sources.readers import read_parquet_table
 
-# Members: one Spark SQL statement over the customer table.  Registration
-# day rises with the key over 2404 days from 1995-01-01 (the count of
-# customers is a scalar subquery, run once); 'null' text, SQL NULL or a value
-# are the three states the jobs see in mp_open_id and phone.
+# Members: one Spark SQL statement over the customer table.  The registration
+# day follows from the key alone, spread over 2404 days from 1995-01-01 (1601
+# has no factor in common with 2404); 'null' text, SQL NULL or a value are the
+# three states the jobs see in mp_open_id and phone.
 _MEMBER_SQL = """
 SELECT c_custkey + 1 AS id,
        c_nationkey % 3 AS sex,
@@ -29,7 +29,7 @@ SELECT c_custkey + 1 AS id,
        CASE WHEN c_nationkey % 5 = 0 THEN 'null' WHEN c_nationkey % 5 = 1 THEN NULL
             ELSE concat('1', CAST(c_custkey AS STRING)) END AS phone,
        TIMESTAMP_NTZ '1995-01-01 00:00:00'
-         + make_dt_interval(CAST((c_custkey * 2404) DIV (SELECT count(*) FROM {customer}) AS INT),
+         + make_dt_interval(CAST((c_custkey * 1601) % 2404 AS INT),
                             CAST(c_custkey % 24 AS INT)) AS create_time
 FROM {customer}
 """
