@@ -1,14 +1,24 @@
-"""Command-line report jobs: read the shop tables, run a report, write it.
+"""Command-line report jobs: read the shop tables, run a report, write or print it.
 
     python -m shoplens.jobs member   --catalog shop --out /shared/reports/member
     python -m shoplens.jobs growth   --parquet /data/shop --as-of 2019-11-30 --show
     python -m shoplens.jobs hotwords --log /data/search-logs/ --k 10 --show
+    python -m shoplens.jobs daily    --catalog shop --summary /shared/daily            # whole history
+    python -m shoplens.jobs daily    --catalog shop --summary /shared/daily --day 2019-11-29
+    python -m shoplens.jobs growth   --summary /shared/daily --as-of 2019-11-30 --show
 
-Tables come from the session catalog (``<db>.t_member`` ...) or from Parquet
-directories (``<dir>/t_member`` ...); the search log is text.  Results are
-written with ``--out`` (any Spark format) or shown with ``--show``; showing
-prints at most ``--rows`` rows, which for every report but ``words`` is the
-whole (small) result.
+Tables come from the Hive metastore's catalog (``<db>.t_member`` ...) or from
+Parquet (``<dir>/t_member.parquet`` ...); the search log is text, date strings
+a Parquet file or folder.  Results are written with ``--out`` (any Spark
+format) or printed as JSON lines with ``--show``: the whole result, one
+partition at a time.  A result that is both written and printed is computed
+once and printed from what was written.
+
+``daily`` keeps the per-day summary of members and orders, partitioned by
+day: without ``--day`` it is built from the whole history, with it that one
+day is computed anew and replaced, so a rerun changes nothing.  ``growth``,
+``growth_complete`` and ``wow`` read it with ``--summary`` instead of the
+tables.
 """
 
 from __future__ import annotations
@@ -21,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shoplens import operators as op
+from shoplens.functions.timewin import DayPartition, days_before, time_window
 from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
 from shoplens.session import build_session
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
@@ -40,65 +51,140 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
     return conform(read_parquet_table(spark, args.parquet, name), schema)
 
 
+def _need(parser: argparse.ArgumentParser, args) -> None:
+    """Stop with a message where a job's input is not named."""
+    if args.job in ("hotwords", "words"):
+        if not args.log:
+            parser.error(f"{args.job} needs --log")
+    elif args.job in ("standardise", "quality", "calendar"):
+        if not args.dates:
+            parser.error(f"{args.job} needs --dates")
+    elif args.job in SUMMARY_JOBS and args.summary:
+        pass
+    elif not (args.catalog or args.parquet):
+        parser.error(f"{args.job} needs --catalog or --parquet" + (" (or --summary)" if args.job in SUMMARY_JOBS else ""))
+    if args.job == "daily" and not args.summary:
+        parser.error("daily needs --summary")
+
+
+def _partition_day(args):
+    if not args.partition_day:
+        return None
+    return DayPartition(args.partition_day, lag_days=args.partition_lag_days)
+
+
+def keep_daily(members: DataFrame, orders: DataFrame, path: str, day=None, partition_day=None) -> None:
+    """Write the per-day summary under ``path``, partitioned by day; with
+    ``day`` compute and replace that one only."""
+    if day is not None:
+        window = time_window(day, days_before(day, -1), partition_day=partition_day)
+        members, orders = members.filter(window), orders.filter(window)
+    write_report(op.daily_activity(members, orders), path, partition_by=["d"])
+
+
+def _from_summary(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
+    daily = spark.read.parquet(args.summary)
+    if args.job == "growth":
+        return {"growth": op.growth_report_from_daily(daily, as_of=as_of)}
+    if args.job == "growth_complete":
+        return {"growth_complete": op.growth_report_complete_from_daily(daily, as_of=as_of)}
+    return {
+        "registrations": op.wow_daily_registrations_from_daily(daily, as_of=as_of),
+        "orders": op.wow_daily_orders_from_daily(daily, as_of=as_of),
+    }
+
+
+def _date_reports(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
+    rows = spark.read.parquet(args.dates)
+    if args.job == "standardise":
+        return {"standardised": op.date_standardise(rows, args.column)}
+    if args.job == "quality":
+        return {"quality": op.date_quality(rows, args.column)}
+    return {"calendar": op.calendar_enrich(rows, args.column, reference_date=as_of)}
+
+
 def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     job = args.job
     as_of = dt.datetime.fromisoformat(args.as_of)
     if job == "hotwords":
-        log = read_text_log(spark, args.log)
-        return {"hot_words": op.search_hot_words(log, k=args.k)}
+        return {"hot_words": op.search_hot_words(read_text_log(spark, args.log), k=args.k)}
     if job == "words":
         return {"word_counts": op.search_word_counts(read_text_log(spark, args.log))}
-    m = _table(spark, args, "t_member") if job in ("member", "growth", "wow") else None
-    o = _table(spark, args, "t_order") if job in ("member", "growth", "wow", "conversion") else None
-    c = (
-        _table(spark, args, "t_coupon_member")
-        if job in ("member", "marketing", "conversion")
-        else None
-    )
+    if job in ("standardise", "quality", "calendar"):
+        return _date_reports(spark, args, as_of)
+    if args.summary and job in SUMMARY_JOBS:
+        return _from_summary(spark, args, as_of)
+    pd = _partition_day(args)
+
+    def table(name: str) -> DataFrame:
+        return _table(spark, args, name)
+
+    if job == "daily":
+        keep_daily(table("t_member"), table("t_order"), args.summary, args.day, pd)
+        return {}
     if job == "member":
-        return {"member_overview": op.member_overview(m, o, c)}
-    pd = args.partition_day
+        return {"member_overview": op.member_overview(table("t_member"), table("t_order"), table("t_coupon_member"))}
     if job == "growth":
-        return {"growth": op.growth_report(m, o, as_of=as_of, partition_day=pd)}
+        return {"growth": op.growth_report(table("t_member"), table("t_order"), as_of=as_of, partition_day=pd)}
+    if job == "growth_complete":
+        return {
+            "growth_complete": op.growth_report_complete(
+                table("t_member"), table("t_order"), as_of=as_of, partition_day=pd
+            )
+        }
     if job == "wow":
         return {
-            "registrations": op.wow_daily_registrations(m, as_of=as_of, partition_day=pd),
-            "orders": op.wow_daily_orders(o, as_of=as_of, partition_day=pd),
+            "registrations": op.wow_daily_registrations(table("t_member"), as_of=as_of, partition_day=pd),
+            "orders": op.wow_daily_orders(table("t_order"), as_of=as_of, partition_day=pd),
         }
     if job == "marketing":
+        coupons = table("t_coupon_member")
         return {
-            "free": op.marketing_free_coupons(c, as_of=as_of, partition_day=pd),
-            "paid": op.marketing_paid_coupons(c, as_of=as_of, partition_day=pd),
+            "free": op.marketing_free_coupons(coupons, as_of=as_of, partition_day=pd),
+            "paid": op.marketing_paid_coupons(coupons, as_of=as_of, partition_day=pd),
         }
-    if job == "conversion":
-        return {"funnel": op.funnel_summary(o, c)}
-    raise SystemExit(f"unknown job {job}")
+    return {"funnel": op.funnel_summary(table("t_order"), table("t_coupon_member"), view=args.view, click=args.click)}
+
+
+JOBS = (
+    "member growth growth_complete wow daily marketing conversion hotwords words standardise quality calendar".split()
+)
+SUMMARY_JOBS = ("growth", "growth_complete", "wow")
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="shoplens.jobs")
-    p.add_argument("job", choices=["member", "growth", "wow", "marketing", "conversion", "hotwords", "words"])
+    p.add_argument("job", choices=JOBS)
     src = p.add_mutually_exclusive_group()
     src.add_argument("--catalog", help="database holding t_member, t_order, t_coupon_member")
     src.add_argument("--parquet", help="directory holding <table>.parquet")
+    p.add_argument("--summary", help="folder of the per-day summary (written by daily)")
+    p.add_argument("--day", help="daily: the one day to compute anew (default: all)")
     p.add_argument("--log", help="search log path (text, tab-separated)")
+    p.add_argument("--dates", help="Parquet file or folder with a date column")
+    p.add_argument("--column", default="ds", help="the date column")
     p.add_argument("--as-of", default=dt.date.today().isoformat())
     p.add_argument(
         "--partition-day",
         help="day column the tables are partitioned by (prunes partitions outside the window)",
     )
+    p.add_argument("--partition-lag-days", type=int, default=0, help="most days a row's partition lies after its day")
     p.add_argument("--k", type=int, default=10)
+    p.add_argument("--view", type=int, default=1000, help="conversion: page views")
+    p.add_argument("--click", type=int, default=800, help="conversion: clicks")
     p.add_argument("--out", help="output folder; one sub-folder per result")
     p.add_argument("--format", default="parquet")
     p.add_argument("--show", action="store_true", help="print results as JSON lines")
-    p.add_argument("--rows", type=int, default=1000)
     args = p.parse_args(argv)
-    spark = build_session()
+    _need(p, args)
+    spark = build_session(hive=bool(args.catalog))
     for name, df in _reports(spark, args).items():
         if args.out:
-            write_report(df, f"{args.out.rstrip('/')}/{name}", fmt=args.format)
+            path = f"{args.out.rstrip('/')}/{name}"
+            write_report(df, path, fmt=args.format)
+            df = spark.read.schema(df.schema).format(args.format).load(path) if args.show else df
         if args.show or not args.out:
-            for row in to_json_lines(df).take(args.rows):
+            for row in to_json_lines(df).toLocalIterator():
                 print(row["value"])
     return 0
 

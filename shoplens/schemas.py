@@ -68,6 +68,21 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+def rejected_values(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``column, rejected``: values that :func:`conform` turns into NULL, per
+    converted column (one aggregate over the stored table)."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    changed = [f for f in schema.fields if have.get(f.name) != f.dataType]
+    lost = [
+        F.count(F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), True)).alias(f.name)
+        for f in changed
+    ]
+    if not lost:
+        return df.sparkSession.createDataFrame([], "column string, rejected bigint")
+    pairs = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("rejected")) for f in changed])
+    return df.agg(*lost).select(F.inline(pairs))
+
+
 # Declared schemas of the given test tables the canonical tables derive from.
 # Reading with a declared schema skips footer inference at planning time.
 SOURCE_TABLES: dict[str, T.StructType] = {

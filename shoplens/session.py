@@ -23,6 +23,11 @@ _DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     "spark.sql.ansi.enabled": "true",
+    # Streaming counts (one entry per word) live on disk with checkpoints in
+    # the shared folder, not in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; a
     # whole-stage method above that runs interpreted.  With the limit at
     # 8000 Spark falls back to per-operator code for such plans, whose
@@ -31,13 +36,14 @@ _DEFAULTS = {
 }
 
 
-def build_session(
+def session_builder(
     master: str | None = None,
     app_name: str = "shoplens",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
-) -> SparkSession:
-    """Return a SparkSession with the settings above.
+    hive: bool = False,
+) -> SparkSession.Builder:
+    """A builder with the settings above; ``hive`` reads the Hive metastore's tables.
 
     On a cluster, leave ``master`` and ``shuffle_partitions`` unset so the
     deployment's own values apply; tests and the bench pass small ones.
@@ -51,7 +57,12 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    return builder.enableHiveSupport() if hive else builder
+
+
+def build_session(*args, **kwargs) -> SparkSession:
+    """The SparkSession of :func:`session_builder` (same parameters)."""
+    spark = session_builder(*args, **kwargs).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

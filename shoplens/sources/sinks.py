@@ -22,8 +22,12 @@ def write_report(
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
 ) -> None:
-    """Write a report to a shared location in any Spark-supported format."""
+    """Write a report to a shared location in any Spark-supported format.
+
+    With ``partition_by``, overwriting replaces the partitions that ``df``
+    holds and leaves the others as they are; without it, the whole folder.
+    """
     writer = df.write.mode(mode).format(fmt)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.save(path)

@@ -3,7 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry_mod
-from shoplens.plans.compare import compare, compare_frames, duckdb_connection
+from shoplens.plans.registry import QUERIES as REPORTS
+from tests.compare import compare, compare_frames, duckdb_connection
 from tests.conftest import SF_ORACLE
 
 ORACLE = entry_mod.oracle_sql()
@@ -16,8 +17,9 @@ def con():
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    missing = set(QUERIES) - set(ORACLE)
+    missing = set(REPORTS) - set(ORACLE)
     assert missing == set(entry_mod.NO_SQL_TWIN)
+    assert set(REPORTS) <= set(QUERIES)
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -85,5 +87,5 @@ SURVEY_KEYS = {
 
 
 def test_every_survey_operator_is_registered_with_an_oracle():
-    assert set(QUERIES) == SURVEY_KEYS
+    assert set(REPORTS) == SURVEY_KEYS
     assert set(ORACLE) == SURVEY_KEYS
