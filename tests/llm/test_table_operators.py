@@ -1,0 +1,342 @@
+"""Packing, near duplicates, top-k, toxicity, shards and ORC ids against brute force and edge cases."""
+
+import zlib
+from array import array
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from shoplens.llm.components import connected_components
+from shoplens.llm.common import bucket_of, shared_path
+from shoplens.llm.ngram_join import near_duplicates, tree_links
+from shoplens.llm.norm_topk import top_k
+from shoplens.llm.orc_ids import document_starts, read_ids, write_ids
+from shoplens.llm.packing import best_plan, configurations, pack_documents, plan_packing
+from shoplens.llm.sharding import communication_matrix, shard_documents
+from shoplens.llm.shingles import shingle_sets
+from shoplens.llm.tokens import WordCache, packed
+from shoplens.llm.toxicity import Scorer, fit, held_out, score_documents
+from tests.llm.fixtures import components, documents, sentence, shingles, texts
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _plain(path):
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+# ---------------------------------------------------------------- tokens
+
+
+@pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
+def test_cached_ids_are_the_librarys(path, spaced):
+    cache, plain = WordCache(path, spaced, limit=50), _plain(path)
+    alphabet = [" ", "\n", "  ", "\t", "a", "É", "'s", "'", ".", "!!", "42", "-", "_", "ß", "İ", "Σ", "中",
+                "<|endoftext|>", " ", "²", "word", "🙂", "\x1c", " ", "́"]
+    rng = np.random.default_rng(1)
+    for _ in range(1500):
+        t = "".join(alphabet[k] for k in rng.integers(0, len(alphabet), rng.integers(0, 12)))
+        assert cache.encode(t) == packed(plain(t)), repr(t)
+    for _, t in texts():
+        assert cache.encode(t or "") == packed(plain(t))
+
+
+# ---------------------------------------------------------------- packing
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(1, 63), min_size=0, max_size=300))
+def test_plans_place_every_length_once(lengths):
+    plan = best_plan(dict(Counter(lengths)), 64)
+    assert Counter(x for bins, n in plan for x in bins for _ in range(n)) == Counter(lengths)
+    assert all(sum(bins) <= 64 for bins, _ in plan)
+    assert sum(n for _, n in plan) >= -(-sum(lengths) // 64)
+
+
+def test_plans_are_tight():
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 1024, 5000)
+    used = sum(n for _, n in best_plan(dict(Counter(lengths.tolist())), 1024))
+    assert used <= 1.02 * -(-int(lengths.sum()) // 1024)
+    # three of 341 fit, so do 600 + 424
+    assert sum(n for _, n in best_plan({341: 300, 600: 50, 424: 50}, 1024)) == 150
+
+
+def test_configuration_optimum():
+    # sizes 6 and 4 in 10: one of each fills a sequence
+    found = configurations([6, 4], [10, 10], 10)
+    assert sum(use for _, use in found) == pytest.approx(10)
+    assert plan_packing({6: 10, 4: 10}, 10) == [((6, 4), 10)]
+
+
+def test_packing_on_spark(spark):
+    plain = _plain(BYTES)
+    got = pack_documents(documents(spark), BYTES, capacity=128).collect()
+    want = Counter()
+    for i, t in texts():
+        ids = plain(t) + [2]
+        first = (len(ids) - 1) % 128 + 1
+        cuts = [0, *range(first, len(ids) + 1, 128)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[(i, k, a, b - a, zlib.crc32(array("I", ids[a:b]).tobytes()))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for pieces in sequences.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 128
+    assert len(sequences) <= 1.05 * -(-sum(r["length"] for r in got) // 128) + 1
+    assert pack_documents(documents(spark, []), BYTES).count() == 0
+
+
+# ---------------------------------------------------------------- near duplicates
+
+
+def test_shingle_sets_match_tuples():
+    rows = [t for _, t in texts()] + ["A b\x0bc\x0cd e F", "é " * 9]
+    got, want = shingle_sets(rows), [shingles(t) for t in rows]
+    assert [len(s) for s in got] == [len(s) for s in want]
+    ids = {}
+    for a, b in zip(got, want):
+        assert (a[1:] > a[:-1]).all()
+        ids.setdefault(a.tobytes(), set()).add(b)
+    assert all(len(x) == 1 for x in ids.values()) and len(ids) == len(set(want))
+
+
+def test_near_duplicates_match_all_pairs(spark):
+    rows = [r for r in texts() if r[0] is not None]
+    # a chain: neighbours link, the ends do not
+    words = sentence(77, 400).split()
+    rows += [(500 + k, " ".join(words[k * 8 : k * 8 + 120])) for k in range(12)]
+    want = components(rows)
+    got = near_duplicates(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+    assert {r["doc_id"]: r["n_shingles"] for r in got} == {i: len(shingles(t)) for i, t in rows}
+    assert near_duplicates(documents(spark, [])).count() == 0
+    (alone,) = near_duplicates(documents(spark, [(None, "a b c d e f")])).collect()
+    assert alone["component_id"] is None
+
+
+def test_large_clusters_are_cut_without_losing_links(spark):
+    from shoplens.llm.ngram_join import member_table, verified_links
+
+    base = sentence(31, 90).split()
+    rows = [(k, " ".join(base[: 60 + k % 30] + [f"u{k}"])) for k in range(200)]
+    members = member_table(documents(spark, rows).select("doc_id", "text"), 0.75, 5)
+    links = verified_links(members.filter("tokens is not null"), 75, docs_per_node=16)
+    found = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    want = components(rows)
+    assert {i: found.get(i, i) for i, _ in rows} == want
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=12, unique=True), min_size=2, max_size=40))
+def test_tree_finds_all_links(groups):
+    sets = [np.unique(np.array(g, np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for g in groups]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in tree_links(sets, list(range(len(sets))), None, 75, 100):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both)
+        assert find(a) != find(b)
+        parent[find(a)] = find(b)
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(np.intersect1d(sets[a], sets[b]))
+            if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                assert find(a) == find(b)
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7)]
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {k: 0 for k in range(41)} | {k: 100 for k in range(100, 160)}
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+# ---------------------------------------------------------------- top-k
+
+
+def test_top_k_matches_all_products(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(600, 12)) * rng.lognormal(0, 1, size=(600, 1))
+    vectors[300:420] = vectors[300]  # one vector very often
+    vectors[10:15] = 0
+    rows = [(int(i) * 5, [float(np.float32(x)) for x in v]) for i, v in enumerate(vectors)]
+    bad = [(9000, None), (9100, [1.0, None] + [0.0] * 10), (9200, [float("nan")] * 12), (9300, [float("inf")] * 12)]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows + bad], "vec_id long, embedding array<float>, dim int, block int")
+    got = top_k(df, F.col("vec_id") % 100 == 0, k=10, rows_per_bucket=64, queries_per_block=8).collect()
+    whole = np.floor(np.array([v for _, v in rows], np.float32).astype(float) * 1024).astype(np.int64)
+    ids = np.array([i for i, _ in rows])
+    want = []
+    for q in np.flatnonzero(ids % 100 == 0):
+        scores, other = whole @ whole[q], ids != ids[q]
+        best = np.lexsort((ids[other], -scores[other]))[:10]
+        want += [(ids[q], k + 1, ids[other][j], scores[other][j]) for k, j in enumerate(best)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+    assert top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    few = top_k(df.filter("vec_id in (0, 5, 9000)"), F.col("vec_id") % 100 == 0).collect()
+    assert [(r["query_id"], r["vec_id"]) for r in few] == [(0, 5)]
+
+
+def test_bucket_of_is_a_binary_search(spark):
+    cuts = [3, 8, 8_000_000_000, 9_000_000_000, 9_000_000_001]
+    for value in (-1, 3, 7, 8, 8_000_000_001, 9_000_000_000, 2**62):
+        got = spark.range(1).select(bucket_of(F.lit(value), cuts).alias("b")).first()["b"]
+        assert got == sum(c <= value for c in cuts)
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+def _labelled(n):
+    rude = ["grobnik", "grobfen", "zarkly"]
+    out = []
+    for k in range(n):
+        words = sentence(k * 13 + 5, 25 + k % 40).split()
+        toxic = k % 4 == 0
+        if toxic:
+            words[k % len(words)] = rude[k % 3] if k % 8 else "grob" + WORDSUFFIX[k % len(WORDSUFFIX)]
+        out.append((k, " ".join(words), int(toxic)))
+    return out
+
+
+WORDSUFFIX = "ab eb ib ob ub ad ed id od ud".split()
+
+
+def test_held_out_toxicity(spark):
+    rows = _labelled(400)
+    docs = documents(spark, [(i, t) for i, t, _ in rows] + [(1000, None), (1001, ""), (1002, "grobnik")])
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows if i % 2] + [(i, 1, y) for i, _, y in rows if not i % 2]
+                                   + [(5000, 1, 1), (3, 0, None)], "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in score_documents(docs, labels).collect()}
+    assert len(got) == 403
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
+    test = [(got[i]["predicted"], y) for i, _, y in rows if got[i]["held_out"]]
+    assert sum(p == y for p, y in test) / len(test) > 0.95
+    assert got[1000]["score"] == got[1001]["score"] < 0.5 and got[1002]["predicted"] == 1
+    assert got[1002]["spans"] == "0:7"
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got.values())
+
+
+def test_toxicity_without_both_classes(spark):
+    docs = documents(spark, [(1, "a b"), (2, "c")])
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert {r["score"] for r in score_documents(docs, labels).collect()} == {0.0}
+    assert score_documents(documents(spark, []), labels.limit(0)).count() == 0
+
+
+def test_marginals_match_all_labelings():
+    model = fit([(t, y) for _, t, y in _labelled(120)])
+    scorer = Scorer(model)
+    words = "alpha1 grobnik beta2 zarkly gamma3".split()
+    odds = scorer.odds(words)
+    emission = [np.log(scorer[w]) for w in words]
+    weight = np.zeros((len(words), 2))
+    for code in range(2 ** len(words)):
+        y = [code >> k & 1 for k in range(len(words))]
+        value = model.start * y[0] + sum(e for e, s in zip(emission, y) if s)
+        value += sum(model.transition[a, b] for a, b in zip(y, y[1:]))
+        for k, s in enumerate(y):
+            weight[k, s] += np.exp(value)
+    assert np.allclose(odds, weight[:, 1] / weight[:, 0], rtol=1e-6)
+
+
+def test_held_out_rule(spark):
+    df = spark.range(50).select("id", held_out("id").alias("h"))
+    assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in df.collect())
+
+
+# ---------------------------------------------------------------- shards
+
+
+@pytest.mark.parametrize("per_block", [7, 50_000])
+def test_shards(spark, per_block):
+    rows = texts()
+    got = shard_documents(documents(spark), shards=4, rows_per_block=per_block).collect()
+    want = Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    sizes = Counter(r["shard"] for r in got)
+    assert set(sizes) <= set(range(4)) and max(sizes.values()) - min(sizes.values()) <= 1
+    for s in sizes:
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sizes[s]))
+    assert {r["law"] for r in got} == {"rows"} and {r["grown_shard"] for r in got} == {None}
+    assert shard_documents(documents(spark, [])).count() == 0
+
+
+def test_matrix_is_exact_and_uniform():
+    sizes = [10, 0, 25, 7]
+    total = np.zeros((4, 3))
+    for seed in range(400):
+        m = communication_matrix(sizes, 3, seed)
+        assert m.sum(1).tolist() == sizes and m.sum(0).tolist() == [14, 14, 14] and (m >= 0).all()
+        total += m
+    assert np.allclose(total / 400, np.array(sizes)[:, None] / 3, atol=0.35)
+
+
+def test_assignment_is_uniform(spark):
+    docs = documents(spark, [(i, "t") for i in range(300)])
+    hits = Counter()
+    for seed in range(6):
+        hits.update(r["shard"] for r in shard_documents(docs, 3, seed, rows_per_block=40).collect() if r["doc_id"] < 60)
+    assert all(abs(hits[s] - 120) < 40 for s in range(3))
+
+
+# ---------------------------------------------------------------- ORC ids
+
+
+def test_orc_round_trip(spark):
+    path, plain = shared_path(spark, "orc-test"), _plain(WORDS)
+    write_ids(documents(spark), path, WORDS, end_id=1, partitions=4)
+    files = read_ids(spark, path)
+    rows = sorted(texts(), key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    want, start = Counter(), 0
+    for i, t in rows:
+        ids = plain(t) + [1]
+        want[(i, start, len(ids), zlib.crc32(array("I", ids).tobytes()))] += 1
+        start += len(ids)
+    got = document_starts(files).collect()
+    assert Counter((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got) == want
+    assert files.filter("doc_id = 24").first()["ids"] == plain(dict(texts())[24]) + [1]
+    order = [(r["part"], r["local_start"]) for r in files.filter("doc_id is not null").orderBy("doc_id", "local_start").collect()]
+    assert order == sorted(order)
+
+
+def test_orc_files_carry_bloom_filters(spark):
+    import glob
+    import os
+
+    from pyarrow import orc
+
+    sizes = []
+    for fpp in (0.5, 0.0001):  # a stricter filter takes more bits
+        path = shared_path(spark, "orc-bloom")
+        write_ids(documents(spark), path, WORDS, end_id=1, partitions=1, bloom_fpp=fpp)
+        (file,) = glob.glob(path.removeprefix("file://") + "/part-*.orc")
+        assert orc.ORCFile(file).nrows == len(texts())
+        sizes.append(os.path.getsize(file))
+    assert sizes[1] > sizes[0]
+    plan = read_ids(spark, path).filter("doc_id = 24")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(doc_id,24)" in plan  # reaches the ORC reader
+    empty = shared_path(spark, "orc-empty")
+    write_ids(documents(spark, []), empty, WORDS, end_id=1)
+    assert document_starts(read_ids(spark, empty)).count() == 0
