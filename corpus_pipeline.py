@@ -26,11 +26,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest id."""
+    """One document of each group of near copies: the one of the smallest id.
+
+    Rows that repeat an id and its text count as one document; rows without
+    an id cannot be named and stay.
+    """
     ship_package(spark)
-    groups = near_duplicates(docs)
+    groups = stored(near_duplicates(docs), "groups")
     extra = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+    repeated = groups.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
