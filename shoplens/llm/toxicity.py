@@ -5,7 +5,8 @@ is far likelier in toxic than in clean training texts marks its tokens in
 toxic texts.  A two-state chain (hashed word, prefix and suffix features,
 transitions) is fitted to these tokens by maximum likelihood; forward-backward
 marginals of every token of a text give the offending spans; the largest one
-and the sum over offending tokens give the score through a fitted logistic curve.
+and the noisy-or evidence of the offending tokens give the score through a
+fitted logistic curve.
 
 Training uses a bounded sample (``max_rows`` labelled rows of either class, in
 keyed-hash order); scoring reads every whole text.  Labels, language, source
@@ -45,7 +46,7 @@ class ToxicityModel:
     weights: np.ndarray  # emission weight of state 1 by hashed feature
     transition: np.ndarray  # 2 x 2, log scale
     start: float  # log odds of state 1 at the first token
-    curve: tuple[float, float, float]  # document logistic: bias, largest log odds, sum
+    curve: tuple[float, float, float]  # document logistic: bias, largest log odds, evidence
     constant: float | None = None  # score of all texts when one class is missing
 
 
@@ -99,17 +100,19 @@ def distinct_texts(texts: list[tuple[list[str], int]]) -> list[tuple[list[str],
     return out
 
 
-def token_labels(texts: list[tuple[list[str], int]], odds: float = 30.0, evidence: float = 24.0) -> set[str]:
+def token_labels(texts: list[tuple[list[str], int]], odds: float = 30.0) -> set[str]:
     """Features that mark toxic tokens: words and beginnings far likelier in toxic texts.
 
-    ``evidence`` bounds the log-likelihood ratio statistic of the two counts,
-    so that of very many rare features none passes by chance.
+    The log-likelihood ratio statistic of a feature's two counts must pass a
+    bar that grows with the number of features, so that of very many rare ones
+    hardly any passes by chance.
     """
     seen = (Counter(), Counter())
     for words, label in distinct_texts(texts):
         seen[label].update({f for w in set(words) for f in features(w) if f[:2] in MARKING})
         seen[label][""] += 1
     n0, n1 = seen[0][""], seen[1][""]
+    bar = 2 * math.log(len(seen[0].keys() | seen[1].keys())) + 4
 
     def term(k, n, p):
         return k * math.log(p) * (k > 0) + (n - k) * math.log(1 - p) * (n > k) if 0 < p < 1 else 0.0
@@ -120,7 +123,7 @@ def token_labels(texts: list[tuple[list[str], int]], odds: float = 30.0, evidenc
         if f and (c1 + 0.5) / (n1 + 1) >= odds * c0 / (n0 + 1):
             both = (c0 + c1) / (n0 + n1)
             g = 2 * (term(c1, n1, c1 / n1) + term(c0, n0, c0 / max(1, n0)) - term(c1, n1, both) - term(c0, n0, both))
-            if g >= evidence:
+            if g >= bar:
                 out.add(f)
     return out
 
@@ -134,7 +137,7 @@ def _spread(items: list, most: int) -> list:
     return items if len(items) <= most else [items[i * len(items) // most] for i in range(most)]
 
 
-def fit(rows: list[tuple[str, int]], steps: int = 50, max_segments: int = 6000) -> ToxicityModel:
+def fit(rows: list[tuple[str, int]], steps: int = 80, max_segments: int = 6000) -> ToxicityModel:
     """The model of labelled texts (at most a few thousand)."""
     texts = [(WORD.findall(t.lower()), y) for t, y in rows]
     n1 = sum(y for _, y in texts)
@@ -144,7 +147,7 @@ def fit(rows: list[tuple[str, int]], steps: int = 50, max_segments: int = 6000)
     marks = token_labels(texts)
     index: dict[str, int] = {}
     slot_rows, word_marked = [], []
-    marked, plain = [], []  # (words of a segment, labels)
+    marked, plain = [], []  # (words of a segment, labels), with a marked word or without
     for words, label in texts:
         ids = []
         for w in words:
@@ -157,7 +160,8 @@ def fit(rows: list[tuple[str, int]], steps: int = 50, max_segments: int = 6000)
         for a in range(0, len(ids), SEGMENT):
             seq = ids[a : a + SEGMENT]
             target = [int(label and word_marked[i]) for i in seq]
-            (marked if any(target) else plain).append((seq, target))
+            # clean uses of a marked word teach the most: they are kept like the toxic ones
+            (marked if any(word_marked[i] for i in seq) else plain).append((seq, target))
     table = np.array(slot_rows, dtype=np.int32)  # word -> its slots; slot 0 is the bias
     used = np.ones_like(table, dtype=np.float32)
     used[:, 1:][table[:, 1:] == 0] = 0
@@ -273,11 +277,15 @@ class Scorer(dict):
         return out
 
     def summary(self, words: list[str]):
-        """Clipped log odds of the likeliest toxic token, log of the number of toxic tokens, odds."""
+        """Clipped log odds of the likeliest toxic token, evidence of all toxic tokens, odds.
+
+        The evidence is the logarithm of the summed -log(1 - marginal) over
+        offending tokens (noisy-or), so a sure token weighs more than a likely one.
+        """
         odds = self.odds(words)
         top = max(odds, default=0.0)
         peak = min(CLIP, max(-CLIP, math.log(top))) if top > 0 else -CLIP
-        return peak, math.log1p(sum(o / (1 + o) for o in odds if o >= 1)), odds
+        return peak, math.log1p(sum(math.log1p(o) for o in odds if o >= 1)), odds
 
     def score(self, text: str) -> tuple[float, list[tuple[int, int]]]:
         """Score and offending spans (code points, end exclusive) of a text."""
