@@ -28,6 +28,7 @@ SYMBOL = 12
 POS_BITS = 28  # a position and the upper 35 bits of a hash share one long
 POS = (1 << POS_BITS) - 1
 HASH_BITS = 63 - POS_BITS
+BROADCAST_RANGES = 1_000_000
 
 
 def order_minhash(text: Column, k: int = 3, length: int = 2, sketches: int = 64) -> Column:
@@ -122,6 +123,8 @@ def with_next(docs: DataFrame, rows_per_bucket: int = 500) -> DataFrame:
     cuts = splitters(rows, "_key", rows_per_bucket)
     rows = rows.withColumn("_range", bucket_of(F.col("_key"), cuts))
     heads = rows.groupBy("_range").agg(F.min("_key").alias("_key"))
+    if len(cuts) < BROADCAST_RANGES:  # two numbers a range; more of them meet the texts in a shuffle
+        heads = F.broadcast(heads)
     first = rows.join(heads, ["_range", "_key"], "left_semi").groupBy("_range", "_key").agg(F.min("text").alias("text"))
     # one row per range: the only step in one task
     line = Window.orderBy("_range")
