@@ -1,4 +1,8 @@
-"""The operators as named queries over the given tables, with production parameters."""
+"""The operators as named queries over the given tables, with production parameters.
+
+``ORACLE_SQL`` has DuckDB SQL for those that SQL can express; the others are
+compared with brute-force versions in tests/llm.
+"""
 
 from __future__ import annotations
 
@@ -14,12 +18,15 @@ from shoplens.llm.html_main import extract_main_text
 from shoplens.llm.merge_dropout import encode_and_decode
 from shoplens.llm.ngram_join import near_duplicates
 from shoplens.llm.norm_topk import top_k
+from shoplens.llm.oracle import ORACLE_SQL
 from shoplens.llm.orc_ids import orc_token_ids
 from shoplens.llm.packing import pack_documents
 from shoplens.llm.pii import find_personal_data
 from shoplens.llm.sharding import shard_documents
 from shoplens.llm.toxicity import score_documents
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -85,5 +92,3 @@ QUERIES: dict[str, Query] = {
         op10_orc_token_ids,
     )
 }
-# None of these is expressed in SQL: tests/llm compares each with a brute-force version.
-ORACLE_SQL: dict[str, str] = {}
