@@ -235,14 +235,14 @@ def pack_documents(
     end_id: int = 2,
     capacity: int = 1024,
     spaced: bool = True,
-    rows_per_block: int = 20_000,
+    rows_per_block: int = 8_000,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` per piece."""
     rows = stored(token_pieces(docs, tokenizer, end_id, capacity, spaced), "pieces")
     return place_pieces(rows, capacity, rows_per_block)
 
 
-def place_pieces(rows: DataFrame, capacity: int, rows_per_block: int = 20_000) -> DataFrame:
+def place_pieces(rows: DataFrame, capacity: int, rows_per_block: int = 8_000) -> DataFrame:
     """Pack ``doc_id, n_tokens, crcs`` rows (at least one token each)."""
     spark = rows.sparkSession
     rows = rows.withColumn("_first", F.pmod(F.col("n_tokens") - 1, F.lit(capacity)) + 1)
