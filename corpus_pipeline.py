@@ -17,6 +17,9 @@ from shoplens.llm.pii import mask_documents
 from shoplens.llm.toxicity import train_toxicity, with_toxicity
 
 
+BROADCAST_IDS = 2_000_000  # eight bytes each
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain does not call toxic; learned from the table's labels."""
     ship_package(spark)
@@ -34,6 +37,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     groups = stored(near_duplicates(docs), "groups")
     extra = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    if extra.count() <= BROADCAST_IDS:  # else the texts are shuffled to meet the ids
+        extra = F.broadcast(extra)
     kept = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
     repeated = groups.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
     if repeated.isEmpty():
