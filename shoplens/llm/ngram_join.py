@@ -63,12 +63,12 @@ def frequency_class(counts: np.ndarray) -> np.ndarray:
     return np.where(counts == 1, 0, np.minimum(255, 1 + 4 * np.log2(np.maximum(counts, 1)))).astype(np.uint8)
 
 
-def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block: int = 512) -> DataFrame:
+def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block: int = 512, docs_per_part: int = 8000) -> DataFrame:
     """``doc_id, n, k1, k2`` per document; ``tokens, prefix`` where it may have a partner."""
     spark = docs.sparkSession
     total = docs.count()
     blocks = max(1, -(-total // docs_per_block))
-    parts = max(shuffle_partitions(spark), -(-total // 4000))
+    parts = max(shuffle_partitions(spark), -(-total // docs_per_part))
     rows = (
         docs.select("doc_id", "text")
         .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
