@@ -24,7 +24,6 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +37,7 @@ DIMS = 1 << 18
 MAX_FEATURES = 9  # of a token
 SEGMENT = 64  # tokens in one training sequence
 CLIP = 12.0
+CUT = 30.0  # of a word's emission
 MARKING = frozenset(("w=", "p4", "p5", "p6", "p7", "p8"))  # features that may mark tokens
 
 
@@ -88,44 +88,74 @@ def held_out(id_col: str, fold: int = 5):
     return F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % fold == 0
 
 
-def distinct_texts(texts: list[tuple[list[str], int]]) -> list[tuple[list[str], int]]:
+class Vocabulary:
+    """The sample's words as numbers, with the hashed features of each word."""
+
+    def __init__(self, texts: list[str]):
+        numbers: dict[str, int] = {}
+        self.documents = [
+            np.fromiter((numbers.setdefault(w, len(numbers)) for w in WORD.findall(t.lower())), np.int32) for t in texts
+        ]
+        # column 0 is the bias; a code of 0 is no feature
+        self.codes = np.zeros((len(numbers), 1 + MAX_FEATURES), np.uint32)
+        self.marking = np.zeros(self.codes.shape, bool)
+        for i, word in enumerate(numbers):
+            for j, f in enumerate(features(word), 1):
+                self.codes[i, j] = zlib.crc32(f.encode())
+                self.marking[i, j] = f[:2] in MARKING
+        self.slots = np.where(self.codes > 0, self.codes % np.uint32(DIMS - 1) + 1, 0).astype(np.int32)
+        self.used = (self.codes > 0).astype(np.float32)
+        self.used[:, 0] = 1
+
+    def emission(self, weights: np.ndarray) -> np.ndarray:
+        return (weights[self.slots] * self.used).sum(1)
+
+
+def distinct_documents(words: Vocabulary, labels: list[int]) -> list[int]:
     """One of each group of near copies (equal minima of four word hashes): copies are no evidence."""
     seen, out = set(), []
-    for words, label in texts:
-        codes = {zlib.crc32(w.encode()) for w in words}
-        key = tuple(min((c * m + 1) % 4294967291 for c in codes) for m in (3, 7919, 104729, 1299709)) if codes else ()
-        if (key, label) not in seen:
-            seen.add((key, label))
-            out.append((words, label))
+    for k, ids in enumerate(words.documents):
+        codes = words.codes[np.unique(ids), 1].astype(np.uint64)
+        key = tuple(
+            int(((codes * np.uint64(m) + np.uint64(1)) % np.uint64(4294967291)).min())
+            for m in (3, 7919, 104729, 1299709)
+        ) if len(codes) else ()
+        if (key, labels[k]) not in seen:
+            seen.add((key, labels[k]))
+            out.append(k)
     return out
 
 
-def token_labels(texts: list[tuple[list[str], int]], odds: float = 30.0) -> set[str]:
-    """Features that mark toxic tokens: words and beginnings far likelier in toxic texts.
+def marked_words(words: Vocabulary, labels: list[int], odds: float = 30.0) -> np.ndarray:
+    """Which words mark toxic tokens: one of their features is far likelier in toxic texts.
 
     The log-likelihood ratio statistic of a feature's two counts must pass a
     bar that grows with the number of features, so that of very many rare ones
     hardly any passes by chance.
     """
-    seen = (Counter(), Counter())
-    for words, label in distinct_texts(texts):
-        seen[label].update({f for w in set(words) for f in features(w) if f[:2] in MARKING})
-        seen[label][""] += 1
-    n0, n1 = seen[0][""], seen[1][""]
-    bar = 2 * math.log(len(seen[0].keys() | seen[1].keys())) + 4
-
-    def term(k, n, p):
-        return k * math.log(p) * (k > 0) + (n - k) * math.log(1 - p) * (n > k) if 0 < p < 1 else 0.0
-
-    out = set()
-    for f, c1 in seen[1].items():
-        c0 = seen[0][f]
-        if f and (c1 + 0.5) / (n1 + 1) >= odds * c0 / (n0 + 1):
-            both = (c0 + c1) / (n0 + n1)
-            g = 2 * (term(c1, n1, c1 / n1) + term(c0, n0, c0 / max(1, n0)) - term(c1, n1, both) - term(c0, n0, both))
-            if g >= bar:
-                out.add(f)
-    return out
+    held: tuple[list, list] = ([np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)])
+    for k in distinct_documents(words, labels):
+        own = np.unique(words.documents[k])
+        held[labels[k]].append(np.unique(words.codes[own][words.marking[own]]))
+    n0, n1 = len(held[0]) - 1, len(held[1]) - 1
+    clean, clean_counts = np.unique(np.concatenate(held[0]), return_counts=True)
+    found, c1 = np.unique(np.concatenate(held[1]), return_counts=True)
+    at = np.minimum(np.searchsorted(clean, found), max(0, len(clean) - 1))
+    c0 = np.where(clean[at] == found, clean_counts[at], 0) if len(clean) else np.zeros(len(found), int)
+    bar = 2 * math.log(max(2, len(np.union1d(clean, found)))) + 4
+
+    def term(k, n, share):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            yes = np.where(k > 0, k * np.log(share), 0.0)
+            no = np.where(n - k > 0, (n - k) * np.log(1 - share), 0.0)
+        return yes + no
+
+    both = (c0 + c1) / max(1, n0 + n1)
+    g = 2 * (
+        term(c1, n1, c1 / max(1, n1)) + term(c0, n0, c0 / max(1, n0)) - term(c1, n1, both) - term(c0, n0, both)
+    )
+    marks = found[((c1 + 0.5) / (n1 + 1) >= odds * c0 / (n0 + 1)) & (g >= bar)]
+    return (np.isin(words.codes, marks) & words.marking).any(1)
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> ToxicityModel:
@@ -139,32 +169,20 @@ def _spread(items: list, most: int) -> list:
 
 def fit(rows: list[tuple[str, int]], steps: int = 80, max_segments: int = 6000) -> ToxicityModel:
     """The model of labelled texts (at most a few thousand)."""
-    texts = [(WORD.findall(t.lower()), y) for t, y in rows]
-    n1 = sum(y for _, y in texts)
-    if n1 == 0 or n1 == len(texts):
-        share = n1 / len(texts) if texts else 0.0
+    labels = [y for _, y in rows]
+    n1 = sum(labels)
+    if n1 == 0 or n1 == len(rows):
+        share = n1 / len(rows) if rows else 0.0
         return ToxicityModel(np.zeros(DIMS, np.float32), np.zeros((2, 2)), 0.0, (0.0, 0.0, 0.0), share)
-    marks = token_labels(texts)
-    index: dict[str, int] = {}
-    slot_rows, word_marked = [], []
+    words = Vocabulary([t for t, _ in rows])
+    is_marked = marked_words(words, labels)
     marked, plain = [], []  # (words of a segment, labels), with a marked word or without
-    for words, label in texts:
-        ids = []
-        for w in words:
-            if w not in index:
-                index[w] = len(index)
-                s = slots(w)
-                slot_rows.append(s + [0] * (1 + MAX_FEATURES - len(s)))
-                word_marked.append(any(f in marks for f in features(w)))
-            ids.append(index[w])
+    for ids, label in zip(words.documents, labels):
         for a in range(0, len(ids), SEGMENT):
             seq = ids[a : a + SEGMENT]
-            target = [int(label and word_marked[i]) for i in seq]
+            hit = is_marked[seq]
             # clean uses of a marked word teach the most: they are kept like the toxic ones
-            (marked if any(word_marked[i] for i in seq) else plain).append((seq, target))
-    table = np.array(slot_rows, dtype=np.int32)  # word -> its slots; slot 0 is the bias
-    used = np.ones_like(table, dtype=np.float32)
-    used[:, 1:][table[:, 1:] == 0] = 0
+            (marked if hit.any() else plain).append((seq, hit & bool(label)))
     # at most ``max_segments`` training sequences, evenly spread over the sample
     kept = _spread(marked, max_segments // 2)
     kept += _spread(plain, max_segments - len(kept))
@@ -183,10 +201,10 @@ def fit(rows: list[tuple[str, int]], steps: int = 80, max_segments: int = 6000)
         for b in (0, 1):
             count_xy[a, b] = ((y[:, :-1] == a) & (y[:, 1:] == b) & live[:, 1:]).sum()
     for _ in range(steps):
-        emission = (weights[table] * used).sum(1)[x]
+        emission = words.emission(weights)[x]
         marg, pair = _chain_expectations(emission, live, trans, start)
-        word_grad = np.bincount(x[live], (marg - y)[live], minlength=len(table))
-        grad = np.bincount(table.ravel(), (word_grad[:, None] * used).ravel(), minlength=DIMS) + 0.02 * weights
+        word_grad = np.bincount(x[live], (marg - y)[live], minlength=len(words.slots))
+        grad = np.bincount(words.slots.ravel(), (word_grad[:, None] * words.used).ravel(), minlength=DIMS) + 0.02 * weights
         g_w += grad**2
         weights -= 0.7 * grad / np.sqrt(g_w)
         grad_t = pair - count_xy + 0.02 * trans
@@ -197,8 +215,9 @@ def fit(rows: list[tuple[str, int]], steps: int = 80, max_segments: int = 6000)
         start -= 0.3 * grad_s / math.sqrt(g_s)
     model = ToxicityModel(weights.astype(np.float32), trans, start, (0.0, 1.0, 0.0))
     scorer = Scorer(model)
-    summary = np.array([scorer.summary(words)[:2] for words, _ in texts])
-    model.curve = _logistic(summary, np.array([label for _, label in texts], float))
+    by_word = np.exp(np.clip(words.emission(model.weights), -CUT, CUT))
+    summary = np.array([scorer.summary(by_word[ids].tolist())[:2] for ids in words.documents])
+    model.curve = _logistic(summary, np.array(labels, float))
     return model
 
 
@@ -258,13 +277,12 @@ class Scorer(dict):
     def __missing__(self, word: str) -> float:
         if len(self) >= self.limit:
             self.clear()
-        value = self[word] = math.exp(min(30.0, max(-30.0, float(self.model.weights[slots(word)].sum()))))
+        value = self[word] = math.exp(min(CUT, max(-CUT, float(self.model.weights[slots(word)].sum()))))
         return value
 
-    def odds(self, words: list[str]) -> list[float]:
-        """Forward-backward in odds form: the odds of the toxic state at each token."""
+    def odds(self, e: list[float]) -> list[float]:
+        """Forward-backward in odds form: the odds of the toxic state at each token, from exp(emission)."""
         t00, t01, t10, t11 = self.t
-        e = [self[w] for w in words]
         ahead, a = [], math.exp(self.model.start)
         for k, x in enumerate(e):
             a = x * ((t01 + t11 * a) / (t00 + t10 * a) if k else a)
@@ -276,13 +294,13 @@ class Scorer(dict):
             b = (t10 + t11 * x) / (t00 + t01 * x)
         return out
 
-    def summary(self, words: list[str]):
+    def summary(self, e: list[float]):
         """Clipped log odds of the likeliest toxic token, evidence of all toxic tokens, odds.
 
         The evidence is the logarithm of the summed -log(1 - marginal) over
         offending tokens (noisy-or), so a sure token weighs more than a likely one.
         """
-        odds = self.odds(words)
+        odds = self.odds(e)
         top = max(odds, default=0.0)
         peak = min(CLIP, max(-CLIP, math.log(top))) if top > 0 else -CLIP
         return peak, math.log1p(sum(math.log1p(o) for o in odds if o >= 1)), odds
@@ -292,7 +310,7 @@ class Scorer(dict):
         if self.model.constant is not None:
             return self.model.constant, []
         words = WORD.findall(text.lower())
-        peak, some, odds = self.summary(words)
+        peak, some, odds = self.summary([self[w] for w in words])
         a, b, c = self.model.curve
         value = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * peak + c * some))))
         spans: list[tuple[int, int]] = []

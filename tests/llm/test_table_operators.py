@@ -249,7 +249,7 @@ def test_marginals_match_all_labelings():
     model = fit([(t, y) for _, t, y in _labelled(120)])
     scorer = Scorer(model)
     words = "alpha1 grobnik beta2 zarkly gamma3".split()
-    odds = scorer.odds(words)
+    odds = scorer.odds([scorer[w] for w in words])
     emission = [np.log(scorer[w]) for w in words]
     weight = np.zeros((len(words), 2))
     for code in range(2 ** len(words)):
