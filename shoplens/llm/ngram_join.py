@@ -50,10 +50,14 @@ MEMBER = pa.schema(
 
 
 def _packed_by_part(sets: list[np.ndarray], parts: int):
-    """All tokens of a block by count partition: order, boundaries, 32-bit codes."""
+    """All tokens of a block by count partition: order, boundaries, 32-bit codes.
+
+    Within a partition the order is by token, never by row: two reads of a
+    block may see its rows in different orders.
+    """
     tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     part = ((tokens >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(part, kind="stable")
+    order = np.lexsort((tokens, part))
     bounds = np.searchsorted(part[order], np.arange(parts + 1))
     return tokens, order, bounds, tokens.astype(np.uint32)[order]
 

@@ -143,6 +143,36 @@ def test_large_clusters_are_cut_without_losing_links(spark):
     assert {i: found.get(i, i) for i, _ in rows} == want
 
 
+def test_frequency_classes_do_not_depend_on_row_order(spark):
+    from shoplens.llm.ngram_join import member_table, verified_links
+
+    def mixed(batches):  # another order at every read
+        import os
+        import random
+
+        import pyarrow as pa
+
+        rows = [r for b in batches for r in b.to_pylist()]
+        random.Random(os.urandom(8)).shuffle(rows)
+        for r in rows:
+            yield pa.RecordBatch.from_pylist([r], schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(30 + k % 20))) for k in range(160)]
+    rows += [(1000 + k, t + f" end{k}") for k, t in rows[:80]]
+    want = components(rows)
+    assert len(set(want.values())) == 160
+    docs = documents(spark, rows).select("doc_id", "text").repartition(12).mapInArrow(mixed, "doc_id long, text string")
+    reuse = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        members = member_table(docs, 0.75, 5, docs_per_block=40)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+    links = verified_links(members.filter("tokens is not null"), 75)
+    found = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert {i: found.get(i, i) for i, _ in rows} == want
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 30), min_size=1, max_size=12, unique=True), min_size=2, max_size=40))
 def test_tree_finds_all_links(groups):
