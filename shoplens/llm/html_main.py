@@ -34,6 +34,9 @@ NO_TEXT = frozenset(
     "script style noscript template head title svg math iframe object audio video canvas map select option "
     "datalist button textarea input label nav footer aside form menu dialog fieldset search".split()
 )
+SOFT = frozenset(("form", "fieldset"))  # may also wrap a whole page
+PROSE = frozenset("p pre blockquote h1".split())  # content whatever the ratio
+CONTAINERS = frozenset("html body main article section div center td".split())
 CLOSES_P = BLOCKS - {"body", "html", "head", "title", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 HINTS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promoted promotion banner nav "
@@ -47,12 +50,16 @@ _WORD = re.compile(r"[A-Za-z]+")
 
 
 class Lines(HTMLParser):
-    """Collects ``(text, tags, element path, boilerplate)`` per line."""
+    """Collects ``(text, tags, element path, boilerplate)`` per line.
+
+    ``hinted`` are the elements that only a hint calls boilerplate.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
         self.names: list[str] = []  # element number -> name
+        self.hinted: set[int] = set()
         self.open: list[tuple[str, int, bool]] = []  # name, number, boilerplate
         self.text: list[str] = []
         self.tags = 0
@@ -79,10 +86,13 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         skip = self._is_boilerplate(tag, attrs)
-        if tag in BLOCKS or tag in NO_TEXT or skip:
+        hint = not skip and self._is_hinted(tag, attrs)
+        if tag in BLOCKS or tag in NO_TEXT or skip or hint:
             self.flush()
             inherited = bool(self.open) and self.open[-1][2]
             self.names.append(tag)
+            if hint:
+                self.hinted.add(len(self.names) - 1)
             self.open.append((tag, len(self.names) - 1, inherited or skip))
 
     def handle_startendtag(self, tag, attrs):
@@ -112,17 +122,14 @@ class Lines(HTMLParser):
                 return
 
     def _is_boilerplate(self, tag: str, attrs) -> bool:
-        if tag in NO_TEXT:
+        if tag in NO_TEXT and tag not in SOFT:
             return True
         if tag == "header":  # the page's, not an article's own
             return not any(name in ("article", "main") for name, _, _ in self.open)
         if tag in ("html", "body", "article", "main"):
             return False
         for key, value in attrs:
-            if key in ("class", "id"):
-                if any(w.lower() in HINTS for w in _WORD.findall(value or "")):
-                    return True
-            elif key == "role" and (value or "").lower() in ROLES:
+            if key == "role" and (value or "").lower() in ROLES - {"form"}:
                 return True
             elif key == "hidden" or (key == "aria-hidden" and value == "true"):
                 return True
@@ -130,6 +137,17 @@ class Lines(HTMLParser):
                 return True
         return False
 
+    def _is_hinted(self, tag: str, attrs) -> bool:
+        if tag in SOFT:
+            return True
+        if tag in ("html", "body", "article", "main"):
+            return False
+        return any(
+            (key == "role" and (value or "").lower() == "form")
+            or (key in ("class", "id") and any(w.lower() in HINTS for w in _WORD.findall(value or "")))
+            for key, value in attrs
+        )
+
 
 def smoothed_ratios(lines, sigma: float = 1.0) -> list[float]:
     """Characters per tag of each line, smoothed with a Gaussian over lines."""
@@ -161,6 +179,56 @@ def threshold(values: list[float], rounds: int = 20) -> float:
     return math.expm1(cut)
 
 
+def element_mass(lines, chosen: list[bool]) -> dict[int, int]:
+    """Characters of the chosen lines in each element."""
+    mass: dict[int, int] = {}
+    for (text, _, path, _), good in zip(lines, chosen):
+        if good:
+            for element in path:
+                mass[element] = mass.get(element, 0) + len(text)
+    return mass
+
+
+def article_elements(parser: Lines, lines, skipped: list[bool], content: list[bool]) -> set[int]:
+    """The elements whose lines are the article; empty for the whole page."""
+    mass = element_mass(lines, content)
+    total = sum(len(line[0]) for line, good in zip(lines, content) if good)
+    # sibling articles count as one; <main> goes before an article that leaves out much of it
+    groups: dict[int, set[int]] = {}
+    mains: set[int] = set()
+    for (_, _, path, _), skip in zip(lines, skipped):
+        if not skip:
+            names = [parser.names[e] for e in path]
+            if "main" in names:
+                mains.add(path[names.index("main")])
+            if "article" in names:
+                at = names.index("article")
+                groups.setdefault(path[at - 1] if at else -1, set()).add(path[at])
+    articles = max(groups.values(), key=lambda g: sum(mass.get(e, 0) for e in g), default=set())
+    held = sum(mass.get(e, 0) for e in articles)
+    if held >= 0.8 * total and articles:
+        return articles
+    if 2 * sum(mass.get(e, 0) for e in mains) > total:
+        return mains
+    if 2 * held > total:
+        return articles
+    # the deepest element around all content lines, but never a line's own element
+    paths = [path for (_, _, path, _), good in zip(lines, content) if good]
+    common = list(paths[0])
+    for path in paths[1:]:
+        same = 0
+        while same < min(len(common), len(path)) and common[same] == path[same]:
+            same += 1
+        del common[same:]
+    held_lines: dict[int, int] = {}
+    for (_, _, path, _), skip in zip(lines, skipped):
+        for element in () if skip else path:
+            held_lines[element] = held_lines.get(element, 0) + 1
+    while common and (parser.names[common[-1]] not in CONTAINERS or held_lines[common[-1]] < 2):
+        common.pop()
+    return set(common[-1:])
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by newlines."""
     if not html:
@@ -168,32 +236,25 @@ def main_text(html: str | None) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
-    if not any(not skip for *_, skip in lines):
+    hard = [line[3] for line in lines]
+    if all(hard):
         return ""
     ratios = smoothed_ratios(lines)
     cut = threshold(ratios)
-    content = [not line[3] and r >= cut for line, r in zip(lines, ratios)]
+    prose = [not PROSE.isdisjoint(parser.names[e] for e in line[2]) for line in lines]
+    high = [not skip and (r >= cut or p) for skip, r, p in zip(hard, ratios, prose)]
+    if not any(high):
+        high = [not skip for skip in hard]
+    hints = parser.hinted
+    skipped = [skip or not hints.isdisjoint(line[2]) for skip, line in zip(hard, lines)]
+    if all(skipped):
+        return ""
+    content = [not skip and good for skip, good in zip(skipped, high)]
     if not any(content):
-        content = [not line[3] for line in lines]
-    mass: dict[int, int] = {}
-    total = 0
-    for (text, _, path, _), good in zip(lines, content):
-        if good:
-            total += len(text)
-            for element in path:
-                mass[element] = mass.get(element, 0) + len(text)
-    inside = None
-    for wanted in (("article",), ("main",)):
-        named = [e for e in mass if parser.names[e] in wanted]
-        if named and inside is None:
-            best = max(mass[e] for e in named)
-            inside = min(e for e in named if mass[e] == best)  # the outermost
-    if inside is None:
-        # the deepest element that still holds nearly all content
-        deep = [e for e in mass if mass[e] >= 0.8 * total and parser.names[e] != "p"]
-        inside = max(deep, default=None)
+        content = [not skip for skip in skipped]
+    inside = article_elements(parser, lines, skipped, content)
     return "\n".join(
-        text for text, _, path, skip in lines if not skip and (inside is None or inside in path)
+        line[0] for line, skip in zip(lines, skipped) if not skip and (not inside or not inside.isdisjoint(line[2]))
     )
 
 

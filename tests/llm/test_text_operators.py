@@ -266,6 +266,23 @@ def test_article_without_semantic_elements():
     assert main_text(page % (sentence(1, 30), sentence(2, 30))) == f"{sentence(1, 30)}\n{sentence(2, 30)}\nNo."
 
 
+def test_uneven_blocks_keep_the_whole_article():
+    long = sentence(1, 500)
+    rest = f"Title\nshort one\n{long}\nshort two"
+    for a, b in (("<blockquote>", "</blockquote>"), ("<blockquote><p>", "</p></blockquote>"), ("<pre>", "</pre>"),
+                 ("<section>", "</section>"), ("<div>", "</div>"), ("<ul><li>", "</ul>"), ("<table><tr><td>", "</table>")):
+        page = f"<body><div class=menu><a>x</a></div><div><h1>Title</h1><p>short one</p>{a}{long}{b}<p>short two</p></div></body>"
+        assert main_text(page) == rest, a
+    sections = f"<div><section><h2>A</h2><p>{long}</p></section><section><h2>B</h2><p>short</p></section></div>"
+    assert main_text(sections) == f"A\n{long}\nB\nshort"
+    first, second, teaser = sentence(2, 60), sentence(3, 60), sentence(4, 25)
+    card = f"<article><p>{teaser}</p></article>"
+    assert main_text(f"<main><p>{first}</p><p>{second}</p></main>{card}") == f"{first}\n{second}"
+    assert main_text(f"<div><p>{first}</p><p>{second}</p></div><div>{card}</div>").startswith(f"{first}\n{second}")
+    posts = f"<div><article><p>{first}</p></article><article><p>{second}</p></article></div>"
+    assert main_text(posts) == f"{first}\n{second}"
+
+
 def test_pages_on_spark(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain text only"), (4, "u", "plain text only"),
             (None, "u", "<nav>only menu</nav>"), (6, "u", "<p>" * 3000 + "deep" + "<div>" * 3000)]
