@@ -7,6 +7,10 @@ and split into two clusters by a threshold; the lines above it vote for the
 element that holds the article, and every line of that element outside
 boilerplate elements is kept, short paragraphs too.
 
+Class and id words and <form> are evidence only: they do not count on an
+element that holds most of the high-ratio text (of <article> and <main>, if
+the page has them), nor when nothing else is left.
+
 Defined results: NULL or empty HTML gives an empty text; a page without
 content lines gives an empty text; malformed markup is read as far as it goes
 (unclosed elements end with the page); repeated rows are extracted alike; an
@@ -189,6 +193,28 @@ def element_mass(lines, chosen: list[bool]) -> dict[int, int]:
     return mass
 
 
+def without_wrappers(parser: Lines, lines, high: list[bool]) -> set[int]:
+    """The hinted elements that are boilerplate: not those that hold the page's text."""
+    named = [any(parser.names[e] in ("article", "main") for e in line[2]) for line in lines]
+    clean = sum(
+        len(text) for (text, _, path, _), good in zip(lines, high) if good and not parser.hinted.intersection(path)
+    )
+    total = sum(len(line[0]) for line, good in zip(lines, high) if good)
+    mass = element_mass(lines, high)
+    inner = [good and own for good, own in zip(high, named)]
+    inner_total = sum(len(line[0]) for line, good in zip(lines, inner) if good)
+    inner_mass = element_mass(lines, inner)
+    out = set()
+    for e in parser.hinted:
+        if inner_total:
+            wraps = 2 * inner_mass.get(e, 0) > inner_total and mass.get(e, 0) > clean
+        else:
+            wraps = 2 * mass.get(e, 0) > total
+        if not wraps:
+            out.add(e)
+    return out
+
+
 def article_elements(parser: Lines, lines, skipped: list[bool], content: list[bool]) -> set[int]:
     """The elements whose lines are the article; empty for the whole page."""
     mass = element_mass(lines, content)
@@ -245,10 +271,10 @@ def main_text(html: str | None) -> str:
     high = [not skip and (r >= cut or p) for skip, r, p in zip(hard, ratios, prose)]
     if not any(high):
         high = [not skip for skip in hard]
-    hints = parser.hinted
+    hints = without_wrappers(parser, lines, high) if parser.hinted else set()
     skipped = [skip or not hints.isdisjoint(line[2]) for skip, line in zip(hard, lines)]
     if all(skipped):
-        return ""
+        skipped = hard
     content = [not skip and good for skip, good in zip(skipped, high)]
     if not any(content):
         content = [not skip for skip in skipped]

@@ -283,6 +283,21 @@ def test_uneven_blocks_keep_the_whole_article():
     assert main_text(posts) == f"{first}\n{second}"
 
 
+def test_hints_on_wrappers_do_not_empty_the_page():
+    one, two = sentence(1, 60), sentence(2, 60)
+    for body in (f"<p>{one}</p><p>{two}</p>", f"<article><p>{one}</p><p>{two}</p></article>"):
+        inner = f"<div class=menu><a>x</a></div><div>{body}</div><div class=sidebar><p>{sentence(5, 12)}</p></div>"
+        for start, end in (("<div class='layout with-sidebar'>", "</div>"), ("<div class=no-sidebar>", "</div>"),
+                           ("<section class='has-banner'>", "</section>"), ("<div class=content-widget>", "</div>"),
+                           ("<div id=page-login>", "</div>"), ("<form>", "</form>")):
+            assert main_text(f"<body>{start}{inner}{end}</body>") == f"{one}\n{two}", start
+    three = sentence(3, 60)
+    flagged = f"<div class=login><p>{one}</p></div><div class=widget><p>{two}</p></div><div class=share><p>{three}</p></div>"
+    assert main_text(flagged) == f"{one}\n{two}\n{three}"
+    comments = f"<div class=comments><p>{sentence(6, 90)}</p><p>{sentence(7, 90)}</p></div>"
+    assert main_text(f"<article><p>{one}</p></article>{comments}") == one
+
+
 def test_pages_on_spark(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain text only"), (4, "u", "plain text only"),
             (None, "u", "<nav>only menu</nav>"), (6, "u", "<p>" * 3000 + "deep" + "<div>" * 3000)]
