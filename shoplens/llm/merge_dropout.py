@@ -3,10 +3,11 @@
 A text is normalised as the model says (a space in front, spaces as U+2581)
 and cut where no piece of the vocabulary holds the two characters at the cut
 side by side, so merges can never cross.  In each cut the agenda pops the best
-pair of neighbours; a popped merge is skipped if a hash keyed by seed,
-variant, cut text, place and piece falls below the dropout rate.  The same
-seed always gives the same ids; another seed (or variant: documents are spread
-over ``variants`` of them) gives another segmentation.  At rate 0 the ids are
+pair of neighbours; each popped merge is skipped with the dropout rate.  Which
+ones are skipped is drawn for every occurrence of a word, from a hash keyed by
+seed, variant, whole text and place in it (as geometric gaps between skipped
+pops).  The same seed always gives the same ids; another seed (or variant:
+documents are spread over ``variants`` of them) gives another segmentation.  At rate 0 the ids are
 those of the library.  Characters without a piece, and U+2581 itself, are
 spelled in byte pieces, so every text decodes to itself.
 
@@ -18,10 +19,12 @@ columns are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -32,6 +35,7 @@ from shoplens.llm.tokens import packed
 SPACE = "▁"
 WORD = 2**64 - 1
 NEVER = float("-inf")
+GOLDEN = 0x9E3779B97F4A7C15
 SHORT = 48  # characters of a cut whose pairs are scanned
 _TAIL = re.compile(r"[^\W_](?=[.,;:!?#$%&*|)]+\Z)")
 
@@ -60,49 +64,60 @@ class Vocabulary:
         self.simple = not any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in self.neighbours)
 
 
-class MergeCache(dict):
-    """Encoded bytes by cut, for one seed, variant and rate; emptied when it is full."""
+def mixed(h: int) -> int:
+    """The next number of the sequence that starts with ``h``."""
+    x = (h + GOLDEN) & WORD
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & WORD
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & WORD
+    return x ^ (x >> 31)
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 300_000):
-        self.vocabulary, self.limit = vocabulary, limit
-        self.key = xxhash.xxh3_64_intdigest(b"%d:%d" % (seed, variant))
-        self.bar = int(rate * 2**64)
 
-    def skips(self, cut_hash: int, left: int, piece: str) -> bool:
-        """Whether the keyed hash drops the merge at this place."""
-        x = (cut_hash + left * 0x9E3779B97F4A7C15 + self.vocabulary.ids[piece] * 0xC2B2AE3D27D4EB4F) & WORD
-        x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9) & WORD
-        return x ^ (x >> 32) < self.bar
+def bits(mask: int) -> str:
+    """The bits of ``mask``, lowest first."""
+    return bin(mask)[:1:-1]
+
 
-    def segment(self, cut: str) -> list[str]:
-        """Agenda processing with keyed skips."""
-        cut_hash = xxhash.xxh3_64_intdigest(cut.encode("utf-8", "surrogatepass"), self.key) if self.bar else 0
-        return self._scan(cut, cut_hash) if len(cut) <= SHORT else self._agenda(cut, cut_hash)
+class MergeCache:
+    """Encodes texts for one seed, variant and rate.
 
-    def _scan(self, cut: str, cut_hash: int) -> list[str]:
+    Every occurrence of a part draws its own drops: the numbers of the popped
+    merges that are skipped.  What is cached is free of them: the ids and pops
+    of a part by the mask of skipped pops.  Full caches are emptied.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 300_000, caches=None):
+        self.vocabulary, self.limit = vocabulary, limit
+        self.key = xxhash.xxh3_64_intdigest(b"%d:%d" % (seed, variant))
+        self.rate = rate
+        # gaps between skipped pops are geometric: log(u) * scale, rounded down
+        self.scale = 1 / math.log1p(-rate) if 0 < rate < 1 else 0.0
+        self.plain, self.dropped = caches or ({}, {})
+
+    def _scan(self, cut: str, mask: int) -> tuple[list[str], int]:
         """The agenda of a short cut: a list of pair scores, the best found by scanning it."""
-        score, bar = self.vocabulary.scores.get, self.bar
-        symbols, places = list(cut), list(range(len(cut)))
+        score = self.vocabulary.scores.get
+        symbols, pops = list(cut), 0
         pairs = [score(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
         while pairs:
             best = max(pairs)
             if best == NEVER:
                 break
             k = pairs.index(best)
-            piece = symbols[k] + symbols[k + 1]
-            if bar and self.skips(cut_hash, places[k], piece):
+            pops += 1
+            if mask >> (pops - 1) & 1:
                 pairs[k] = NEVER
                 continue
+            piece = symbols[k] + symbols[k + 1]
             symbols[k : k + 2] = [piece]
-            del places[k + 1], pairs[k]
+            del pairs[k]
             if k:
                 pairs[k - 1] = score(symbols[k - 1] + piece, NEVER)
             if k < len(pairs):
                 pairs[k] = score(piece + symbols[k + 1], NEVER)
-        return symbols
+        return symbols, pops
 
-    def _agenda(self, cut: str, cut_hash: int) -> list[str]:
-        scores, bar = self.vocabulary.scores, self.bar
+    def _agenda(self, cut: str, mask: int) -> tuple[list[str], int]:
+        scores, skip, pops = self.vocabulary.scores, bits(mask), 0
         symbols: list[str] = list(cut)
         after = [*range(1, len(symbols)), -1]
         before = [*range(-1, len(symbols) - 1)]
@@ -120,25 +135,27 @@ class MergeCache(dict):
             _, left, right, size = heapq.heappop(agenda)
             if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
                 continue
-            piece = symbols[left] + symbols[right]
-            if bar and self.skips(cut_hash, left, piece):
+            pops += 1
+            if pops <= len(skip) and skip[pops - 1] == "1":
                 continue
+            piece = symbols[left] + symbols[right]
             symbols[left], symbols[right] = piece, ""
             after[left] = after[right]
             if after[left] >= 0:
                 before[after[left]] = left
             propose(before[left], left)
             propose(left, after[left])
-        return [s for s in symbols if s]
+        return [s for s in symbols if s], pops
 
-    def encode_cut(self, cut: str, spaces: int) -> bytes:
-        """Ids of a cut whose first ``spaces`` U+2581 stand for spaces."""
+    def encode_cut(self, cut: str, spaces: int, mask: int) -> tuple[bytes, int]:
+        """Ids of a cut whose first ``spaces`` U+2581 stand for spaces, and its pops."""
         ids, at = [], 0
         marks = SPACE in cut[spaces:]
         body = cut.replace(SPACE, "\0") if marks else cut  # a real U+2581 never merges
         if marks:
             body = cut[:spaces] + body[spaces:]
-        for symbol in self.segment(body):
+        symbols, pops = (self._scan if len(body) <= SHORT else self._agenda)(body, mask)
+        for symbol in symbols:
             i = self.vocabulary.ids.get(symbol)
             if i is not None:
                 ids.append(i)
@@ -146,56 +163,109 @@ class MergeCache(dict):
                 original = cut[at : at + len(symbol)]
                 ids.extend(self.vocabulary.byte_ids[b] for b in original.encode("utf-8", "surrogatepass"))
             at += len(symbol)
-        return packed(ids)
-
-    def __missing__(self, part: str) -> bytes:
-        """A part between single spaces, without them; a line end in front means no space."""
-        if part[:1] == "\n":
-            ids = self.encode_cut("\n", 0) + (self.bare(part[1:]) if len(part) > 1 else b"")
-        else:
-            tail = _TAIL.search(part)
-            if tail and part[tail.start() : tail.start() + 2] not in self.vocabulary.neighbours:
-                ids = self[part[: tail.end()]] + self.bare(part[tail.end() :])
-            else:
-                ids = self.encode_cut(SPACE + part, 1)
-        if len(self) >= self.limit:
-            self.clear()
-        self[part] = ids
-        return ids
-
-    def bare(self, cut: str) -> bytes:
-        """A cut with no space before it, cached apart."""
-        key = " " + cut  # parts never hold a space
-        ids = self.get(key)
-        if ids is None:
-            tail = _TAIL.search(cut)
-            if tail and cut[tail.start() : tail.start() + 2] not in self.vocabulary.neighbours:
-                ids = self.bare(cut[: tail.end()]) + self.bare(cut[tail.end() :])
-            else:
-                ids = self.encode_cut(cut, 0)
-            self[key] = ids
-        return ids
+        return packed(ids), pops
+
+    def cuts(self, part: str, front: bool = True) -> list[tuple[str, int]]:
+        """The cuts of a part between single spaces; a line end in front means no space."""
+        if front and part[:1] == "\n":
+            return [("\n", 0)] + (self.cuts(part[1:], False) if len(part) > 1 else [])
+        tail = _TAIL.search(part)
+        if tail and part[tail.start() : tail.start() + 2] not in self.vocabulary.neighbours:
+            return self.cuts(part[: tail.end()], front) + self.cuts(part[tail.end() :], False)
+        return [(SPACE + part, 1) if front else (part, 0)]
+
+    def encode_cuts(self, cuts: list[tuple[str, int]], mask: int) -> tuple[bytes, int]:
+        """Ids and pops of cuts; the pops are numbered through."""
+        out, pops = [], 0
+        for cut, spaces in cuts:
+            ids, n = self.encode_cut(cut, spaces, mask >> pops)
+            out.append(ids)
+            pops += n
+        return b"".join(out), pops
+
+    def free(self, part: str) -> tuple[bytes, int]:
+        """Ids and pops of a part of which nothing is skipped."""
+        if len(self.plain) >= self.limit:
+            self.plain.clear()
+        found = self.plain[part] = self.encode_cuts(self.cuts(part), 0)
+        return found
+
+    def gap(self, h: int) -> int:
+        return int(math.log(((h >> 11) + 1) * 2.0**-53) * self.scale)
+
+    def skipping(self, part: str, gap: int, h: int) -> bytes:
+        """Ids of an occurrence whose first skipped pop is number ``gap``."""
+        if len(part) > SHORT:
+            return self.skipping_long(self.cuts(part), gap, h)
+        mask, at = 1 << gap, gap
+        while True:
+            found = self.dropped.get((part, mask))
+            if found is None:
+                if len(self.dropped) >= self.limit:
+                    self.dropped.clear()
+                found = self.dropped[part, mask] = self.encode_cuts(self.cuts(part), mask)
+            h = mixed(h)
+            at += 1 + self.gap(h)
+            if at >= found[1]:
+                return found[0]
+            mask |= 1 << at
+
+    def skipping_long(self, cuts: list[tuple[str, int]], gap: int, h: int) -> bytes:
+        """The same in one pass: all numbers that could be reached are drawn before."""
+        most = 3 * sum(len(cut) for cut, _ in cuts)  # a merge proposes two pairs
+        skip = bytearray(b"0") * most
+        while gap < most:
+            skip[most - 1 - gap] = 49
+            h = mixed(h)
+            gap += 1 + self.gap(h)
+        return self.encode_cuts(cuts, int(skip, 2))[0]
+
+    def occurrences(self, text: str, n: int) -> tuple[list[int], list[int]]:
+        """Hash and number of the first skipped pop of each of the text's ``n`` parts."""
+        seed = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), self.key)
+        x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(GOLDEN) + np.uint64(seed)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        u = ((x >> np.uint64(11)) + np.uint64(1)).astype(np.float64) * 2.0**-53
+        return x.tolist(), (np.log(u) * self.scale).astype(np.int64).tolist()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if not self.vocabulary.simple:
-            return self.encode_cut(SPACE + text.replace(" ", SPACE), 1)
+            return self.encode_all(text, [[(SPACE + text.replace(" ", SPACE), 1)]])
         if SPACE in text or "  " in text or " \n" in text or text[0] in " \n" or text[-1] in " \n" or "\n\n" in text:
             return self.encode_slowly(text)
-        return b"".join(map(self.__getitem__, text.replace("\n", " \n").split(" ")))
+        parts = text.replace("\n", " \n").split(" ")
+        get, free = self.plain.get, self.free
+        if self.rate <= 0:
+            return b"".join([(get(p) or free(p))[0] for p in parts])
+        out = []
+        for part, h, gap in zip(parts, *self.occurrences(text, len(parts))):
+            ids, pops = get(part) or free(part)
+            out.append(ids if gap >= pops else self.skipping(part, gap, h))
+        return b"".join(out)
+
+    def encode_all(self, text: str, parts: list[list[tuple[str, int]]]) -> bytes:
+        """Parts given by their cuts, without a cache."""
+        if self.rate <= 0:
+            return b"".join(self.encode_cuts(cuts, 0)[0] for cuts in parts)
+        return b"".join(
+            self.skipping_long(cuts, gap, h) for cuts, h, gap in zip(parts, *self.occurrences(text, len(parts)))
+        )
 
     def encode_slowly(self, text: str) -> bytes:
         """Any text: runs of spaces and marks are told apart by place."""
         out = []
         for line_no, line in enumerate(text.split("\n")):
             if line_no:
-                out.append(self.encode_cut("\n", 0))
+                out.append([("\n", 0)])
             whole = line if line_no else " " + line
             for cut in re.findall(r" +[^ ]*|[^ ]+", whole):
                 spaces = len(cut) - len(cut.lstrip(" "))
-                out.append(self.encode_cut(SPACE * spaces + cut[spaces:], spaces))
-        return b"".join(out)
+                out.append([(SPACE * spaces + cut[spaces:], spaces)])
+        return self.encode_all(text, out)
 
 
 def decode(vocabulary: Vocabulary, ids: list[int]) -> bytes:
@@ -207,12 +277,12 @@ _CACHES: dict[tuple, tuple[Vocabulary, list[MergeCache]]] = {}
 
 
 def merge_caches(path: str, seed: int, rate: float, variants: int) -> tuple[Vocabulary, list[MergeCache]]:
-    """This Python worker's caches, one for each variant."""
+    """This Python worker's encoders, one for each variant, and their shared caches."""
     key = (path, seed, rate, variants)
     if key not in _CACHES:
         vocabulary = Vocabulary(path)
-        limit = 1_000_000 // variants
-        _CACHES[key] = (vocabulary, [MergeCache(vocabulary, seed, v, rate, limit) for v in range(variants)])
+        shared = ({}, {})  # free of seed and variant
+        _CACHES[key] = (vocabulary, [MergeCache(vocabulary, seed, v, rate, 500_000, shared) for v in range(variants)])
     return _CACHES[key]
 
 

@@ -228,6 +228,29 @@ def test_dropout_is_keyed(vocabulary):
     assert len(a.encode(t)) > len(plain.encode(t))
 
 
+def test_occurrences_of_a_word_vary(vocabulary):
+    cache, plain = MergeCache(vocabulary, 7, 0, 0.1), MergeCache(vocabulary, 7, 0, 0.0)
+    word = "understanding"
+    ways = Counter()
+    for k in range(40):
+        text = f"start{k} " + " ".join([word] * 200)
+        ids = list(array("I", cache.encode(text)))
+        assert decode(vocabulary, ids) == text.encode()
+        pieces = [vocabulary.surface[i] for i in ids]
+        at = [i for i, p in enumerate(pieces) if p[:1] == b" "] + [len(ids)]
+        ways.update(tuple(ids[a:b]) for a, b in zip(at, at[1:]) if b"".join(pieces[a:b]) == b" " + word.encode())
+    assert len(ways) > 10
+    # a part is whole if none of its pops is skipped
+    whole, pops = plain.free(word)
+    share = ways[tuple(array("I", whole))] / sum(ways.values())
+    assert share >= 0.9**pops - 0.03
+    long = "x" * 20_000  # one pass gives what the masks give
+    assert decode(vocabulary, list(array("I", cache.encode(long)))) == long.encode()
+    for k in range(50):
+        h, gap = k * 0x9E3779B97F4A7C15 % 2**64, k % pops
+        assert cache.skipping(word, gap, h) == cache.skipping_long(cache.cuts(word), gap, h)
+
+
 def test_merge_dropout_on_spark(spark, vocabulary):
     got = encode_and_decode(documents(spark), MODEL).collect()
     assert Counter(r["doc_id"] for r in got) == Counter(i for i, _ in texts())
