@@ -314,14 +314,17 @@ class Scorer(dict):
         a, b, c = self.model.curve
         value = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * peak + c * some))))
         spans: list[tuple[int, int]] = []
-        if any(o >= 1 for o in odds) and len(text.lower()) == len(text):
+        if any(o >= 1 for o in odds):
+            # U+0130 is two code points in lower case: offsets are those of the text itself
+            place = [i for i, c in enumerate(text) for _ in c.lower()]
             last = -2
             for k, m in enumerate(WORD.finditer(text.lower())):
                 if odds[k] >= 1:
+                    start, end = place[m.start()], place[m.end() - 1] + 1
                     if last == k - 1:
-                        spans[-1] = (spans[-1][0], m.end())
+                        spans[-1] = (spans[-1][0], end)
                     else:
-                        spans.append(m.span())
+                        spans.append((start, end))
                     last = k
         return value, spans
 

@@ -291,6 +291,13 @@ def test_marginals_match_all_labelings():
     assert np.allclose(odds, weight[:, 1] / weight[:, 0], rtol=1e-6)
 
 
+def test_offsets_hold_where_lower_case_is_longer():
+    scorer = Scorer(fit([(t, y) for _, t, y in _labelled(120)]))
+    plain = scorer.score("alpha1 grobnik beta2")[1]
+    assert plain == [(7, 14)]
+    assert scorer.score("\u0130 alpha1 GROBNIK beta2 \u0130")[1] == [(9, 16)]
+
+
 def test_held_out_rule(spark):
     df = spark.range(50).select("id", held_out("id").alias("h"))
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in df.collect())
