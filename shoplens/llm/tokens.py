@@ -9,17 +9,17 @@ from array import array
 ID_BYTES = 4
 # ASCII signs that no pre-token joins to a letter or digit (the apostrophe does).
 _TAIL = re.compile(r"[.,;:!?#$%&*|)]+\Z")
-_ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
+ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|\A[ \n]|[ \n]\Z")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """Byte-level BPE's printable stand-in for each byte (the public scheme)."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_LETTERS = _byte_letters()
+_LETTERS = byte_letters()
 
 
 def packed(ids) -> bytes:
@@ -36,15 +36,19 @@ class WordCache(dict):
     A part is encoded alone, which gives the ids it has in its text: both
     vocabularies used here start a new pre-token at every single space or
     newline.  With ``spaced`` the space before a part belongs to its first
-    token (a part that starts with a newline has none).
+    token (a part that starts with a newline has none).  Strings of special
+    tokens are found as the library finds them (a text that holds one is
+    encoded whole); without ``special`` they are ordinary text.
     """
 
-    def __init__(self, path: str, spaced: bool, limit: int = 800_000):
+    def __init__(self, path: str, spaced: bool, limit: int = 800_000, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one Spark task, one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        self.tokenizer.encode_special_tokens = not special
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.special = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.model = self.tokenizer.model
         self.lead = " " if spaced else ""
         self.limit = limit
@@ -81,15 +85,23 @@ class WordCache(dict):
 
     def encode(self, text: str) -> bytes:
         """All ids of ``text``, packed."""
+        if self.special and self.special.search(text):
+            return self.whole(text)
         if not self.lead:
             return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
         if not text:
             return b""
-        if _ODD_SPACE.search(text):
+        if ODD_SPACE.search(text):
             return self.whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         return self.whole(first) + b"".join(map(self.__getitem__, rest))
 
+    def encode_behind_space(self, text: str) -> bytes:
+        """All ids of a space and ``text``, of a cache with ``spaced``."""
+        if not text or ODD_SPACE.search(text) or (self.special and self.special.search(text)):
+            return self.whole(" " + text)
+        return b"".join(map(self.__getitem__, text.replace("\n", " \n").split(" ")))
+
 
 _CACHES: dict[tuple[str, bool], WordCache] = {}
 

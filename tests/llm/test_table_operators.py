@@ -28,28 +28,39 @@ BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
-def _plain(path):
+def _plain(path, special=True):
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    if not special:
+        t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
 # ---------------------------------------------------------------- tokens
 
 
+@pytest.mark.parametrize("special", [True, False])
 @pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
-def test_cached_ids_are_the_librarys(path, spaced):
-    cache, plain = WordCache(path, spaced, limit=50), _plain(path)
+def test_cached_ids_are_the_librarys(path, spaced, special):
+    cache, plain = WordCache(path, spaced, limit=50, special=special), _plain(path, special)
     alphabet = [" ", "\n", "  ", "\t", "a", "É", "'s", "'", ".", "!!", "42", "-", "_", "ß", "İ", "Σ", "中",
                 "<|endoftext|>", " ", "²", "word", "🙂", "\x1c", " ", "́"]
     rng = np.random.default_rng(1)
     for _ in range(1500):
         t = "".join(alphabet[k] for k in rng.integers(0, len(alphabet), rng.integers(0, 12)))
         assert cache.encode(t) == packed(plain(t)), repr(t)
+        if spaced:
+            assert cache.encode_behind_space(t) == packed(plain(" " + t)), repr(t)
     for _, t in texts():
         assert cache.encode(t or "") == packed(plain(t))
 
 
+@pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
+def test_special_strings_are_found_as_the_library_finds_them(path, spaced):
+    text = "hello <|endoftext|> world"
+    as_text = WordCache(path, spaced, special=False).encode(text)
+    assert WordCache(path, spaced).encode(text) == packed(_plain(path)(text)) != as_text
+
+
 # ---------------------------------------------------------------- packing
 
 
