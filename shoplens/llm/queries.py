@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.llm.alignment import align_documents
 from shoplens.llm.common import ship_package
 from shoplens.llm.fingerprints import fingerprint_documents
 from shoplens.llm.html_main import extract_main_text
@@ -23,7 +24,9 @@ from shoplens.llm.orc_ids import orc_token_ids
 from shoplens.llm.packing import pack_documents
 from shoplens.llm.pii import find_personal_data
 from shoplens.llm.sharding import shard_documents
+from shoplens.llm.token_counts import count_tokens
 from shoplens.llm.toxicity import score_documents
+from shoplens.llm.whitening import whiten
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -77,6 +80,20 @@ def op10_orc_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_token_ids(table(spark, sf_dir, "documents"), vocabulary, end_id=1)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return align_documents(table(spark, sf_dir, "documents"), a, b)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whiten(table(spark, sf_dir, "embeddings"), components=4, scale=256)
+    return rows.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,5 +107,8 @@ QUERIES: dict[str, Query] = {
         op8_toxicity,
         op9_hypergeometric_shards,
         op10_orc_token_ids,
+        op11_token_counts,
+        op12_token_alignment,
+        op13_whitening,
     )
 }

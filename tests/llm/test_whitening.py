@@ -1,0 +1,120 @@
+"""Whitening against dense linear algebra in float64 and against exact integers."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoplens.llm.whitening import eigenvectors, whiten
+
+SCHEMA = "vec_id long, embedding array<float>, label int, x string, n long"
+
+
+def table(spark, rows):
+    return spark.createDataFrame([(i, v, 1, "x", 2) for i, v in rows], SCHEMA).repartition(3)
+
+
+def collected(df):
+    out = {}
+    for r in df.collect():
+        out.setdefault((r["vec_id"], r["component"]), []).append(r)
+    return out
+
+
+def random_rows(seed=0, n=300, d=12):
+    rng = np.random.default_rng(seed)
+    data = (rng.normal(size=(n, d)) * np.linspace(2, 0.2, d)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(data)]
+    return rows + rows[:100] + [(1000 + i, rows[7][1]) for i in range(200)]  # a vector of a third of all rows
+
+
+def test_whitening_matches_dense_algebra(spark):
+    rows = random_rows()
+    bad = [(5000, None), (5001, [1.0] * 11 + [float("nan")]), (5002, [1.0] * 11 + [float("inf")]), (5003, [1.0] * 11 + [None])]
+    found = collected(whiten(table(spark, rows + bad)))
+    x = {i: np.floor(256 * np.array(v, dtype=np.float32).astype(np.float64)).astype(np.int64) for i, v in rows}
+    fit = np.unique(np.stack(list(x.values())), axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    values, vectors = values[::-1][:4], vectors[:, ::-1][:, :4]
+    assert set(found) == {(i, c) for i in x for c in range(1, 5)}
+    assert sum(map(len, found.values())) == 4 * len(rows)
+    sign = {}
+    for (i, c), rs in found.items():
+        expected = (x[i] - sums / n) @ vectors[:, c - 1] / np.sqrt(values[c - 1])
+        for r in rs:
+            s = sign.setdefault(c, np.sign(r["whitened"] * expected))
+            assert r["whitened"] == pytest.approx(s * expected, abs=1e-11)
+            assert r["n"] == n and r["deviation"] == sum(int(y) ** 2 for y in n * x[i] - sums)
+            assert r["explained"] == pytest.approx(values[c - 1] / np.trace(centred.T @ centred / n), rel=1e-12)
+            assert r["identity_error"] < 1e-12
+
+
+def test_degenerate_tables(spark):
+    assert whiten(table(spark, [])).count() == 0
+    assert whiten(table(spark, [(1, None), (2, [])])).count() == 0
+    one = whiten(table(spark, [(1, [0.5, 1.0]), (2, [0.5, 1.0]), (None, [0.5, 1.0])])).collect()
+    assert len(one) == 6 and {(r["n"], r["deviation"], r["whitened"], r["explained"], r["identity_error"]) for r in one} == {
+        (1, 0, None, None, None)
+    }
+    # one direction only, and two lengths that are fitted apart
+    rows = [(i, [float(i), 2.0 * i, 0.0]) for i in range(6)] + [(10 + i, [float(i), float(-i * i)]) for i in range(5)]
+    found = collected(whiten(table(spark, rows)))
+    assert [found[3, c][0]["whitened"] is None for c in (1, 2, 3)] == [False, True, True] and (3, 4) not in found
+    assert found[3, 1][0]["explained"] == pytest.approx(1.0) and found[3, 1][0]["n"] == 6
+    assert found[12, 2][0]["whitened"] is not None and found[12, 1][0]["n"] == 5
+    assert max(r["identity_error"] for rs in found.values() for r in rs) < 1e-12
+
+
+def test_large_entries_stay_exact(spark):
+    rows = [(i, [float(2 ** (40 + i)), float(-(3**i)), 1.0]) for i in range(8)]
+    found = collected(whiten(table(spark, rows)))
+    x = {i: [256 * 2 ** (40 + i), -256 * 3**i, 256] for i in range(8)}
+    sums = [sum(c) for c in zip(*x.values())]
+    for i, v in x.items():
+        assert int(found[i, 1][0]["deviation"]) == sum((8 * a - s) ** 2 for a, s in zip(v, sums))
+    beyond = whiten(table(spark, [(1, [3e38]), (2, [-3e38]), (3, [0.0])])).collect()
+    assert len(beyond) == 3 and all(r["whitened"] is not None for r in beyond)
+
+
+def matrix(values, seed=1):
+    q = np.linalg.qr(np.random.default_rng(seed).normal(size=(len(values), len(values))))[0]
+    a = (q * values) @ q.T
+    return (a + a.T) / 2
+
+
+@pytest.mark.parametrize(
+    "values",
+    [
+        np.arange(1, 33.0) ** 2,
+        np.r_[1 + 1e-10 * np.arange(8), np.arange(2, 26.0)],  # a cluster
+        np.r_[np.ones(10), np.arange(2, 20.0)],  # equal ones
+        np.r_[1, 1, 1 + 1e-7, 1 + 1e-7 + 1e-12, 3, 3, 5],
+        np.ones(12),
+    ],
+)
+def test_eigenvectors_are_right_to_double_precision(values):
+    a = matrix(values)
+    e, x = (m.astype(np.longdouble) for m in eigenvectors(a))
+    size = np.abs(a).max()
+    assert np.abs(a.astype(np.longdouble) @ x - x * e).max() < 4e-15 * size
+    assert np.abs(x.T @ x - np.eye(len(a))).max() < 4e-15
+    assert (np.diff(e) <= 0).all() and np.abs(np.sort(e) - np.sort(values)).max() < 1e-14 * len(a) * values.max()
+
+
+def test_correction_beats_its_single_precision_start():
+    a = matrix(np.arange(1, 65.0))
+    start = np.linalg.eigh(a.astype(np.float32))[1].astype(np.float64)
+    exact = np.linalg.eigh(a)[1]
+    x = eigenvectors(a)[1][:, ::-1]
+    assert np.abs(start - exact * np.sign((start * exact).sum(axis=0))).max() > 1e-7
+    assert np.abs(x - exact * np.sign((x * exact).sum(axis=0))).max() < 1e-13
+
+
+def test_same_components_for_all_rows(spark):
+    """A fold of the rows and a rerun give the same components."""
+    rows = random_rows(3)
+    a, b = whiten(table(spark, rows)), whiten(table(spark, rows[::-1]).withColumn("label", F.lit(2)))
+    left = {(r["vec_id"], r["component"]): r["whitened"] for r in a.collect()}
+    right = {(r["vec_id"], r["component"]): r["whitened"] for r in b.collect()}
+    assert left.keys() == right.keys() and max(abs(left[k] - right[k]) for k in left) < 1e-10
