@@ -6,6 +6,10 @@
     python -m shoplens.jobs daily    --catalog shop --summary /shared/daily            # whole history
     python -m shoplens.jobs daily    --catalog shop --summary /shared/daily --day 2019-11-29
     python -m shoplens.jobs growth   --summary /shared/daily --as-of 2019-11-30 --show
+    python -m shoplens.jobs daily_coupons --catalog shop --summary /shared/coupons --day 2019-11-23 --to-day 2019-11-29
+    python -m shoplens.jobs marketing --summary /shared/coupons --as-of 2019-11-30 --show
+    python -m shoplens.jobs daily_funnel --catalog shop --summary /shared/funnel --day 2019-11-29
+    python -m shoplens.jobs conversion --summary /shared/funnel --show
 
 Tables come from the Hive metastore's catalog (``<db>.t_member`` ...) or from
 Parquet (``<dir>/t_member.parquet`` ...); the search log is text, date strings
@@ -14,11 +18,14 @@ format) or printed as JSON lines with ``--show``: the whole result, one
 partition at a time.  A result that is both written and printed is computed
 once and printed from what was written.
 
-``daily`` keeps the per-day summary of members and orders, partitioned by
-day: without ``--day`` it is built from the whole history, with it that one
-day is computed anew and replaced, so a rerun changes nothing.  ``growth``,
-``growth_complete`` and ``wow`` read it with ``--summary`` instead of the
-tables.
+``daily`` keeps the per-day summary of members and orders, ``daily_coupons``
+that of coupons and ``daily_funnel`` the per-member state of the funnel, each
+as a snapshot table: without ``--day`` it is built from the whole history,
+with it that day (to ``--to-day``) is computed anew and takes the place of the
+stored one, in one step, so a rerun changes nothing, a day that lost its rows
+is gone and a killed job leaves the old table.  ``growth``,
+``growth_complete`` and ``wow``, ``marketing``, and ``conversion`` read these
+with ``--summary`` instead of the tables.
 """
 
 from __future__ import annotations
@@ -31,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shoplens import operators as op
-from shoplens.functions.timewin import DayPartition, days_before, time_window
+from shoplens.functions.timewin import DayPartition, as_datetime, days_before
 from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
 from shoplens.session import build_session
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
 from shoplens.sources.sinks import to_json_lines, write_report
+from shoplens.stored import FunnelState, coupon_summary, growth_summary, read_daily
 
 TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER}
 
@@ -63,8 +71,10 @@ def _need(parser: argparse.ArgumentParser, args) -> None:
         pass
     elif not (args.catalog or args.parquet):
         parser.error(f"{args.job} needs --catalog or --parquet" + (" (or --summary)" if args.job in SUMMARY_JOBS else ""))
-    if args.job == "daily" and not args.summary:
-        parser.error("daily needs --summary")
+    if args.job in KEEPING_JOBS and not args.summary:
+        parser.error(f"{args.job} needs --summary")
+    if args.to_day and not args.day:
+        parser.error("--to-day needs --day")
 
 
 def _partition_day(args):
@@ -73,21 +83,43 @@ def _partition_day(args):
     return DayPartition(args.partition_day, lag_days=args.partition_lag_days)
 
 
-def keep_daily(members: DataFrame, orders: DataFrame, path: str, day=None, partition_day=None) -> None:
-    """Write the per-day summary under ``path``, partitioned by day; with
-    ``day`` compute and replace that one only."""
-    if day is not None:
-        window = time_window(day, days_before(day, -1), partition_day=partition_day)
-        members, orders = members.filter(window), orders.filter(window)
-    write_report(op.daily_activity(members, orders), path, partition_by=["d"])
+def _keep(spark: SparkSession, args, table, partition_day) -> None:
+    """Build or renew the stored table of ``--summary``."""
+    day, last = args.day, args.to_day or args.day
+    if args.job == "daily_funnel":
+        state, tables = FunnelState(spark, args.summary, args.buckets), (table("t_order"), table("t_coupon_member"))
+        if day is None:
+            state.rebuild(*tables)
+            return
+        at = as_datetime(day)
+        while at <= as_datetime(last):
+            state.replace_day(at, *tables, partition_day=partition_day)
+            at = days_before(at, -1)
+        return
+    kept = (growth_summary if args.job == "daily" else coupon_summary)(spark, args.summary)
+    names = ("t_member", "t_order") if args.job == "daily" else ("t_coupon_member",)
+    tables = [table(name) for name in names]
+    if day is None:
+        kept.rebuild(*tables)
+    else:
+        kept.replace_days(day, last, *tables, partition_day=partition_day)
 
 
 def _from_summary(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
-    daily = spark.read.parquet(args.summary)
+    if args.job == "conversion":
+        return {"funnel": FunnelState(spark, args.summary, args.buckets).summary(view=args.view, click=args.click)}
+    # the running totals need all days before the window, the other series do not
+    weeks = {"wow": 14, "marketing": 7}.get(args.job)
+    daily = read_daily(spark, args.summary, days_before(as_of, weeks) if weeks else None)
     if args.job == "growth":
         return {"growth": op.growth_report_from_daily(daily, as_of=as_of)}
     if args.job == "growth_complete":
         return {"growth_complete": op.growth_report_complete_from_daily(daily, as_of=as_of)}
+    if args.job == "marketing":
+        return {
+            "free": op.marketing_free_coupons_from_daily(daily, as_of=as_of),
+            "paid": op.marketing_paid_coupons_from_daily(daily, as_of=as_of),
+        }
     return {
         "registrations": op.wow_daily_registrations_from_daily(daily, as_of=as_of),
         "orders": op.wow_daily_orders_from_daily(daily, as_of=as_of),
@@ -119,8 +151,8 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     def table(name: str) -> DataFrame:
         return _table(spark, args, name)
 
-    if job == "daily":
-        keep_daily(table("t_member"), table("t_order"), args.summary, args.day, pd)
+    if job in KEEPING_JOBS:
+        _keep(spark, args, table, pd)
         return {}
     if job == "member":
         return {"member_overview": op.member_overview(table("t_member"), table("t_order"), table("t_coupon_member"))}
@@ -146,10 +178,9 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     return {"funnel": op.funnel_summary(table("t_order"), table("t_coupon_member"), view=args.view, click=args.click)}
 
 
-JOBS = (
-    "member growth growth_complete wow daily marketing conversion hotwords words standardise quality calendar".split()
-)
-SUMMARY_JOBS = ("growth", "growth_complete", "wow")
+KEEPING_JOBS = ("daily", "daily_coupons", "daily_funnel")
+SUMMARY_JOBS = ("growth", "growth_complete", "wow", "marketing", "conversion")
+JOBS = ["member", *SUMMARY_JOBS, *KEEPING_JOBS, "hotwords", "words", "standardise", "quality", "calendar"]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -158,8 +189,10 @@ def main(argv: list[str] | None = None) -> int:
     src = p.add_mutually_exclusive_group()
     src.add_argument("--catalog", help="database holding t_member, t_order, t_coupon_member")
     src.add_argument("--parquet", help="directory holding <table>.parquet")
-    p.add_argument("--summary", help="folder of the per-day summary (written by daily)")
-    p.add_argument("--day", help="daily: the one day to compute anew (default: all)")
+    p.add_argument("--summary", help="folder of the stored table (written by daily, daily_coupons or daily_funnel)")
+    p.add_argument("--day", help="daily jobs: the day to compute anew (default: all)")
+    p.add_argument("--to-day", help="daily jobs: the last of the days to compute anew (default: --day)")
+    p.add_argument("--buckets", type=int, default=256, help="parts of the funnel state, fixed when it is built")
     p.add_argument("--log", help="search log path (text, tab-separated)")
     p.add_argument("--dates", help="Parquet file or folder with a date column")
     p.add_argument("--column", default="ds", help="the date column")

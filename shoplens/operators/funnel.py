@@ -43,7 +43,7 @@ def funnel_repeat_buyers(
     )
 
 
-def _paid_coupons(coupons: DataFrame) -> DataFrame:
+def paid_coupons(coupons: DataFrame) -> DataFrame:
     return coupons.filter(
         (F.col("coupon_id") != FREE_COUPON_ID) & (F.col("coupon_channel") == CHANNEL_BOUGHT)
     )
@@ -51,11 +51,11 @@ def _paid_coupons(coupons: DataFrame) -> DataFrame:
 
 def funnel_coupon_buyers(coupons: DataFrame) -> DataFrame:
     """Distinct ``member_id`` that bought a paid coupon."""
-    return _paid_coupons(coupons).select("member_id").distinct()
+    return paid_coupons(coupons).select("member_id").distinct()
 
 
 def _buyer_activity(orders: DataFrame, coupons: DataFrame, status: int) -> DataFrame:
-    return member_activity(_completed(orders, status), _paid_coupons(coupons))
+    return member_activity(_completed(orders, status), paid_coupons(coupons))
 
 
 def funnel_repeat_and_coupon(

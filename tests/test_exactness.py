@@ -17,6 +17,7 @@ from shoplens.plans.registry import QUERIES
 from shoplens.schemas import MEMBER, rejected_values
 from shoplens.session import session_builder
 from shoplens.sources.sinks import write_report
+from shoplens.stored import read_daily
 from tests.conftest import SF_SMALL
 from tests.helpers import coupons_df, members_df, orders_df, rows, ts
 
@@ -136,7 +137,7 @@ def test_daily_job_is_safe_to_rerun(spark, capsys):
     want = sorted(tuple(r) for r in op.daily_activity(m, o).collect())
 
     def kept():
-        return sorted(tuple(r) for r in spark.read.parquet(summary).select(*op.daily_activity(m, o).columns).collect())
+        return sorted(tuple(r) for r in read_daily(spark, summary).select(*op.daily_activity(m, o).columns).collect())
 
     assert kept() == want
     for _ in range(2):
