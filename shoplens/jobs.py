@@ -14,7 +14,7 @@
 Tables come from the Hive metastore's catalog (``<db>.t_member`` ...) or from
 Parquet (``<dir>/t_member.parquet`` ...); the search log is text, date strings
 a Parquet file or folder.  Results are written with ``--out`` (any Spark
-format) or printed as JSON lines with ``--show``: the whole result, one
+format), to a catalog table with ``--table``, or printed as JSON lines with ``--show``: the whole result, one
 partition at a time.  A result that is both written and printed is computed
 once and printed from what was written.
 
@@ -43,6 +43,7 @@ from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
 from shoplens.session import build_session
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
 from shoplens.sources.sinks import to_json_lines, write_report
+from shoplens.sources.tables import bucketed_alike, write_table
 from shoplens.stored import FunnelState, coupon_summary, growth_summary, read_daily
 
 TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER}
@@ -59,6 +60,12 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
     return conform(read_parquet_table(spark, args.parquet, name), schema)
 
 
+def _bucketed(spark: SparkSession, args) -> bool:
+    """Whether the catalog's order and coupon tables are bucketed alike by member (views are not)."""
+    names = [f"{args.catalog}.{name}" for name in ("t_order", "t_coupon_member")] if args.catalog else []
+    return bool(names) and bucketed_alike(spark, "member_id", *names)
+
+
 def _need(parser: argparse.ArgumentParser, args) -> None:
     """Stop with a message where a job's input is not named."""
     if args.job in ("hotwords", "words"):
@@ -155,7 +162,8 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
         _keep(spark, args, table, pd)
         return {}
     if job == "member":
-        return {"member_overview": op.member_overview(table("t_member"), table("t_order"), table("t_coupon_member"))}
+        tables = table("t_member"), table("t_order"), table("t_coupon_member")
+        return {"member_overview": op.member_overview(*tables, bucketed=_bucketed(spark, args))}
     if job == "growth":
         return {"growth": op.growth_report(table("t_member"), table("t_order"), as_of=as_of, partition_day=pd)}
     if job == "growth_complete":
@@ -175,7 +183,14 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
             "free": op.marketing_free_coupons(coupons, as_of=as_of, partition_day=pd),
             "paid": op.marketing_paid_coupons(coupons, as_of=as_of, partition_day=pd),
         }
-    return {"funnel": op.funnel_summary(table("t_order"), table("t_coupon_member"), view=args.view, click=args.click)}
+    funnel = op.funnel_summary(
+        table("t_order"),
+        table("t_coupon_member"),
+        view=args.view,
+        click=args.click,
+        bucketed=_bucketed(spark, args),
+    )
+    return {"funnel": funnel}
 
 
 KEEPING_JOBS = ("daily", "daily_coupons", "daily_funnel")
@@ -207,16 +222,25 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--click", type=int, default=800, help="conversion: clicks")
     p.add_argument("--out", help="output folder; one sub-folder per result")
     p.add_argument("--format", default="parquet")
+    p.add_argument("--table", help="catalog table to write to, db.name; with several results db.name_<result>")
+    p.add_argument(
+        "--table-partition", action="append", help="partition column of the table; then only written partitions are replaced"
+    )
     p.add_argument("--show", action="store_true", help="print results as JSON lines")
     args = p.parse_args(argv)
     _need(p, args)
-    spark = build_session(hive=bool(args.catalog))
-    for name, df in _reports(spark, args).items():
+    spark = build_session(hive=bool(args.catalog or args.table))
+    reports = _reports(spark, args)
+    for name, df in reports.items():
+        if args.table:
+            table = args.table if len(reports) == 1 else f"{args.table}_{name}"
+            write_table(df, table, args.table_partition, keep_other_partitions=bool(args.table_partition))
+            df = spark.table(table) if args.show else df
         if args.out:
             path = f"{args.out.rstrip('/')}/{name}"
             write_report(df, path, fmt=args.format)
             df = spark.read.schema(df.schema).format(args.format).load(path) if args.show else df
-        if args.show or not args.out:
+        if args.show or not (args.out or args.table):
             for row in to_json_lines(df).toLocalIterator():
                 print(row["value"])
     return 0

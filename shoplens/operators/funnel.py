@@ -5,7 +5,8 @@ member with a third of all orders is one row after the map-side partial
 aggregate.  Lists that combine orders and coupons (repeat buyers who bought a
 coupon, the summary) come from one aggregate over both tables' rows
 (:func:`member_activity`): one shuffle and no join, so there is nothing to
-skew, sort or broadcast.
+skew, sort or broadcast.  ``bucketed=True`` (both tables stored bucketed alike
+by ``member_id``) also saves that one shuffle.
 """
 
 from __future__ import annotations
@@ -54,16 +55,16 @@ def funnel_coupon_buyers(coupons: DataFrame) -> DataFrame:
     return paid_coupons(coupons).select("member_id").distinct()
 
 
-def _buyer_activity(orders: DataFrame, coupons: DataFrame, status: int) -> DataFrame:
-    return member_activity(_completed(orders, status), paid_coupons(coupons))
+def _buyer_activity(orders: DataFrame, coupons: DataFrame, status: int, bucketed: bool) -> DataFrame:
+    return member_activity(_completed(orders, status), paid_coupons(coupons), bucketed=bucketed)
 
 
 def funnel_repeat_and_coupon(
-    orders: DataFrame, coupons: DataFrame, *, status: int = COMPLETED, min_orders: int = 2
+    orders: DataFrame, coupons: DataFrame, *, status: int = COMPLETED, min_orders: int = 2, bucketed: bool = False
 ) -> DataFrame:
     """Repeat buyers who also bought a paid coupon (NULL never matches)."""
     return (
-        _buyer_activity(orders, coupons, status)
+        _buyer_activity(orders, coupons, status, bucketed)
         .filter((F.col("n") >= min_orders) & known_coupon_holder())
         .select("member_id")
     )
@@ -77,6 +78,7 @@ def funnel_summary(
     click: int = 800,
     status: int = COMPLETED,
     min_orders: int = 2,
+    bucketed: bool = False,
 ) -> DataFrame:
     """One row: ``view, click, order, orderAgain, chargeCoupon``.
 
@@ -87,7 +89,7 @@ def funnel_summary(
     """
     n = F.col("n")
     repeat = n >= min_orders
-    return _buyer_activity(orders, coupons, status).agg(
+    return _buyer_activity(orders, coupons, status, bucketed).agg(
         F.lit(view).cast("bigint").alias("view"),
         F.lit(click).cast("bigint").alias("click"),
         F.count(F.when(F.col("ordered"), True)).alias("order"),

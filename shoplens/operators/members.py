@@ -53,12 +53,12 @@ def _registration_counts(members: DataFrame, null_as_missing: bool) -> DataFrame
     )
 
 
-def _activity_counts(orders: DataFrame, coupons: DataFrame, status: int | None) -> DataFrame:
+def _activity_counts(orders: DataFrame, coupons: DataFrame, status: int | None, bucketed: bool = False) -> DataFrame:
     """One row: ``order``, ``orderAgain`` (members with exactly one / at least
     two orders) and ``coupon`` (distinct members holding a coupon)."""
     if status is not None:
         orders = orders.filter(F.col("order_status") == status)
-    return member_activity(orders, coupons).agg(
+    return member_activity(orders, coupons, bucketed=bucketed).agg(
         F.expr("count(CASE WHEN n = 1 THEN true END) AS `order`"),
         F.expr("count(CASE WHEN n >= 2 THEN true END) AS orderAgain"),
         F.expr(f"count(CASE WHEN {KNOWN_COUPON_HOLDER} THEN true END) AS coupon"),
@@ -77,6 +77,7 @@ def member_heat(
     *,
     status: int | None = None,
     null_as_missing: bool = False,
+    bucketed: bool = False,
 ) -> DataFrame:
     """One row: ``coupon, reg, complete, order, orderAgain``.
 
@@ -84,9 +85,12 @@ def member_heat(
     - reg / complete: members without / with a phone (``'null'`` = without);
     - order / orderAgain: members with exactly one / at least two orders
       (any status unless ``status`` is given).
+
+    ``bucketed``: orders and coupons are stored bucketed alike by
+    ``member_id``, so nothing is shuffled by member.
     """
     rc = _registration_counts(members, null_as_missing)
-    act = _one_row(_activity_counts(orders, coupons, status))
+    act = _one_row(_activity_counts(orders, coupons, status, bucketed))
     # the activity struct is one subquery, referenced once, then unpacked
     return rc.select("reg", "complete", act.alias("a")).select(
         "a.coupon", "reg", "complete", "a.order", "a.orderAgain"
@@ -142,7 +146,7 @@ def member_overview(
             )
         ]
     )
-    act = _one_row(_activity_counts(orders, coupons, heat_options.get("status")))
+    act = _one_row(_activity_counts(orders, coupons, heat_options.get("status"), heat_options.get("bucketed", False)))
     heat = F.struct(
         F.col("a.coupon").alias("coupon"),
         F.col("reg"),
