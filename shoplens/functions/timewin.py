@@ -66,30 +66,54 @@ def day_label(day: Column) -> Column:
     return F.date_format(day, DAY_FORMAT)
 
 
-# Amounts.  A DECIMAL column keeps its own scale.  A floating-point amount
-# below MONEY_EXACT is summed as a decimal of MONEY_SCALE places, so sums are
-# exact and do not depend on the order partitions are combined in; a larger
-# finite one (it has no cents left to lose) goes into a second, floating-point
-# sum; NaN and infinite amounts are in neither and are counted.
+# Amounts.  A DECIMAL column keeps its own scale.  A floating-point amount of
+# whole cents (nearly all are) is summed as cents in two longs, its upper bits
+# and its lower MONEY_BITS: no sum of fewer than 2^42 rows can overflow.  Any
+# other below MONEY_EXACT is summed as a decimal of MONEY_SCALE places.  So
+# sums are exact and do not depend on the order partitions are combined in; a
+# larger finite one (it has no cents left to lose) goes into a third,
+# floating-point sum; NaN and infinite amounts are in none and are counted.
 MONEY_SCALE = 10
 MONEY_EXACT = "1e15"
+MONEY_CENTS = "1e10"
+MONEY_BITS = 20
 
 
-def money_columns(df: DataFrame, amount: str = "origin_price") -> dict[str, str]:
-    """SQL text of ``amount`` (exact part), ``big_amount`` (double) and
-    ``odd_amount`` (1 for NaN or infinity) for an amount column."""
-    kind = df.schema[amount].dataType
+def money_sums(kind: T.DataType, amount: str = "origin_price") -> dict[str, str]:
+    """Aggregates over an amount column of type ``kind`` as SQL text: the parts of
+    :func:`money_total`, ``big_amount`` (double) and ``odd_amounts``."""
     if isinstance(kind, T.DecimalType):
-        exact = f"CAST({amount} AS DECIMAL(38,{max(kind.scale, MONEY_SCALE) if kind.precision - kind.scale <= 28 else kind.scale}))"
-        return {"amount": exact, "big_amount": "CAST(NULL AS DOUBLE)", "odd_amount": "0"}
+        scale = max(kind.scale, MONEY_SCALE) if kind.precision - kind.scale <= 28 else kind.scale
+        return {
+            "exact": f"sum(CAST({amount} AS DECIMAL(38,{scale})))",
+            "big_amount": "sum(CAST(NULL AS DOUBLE))",
+            "odd_amounts": f"count(CASE WHEN false THEN {amount} END)",
+        }
     x = f"CAST({amount} AS DOUBLE)"
+    cents = f"rint({x} * 100D)"
+    # dividing back gives the same double only if the amount's decimal text has at most two places
+    whole = f"abs({x}) < {MONEY_CENTS}D AND {cents} / 100D = {x}"
     return {
-        "amount": f"CASE WHEN abs({x}) < {MONEY_EXACT}D THEN CAST({x} AS DECIMAL(38,{MONEY_SCALE})) END",
-        "big_amount": f"CASE WHEN abs({x}) >= {MONEY_EXACT}D AND abs({x}) < double('Infinity') THEN {x} END",
-        "odd_amount": f"CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN 1 ELSE 0 END",
+        "cents_high": f"sum(CASE WHEN {whole} THEN shiftright(CAST({cents} AS BIGINT), {MONEY_BITS}) END)",
+        "cents_low": f"sum(CASE WHEN {whole} THEN CAST({cents} AS BIGINT) & {2**MONEY_BITS - 1}L END)",
+        "exact": f"sum(CAST({x} AS DECIMAL(38,{MONEY_SCALE}))) FILTER (WHERE abs({x}) < {MONEY_EXACT}D AND NOT ({whole}))",
+        "big_amount": f"sum({x}) FILTER (WHERE abs({x}) >= {MONEY_EXACT}D AND abs({x}) < double('Infinity'))",
+        "odd_amounts": f"count(CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN 1 END)",
     }
 
 
+def money_total(kind: T.DataType) -> str:
+    """SQL text of the exact total of the sums of :func:`money_sums` (NULL without amounts)."""
+    if isinstance(kind, T.DecimalType):
+        return "exact"
+    cents = f"(CAST(cents_high AS DECIMAL(20,0)) * CAST({2**MONEY_BITS} AS DECIMAL(7,0)) + CAST(cents_low AS DECIMAL(20,0)))"
+    part = "DECIMAL(37,10)"
+    return (
+        f"CASE WHEN cents_high IS NULL THEN exact WHEN exact IS NULL THEN CAST({cents} * 0.01BD AS DECIMAL(38,10))"
+        f" ELSE CAST(exact AS {part}) + CAST({cents} * 0.01BD AS {part}) END"
+    )
+
+
 def money_out(exact: Column, big: Column) -> Column:
     """Total of the two sums, rounded to cents once, as DOUBLE (NULL without amounts)."""
     small = F.round(exact, 2).cast("double")

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shoplens.functions.timewin import (
     DayPartition,
@@ -25,8 +26,9 @@ from shoplens.functions.timewin import (
     day_label,
     days_before,
     is_midnight,
-    money_columns,
     money_out,
+    money_sums,
+    money_total,
     require_midnight,
     time_window,
 )
@@ -60,30 +62,34 @@ def growth_daily_orders(
 ) -> DataFrame:
     """Per day from ``as_of - days`` on: ``day, totalOrderCount, gmv``."""
     start = days_before(as_of, days)
-    price = money_columns(orders)
+    kind = orders.schema["origin_price"].dataType
     return (
         orders.filter(time_window(start, partition_day=partition_day))
         .groupBy(day_key(F.col("create_time")).alias("d"))
-        .agg(
-            F.max("order_id").alias("totalOrderCount"),
-            F.expr(f"sum({price['amount']})").alias("g"),
-            F.expr(f"sum({price['big_amount']})").alias("b"),
-        )
+        .agg(F.max("order_id").alias("totalOrderCount"), *_money_aggs(kind))
         .select(
-            day_label(F.col("d")).alias("day"), "totalOrderCount", money_out(F.col("g"), F.col("b")).alias("gmv")
+            day_label(F.col("d")).alias("day"),
+            "totalOrderCount",
+            money_out(F.expr(money_total(kind)), F.col("big_amount")).alias("gmv"),
         )
     )
 
 
+def _money_aggs(kind: T.DataType) -> list[Column]:
+    return [F.expr(f"{sql} AS {name}") for name, sql in money_sums(kind).items() if name != "odd_amounts"]
+
+
 def growth_prior_gmv(
     orders: DataFrame, *, as_of, days: int = 7, partition_day: str | DayPartition | None = None
 ) -> DataFrame:
     """One row: ``totalGmv``, the amount of all orders before the window
     (NULL when there are none)."""
     start = days_before(as_of, days)
-    price = money_columns(orders)
-    return orders.filter(time_window(upper=start, partition_day=partition_day)).agg(
-        money_out(F.expr(f"sum({price['amount']})"), F.expr(f"sum({price['big_amount']})")).alias("totalGmv")
+    kind = orders.schema["origin_price"].dataType
+    return (
+        orders.filter(time_window(upper=start, partition_day=partition_day))
+        .agg(*_money_aggs(kind))
+        .select(money_out(F.expr(money_total(kind)), F.col("big_amount")).alias("totalGmv"))
     )
 
 
@@ -94,9 +100,7 @@ _MEMBER_ROW = (
     "id AS member_id",
     "1 AS is_member",
     "CAST(NULL AS BIGINT) AS order_id",
-    "CAST(NULL AS {amount_type}) AS amount",
-    "CAST(NULL AS DOUBLE) AS big_amount",
-    "0 AS odd_amount",
+    "CAST(NULL AS {price_type}) AS price",
     "0 AS is_order",
 )
 _ORDER_ROW = (
@@ -104,9 +108,7 @@ _ORDER_ROW = (
     "CAST(NULL AS BIGINT) AS member_id",
     "0 AS is_member",
     "order_id",
-    "{amount} AS amount",
-    "{big_amount} AS big_amount",
-    "{odd_amount} AS odd_amount",
+    "origin_price AS price",
     "1 AS is_order",
 )
 
@@ -123,10 +125,6 @@ def _day_text(edge) -> str:
     )
 
 
-def _sql_type(df: DataFrame, expression: str) -> str:
-    return df.selectExpr(f"{expression} AS x").schema["x"].dataType.simpleString()
-
-
 def _tagged(rows: DataFrame, cond: Column, columns: tuple[str, ...], values: dict[str, str]) -> DataFrame:
     return rows.filter(cond).selectExpr(*[c.format(**values) for c in columns])
 
@@ -138,9 +136,6 @@ _DAILY_AGGS = (
     "sum(is_order) AS order_rows",
     "count(order_id) AS orders",
     "max(order_id) AS max_order_id",
-    "sum(amount) AS amount",
-    "sum(big_amount) AS big_amount",
-    "sum(odd_amount) AS odd_amounts",
 )
 
 # Every summary column is a sum or a maximum, so summaries of disjoint row
@@ -184,14 +179,16 @@ def daily_activity(
     """
     m_cond = time_window(members_since, until, partition_day=partition_day)
     o_cond = time_window(upper=until, partition_day=partition_day)
-    price = money_columns(orders)
-    values = price | {"d": _day_text(edge), "amount_type": _sql_type(orders, price["amount"])}
+    kind = orders.schema["origin_price"].dataType
+    values = {"d": _day_text(edge), "price_type": kind.simpleString()}
+    money = [f"{sql} AS {name}" for name, sql in money_sums(kind, "price").items()]
     return (
         _tagged(members, m_cond, _MEMBER_ROW, values)
         .unionByName(_tagged(orders, o_cond, _ORDER_ROW, values))
         .groupBy("d")
-        .agg(*[F.expr(e) for e in _DAILY_AGGS])
+        .agg(*[F.expr(e) for e in (*_DAILY_AGGS, *money)])
         .filter(F.col("d").isNotNull())
+        .selectExpr(*[f"{money_total(kind)} AS amount" if c == "amount" else c for c in ("d", *_MERGE)])
     )
 
 

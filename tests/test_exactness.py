@@ -192,3 +192,34 @@ def test_small_results_are_not_range_partitioned(spark, name):
     assert P.count_nodes(df, r"rangepartitioning") == 0
     assert P.exchanges(df) <= 3
     assert len([s for s in P.scans(df) if s["table"] == "customer.parquet"]) <= 1
+
+
+@pytest.mark.parametrize(
+    "prices",
+    [
+        [0.01, 0.1, 0.29, 1.15, 4.35, 9.99, 1e9 + 0.45, 9_999_999_999.99, 1e10, 1e10 + 0.5],
+        [-0.01, -5.55, 12.34, -9_999_999_999.99, -0.0, 0.0],
+        [0.004, 0.005, 1 / 3, 2.675, 1e-11, 1e-9, 123.456, 0.1 + 0.2],
+        [1e14 + 0.25, 1e13 + 0.01, 5e14, 999.995, 7.0],
+        [1048575.99, 1048576.0, 10485.75, 10485.76, -10485.76, -10485.77],
+    ],
+)
+def test_totals_equal_decimal_sums(spark, prices):
+    o = _prices(spark, prices * 37)
+    text = [Decimal(repr(p)).quantize(Decimal("1e-10"), rounding="ROUND_HALF_UP") for p in prices]
+    daily = op.daily_activity(members_df(spark, []), o).first()
+    assert daily["amount"] == 37 * sum(text)
+    old = o.agg(F.expr("round(sum(CAST(origin_price AS DECIMAL(38,10))), 2)").cast("double")).first()[0]
+    assert rows(op.growth_prior_gmv(o, as_of=AS_OF)) == [(old,)]
+
+
+def test_cents_do_not_overflow_their_sums(spark):
+    from shoplens.functions.timewin import MONEY_BITS, money_sums, money_total
+
+    rows_ = 2**42
+    most = 10**12 - 1  # cents below 1e10
+    assert (most >> MONEY_BITS) * rows_ < 2**63 and (2**MONEY_BITS - 1) * rows_ < 2**63
+    high, low = (most >> MONEY_BITS) * rows_, (most & (2**MONEY_BITS - 1)) * rows_
+    sums = spark.createDataFrame([(high, low, None)], "cents_high long, cents_low long, exact decimal(38,10)")
+    assert sums.selectExpr(money_total(T.DoubleType())).first()[0] == Decimal(most * rows_) / 100
+    assert set(money_sums(T.DoubleType())) == {"cents_high", "cents_low", "exact", "big_amount", "odd_amounts"}
