@@ -79,29 +79,41 @@ MONEY_CENTS = "1e10"
 MONEY_BITS = 20
 
 
-def money_sums(kind: T.DataType, amount: str = "origin_price") -> dict[str, str]:
-    """Aggregates over an amount column of type ``kind`` as SQL text: the parts of
-    :func:`money_total`, ``big_amount`` (double) and ``odd_amounts``."""
+def money_rows(kind: T.DataType, amount: str = "origin_price") -> dict[str, str]:
+    """What :func:`money_sums` adds up, per row, as SQL text: ``cents`` (a long) and ``rest``
+    (the amount itself where it is not in ``cents``)."""
     if isinstance(kind, T.DecimalType):
         scale = max(kind.scale, MONEY_SCALE) if kind.precision - kind.scale <= 28 else kind.scale
-        return {
-            "exact": f"sum(CAST({amount} AS DECIMAL(38,{scale})))",
-            "big_amount": "sum(CAST(NULL AS DOUBLE))",
-            "odd_amounts": f"count(CASE WHEN false THEN {amount} END)",
-        }
-    x = f"CAST({amount} AS DOUBLE)"
+        return {"cents": "CAST(NULL AS BIGINT)", "rest": f"CAST({amount} AS DECIMAL(38,{scale}))"}
+    x = amount if isinstance(kind, T.DoubleType) else f"CAST({amount} AS DOUBLE)"
     cents = f"rint({x} * 100D)"
     # dividing back gives the same double only if the amount's decimal text has at most two places
     whole = f"abs({x}) < {MONEY_CENTS}D AND {cents} / 100D = {x}"
     return {
-        "cents_high": f"sum(CASE WHEN {whole} THEN shiftright(CAST({cents} AS BIGINT), {MONEY_BITS}) END)",
-        "cents_low": f"sum(CASE WHEN {whole} THEN CAST({cents} AS BIGINT) & {2**MONEY_BITS - 1}L END)",
-        "exact": f"sum(CAST({x} AS DECIMAL(38,{MONEY_SCALE}))) FILTER (WHERE abs({x}) < {MONEY_EXACT}D AND NOT ({whole}))",
-        "big_amount": f"sum({x}) FILTER (WHERE abs({x}) >= {MONEY_EXACT}D AND abs({x}) < double('Infinity'))",
-        "odd_amounts": f"count(CASE WHEN isnan({x}) OR abs({x}) = double('Infinity') THEN 1 END)",
+        "cents": f"CASE WHEN {whole} THEN CAST({cents} AS BIGINT) END",
+        "rest": f"CASE WHEN {whole} THEN NULL ELSE {x} END",
     }
 
 
+def money_sums(kind: T.DataType) -> dict[str, str]:
+    """Aggregates over the columns of :func:`money_rows` as SQL text: the parts of
+    :func:`money_total`, and ``big_amount`` (double)."""
+    if isinstance(kind, T.DecimalType):
+        return {"exact": "sum(rest)", "big_amount": "sum(CAST(NULL AS DOUBLE))"}
+    return {
+        "cents_high": f"sum(shiftright(cents, {MONEY_BITS}))",
+        "cents_low": f"sum(cents & {2**MONEY_BITS - 1}L)",
+        "exact": f"sum(CAST(rest AS DECIMAL(38,{MONEY_SCALE}))) FILTER (WHERE abs(rest) < {MONEY_EXACT}D)",
+        "big_amount": f"sum(rest) FILTER (WHERE abs(rest) >= {MONEY_EXACT}D AND abs(rest) < double('Infinity'))",
+    }
+
+
+def money_odd(kind: T.DataType) -> str:
+    """Aggregate that counts NaN and infinite amounts, as SQL text."""
+    odd = "false" if isinstance(kind, T.DecimalType) else "isnan(rest) OR abs(rest) = double('Infinity')"
+    return f"count(CASE WHEN {odd} THEN 1 END)"
+
+
 def money_total(kind: T.DataType) -> str:
     """SQL text of the exact total of the sums of :func:`money_sums` (NULL without amounts)."""
     if isinstance(kind, T.DecimalType):

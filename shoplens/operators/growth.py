@@ -26,7 +26,9 @@ from shoplens.functions.timewin import (
     day_label,
     days_before,
     is_midnight,
+    money_odd,
     money_out,
+    money_rows,
     money_sums,
     money_total,
     require_midnight,
@@ -65,8 +67,9 @@ def growth_daily_orders(
     kind = orders.schema["origin_price"].dataType
     return (
         orders.filter(time_window(start, partition_day=partition_day))
-        .groupBy(day_key(F.col("create_time")).alias("d"))
-        .agg(F.max("order_id").alias("totalOrderCount"), *_money_aggs(kind))
+        .selectExpr("to_date(create_time) AS d", "order_id", *_named(money_rows(kind)))
+        .groupBy("d")
+        .agg(*map(F.expr, ("max(order_id) AS totalOrderCount", *_named(money_sums(kind)))))
         .select(
             day_label(F.col("d")).alias("day"),
             "totalOrderCount",
@@ -75,8 +78,8 @@ def growth_daily_orders(
     )
 
 
-def _money_aggs(kind: T.DataType) -> list[Column]:
-    return [F.expr(f"{sql} AS {name}") for name, sql in money_sums(kind).items() if name != "odd_amounts"]
+def _named(columns: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in columns.items()]
 
 
 def growth_prior_gmv(
@@ -88,7 +91,8 @@ def growth_prior_gmv(
     kind = orders.schema["origin_price"].dataType
     return (
         orders.filter(time_window(upper=start, partition_day=partition_day))
-        .agg(*_money_aggs(kind))
+        .selectExpr(*_named(money_rows(kind)))
+        .agg(*map(F.expr, _named(money_sums(kind))))
         .select(money_out(F.expr(money_total(kind)), F.col("big_amount")).alias("totalGmv"))
     )
 
@@ -100,7 +104,8 @@ _MEMBER_ROW = (
     "id AS member_id",
     "1 AS is_member",
     "CAST(NULL AS BIGINT) AS order_id",
-    "CAST(NULL AS {price_type}) AS price",
+    "CAST(NULL AS BIGINT) AS cents",
+    "CAST(NULL AS {rest_type}) AS rest",
     "0 AS is_order",
 )
 _ORDER_ROW = (
@@ -108,7 +113,8 @@ _ORDER_ROW = (
     "CAST(NULL AS BIGINT) AS member_id",
     "0 AS is_member",
     "order_id",
-    "origin_price AS price",
+    "{cents} AS cents",
+    "{rest} AS rest",
     "1 AS is_order",
 )
 
@@ -180,13 +186,14 @@ def daily_activity(
     m_cond = time_window(members_since, until, partition_day=partition_day)
     o_cond = time_window(upper=until, partition_day=partition_day)
     kind = orders.schema["origin_price"].dataType
-    values = {"d": _day_text(edge), "price_type": kind.simpleString()}
-    money = [f"{sql} AS {name}" for name, sql in money_sums(kind, "price").items()]
+    money = money_rows(kind)
+    values = money | {"d": _day_text(edge), "rest_type": orders.selectExpr(money["rest"]).schema[0].dataType.simpleString()}
+    sums = _named(money_sums(kind) | {"odd_amounts": money_odd(kind)})
     return (
         _tagged(members, m_cond, _MEMBER_ROW, values)
         .unionByName(_tagged(orders, o_cond, _ORDER_ROW, values))
         .groupBy("d")
-        .agg(*[F.expr(e) for e in (*_DAILY_AGGS, *money)])
+        .agg(*[F.expr(e) for e in (*_DAILY_AGGS, *sums)])
         .filter(F.col("d").isNotNull())
         .selectExpr(*[f"{money_total(kind)} AS amount" if c == "amount" else c for c in ("d", *_MERGE)])
     )
