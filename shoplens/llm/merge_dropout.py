@@ -1,15 +1,21 @@
 """SentencePiece (merge type) encoding with seeded merge-dropout, and lossless decoding.
 
 A text is normalised as the model says (a space in front, spaces as U+2581)
-and cut where no piece of the vocabulary holds the two characters at the cut
-side by side, so merges can never cross.  In each cut the agenda pops the best
-pair of neighbours; each popped merge is skipped with the dropout rate.  Which
-ones are skipped is drawn for every occurrence of a word, from a hash keyed by
-seed, variant, whole text and place in it (as geometric gaps between skipped
-pops).  The same seed always gives the same ids; another seed (or variant:
-documents are spread over ``variants`` of them) gives another segmentation.  At rate 0 the ids are
-those of the library.  Characters without a piece, and U+2581 itself, are
-spelled in byte pieces, so every text decodes to itself.
+and cut into parts in front of spaces and around line ends, where no piece of
+the vocabulary goes on, so merges never cross.  In each part the agenda pops
+the best pair of neighbours (ties: the left one); a keyed hash of seed,
+variant, whole text, the part's place in it and the number of the pop decides
+whether this merge is skipped.  So every occurrence of a word draws for every
+candidate merge anew.  The same seed always gives the same ids; another seed
+(or variant: documents are spread over ``variants`` of them) gives another
+segmentation.  At rate 0 the ids are those of the library.  Characters without
+a piece, and U+2581 itself, are spelled in byte pieces, so every text decodes
+to itself.
+
+The agendas of many parts run side by side, one array row each: a step pops
+the best pair of every row.  Very long parts use a heap.  What is cached (and
+emptied when full) is free of draws: a part's ids and number of pops when
+nothing is skipped.
 
 Defined results: NULL text is the empty text (no ids); repeated rows are
 encoded alike; a NULL id uses variant 0; an empty table gives no rows; other
@@ -19,7 +25,6 @@ columns are ignored.
 from __future__ import annotations
 
 import heapq
-import math
 import re
 import zlib
 from array import array
@@ -30,14 +35,59 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.tokens import packed
+from shoplens.llm.tokens import ID_BYTES
 
 SPACE = "▁"
+MARK = "\ud800"  # stands for a real U+2581; no text of Spark holds a surrogate
 WORD = 2**64 - 1
-NEVER = float("-inf")
-GOLDEN = 0x9E3779B97F4A7C15
-SHORT = 48  # characters of a cut whose pairs are scanned
-_TAIL = re.compile(r"[^\W_](?=[.,;:!?#$%&*|)]+\Z)")
+PLACE_STEP, POP_STEP = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
+NONE = np.int32(2**31 - 1)
+PAD = np.int32(-1)
+WIDTHS = (6, 9, 13, 20, 32, 48)  # characters of the parts that run side by side
+ROWS = 8192
+PARTS = 100_000  # parts of texts encoded at a time
+
+
+class PairTable:
+    """Pairs of symbols and what they merge to, as a hash table in arrays."""
+
+    def __init__(self, pairs: dict[tuple[int, int], int]):
+        self.bits = max(4, (8 * max(1, len(pairs)) - 1).bit_length())
+        self.keys = np.full((1 << self.bits) + len(pairs), -1, dtype=np.int64)
+        self.values = np.full(len(self.keys), NONE, dtype=np.int32)
+        left = np.array([k[0] for k in pairs], dtype=np.int64)
+        right = np.array([k[1] for k in pairs], dtype=np.int64)
+        keys, values = left << 22 | right, np.fromiter(pairs.values(), np.int32, len(pairs))
+        slots = self._slots(keys)
+        self.tries = 0
+        while len(keys):  # each free slot takes one key, the others go to the next slot
+            self.tries += 1
+            _, first = np.unique(slots, return_index=True)
+            first = first[self.keys[slots[first]] < 0]
+            self.keys[slots[first]], self.values[slots[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values, slots = keys[rest], values[rest], slots[rest] + 1
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(PLACE_STEP)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What each pair merges to, NONE for pairs that do not."""
+        keys = left.astype(np.int64) << 22 | right
+        slots = self._slots(keys)
+        found, out = self.keys[slots], self.values[slots]
+        out = np.where(found == keys, out, NONE)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        for _ in range(self.tries):
+            if not len(open_):
+                break
+            slots[open_] += 1
+            found = self.keys[slots[open_]]
+            hit = found == keys[open_]
+            out[open_[hit]] = self.values[slots[open_[hit]]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
 
 
 class Vocabulary:
@@ -49,223 +99,256 @@ class Vocabulary:
         self.processor = sp = SentencePieceProcessor(model_file=path)
         size = sp.get_piece_size()
         names = [sp.id_to_piece(i) for i in range(size)]
-        self.ids, self.scores, self.byte_ids, self.surface = {}, {}, {}, []
+        self.ids, self.byte_ids, self.surface, scores = {}, {}, [], {}
         for i, name in enumerate(names):
             raw = b""
             if sp.is_byte(i):
                 raw = bytes([int(name[3:5], 16)])
                 self.byte_ids[raw[0]] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                self.ids[name], self.scores[name] = i, sp.get_score(i)
+                self.ids[name], scores[name] = i, sp.get_score(i)
                 raw = name.replace(SPACE, " ").encode()
             self.surface.append(raw)
-        self.neighbours = {name[k : k + 2] for name in self.ids for k in range(len(name) - 1)}
-        # cutting at line ends and behind inner spaces is right for this vocabulary
-        self.simple = not any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in self.neighbours)
-
-
-def mixed(h: int) -> int:
-    """The next number of the sequence that starts with ``h``."""
-    x = (h + GOLDEN) & WORD
-    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & WORD
-    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & WORD
-    return x ^ (x >> 31)
-
-
-def bits(mask: int) -> str:
-    """The bits of ``mask``, lowest first."""
-    return bin(mask)[:1:-1]
+        # symbols are numbered by token id; a character without a piece is size + its code point
+        self.size = size
+        ranks = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
+        self.rank = np.full(size, NONE, dtype=np.int32)
+        self.symbol = np.arange(size, size + 0x110000, dtype=np.int32)
+        for name, i in self.ids.items():
+            self.rank[i] = ranks[scores[name]]
+            if len(name) == 1:
+                self.symbol[ord(name)] = i
+        self.merged = {
+            (self.ids[name[:k]], self.ids[name[k:]]): i
+            for name, i in self.ids.items()
+            for k in range(1, len(name))
+            if name[:k] in self.ids and name[k:] in self.ids
+        }
+        self.pairs = PairTable(self.merged)
+        meets = {name[k : k + 2] for name in self.ids for k in range(len(name) - 1)}
+        # where no piece goes on: in front of spaces and around line ends
+        cuts = not any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in meets)
+        self.cut = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+") if cuts else None
+
+    def parts(self, text: str) -> list[str]:
+        if not text:
+            return []
+        if SPACE in text:
+            text = text.replace(SPACE, MARK)
+        text = SPACE + text.replace(" ", SPACE)
+        return self.cut.findall(text) if self.cut else [text]
+
+    def symbols(self, part: str) -> np.ndarray:
+        return self.symbol[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def ids_of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of final symbols, and how many each symbol has."""
+        odd = np.flatnonzero(symbols >= self.size)
+        n = np.ones(len(symbols), dtype=np.int64)
+        if not len(odd):
+            return symbols.astype("<u4"), n
+        spelled = {}
+        for code in np.unique(symbols[odd]).tolist():
+            c = chr(code - self.size)
+            spelled[code] = [self.byte_ids[b] for b in (SPACE if c == MARK else c).encode("utf-8", "surrogatepass")]
+        n[odd] = [len(spelled[c]) for c in symbols[odd].tolist()]
+        ids = np.repeat(symbols, n).astype("<u4")
+        ends = np.cumsum(n)
+        for end, code in zip(ends[odd].tolist(), symbols[odd].tolist()):
+            ids[end - len(spelled[code]) : end] = spelled[code]
+        return ids, n
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A hash of each 64-bit number."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 class MergeCache:
-    """Encodes texts for one seed, variant and rate.
-
-    Every occurrence of a part draws its own drops: the numbers of the popped
-    merges that are skipped.  What is cached is free of them: the ids and pops
-    of a part by the mask of skipped pops.  Full caches are emptied.
-    """
+    """Encodes texts for one seed, variant and rate."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 300_000, caches=None):
+    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 400_000, plain=None):
         self.vocabulary, self.limit = vocabulary, limit
         self.key = xxhash.xxh3_64_intdigest(b"%d:%d" % (seed, variant))
-        self.rate = rate
-        # gaps between skipped pops are geometric: log(u) * scale, rounded down
-        self.scale = 1 / math.log1p(-rate) if 0 < rate < 1 else 0.0
-        self.plain, self.dropped = caches or ({}, {})
-
-    def _scan(self, cut: str, mask: int) -> tuple[list[str], int]:
-        """The agenda of a short cut: a list of pair scores, the best found by scanning it."""
-        score = self.vocabulary.scores.get
-        symbols, pops = list(cut), 0
-        pairs = [score(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
-        while pairs:
-            best = max(pairs)
-            if best == NEVER:
-                break
-            k = pairs.index(best)
-            pops += 1
-            if mask >> (pops - 1) & 1:
-                pairs[k] = NEVER
-                continue
-            piece = symbols[k] + symbols[k + 1]
-            symbols[k : k + 2] = [piece]
-            del pairs[k]
-            if k:
-                pairs[k - 1] = score(symbols[k - 1] + piece, NEVER)
-            if k < len(pairs):
-                pairs[k] = score(piece + symbols[k + 1], NEVER)
-        return symbols, pops
-
-    def _agenda(self, cut: str, mask: int) -> tuple[list[str], int]:
-        scores, skip, pops = self.vocabulary.scores, bits(mask), 0
-        symbols: list[str] = list(cut)
-        after = [*range(1, len(symbols)), -1]
-        before = [*range(-1, len(symbols) - 1)]
-        agenda: list[tuple[float, int, int, int]] = []
+        # the pop of a part with hash h is skipped if the hash of h + number * POP_STEP is below
+        self.below = min(WORD, max(0, int(rate * 2.0**64)))
+        self.plain = {} if plain is None else plain
+
+    def skips(self, h: np.ndarray, pop: np.ndarray) -> np.ndarray:
+        """Whether pop number ``pop`` (from 0) of a part with hash ``h`` is skipped."""
+        if not self.below:
+            return np.zeros(len(h), bool)
+        return mixed(h + (pop.astype(np.uint64) + np.uint64(1)) * np.uint64(POP_STEP)) <= np.uint64(self.below)
+
+    # --- agendas
+
+    def side_by_side(self, parts: list[str], width: int, h: np.ndarray | None):
+        """Final symbols of parts of at most ``width`` characters (PAD at the end), and their pops."""
+        rank, pairs, n = self.vocabulary.rank, self.vocabulary.pairs, len(parts)
+        lengths = np.fromiter(map(len, parts), np.int64, n)
+        out = np.full((n, width + 1), PAD, dtype=np.int32)
+        out[np.arange(width + 1) < lengths[:, None]] = self.vocabulary.symbols("".join(parts))
+        pops = np.zeros(n, dtype=np.int64)
+        rows, s, columns = np.arange(n), out, np.arange(width + 1)
+
+        def ranks(left, right):
+            merged = pairs.get(left, right)
+            return np.where(merged == NONE, NONE, rank[np.where(merged == NONE, 0, merged)])
+
+        r = np.full((n, width + 1), NONE, dtype=np.int32)
+        at = np.flatnonzero((s[:, 1:] != PAD).ravel())
+        i, k = np.divmod(at, width)
+        r[i, k] = ranks(s[i, k], s[i, k + 1])
+        while True:
+            k = r.argmin(axis=1)
+            line = np.arange(len(rows))
+            live = r[line, k] != NONE
+            if not live.all():
+                out[rows[~live]] = s[~live]
+                if not live.any():
+                    return out, pops
+                rows, s, r, k = rows[live], s[live], r[live], k[live]
+                line = np.arange(len(rows))
+            if h is not None:
+                skip = self.skips(h[rows], pops[rows])
+                r[line[skip], k[skip]] = NONE
+                line, k = line[~skip], k[~skip]
+            pops[rows] += 1
+            piece = pairs.get(s[line, k], s[line, k + 1])
+            # the columns behind the pair move up by one
+            source = np.minimum(columns + (columns > k[:, None]), width)
+            s[line] = np.take_along_axis(s[line], source, axis=1)
+            r[line] = np.take_along_axis(r[line], source, axis=1)
+            s[line, k] = piece
+            s[line, width] = PAD
+            r[line, width] = NONE
+            r[line, k] = ranks(piece, s[line, np.minimum(k + 1, width)])
+            front = k > 0
+            line, k, piece = line[front], k[front], piece[front]
+            r[line, k - 1] = ranks(s[line, k - 1], piece)
+
+    def by_heap(self, part: str, h: int | None) -> tuple[np.ndarray, int]:
+        """Final symbols and pops of one part of any length."""
+        rank, merged = self.vocabulary.rank, self.vocabulary.merged
+        symbols: list[int] = self.vocabulary.symbols(part).tolist()
+        after, before = [*range(1, len(symbols)), -1], [*range(-1, len(symbols) - 1)]
+        agenda: list[tuple[int, int, int, int]] = []
+        pops, drawn = 0, np.zeros(0, bool)
 
         def propose(left: int, right: int) -> None:
             if left >= 0 and right >= 0:
-                score = scores.get(symbols[left] + symbols[right])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, right, len(symbols[left]) + len(symbols[right])))
+                piece = merged.get((symbols[left], symbols[right]))
+                if piece is not None:
+                    heapq.heappush(agenda, (int(rank[piece]), left, symbols[left], symbols[right]))
 
         for k in range(len(symbols) - 1):
             propose(k, k + 1)
         while agenda:
-            _, left, right, size = heapq.heappop(agenda)
-            if not symbols[left] or not symbols[right] or len(symbols[left]) + len(symbols[right]) != size:
+            _, left, a, b = heapq.heappop(agenda)
+            right = after[left]
+            if symbols[left] != a or right < 0 or symbols[right] != b:
                 continue
+            if h is not None:
+                if pops >= len(drawn):
+                    more = np.arange(len(drawn), 2 * len(drawn) + 1024)
+                    drawn = np.concatenate([drawn, self.skips(np.full(len(more), h, dtype=np.uint64), more)])
+                skip = drawn[pops]
             pops += 1
-            if pops <= len(skip) and skip[pops - 1] == "1":
+            if h is not None and skip:
                 continue
-            piece = symbols[left] + symbols[right]
-            symbols[left], symbols[right] = piece, ""
+            symbols[left], symbols[right] = merged[a, b], -1
             after[left] = after[right]
             if after[left] >= 0:
                 before[after[left]] = left
             propose(before[left], left)
             propose(left, after[left])
-        return [s for s in symbols if s], pops
-
-    def encode_cut(self, cut: str, spaces: int, mask: int) -> tuple[bytes, int]:
-        """Ids of a cut whose first ``spaces`` U+2581 stand for spaces, and its pops."""
-        ids, at = [], 0
-        marks = SPACE in cut[spaces:]
-        body = cut.replace(SPACE, "\0") if marks else cut  # a real U+2581 never merges
-        if marks:
-            body = cut[:spaces] + body[spaces:]
-        symbols, pops = (self._scan if len(body) <= SHORT else self._agenda)(body, mask)
-        for symbol in symbols:
-            i = self.vocabulary.ids.get(symbol)
-            if i is not None:
-                ids.append(i)
-            else:
-                original = cut[at : at + len(symbol)]
-                ids.extend(self.vocabulary.byte_ids[b] for b in original.encode("utf-8", "surrogatepass"))
-            at += len(symbol)
-        return packed(ids), pops
-
-    def cuts(self, part: str, front: bool = True) -> list[tuple[str, int]]:
-        """The cuts of a part between single spaces; a line end in front means no space."""
-        if front and part[:1] == "\n":
-            return [("\n", 0)] + (self.cuts(part[1:], False) if len(part) > 1 else [])
-        tail = _TAIL.search(part)
-        if tail and part[tail.start() : tail.start() + 2] not in self.vocabulary.neighbours:
-            return self.cuts(part[: tail.end()], front) + self.cuts(part[tail.end() :], False)
-        return [(SPACE + part, 1) if front else (part, 0)]
-
-    def encode_cuts(self, cuts: list[tuple[str, int]], mask: int) -> tuple[bytes, int]:
-        """Ids and pops of cuts; the pops are numbered through."""
-        out, pops = [], 0
-        for cut, spaces in cuts:
-            ids, n = self.encode_cut(cut, spaces, mask >> pops)
-            out.append(ids)
-            pops += n
-        return b"".join(out), pops
-
-    def free(self, part: str) -> tuple[bytes, int]:
-        """Ids and pops of a part of which nothing is skipped."""
-        if len(self.plain) >= self.limit:
-            self.plain.clear()
-        found = self.plain[part] = self.encode_cuts(self.cuts(part), 0)
+        return np.array([x for x in symbols if x >= 0], dtype=np.int32), pops
+
+    def segment(self, parts: list[str], h: np.ndarray | None) -> list[tuple[bytes, int]]:
+        """Packed ids and pops of every part; without ``h`` nothing is skipped."""
+        found: list[tuple[bytes, int] | None] = [None] * len(parts)
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        group = np.searchsorted(WIDTHS, lengths)
+        for g in np.unique(group).tolist():
+            places = np.flatnonzero(group == g)
+            if g == len(WIDTHS):
+                for p in places.tolist():
+                    symbols, pops = self.by_heap(parts[p], None if h is None else int(h[p]))
+                    found[p] = (self.vocabulary.ids_of(symbols)[0].tobytes(), pops)
+                continue
+            for at in range(0, len(places), ROWS):
+                chosen = places[at : at + ROWS]
+                symbols, pops = self.side_by_side(
+                    [parts[p] for p in chosen.tolist()], WIDTHS[g], None if h is None else h[chosen]
+                )
+                kept = symbols != PAD
+                ids, n = self.vocabulary.ids_of(symbols[kept])
+                ends = np.cumsum(n)[np.cumsum(kept.sum(axis=1)) - 1] * ID_BYTES
+                raw = ids.tobytes()
+                for p, start, end, count in zip(chosen.tolist(), [0, *ends.tolist()], ends.tolist(), pops.tolist()):
+                    found[p] = (raw[start:end], count)
         return found
 
-    def gap(self, h: int) -> int:
-        return int(math.log(((h >> 11) + 1) * 2.0**-53) * self.scale)
+    # --- texts
+
+    def free(self, parts: list[str]) -> list[tuple[bytes, int]]:
+        """Ids and pops of parts of which nothing is skipped."""
+        found = list(map(self.plain.get, parts))
+        missing = list(dict.fromkeys(p for p, f in zip(parts, found) if f is None))
+        if missing:
+            new = dict(zip(missing, self.segment(missing, None)))
+            if len(self.plain) + len(new) > self.limit:
+                self.plain.clear()
+            self.plain.update((p, f) for p, f in new.items() if len(p) <= WIDTHS[-1])
+            found = [new[p] if f is None else f for p, f in zip(parts, found)]
+        return found
 
-    def skipping(self, part: str, gap: int, h: int) -> bytes:
-        """Ids of an occurrence whose first skipped pop is number ``gap``."""
-        if len(part) > SHORT:
-            return self.skipping_long(self.cuts(part), gap, h)
-        mask, at = 1 << gap, gap
-        while True:
-            found = self.dropped.get((part, mask))
-            if found is None:
-                if len(self.dropped) >= self.limit:
-                    self.dropped.clear()
-                found = self.dropped[part, mask] = self.encode_cuts(self.cuts(part), mask)
-            h = mixed(h)
-            at += 1 + self.gap(h)
-            if at >= found[1]:
-                return found[0]
-            mask |= 1 << at
-
-    def skipping_long(self, cuts: list[tuple[str, int]], gap: int, h: int) -> bytes:
-        """The same in one pass: all numbers that could be reached are drawn before."""
-        most = 3 * sum(len(cut) for cut, _ in cuts)  # a merge proposes two pairs
-        skip = bytearray(b"0") * most
-        while gap < most:
-            skip[most - 1 - gap] = 49
-            h = mixed(h)
-            gap += 1 + self.gap(h)
-        return self.encode_cuts(cuts, int(skip, 2))[0]
-
-    def occurrences(self, text: str, n: int) -> tuple[list[int], list[int]]:
-        """Hash and number of the first skipped pop of each of the text's ``n`` parts."""
-        seed = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), self.key)
-        x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(GOLDEN) + np.uint64(seed)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        u = ((x >> np.uint64(11)) + np.uint64(1)).astype(np.float64) * 2.0**-53
-        return x.tolist(), (np.log(u) * self.scale).astype(np.int64).tolist()
+    def hashes(self, texts: list[str], counts: np.ndarray) -> np.ndarray:
+        """A hash of every part, by seed, variant, text and place."""
+        seeds = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"), self.key) for t in texts]
+        ends = np.cumsum(counts)
+        place = np.arange(1, int(ends[-1]) + 1) - np.repeat(ends - counts, counts)
+        return mixed(np.repeat(np.array(seeds, dtype=np.uint64), counts) + place.astype(np.uint64) * np.uint64(PLACE_STEP))
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of every text."""
+        cut = [self.vocabulary.parts(t) for t in texts]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        parts = [p for c in cut for p in c]
+        if not parts:
+            return [b""] * len(texts)
+        found = self.free(parts)
+        out = [ids for ids, _ in found]
+        if self.below:
+            h = self.hashes(texts, counts)
+            pops = np.fromiter((n for _, n in found), np.int64, len(found))
+            of_part = np.repeat(np.arange(len(parts)), pops)
+            number = np.arange(len(of_part)) - np.repeat(np.cumsum(pops) - pops, pops)
+            # a part of which no pop is skipped is as it is without dropout
+            drawn = np.unique(of_part[self.skips(h[of_part], number)])
+            again = self.segment([parts[p] for p in drawn.tolist()], h[drawn])
+            for p, (ids, _) in zip(drawn.tolist(), again):
+                out[p] = ids
+        ends = np.cumsum(counts).tolist()
+        return [b"".join(out[a:b]) for a, b in zip([0, *ends], ends)]
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if not self.vocabulary.simple:
-            return self.encode_all(text, [[(SPACE + text.replace(" ", SPACE), 1)]])
-        if SPACE in text or "  " in text or " \n" in text or text[0] in " \n" or text[-1] in " \n" or "\n\n" in text:
-            return self.encode_slowly(text)
-        parts = text.replace("\n", " \n").split(" ")
-        get, free = self.plain.get, self.free
-        if self.rate <= 0:
-            return b"".join([(get(p) or free(p))[0] for p in parts])
-        out = []
-        for part, h, gap in zip(parts, *self.occurrences(text, len(parts))):
-            ids, pops = get(part) or free(part)
-            out.append(ids if gap >= pops else self.skipping(part, gap, h))
-        return b"".join(out)
-
-    def encode_all(self, text: str, parts: list[list[tuple[str, int]]]) -> bytes:
-        """Parts given by their cuts, without a cache."""
-        if self.rate <= 0:
-            return b"".join(self.encode_cuts(cuts, 0)[0] for cuts in parts)
-        return b"".join(
-            self.skipping_long(cuts, gap, h) for cuts, h, gap in zip(parts, *self.occurrences(text, len(parts)))
-        )
-
-    def encode_slowly(self, text: str) -> bytes:
-        """Any text: runs of spaces and marks are told apart by place."""
-        out = []
-        for line_no, line in enumerate(text.split("\n")):
-            if line_no:
-                out.append([("\n", 0)])
-            whole = line if line_no else " " + line
-            for cut in re.findall(r" +[^ ]*|[^ ]+", whole):
-                spaces = len(cut) - len(cut.lstrip(" "))
-                out.append([(SPACE * spaces + cut[spaces:], spaces)])
-        return self.encode_all(text, out)
+        return self.encode_many([text])[0]
+
+
+def slices(texts: list[str]):
+    """Ranges of texts of about PARTS parts together (by their spaces)."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        n = text.count(" ") + 1
+        if i > start and size + n > PARTS:
+            yield start, i
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def decode(vocabulary: Vocabulary, ids: list[int]) -> bytes:
@@ -277,15 +360,25 @@ _CACHES: dict[tuple, tuple[Vocabulary, list[MergeCache]]] = {}
 
 
 def merge_caches(path: str, seed: int, rate: float, variants: int) -> tuple[Vocabulary, list[MergeCache]]:
-    """This Python worker's encoders, one for each variant, and their shared caches."""
+    """This Python worker's encoders, one for each variant, and their shared cache."""
     key = (path, seed, rate, variants)
     if key not in _CACHES:
-        vocabulary = Vocabulary(path)
-        shared = ({}, {})  # free of seed and variant
-        _CACHES[key] = (vocabulary, [MergeCache(vocabulary, seed, v, rate, 500_000, shared) for v in range(variants)])
+        vocabulary, shared = Vocabulary(path), {}  # free of seed and variant
+        _CACHES[key] = (vocabulary, [MergeCache(vocabulary, seed, v, rate, plain=shared) for v in range(variants)])
     return _CACHES[key]
 
 
+def encode_batch(caches: list[MergeCache], variants: list[int], texts: list[str]):
+    """Packed ids of the texts in order, each by its variant's encoder."""
+    for start, stop in slices(texts):
+        out = [b""] * (stop - start)
+        for v in set(variants[start:stop]):
+            places = [k for k in range(start, stop) if variants[k] == v]
+            for k, ids in zip(places, caches[v].encode_many([texts[k] for k in places])):
+                out[k - start] = ids
+        yield from out
+
+
 def encode_documents(
     docs: DataFrame,
     model: str,
@@ -322,10 +415,8 @@ def _run(docs, model, seed, rate, variants, text_col, id_col, digest) -> DataFra
     def ids_only(batches):
         _, caches = merge_caches(model, seed, rate, variants)
         for batch in batches:
-            ids = [
-                array("I", caches[v].encode(t)).tolist()
-                for v, t in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ]
+            encoded = encode_batch(caches, batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            ids = [array("I", raw).tolist() for raw in encoded]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "variant", "ids"]
             )
@@ -334,8 +425,8 @@ def _run(docs, model, seed, rate, variants, text_col, id_col, digest) -> DataFra
         vocabulary, caches = merge_caches(model, seed, rate, variants)
         for batch in batches:
             out = [[], [], [], []]
-            for v, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                raw = caches[v].encode(text)
+            texts = batch.column(2).to_pylist()
+            for text, raw in zip(texts, encode_batch(caches, batch.column(1).to_pylist(), texts)):
                 ids = array("I", raw)
                 back = decode(vocabulary, ids)
                 for column, value in zip(

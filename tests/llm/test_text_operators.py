@@ -6,6 +6,7 @@ import zlib
 from array import array
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from shoplens.llm import pii
 from shoplens.llm.fingerprints import fingerprint_documents, order_minhash
 from shoplens.llm.html_main import extract_main_text, main_text
-from shoplens.llm.merge_dropout import MergeCache, Vocabulary, decode, encode_and_decode, encode_documents
+from shoplens.llm.merge_dropout import MergeCache, PairTable, Vocabulary, decode, encode_and_decode, encode_documents
 from shoplens.llm.pii import find_personal_data, mask_documents, pattern_probabilities
 from tests.llm.fixtures import documents, sentence, texts
 
@@ -223,7 +224,6 @@ def test_dropout_is_keyed(vocabulary):
     assert a.encode(t) == b.encode(t) != other.encode(t)
     small = MergeCache(vocabulary, 7, 0, 0.2, limit=5)  # forgetting changes nothing
     assert small.encode(t) == a.encode(t)
-    assert all(a._scan(w, 5) == a._agenda(w, 5) for w in t.split())
     plain = MergeCache(vocabulary, 7, 0, 0.0)
     assert len(a.encode(t)) > len(plain.encode(t))
 
@@ -241,14 +241,79 @@ def test_occurrences_of_a_word_vary(vocabulary):
         ways.update(tuple(ids[a:b]) for a, b in zip(at, at[1:]) if b"".join(pieces[a:b]) == b" " + word.encode())
     assert len(ways) > 10
     # a part is whole if none of its pops is skipped
-    whole, pops = plain.free(word)
+    (whole, pops), = plain.free(["▁" + word])
     share = ways[tuple(array("I", whole))] / sum(ways.values())
     assert share >= 0.9**pops - 0.03
-    long = "x" * 20_000  # one pass gives what the masks give
-    assert decode(vocabulary, list(array("I", cache.encode(long)))) == long.encode()
-    for k in range(50):
-        h, gap = k * 0x9E3779B97F4A7C15 % 2**64, k % pops
-        assert cache.skipping(word, gap, h) == cache.skipping_long(cache.cuts(word), gap, h)
+
+
+def plain_agenda(vocabulary, part, h, rate):
+    """Ids of one part by a list of symbols: the best pair (then the left one) is popped, its draw looked up."""
+    processor, mask = vocabulary.processor, 2**64 - 1
+    symbols, skipped, pop = list(part), set(), 0
+    while True:
+        pairs = [
+            (-processor.get_score(vocabulary.ids[x + y]), k)
+            for k, (x, y) in enumerate(zip(symbols, symbols[1:]))
+            if x + y in vocabulary.ids and (k, x, y) not in skipped
+        ]
+        if not pairs:
+            break
+        _, k = min(pairs)
+        pop += 1
+        x = (h + pop * 0xD1B54A32D192ED03) & mask
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & mask
+        if rate and (x ^ (x >> 31)) <= int(rate * 2**64):
+            skipped.add((k, symbols[k], symbols[k + 1]))
+            continue
+        # a skipped pair is a candidate again only once a neighbour has grown
+        skipped = {(i - (i > k), a, b) for i, a, b in skipped if i not in (k - 1, k, k + 1)}
+        symbols[k : k + 2] = [symbols[k] + symbols[k + 1]]
+    out = []
+    for symbol in symbols:
+        spelled = symbol.replace("\ud800", "▁").encode()
+        out += [vocabulary.ids[symbol]] if symbol in vocabulary.ids else [vocabulary.byte_ids[x] for x in spelled]
+    return out
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.15, 0.6])
+def test_dropout_matches_a_plain_agenda(vocabulary, rate):
+    cache = MergeCache(vocabulary, 5, 1, rate)
+    batch = [t or "" for _, t in texts() if len(t or "") < 5000] + ["▁ mark▁▁", "  two  spaces ", "a\n\nb\n", "🙂🙂 中文", "thethethe" * 5]
+    for text, raw in zip(batch, cache.encode_many(batch)):
+        parts = vocabulary.parts(text)
+        assert "".join(parts).replace("▁", " ").replace("\ud800", "▁") == (" " + text if text else "")
+        h = cache.hashes([text], np.array([len(parts)])).tolist() if parts else []
+        expected = [i for part, x in zip(parts, h) for i in plain_agenda(vocabulary, part, x, rate)]
+        assert list(array("I", raw)) == expected, text[:80]
+
+
+def test_the_heap_gives_what_arrays_give(vocabulary):
+    cache = MergeCache(vocabulary, 5, 1, 0.3)
+    parts = vocabulary.parts(sentence(8, 300) + " 🙂 中文文本 " + "ab" * 20)
+    h = cache.hashes(["x"], np.array([len(parts)]))
+    for part, x, (ids, pops) in zip(parts, h.tolist(), cache.segment(parts, h)):
+        symbols, n = cache.by_heap(part, x)
+        assert vocabulary.ids_of(symbols)[0].tobytes() == ids and n == pops
+
+
+def test_very_long_parts_are_encoded_whole(vocabulary):
+    for rate in (0.0, 0.1):
+        cache = MergeCache(vocabulary, 5, 1, rate)
+        for long in ("x" * 20_000, "的" * 5_000, " " * 9_000):
+            ids = list(array("I", cache.encode(long)))
+            assert decode(vocabulary, ids) == long.encode()
+            assert rate or ids == vocabulary.processor.encode(long)
+
+
+def test_the_pair_table_holds_every_pair(vocabulary):
+    keys = list(vocabulary.merged)
+    left, right = (np.array(x, dtype=np.int32) for x in zip(*keys))
+    assert vocabulary.pairs.get(left, right).tolist() == list(vocabulary.merged.values())
+    others = [(a, b) for a, b in zip(right.tolist(), left.tolist()) if (a, b) not in vocabulary.merged]
+    left, right = (np.array(x, dtype=np.int32) for x in zip(*others))
+    assert (vocabulary.pairs.get(left, right) == 2**31 - 1).all()
+    assert PairTable({}).get(left[:3], right[:3]).tolist() == [2**31 - 1] * 3
 
 
 def test_merge_dropout_on_spark(spark, vocabulary):
