@@ -1,8 +1,8 @@
 """Token ids in ORC files, written in document order and read back by stripe.
 
 File format: ORC with columns ``doc_id``, ``part`` (file number in ascending
-``doc_id`` order), ``local_start`` (ids before the document in its file) and
-``ids``.  Ids and ``doc_id`` use ORC's integer run-length encoding; every
+``doc_id`` order), ``local_start`` (ids before the document in its file),
+``n_ids`` and ``ids``.  Ids and ``doc_id`` use ORC's integer run-length encoding; every
 stripe carries row indexes and a Bloom filter on ``doc_id``, so a lookup by
 ``doc_id`` reads only the stripes and row groups that can hold it.  Spark
 splits a file at stripe boundaries, so stripes are read in parallel.
@@ -25,9 +25,15 @@ from pyspark.sql.window import Window
 from shoplens.llm.common import MAX_LONG, shared_path, shuffle_partitions
 from shoplens.llm.tokens import ID_BYTES, packed, word_cache
 
-SCHEMA = "doc_id long, part int, local_start long, ids array<int>"
+SCHEMA = "doc_id long, part int, local_start long, n_ids long, ids array<int>"
 _ARROW = pa.schema(
-    [("doc_id", pa.int64()), ("part", pa.int32()), ("local_start", pa.int64()), ("ids", pa.list_(pa.int32()))]
+    [
+        ("doc_id", pa.int64()),
+        ("part", pa.int32()),
+        ("local_start", pa.int64()),
+        ("n_ids", pa.int64()),
+        ("ids", pa.list_(pa.int32())),
+    ]
 )
 SLICE = 256  # documents encoded at a time
 
@@ -72,6 +78,7 @@ def write_ids(
                         piece.column(0),
                         pa.array([part] * len(ids), pa.int32()),
                         pa.array(before, pa.int64()),
+                        pa.array([len(x) // ID_BYTES for x in ids], pa.int64()),
                         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values),
                     ],
                     schema=_ARROW,
@@ -90,7 +97,7 @@ def write_ids(
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, part, local_start, ids`` of the files; filters on ``doc_id`` prune stripes."""
+    """``doc_id, part, local_start, n_ids, ids`` of the files; filters on ``doc_id`` prune stripes."""
     return spark.read.schema(SCHEMA).orc(path)
 
 
@@ -98,12 +105,13 @@ def document_starts(files: DataFrame) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` per document, from the files.
 
     A file's base is the number of ids in the files before it: a running sum
-    over one row per file, the only step in one task.
+    over one row per file, the only step in one task.  It reads two columns of
+    numbers; the ids are read once, for their checksums.
     """
 
     def digest(batches):
         for batch in batches:
-            col = batch.column(3)
+            col = batch.column(4)
             offsets = col.offsets.to_numpy()
             raw = memoryview(col.values.to_numpy(zero_copy_only=True).astype("<u4", copy=False)).cast("B")
             crc = [zlib.crc32(raw[ID_BYTES * a : ID_BYTES * b]) for a, b in zip(offsets[:-1], offsets[1:])]
@@ -112,14 +120,14 @@ def document_starts(files: DataFrame) -> DataFrame:
                     batch.column(0),
                     batch.column(1),
                     batch.column(2),
-                    pa.array(offsets[1:] - offsets[:-1], pa.int64()),
+                    batch.column(3),
                     pa.array(crc, pa.int64()),
                 ],
                 names=["doc_id", "part", "local_start", "n_tokens", "ids_crc32"],
             )
 
     rows = files.mapInArrow(digest, "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long")
-    ends = files.groupBy("part").agg(F.max(F.col("local_start") + F.size("ids")).alias("n_ids"))
+    ends = files.groupBy("part").agg(F.max(F.col("local_start") + F.col("n_ids")).alias("n_ids"))
     base = ends.select(
         "part",
         F.coalesce(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from array import array
 
 ID_BYTES = 4
@@ -25,7 +26,7 @@ _LETTERS = byte_letters()
 def packed(ids) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
     out = array("I", ids)
-    if array("I", [1]).tobytes()[0] != 1:
+    if sys.byteorder != "little":
         out.byteswap()
     return out.tobytes()
 
@@ -50,13 +51,19 @@ class WordCache(dict):
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
         self.special = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.model = self.tokenizer.model
-        self.lead = " " if spaced else ""
+        self.lead, self.mark = (" ", _LETTERS[32]) if spaced else ("", "")
         self.limit = limit
 
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha():  # letters that stand for themselves
+            ids = packed([t.id for t in self.model.tokenize(self.mark + part if self.mark else part.lower())])
+            if len(self) >= self.limit:
+                self.clear()
+            self[part] = ids
+            return ids
         if not part:
             return b""
         tail = _TAIL.search(part)
