@@ -27,7 +27,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from array import array
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -42,26 +42,29 @@ MARK = "\ud800"  # stands for a real U+2581; no text of Spark holds a surrogate
 WORD = 2**64 - 1
 PLACE_STEP, POP_STEP = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 NONE = np.int32(2**31 - 1)
-PAD = np.int32(-1)
 WIDTHS = (6, 9, 13, 20, 32, 48)  # characters of the parts that run side by side
 ROWS = 8192
 PARTS = 100_000  # parts of texts encoded at a time
 
 
 class PairTable:
-    """Pairs of symbols and what they merge to, as a hash table in arrays."""
-
-    def __init__(self, pairs: dict[tuple[int, int], int]):
-        self.bits = max(4, (8 * max(1, len(pairs)) - 1).bit_length())
-        self.keys = np.full((1 << self.bits) + len(pairs), -1, dtype=np.int64)
-        self.values = np.full(len(self.keys), NONE, dtype=np.int32)
-        left = np.array([k[0] for k in pairs], dtype=np.int64)
-        right = np.array([k[1] for k in pairs], dtype=np.int64)
-        keys, values = left << 22 | right, np.fromiter(pairs.values(), np.int32, len(pairs))
+    """Pairs of symbols and what they merge to (``none``: they do not), as a hash table in arrays.
+
+    Symbols are at most ``none`` + 1; small vocabularies have 32-bit keys.
+    """
+
+    def __init__(self, pairs: dict[tuple[int, int], int], none: int):
+        self.none, self.shift = none, (none + 2).bit_length()
+        self.word, self.signed = (np.uint32, np.int32) if 2 * self.shift < 32 else (np.uint64, np.int64)
+        self.step = self.word(PLACE_STEP >> 32 if self.word is np.uint32 else PLACE_STEP)
+        bits = max(4, (8 * max(1, len(pairs)) - 1).bit_length())
+        self.drop = self.word(8 * np.dtype(self.word).itemsize - bits)
+        self.keys = np.full((1 << bits) + len(pairs) + 1, -1, dtype=self.signed)
+        self.values = np.full(len(self.keys), none, dtype=np.int32)
+        left, right = (np.array([k[side] for k in pairs], dtype=self.signed) for side in (0, 1))
+        keys, values = left << self.shift | right, np.fromiter(pairs.values(), np.int32, len(pairs))
         slots = self._slots(keys)
-        self.tries = 0
         while len(keys):  # each free slot takes one key, the others go to the next slot
-            self.tries += 1
             _, first = np.unique(slots, return_index=True)
             first = first[self.keys[slots[first]] < 0]
             self.keys[slots[first]], self.values[slots[first]] = keys[first], values[first]
@@ -70,23 +73,22 @@ class PairTable:
             keys, values, slots = keys[rest], values[rest], slots[rest] + 1
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(PLACE_STEP)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return ((keys.astype(self.word) * self.step) >> self.drop).astype(np.intp)
 
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """What each pair merges to, NONE for pairs that do not."""
-        keys = left.astype(np.int64) << 22 | right
+        """What each pair merges to."""
+        keys = left.astype(self.signed) << self.shift | right
         slots = self._slots(keys)
         found, out = self.keys[slots], self.values[slots]
-        out = np.where(found == keys, out, NONE)
-        open_ = np.flatnonzero((found != keys) & (found >= 0))
-        for _ in range(self.tries):
-            if not len(open_):
-                break
-            slots[open_] += 1
-            found = self.keys[slots[open_]]
-            hit = found == keys[open_]
-            out[open_[hit]] = self.values[slots[open_[hit]]]
-            open_ = open_[~hit & (found >= 0)]
+        wrong = np.flatnonzero(found != keys)
+        out[wrong] = self.none
+        wrong = wrong[found[wrong] >= 0]
+        while len(wrong):  # a taken slot: the next one may hold the key
+            slots[wrong] += 1
+            found = self.keys[slots[wrong]]
+            hit = found == keys[wrong]
+            out[wrong[hit]] = self.values[slots[wrong[hit]]]
+            wrong = wrong[~hit & (found >= 0)]
         return out
 
 
@@ -109,11 +111,13 @@ class Vocabulary:
                 self.ids[name], scores[name] = i, sp.get_score(i)
                 raw = name.replace(SPACE, " ").encode()
             self.surface.append(raw)
-        # symbols are numbered by token id; a character without a piece is size + its code point
+        self.surfaces = np.frombuffer(b"".join(self.surface), np.uint8)
+        self.surface_ends = np.concatenate([[0], np.cumsum([len(x) for x in self.surface])])
+        # symbols are token ids; size stands for a character without a piece
         self.size = size
         ranks = {s: r for r, s in enumerate(sorted(set(scores.values()), reverse=True))}
-        self.rank = np.full(size, NONE, dtype=np.int32)
-        self.symbol = np.arange(size, size + 0x110000, dtype=np.int32)
+        self.rank = np.full(size + 1, NONE, dtype=np.int32)
+        self.symbol = np.full(0x110000, size, dtype=np.int32)
         for name, i in self.ids.items():
             self.rank[i] = ranks[scores[name]]
             if len(name) == 1:
@@ -124,7 +128,7 @@ class Vocabulary:
             for k in range(1, len(name))
             if name[:k] in self.ids and name[k:] in self.ids
         }
-        self.pairs = PairTable(self.merged)
+        self.pairs = PairTable(self.merged, size)
         meets = {name[k : k + 2] for name in self.ids for k in range(len(name) - 1)}
         # where no piece goes on: in front of spaces and around line ends
         cuts = not any("\n" in x or (x[1] == SPACE and x[0] != SPACE) for x in meets)
@@ -138,24 +142,26 @@ class Vocabulary:
         text = SPACE + text.replace(" ", SPACE)
         return self.cut.findall(text) if self.cut else [text]
 
-    def symbols(self, part: str) -> np.ndarray:
-        return self.symbol[np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    def symbols(self, part: str) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol and the code point of every character."""
+        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return self.symbol[points], points
 
-    def ids_of(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of final symbols, and how many each symbol has."""
-        odd = np.flatnonzero(symbols >= self.size)
+    def ids_of(self, symbols: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of final symbols, and how many each has; ``points`` are their first code points."""
+        odd = np.flatnonzero(symbols == self.size)
         n = np.ones(len(symbols), dtype=np.int64)
         if not len(odd):
             return symbols.astype("<u4"), n
         spelled = {}
-        for code in np.unique(symbols[odd]).tolist():
-            c = chr(code - self.size)
-            spelled[code] = [self.byte_ids[b] for b in (SPACE if c == MARK else c).encode("utf-8", "surrogatepass")]
-        n[odd] = [len(spelled[c]) for c in symbols[odd].tolist()]
+        for point in np.unique(points[odd]).tolist():
+            c = chr(point)
+            spelled[point] = [self.byte_ids[b] for b in (SPACE if c == MARK else c).encode("utf-8", "surrogatepass")]
+        n[odd] = [len(spelled[c]) for c in points[odd].tolist()]
         ids = np.repeat(symbols, n).astype("<u4")
         ends = np.cumsum(n)
-        for end, code in zip(ends[odd].tolist(), symbols[odd].tolist()):
-            ids[end - len(spelled[code]) : end] = spelled[code]
+        for end, point in zip(ends[odd].tolist(), points[odd].tolist()):
+            ids[end - len(spelled[point]) : end] = spelled[point]
         return ids, n
 
 
@@ -166,15 +172,59 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one behind the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(starts - before, sizes)
+
+
+@dataclass
+class Segments:
+    """Ids of parts in one array, and each part's start, number of ids and pops."""
+
+    ids: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+    pops: np.ndarray
+
+
+class Known:
+    """Parts of which nothing is skipped: their place by the part, and their segments."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        none = np.zeros(0, np.int64)
+        self.places: dict[str, int] = {}
+        self.letters = 0
+        self.segments = Segments(np.zeros(0, "<u4"), none, none, none)
+
+    def add(self, parts: list[str], new: Segments) -> None:
+        old, first = self.segments, len(self.places)
+        self.places.update(zip(parts, range(first, first + len(parts))))
+        self.letters += sum(map(len, parts))
+        self.segments = Segments(
+            np.concatenate([old.ids, new.ids]),
+            np.concatenate([old.starts, new.starts + len(old.ids)]),
+            np.concatenate([old.sizes, new.sizes]),
+            np.concatenate([old.pops, new.pops]),
+        )
+
+    def take(self, at: np.ndarray) -> Segments:
+        s = self.segments
+        return Segments(s.ids, s.starts[at], s.sizes[at], s.pops[at])
+
+
 class MergeCache:
     """Encodes texts for one seed, variant and rate."""
 
-    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 400_000, plain=None):
+    def __init__(self, vocabulary: Vocabulary, seed: int, variant: int, rate: float, limit: int = 600_000, plain: Known | None = None):
         self.vocabulary, self.limit = vocabulary, limit
         self.key = xxhash.xxh3_64_intdigest(b"%d:%d" % (seed, variant))
         # the pop of a part with hash h is skipped if the hash of h + number * POP_STEP is below
         self.below = min(WORD, max(0, int(rate * 2.0**64)))
-        self.plain = {} if plain is None else plain
+        self.plain = Known() if plain is None else plain
 
     def skips(self, h: np.ndarray, pop: np.ndarray) -> np.ndarray:
         """Whether pop number ``pop`` (from 0) of a part with hash ``h`` is skipped."""
@@ -185,54 +235,63 @@ class MergeCache:
     # --- agendas
 
     def side_by_side(self, parts: list[str], width: int, h: np.ndarray | None):
-        """Final symbols of parts of at most ``width`` characters (PAD at the end), and their pops."""
-        rank, pairs, n = self.vocabulary.rank, self.vocabulary.pairs, len(parts)
+        """Final symbols of parts of at most ``width`` characters, where they stand in an array of
+        rows, and the parts' pops.
+
+        A row is a linked list over its columns; its last column is neither a
+        symbol nor a pair and ends the list on both sides.
+        """
+        rank, get, n, step = self.vocabulary.rank, self.vocabulary.pairs.get, len(parts), width + 1
+        pad = self.vocabulary.size + 1
         lengths = np.fromiter(map(len, parts), np.int64, n)
-        out = np.full((n, width + 1), PAD, dtype=np.int32)
-        out[np.arange(width + 1) < lengths[:, None]] = self.vocabulary.symbols("".join(parts))
+        filled = np.arange(step) < lengths[:, None]
+        places = np.flatnonzero(filled)
+        symbols, points = self.vocabulary.symbols("".join(parts))
+        s = np.full(n * step, pad, dtype=np.int32)
+        s[places] = symbols
+        after, before = np.arange(1, n * step + 1), np.arange(-1, n * step - 1)
+        first, last = np.arange(n) * step, np.arange(n) * step + width
+        before[first] = last
+        after[first + lengths - 1] = last
+        merged = np.full(n * step, self.vocabulary.size, dtype=np.int32)
+        pairs = places[after[places] != last[places // step]]
+        merged[pairs] = get(s[pairs], s[pairs + 1])
+        r = rank[merged]
         pops = np.zeros(n, dtype=np.int64)
-        rows, s, columns = np.arange(n), out, np.arange(width + 1)
-
-        def ranks(left, right):
-            merged = pairs.get(left, right)
-            return np.where(merged == NONE, NONE, rank[np.where(merged == NONE, 0, merged)])
-
-        r = np.full((n, width + 1), NONE, dtype=np.int32)
-        at = np.flatnonzero((s[:, 1:] != PAD).ravel())
-        i, k = np.divmod(at, width)
-        r[i, k] = ranks(s[i, k], s[i, k + 1])
-        while True:
-            k = r.argmin(axis=1)
-            line = np.arange(len(rows))
-            live = r[line, k] != NONE
+        rows, table = np.arange(n), r.reshape(n, step)
+        while len(rows):
+            k = table.argmin(axis=1)
+            live = table[np.arange(len(rows)), k] != NONE
             if not live.all():
-                out[rows[~live]] = s[~live]
-                if not live.any():
-                    return out, pops
-                rows, s, r, k = rows[live], s[live], r[live], k[live]
-                line = np.arange(len(rows))
+                rows, table, k = rows[live], table[live], k[live]
+            line = np.arange(len(rows))
+            at = rows * step + k
             if h is not None:
                 skip = self.skips(h[rows], pops[rows])
-                r[line[skip], k[skip]] = NONE
-                line, k = line[~skip], k[~skip]
+                table[line[skip], k[skip]] = NONE
+                line, at = line[~skip], at[~skip]
             pops[rows] += 1
-            piece = pairs.get(s[line, k], s[line, k + 1])
-            # the columns behind the pair move up by one
-            source = np.minimum(columns + (columns > k[:, None]), width)
-            s[line] = np.take_along_axis(s[line], source, axis=1)
-            r[line] = np.take_along_axis(r[line], source, axis=1)
-            s[line, k] = piece
-            s[line, width] = PAD
-            r[line, width] = NONE
-            r[line, k] = ranks(piece, s[line, np.minimum(k + 1, width)])
-            front = k > 0
-            line, k, piece = line[front], k[front], piece[front]
-            r[line, k - 1] = ranks(s[line, k - 1], piece)
-
-    def by_heap(self, part: str, h: int | None) -> tuple[np.ndarray, int]:
-        """Final symbols and pops of one part of any length."""
+            piece, right = merged[at], after[at]
+            behind, front = after[right], before[at]
+            s[at], s[right] = piece, pad
+            after[at], before[behind] = behind, at
+            new = get(np.concatenate([piece, s[front]]), np.concatenate([s[behind], piece]))
+            half = len(at)
+            merged[at], merged[front] = new[:half], new[half:]
+            start = rows[line] * step
+            table[line, right - start] = NONE
+            table[line, at - start] = rank[new[:half]]
+            table[line, front - start] = rank[new[half:]]
+        kept = s != pad
+        point = np.zeros(n * step, dtype=np.uint32)
+        point[places] = points
+        return s[kept], point[kept], kept.reshape(n, step).sum(axis=1), pops
+
+    def by_heap(self, part: str, h: int | None) -> tuple[np.ndarray, np.ndarray, int]:
+        """Final symbols, their code points, and pops of one part of any length."""
         rank, merged = self.vocabulary.rank, self.vocabulary.merged
-        symbols: list[int] = self.vocabulary.symbols(part).tolist()
+        start, points = self.vocabulary.symbols(part)
+        symbols: list[int] = start.tolist()
         after, before = [*range(1, len(symbols)), -1], [*range(-1, len(symbols) - 1)]
         agenda: list[tuple[int, int, int, int]] = []
         pops, drawn = 0, np.zeros(0, bool)
@@ -264,45 +323,54 @@ class MergeCache:
                 before[after[left]] = left
             propose(before[left], left)
             propose(left, after[left])
-        return np.array([x for x in symbols if x >= 0], dtype=np.int32), pops
+        final = np.array(symbols, dtype=np.int32)
+        return final[final >= 0], points[final >= 0], pops
 
-    def segment(self, parts: list[str], h: np.ndarray | None) -> list[tuple[bytes, int]]:
-        """Packed ids and pops of every part; without ``h`` nothing is skipped."""
-        found: list[tuple[bytes, int] | None] = [None] * len(parts)
+    def segment(self, parts: list[str], h: np.ndarray | None) -> Segments:
+        """Ids and pops of every part; without ``h`` nothing is skipped."""
         lengths = np.fromiter(map(len, parts), np.int64, len(parts))
         group = np.searchsorted(WIDTHS, lengths)
+        pops, sizes = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
         for g in np.unique(group).tolist():
             places = np.flatnonzero(group == g)
-            if g == len(WIDTHS):
-                for p in places.tolist():
-                    symbols, pops = self.by_heap(parts[p], None if h is None else int(h[p]))
-                    found[p] = (self.vocabulary.ids_of(symbols)[0].tobytes(), pops)
-                continue
-            for at in range(0, len(places), ROWS):
-                chosen = places[at : at + ROWS]
-                symbols, pops = self.side_by_side(
-                    [parts[p] for p in chosen.tolist()], WIDTHS[g], None if h is None else h[chosen]
-                )
-                kept = symbols != PAD
-                ids, n = self.vocabulary.ids_of(symbols[kept])
-                ends = np.cumsum(n)[np.cumsum(kept.sum(axis=1)) - 1] * ID_BYTES
-                raw = ids.tobytes()
-                for p, start, end, count in zip(chosen.tolist(), [0, *ends.tolist()], ends.tolist(), pops.tolist()):
-                    found[p] = (raw[start:end], count)
-        return found
+            step = ROWS if g < len(WIDTHS) else 1
+            for at in range(0, len(places), step):
+                chosen = places[at : at + step]
+                if g < len(WIDTHS):
+                    symbols, points, count, pops[chosen] = self.side_by_side(
+                        [parts[p] for p in chosen.tolist()], WIDTHS[g], None if h is None else h[chosen]
+                    )
+                else:
+                    p = int(chosen[0])
+                    symbols, points, pops[p] = self.by_heap(parts[p], None if h is None else int(h[p]))
+                    count = np.array([len(symbols)])
+                ids, n = self.vocabulary.ids_of(symbols, points)
+                sizes[chosen] = np.add.reduceat(n, np.cumsum(count) - count)
+                done.append((chosen, ids))
+        starts = np.cumsum(sizes) - sizes
+        flat = np.zeros(int(sizes.sum()), dtype="<u4")
+        for chosen, ids in done:
+            flat[ranges(starts[chosen], sizes[chosen])] = ids
+        return Segments(flat, starts, sizes, pops)
 
     # --- texts
 
-    def free(self, parts: list[str]) -> list[tuple[bytes, int]]:
+    def free(self, parts: list[str]) -> Segments:
         """Ids and pops of parts of which nothing is skipped."""
-        found = list(map(self.plain.get, parts))
-        missing = list(dict.fromkeys(p for p, f in zip(parts, found) if f is None))
-        if missing:
-            new = dict(zip(missing, self.segment(missing, None)))
-            if len(self.plain) + len(new) > self.limit:
+        places = list(map(self.plain.places.get, parts))
+        unknown = [k for k, place in enumerate(places) if place is None]
+        if unknown:
+            missing = list(dict.fromkeys([parts[k] for k in unknown]))
+            if len(self.plain.places) + len(missing) > self.limit:
                 self.plain.clear()
-            self.plain.update((p, f) for p, f in new.items() if len(p) <= WIDTHS[-1])
-            found = [new[p] if f is None else f for p, f in zip(parts, found)]
+                unknown, missing = range(len(parts)), list(dict.fromkeys(parts))
+            self.plain.add(missing, self.segment(missing, None))
+            for k in unknown:
+                places[k] = self.plain.places[parts[k]]
+        found = self.plain.take(np.array(places, dtype=np.int64))
+        if self.plain.letters > self.limit * WIDTHS[-1]:
+            self.plain.clear()
         return found
 
     def hashes(self, texts: list[str], counts: np.ndarray) -> np.ndarray:
@@ -320,19 +388,21 @@ class MergeCache:
         if not parts:
             return [b""] * len(texts)
         found = self.free(parts)
-        out = [ids for ids, _ in found]
+        ids, starts, sizes = found.ids, found.starts, found.sizes
         if self.below:
             h = self.hashes(texts, counts)
-            pops = np.fromiter((n for _, n in found), np.int64, len(found))
-            of_part = np.repeat(np.arange(len(parts)), pops)
-            number = np.arange(len(of_part)) - np.repeat(np.cumsum(pops) - pops, pops)
+            of_part = np.repeat(np.arange(len(parts)), found.pops)
+            number = np.arange(len(of_part)) - np.repeat(np.cumsum(found.pops) - found.pops, found.pops)
             # a part of which no pop is skipped is as it is without dropout
             drawn = np.unique(of_part[self.skips(h[of_part], number)])
             again = self.segment([parts[p] for p in drawn.tolist()], h[drawn])
-            for p, (ids, _) in zip(drawn.tolist(), again):
-                out[p] = ids
-        ends = np.cumsum(counts).tolist()
-        return [b"".join(out[a:b]) for a, b in zip([0, *ends], ends)]
+            starts, sizes = starts.copy(), sizes.copy()
+            starts[drawn], sizes[drawn] = again.starts + len(ids), again.sizes
+            ids = np.concatenate([ids, again.ids])
+        raw = ids[ranges(starts, sizes)].tobytes()
+        part_ends = np.concatenate([[0], np.cumsum(sizes)]) * ID_BYTES
+        ends = part_ends[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
 
     def encode(self, text: str) -> bytes:
         return self.encode_many([text])[0]
@@ -351,9 +421,11 @@ def slices(texts: list[str]):
         yield start, len(texts)
 
 
-def decode(vocabulary: Vocabulary, ids: list[int]) -> bytes:
+def decode(vocabulary: Vocabulary, ids) -> bytes:
     """The text of ids (without the space put in front), as UTF-8."""
-    return b"".join(map(vocabulary.surface.__getitem__, ids))[1:]
+    ids = np.asarray(ids, dtype=np.int64)
+    starts = vocabulary.surface_ends[ids]
+    return vocabulary.surfaces[ranges(starts, vocabulary.surface_ends[ids + 1] - starts)].tobytes()[1:]
 
 
 _CACHES: dict[tuple, tuple[Vocabulary, list[MergeCache]]] = {}
@@ -363,7 +435,7 @@ def merge_caches(path: str, seed: int, rate: float, variants: int) -> tuple[Voca
     """This Python worker's encoders, one for each variant, and their shared cache."""
     key = (path, seed, rate, variants)
     if key not in _CACHES:
-        vocabulary, shared = Vocabulary(path), {}  # free of seed and variant
+        vocabulary, shared = Vocabulary(path), Known()  # free of seed and variant
         _CACHES[key] = (vocabulary, [MergeCache(vocabulary, seed, v, rate, plain=shared) for v in range(variants)])
     return _CACHES[key]
 
@@ -416,7 +488,7 @@ def _run(docs, model, seed, rate, variants, text_col, id_col, digest) -> DataFra
         _, caches = merge_caches(model, seed, rate, variants)
         for batch in batches:
             encoded = encode_batch(caches, batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            ids = [array("I", raw).tolist() for raw in encoded]
+            ids = [np.frombuffer(raw, "<u4").tolist() for raw in encoded]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "variant", "ids"]
             )
@@ -427,7 +499,7 @@ def _run(docs, model, seed, rate, variants, text_col, id_col, digest) -> DataFra
             out = [[], [], [], []]
             texts = batch.column(2).to_pylist()
             for text, raw in zip(texts, encode_batch(caches, batch.column(1).to_pylist(), texts)):
-                ids = array("I", raw)
+                ids = np.frombuffer(raw, "<u4")
                 back = decode(vocabulary, ids)
                 for column, value in zip(
                     out, (len(ids), zlib.crc32(raw), zlib.crc32(back), back == text.encode("utf-8", "surrogatepass"))
