@@ -10,13 +10,17 @@
     python -m shoplens.jobs marketing --summary /shared/coupons --as-of 2019-11-30 --show
     python -m shoplens.jobs daily_funnel --catalog shop --summary /shared/funnel --day 2019-11-29
     python -m shoplens.jobs conversion --summary /shared/funnel --show
+    python -m shoplens.jobs daily_words --log /data/search-logs/2019-11-29/ --summary /shared/words --day 2019-11-29
+    python -m shoplens.jobs hotwords --summary /shared/words --from-day 2019-11-01 --k 10 --show
 
 Tables come from the Hive metastore's catalog (``<db>.t_member`` ...) or from
 Parquet (``<dir>/t_member.parquet`` ...); the search log is text, date strings
 a Parquet file or folder.  Results are written with ``--out`` (any Spark
 format), to a catalog table with ``--table``, or printed as JSON lines with ``--show``: the whole result, one
 partition at a time.  A result that is both written and printed is computed
-once and printed from what was written.
+once and printed from what was written.  Stored values that are not of their
+column's declared type become NULL; how many, by column, is counted by the run
+itself and written to standard error at its end.
 
 ``daily`` keeps the per-day summary of members and orders, ``daily_coupons``
 that of coupons and ``daily_funnel`` the per-member state of the funnel, each
@@ -32,19 +36,23 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplens import operators as op
 from shoplens.functions.timewin import DayPartition, as_datetime, days_before
-from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform
-from shoplens.session import build_session
+from shoplens.schemas import COUPON_MEMBER, MEMBER, ORDER, conform_counted, rejected_values
+from shoplens.session import build_session, checkpoint_dir
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
 from shoplens.sources.sinks import to_json_lines, write_report
 from shoplens.sources.tables import bucketed_alike, write_table
-from shoplens.stored import FunnelState, coupon_summary, growth_summary, read_daily
+from shoplens.stored import DailyWords, FunnelState, coupon_summary, growth_summary, read_daily
 
 TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER}
 
@@ -53,11 +61,46 @@ def _table(spark: SparkSession, args, name: str) -> DataFrame:
     schema = TABLES[name]
     if args.partition_day:
         schema = T.StructType(schema.fields + [T.StructField(args.partition_day, T.DateType())])
-    if args.catalog:
-        return read_catalog_table(spark, f"{args.catalog}.{name}", schema)
-    # read by the files' own schema, then narrow: stored types may differ
+    # read by the stored schema, then narrow: stored types may differ
     # (e.g. TIMESTAMP rather than TIMESTAMP_NTZ)
-    return conform(read_parquet_table(spark, args.parquet, name), schema)
+    if args.catalog:
+        stored = read_catalog_table(spark, f"{args.catalog}.{name}")
+    else:
+        stored = read_parquet_table(spark, args.parquet, name)
+    rows, lost = conform_counted(stored, schema)
+    if lost is not None:
+        args.lost.append((name, lost, lambda: dict(map(tuple, rejected_values(stored, schema).collect()))))
+    return rows
+
+
+def _observed_dates(args, df: DataFrame) -> DataFrame:
+    """The date strings' report, with texts of no known style counted as it runs."""
+    lost = Observation()
+    args.lost.append(("dates", lost, dict))
+    bad = F.col(args.column).isNotNull() & F.col("style").isNull()
+    return df.observe(lost, F.count(F.when(bad, True)).alias(args.column))
+
+
+def _report_rejects(args) -> None:
+    """One line on standard error: values that are not of their column's type, by column."""
+    counted: dict[str, dict] = {}
+    for name, lost, _ in args.lost:
+        counted[name] = counted.get(name) or _metrics(lost)
+    for name, _, count in args.lost:
+        # Spark drops a table's counts with its plan where a result turns out empty
+        counted[name] = counted[name] or count()
+    rejected = {f"{name}.{column}": n for name, columns in counted.items() for column, n in columns.items() if n}
+    print(json.dumps({"rejected": rejected}), file=sys.stderr)
+
+
+def _metrics(lost: Observation) -> dict:
+    # counts arrive just after their action; a plan that was found empty has none, and ``get`` would wait for ever
+    until = time.monotonic() + 5
+    while not lost._jo.future().isCompleted():
+        if time.monotonic() > until:
+            return {}
+        time.sleep(0.05)
+    return dict(lost._jo.getAsJava())  # empty where the action's plan did not hold the table
 
 
 def _bucketed(spark: SparkSession, args) -> bool:
@@ -68,9 +111,11 @@ def _bucketed(spark: SparkSession, args) -> bool:
 
 def _need(parser: argparse.ArgumentParser, args) -> None:
     """Stop with a message where a job's input is not named."""
-    if args.job in ("hotwords", "words"):
-        if not args.log:
+    if args.job in ("hotwords", "words", "daily_words"):
+        if not args.log and not (args.summary and args.job != "daily_words"):
             parser.error(f"{args.job} needs --log")
+        if args.job == "daily_words" and not args.day:
+            parser.error("daily_words needs --day")
     elif args.job in ("standardise", "quality", "calendar"):
         if not args.dates:
             parser.error(f"{args.job} needs --dates")
@@ -136,7 +181,7 @@ def _from_summary(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
 def _date_reports(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
     rows = spark.read.parquet(args.dates)
     if args.job == "standardise":
-        return {"standardised": op.date_standardise(rows, args.column)}
+        return {"standardised": _observed_dates(args, op.date_standardise(rows, args.column))}
     if args.job == "quality":
         return {"quality": op.date_quality(rows, args.column)}
     return {"calendar": op.calendar_enrich(rows, args.column, reference_date=as_of)}
@@ -145,6 +190,14 @@ def _date_reports(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
 def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     job = args.job
     as_of = dt.datetime.fromisoformat(args.as_of)
+    if job in ("hotwords", "words") and args.summary:
+        kept = DailyWords(spark, args.summary)
+        if job == "hotwords":
+            return {"hot_words": kept.hot_words(args.k, args.from_day, args.day)}
+        return {"word_counts": kept.counts(args.from_day, args.day)}
+    if job == "daily_words":
+        DailyWords(spark, args.summary).replace_day(args.day, read_text_log(spark, args.log))
+        return {}
     if job == "hotwords":
         return {"hot_words": op.search_hot_words(read_text_log(spark, args.log), k=args.k)}
     if job == "words":
@@ -178,10 +231,9 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
             "orders": op.wow_daily_orders(table("t_order"), as_of=as_of, partition_day=pd),
         }
     if job == "marketing":
-        coupons = table("t_coupon_member")
         return {
-            "free": op.marketing_free_coupons(coupons, as_of=as_of, partition_day=pd),
-            "paid": op.marketing_paid_coupons(coupons, as_of=as_of, partition_day=pd),
+            "free": op.marketing_free_coupons(table("t_coupon_member"), as_of=as_of, partition_day=pd),
+            "paid": op.marketing_paid_coupons(table("t_coupon_member"), as_of=as_of, partition_day=pd),
         }
     funnel = op.funnel_summary(
         table("t_order"),
@@ -193,7 +245,7 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     return {"funnel": funnel}
 
 
-KEEPING_JOBS = ("daily", "daily_coupons", "daily_funnel")
+KEEPING_JOBS = ("daily", "daily_coupons", "daily_funnel", "daily_words")
 SUMMARY_JOBS = ("growth", "growth_complete", "wow", "marketing", "conversion")
 JOBS = ["member", *SUMMARY_JOBS, *KEEPING_JOBS, "hotwords", "words", "standardise", "quality", "calendar"]
 
@@ -204,9 +256,10 @@ def main(argv: list[str] | None = None) -> int:
     src = p.add_mutually_exclusive_group()
     src.add_argument("--catalog", help="database holding t_member, t_order, t_coupon_member")
     src.add_argument("--parquet", help="directory holding <table>.parquet")
-    p.add_argument("--summary", help="folder of the stored table (written by daily, daily_coupons or daily_funnel)")
+    p.add_argument("--summary", help="folder of the stored table (written by a daily job)")
     p.add_argument("--day", help="daily jobs: the day to compute anew (default: all)")
     p.add_argument("--to-day", help="daily jobs: the last of the days to compute anew (default: --day)")
+    p.add_argument("--from-day", help="words, hotwords from --summary: the first day (--day: the last; default all)")
     p.add_argument("--buckets", type=int, default=256, help="parts of the funnel state, fixed when it is built")
     p.add_argument("--log", help="search log path (text, tab-separated)")
     p.add_argument("--dates", help="Parquet file or folder with a date column")
@@ -228,6 +281,7 @@ def main(argv: list[str] | None = None) -> int:
     )
     p.add_argument("--show", action="store_true", help="print results as JSON lines")
     args = p.parse_args(argv)
+    args.lost = []
     _need(p, args)
     spark = build_session(hive=bool(args.catalog or args.table))
     reports = _reports(spark, args)
@@ -240,9 +294,15 @@ def main(argv: list[str] | None = None) -> int:
             path = f"{args.out.rstrip('/')}/{name}"
             write_report(df, path, fmt=args.format)
             df = spark.read.schema(df.schema).format(args.format).load(path) if args.show else df
+        if args.lost and not (args.out or args.table):
+            # counts need an action that ends before the rows are printed
+            path = f"{checkpoint_dir(spark).rstrip('/')}/{args.job}-{uuid.uuid4().hex}"
+            df.write.parquet(path)
+            df = spark.read.schema(df.schema).parquet(path)
         if args.show or not (args.out or args.table):
             for row in to_json_lines(df).toLocalIterator():
                 print(row["value"])
+    _report_rejects(args)
     return 0
 
 

@@ -8,7 +8,7 @@ read from a columnar source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,6 +83,26 @@ def rejected_values(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*lost).select(F.inline(pairs))
 
 
+def conform_counted(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Observation | None]:
+    """:func:`conform`, with the values it turns into NULL counted per column
+    by whatever action runs the frame: no scan of its own.
+
+    Only converted columns are counted; without any, nothing is observed
+    (None).  Counting sits between the scan and the report's filters, so use
+    it where columns are converted anyway and cannot be pushed down.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    changed = [f for f in schema.fields if have.get(f.name) != f.dataType]
+    if not changed:
+        return conform(df, schema), None
+    lost = Observation()
+    counts = [
+        F.count(F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), True)).alias(f.name)
+        for f in changed
+    ]
+    return conform(df.observe(lost, *counts), schema), lost
+
+
 # Declared schemas of the given test tables the canonical tables derive from.
 # Reading with a declared schema skips footer inference at planning time.
 SOURCE_TABLES: dict[str, T.StructType] = {

@@ -132,14 +132,17 @@ class SnapshotTable:
 
     # --- writing
 
-    def stage(self, rows: DataFrame, part: Column) -> dict[str, str]:
+    def stage(self, rows: DataFrame, part: Column, order: list[Column] | None = None) -> dict[str, str]:
         """Write rows by part into a fresh data folder; a commit makes them part of the table.
 
         ``part`` must give a name of letters, digits, dots and dashes.  Rows
-        of a part are brought together, a large part over several files.
+        of a part are brought together, a large part over several files; with
+        ``order`` each file is sorted.
         """
         folder = f"data/{uuid.uuid4().hex}"
         named = rows.withColumn(PART, part.cast("string")).hint("rebalance", PART)
+        if order:
+            named = named.sortWithinPartitions(PART, *order)
         named.write.partitionBy(PART).parquet(f"{self.root}/{folder}")
         keys = [n.split("=", 1)[1] for n in self.files.names(f"{self.root}/{folder}") if n.startswith(f"{PART}=")]
         odd = [k for k in keys if not _KEY.match(k)]
