@@ -40,6 +40,7 @@ LEAF = 8  # documents in a leaf, children of a node
 MEMBER = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("text_hash", pa.int64()),
         ("n", pa.int64()),
         ("k1", pa.int64()),
         ("k2", pa.int64()),
@@ -68,14 +69,18 @@ def frequency_class(counts: np.ndarray) -> np.ndarray:
 
 
 def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block: int = 512, docs_per_part: int = 8000) -> DataFrame:
-    """``doc_id, n, k1, k2`` per document; ``tokens, prefix`` where it may have a partner."""
+    """``row, doc_id, text_hash, n, k1, k2`` per document; ``tokens, prefix`` where it may have a partner.
+
+    ``row`` names the row (ids may repeat or be missing); rows of one id are
+    told apart by ``text_hash``.
+    """
     spark = docs.sparkSession
     total = docs.count()
     blocks = max(1, -(-total // docs_per_block))
     parts = max(shuffle_partitions(spark), -(-total // docs_per_part))
     rows = (
-        docs.select("doc_id", "text")
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).cast("int"))
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+        .withColumn("block", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(blocks)).cast("int"))
         .repartition(max(shuffle_partitions(spark), 1), "block")
     )
 
@@ -105,7 +110,7 @@ def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block:
         )
 
     def choose(left, right):
-        ids = left.column("doc_id").to_pylist()
+        names = zip(left.column("doc_id").to_pylist(), left.column("text_hash").to_pylist())
         sets = shingle_sets(left.column("text").to_pylist(), words)
         tokens, order, bounds, _ = _packed_by_part(sets, parts)
         classes = np.zeros(len(tokens), np.uint8)
@@ -113,7 +118,7 @@ def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block:
             classes[order[bounds[p] : bounds[p + 1]]] = np.frombuffer(blob, np.uint8)
         out: list[list] = [[] for _ in MEMBER]
         at = 0
-        for doc_id, tokens in zip(ids, sets):
+        for name, tokens in zip(names, sets):
             n = len(tokens)
             own = classes[at : at + n]
             at += n
@@ -126,7 +131,7 @@ def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block:
             key = set_key(tokens) if n else (None, None)
             has = len(prefix) > 0
             for column, value in zip(
-                out, (doc_id, n, *key, tokens.tobytes() if has else None, prefix.view(np.int64).tolist() if has else None)
+                out, (*name, n, *key, tokens.tobytes() if has else None, prefix.view(np.int64).tolist() if has else None)
             ):
                 column.append(value)
         return pa.table([pa.array(c, f.type) for c, f in zip(out, MEMBER)], schema=MEMBER)
@@ -136,9 +141,9 @@ def member_table(docs: DataFrame, threshold: float, words: int, docs_per_block:
     members = (
         rows.groupBy("block")
         .cogroup(replies.groupBy("block"))
-        .applyInArrow(choose, "doc_id long, n long, k1 long, k2 long, tokens binary, prefix array<long>")
+        .applyInArrow(choose, "doc_id long, text_hash long, n long, k1 long, k2 long, tokens binary, prefix array<long>")
     )
-    return stored(members, "members")
+    return stored(members.withColumn("row", F.monotonically_increasing_id()), "members")
 
 
 # ---------------------------------------------------------------- signature trees
@@ -292,21 +297,33 @@ def verified_links(members: DataFrame, threshold_percent: int, docs_per_node: in
 def near_duplicates(
     docs: DataFrame, threshold_percent: int = 75, words: int = 5, text_col: str = "text", id_col: str = "doc_id"
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every document."""
+    """``doc_id, n_shingles, component_id`` for every document, and ``text_hash, component``.
+
+    Different texts of one id are different documents: a set of shingles is
+    named by a row that holds it, not by an id.  ``component`` tells groups
+    apart whose smallest id is the same (NULL without shingles);
+    ``component_id`` is NULL where no document of the group has an id.
+    """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     members = member_table(rows, threshold_percent / 100, words)
-    reps = members.filter("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
+    sets = members.filter("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"))
+    sets = stored(sets, "sets")
     maybe = (
         members.filter(F.col("tokens").isNotNull())
-        .select("doc_id", "n", "tokens", "prefix")
-        .join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-        .dropDuplicates(["doc_id"])
+        .select(F.col("row").alias("doc_id"), "n", "tokens", "prefix")
+        .join(sets.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
     )
     maybe = stored(maybe, "candidates")
     found = connected_components(verified_links(maybe, threshold_percent))
-    named = reps.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "k1", "k2", F.coalesce("component", "rep").alias("component")
+    named = sets.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "k1", "k2", "low", F.coalesce("component", "rep").alias("component")
     )
-    return members.select("doc_id", "n", "k1", "k2").join(named, ["k1", "k2"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
+    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    named = named.select("k1", "k2", "component").join(lowest, "component")
+    return members.select("doc_id", "text_hash", "n", "k1", "k2").join(named, ["k1", "k2"], "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        "text_hash",
+        "component",
     )

@@ -60,7 +60,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_norm_bucket_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,20 @@ def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_copies", "personal_data", "packing"]
 
 
+def test_repeated_ids_lose_only_their_copies(spark):
+    a, b, c, d = (sentence(k, 60) for k in (3, 11, 17, 23))
+    rows = [(3, a), (5, a + " tail"), (5, b), (7, c), (7, c + " more"), (7, d), (9, d + " end"), (None, a)]
+    rows += [(11, b + " x"), (3, a), (12, ""), (12, None)]
+    path = _folder(spark, rows, [])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    kept = corpus_pipeline.near_copies(spark, docs, path).collect()
+    got = sorted((r["doc_id"] or 0, (r["text"] or "")[:30], len(r["text"] or "")) for r in kept)
+    seven = [t for i, _, t in got if i == 7]
+    assert [x[0] for x in got] == [0, 3, 5, 7, 7, 12, 12]
+    assert (5, b[:30], len(b)) in got and (7, d[:30], len(d)) in got
+    assert sorted(seven) in (sorted([len(c), len(d)]), sorted([len(c + " more"), len(d)]))
+
+
 def test_run_packs_what_the_stages_keep(spark):
     rows = [(i, sentence(i * 3 + 1, 30)) for i in range(20)] + [(50, sentence(4, 30) + " more"), (51, "ann@mail.example.com")]
     path = _folder(spark, rows, [(1, 1, 0)])
@@ -93,5 +107,5 @@ def test_queries_are_registered():
     import __spark_entry__ as e
 
     names = [k for k in e.queries() if k.startswith("op")]
-    assert [int(k[2:].split("_")[0]) for k in names] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in names] == list(range(1, 14))
     assert "pipeline" in e.queries()

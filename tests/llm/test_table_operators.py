@@ -142,6 +142,16 @@ def test_near_duplicates_match_all_pairs(spark):
     assert alone["component_id"] is None
 
 
+def test_texts_of_a_repeated_id_keep_their_links(spark):
+    a, b = sentence(3, 60), sentence(11, 60)
+    rows = [(1, a), (1, b), (2, a + " tail"), (3, b + " tail"), (None, sentence(17, 60)), (4, sentence(17, 60) + " end")]
+    found = near_duplicates(documents(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["component_id"]) for r in found) == [(0, 4), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    assert len({r["component"] for r in found}) == 3
+    alone = near_duplicates(documents(spark, [(None, a), (None, a + " x"), (None, "")])).collect()
+    assert {r["component_id"] for r in alone} == {None}
+
+
 def test_large_clusters_are_cut_without_losing_links(spark):
     from shoplens.llm.ngram_join import member_table, verified_links
 
