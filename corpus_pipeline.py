@@ -9,6 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shoplens.llm.common import ship_package, stored
 from shoplens.llm.ngram_join import near_duplicates
@@ -17,7 +18,7 @@ from shoplens.llm.pii import mask_documents
 from shoplens.llm.toxicity import train_toxicity, with_toxicity
 
 
-BROADCAST_IDS = 2_000_000  # eight bytes each
+BROADCAST_IDS = 1_000_000  # two longs each
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,18 +30,27 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one of the smallest id.
+    """One document of each group of near copies: the one of the smallest id (of its texts, the smallest hash).
 
-    Rows that repeat an id and its text count as one document; rows without
-    an id cannot be named and stay.
+    A document is an id and a text: other texts of the same id are judged by
+    themselves, rows that repeat both count as one.  Rows without an id cannot
+    be named and stay, as do empty texts.
     """
     ship_package(spark)
     groups = stored(near_duplicates(docs), "groups")
-    extra = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    named = groups.filter("doc_id IS NOT NULL AND component IS NOT NULL")
+    # a group may hold several texts of its smallest id
+    texts = named.filter("doc_id = component_id").select("component", "doc_id", "text_hash").distinct()
+    first = Window.partitionBy("component").orderBy("text_hash")
+    also = texts.withColumn("place", F.row_number().over(first)).filter("place > 1").select("doc_id", "text_hash")
+    extra = named.filter("doc_id <> component_id").select("doc_id", "text_hash").unionByName(also).distinct()
+    extra = extra.toDF("copy_id", "copy_hash")
     if extra.count() <= BROADCAST_IDS:  # else the texts are shuffled to meet the ids
         extra = F.broadcast(extra)
-    kept = docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    is_copy = (docs["doc_id"] == extra["copy_id"]) & (F.xxhash64(docs["text"]) == extra["copy_hash"])
+    kept = docs.join(extra, is_copy, "left_anti")
+    repeated = groups.groupBy("doc_id", "text_hash").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id")
+    repeated = repeated.distinct()
     if repeated.isEmpty():
         return kept
     once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
