@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 ROW_BYTES = 16
+NUMPY_POPULATION = 10**9  # numpy draws from populations below this
 
 
 def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray:
@@ -29,7 +30,7 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
     rng = np.random.default_rng(seed)
     out = np.zeros((len(sizes), shards), dtype=np.int64)
     for b, n in enumerate(sizes):
-        # one shard at a time: a univariate draw has no limit on the population
+        # one shard at a time, each a univariate draw
         left, population = n, int(room.sum())
         for s in range(shards):
             population -= int(room[s])
@@ -41,18 +42,27 @@ def communication_matrix(sizes: list[int], shards: int, seed: int) -> np.ndarray
 
 
 def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
-    if draws == 0 or good == 0:
-        return 0
-    if bad == 0:
-        return draws
-    if good + bad < 10**9:
+    """Good ones among ``draws`` of ``good + bad``, without a limit on the population."""
+    low, high = max(0, draws - bad), min(good, draws)
+    if low == high:
+        return low
+    if good + bad < NUMPY_POPULATION:
         return int(rng.hypergeometric(good, bad, draws))
-    # numpy's limit: split the population, each part drawn exactly
-    half_good, half_bad = good // 2, bad // 2
-    first = _hypergeometric(rng, half_good + half_bad, good + bad - half_good - half_bad, draws)
-    return _hypergeometric(rng, half_good, half_bad, first) + _hypergeometric(
-        rng, good - half_good, bad - half_bad, draws - first
-    )
+    # Inversion: weights relative to the mode follow from exact ratios of neighbours.  Twelve
+    # standard deviations (and 60 more for the short tails of small means) leave out less than
+    # a double's precision.
+    population = good + bad
+    mode = min(high, max(low, (draws + 1) * (good + 1) // (population + 2)))
+    variance = draws * (good / population) * (bad / population) * ((population - draws) / (population - 1))
+    reach = int(12 * variance**0.5) + 60
+    up = np.arange(mode, min(high, mode + reach), dtype=np.float64)
+    down = np.arange(mode, max(low, mode - reach), -1, dtype=np.float64)
+    rise = (good - up) / (up + 1) * ((draws - up) / (bad - draws + up + 1))
+    fall = down / (good - down + 1) * ((bad - draws + down) / (draws - down + 1))
+    below = np.cumprod(fall)[::-1]
+    weights = np.concatenate([below, [1.0], np.cumprod(rise)])
+    ends = np.cumsum(weights)
+    return mode - len(below) + int(np.searchsorted(ends, rng.random() * ends[-1], side="right").clip(0, len(ends) - 1))
 
 
 def shard_documents(

@@ -1,5 +1,6 @@
 """Packing, near duplicates, top-k, toxicity, shards and ORC ids against brute force and edge cases."""
 
+import math
 import zlib
 from array import array
 from collections import Counter
@@ -351,6 +352,28 @@ def test_matrix_is_exact_and_uniform():
     assert np.allclose(total / 400, np.array(sizes)[:, None] / 3, atol=0.35)
 
 
+def test_draws_from_large_populations(monkeypatch):
+    from shoplens.llm import sharding
+
+    rng = np.random.default_rng(8)
+    total, shards = 3 * 10**9, 40
+    sizes = [50_000] * 20 + [total - 20 * 50_000]
+    matrix = communication_matrix(sizes, shards, seed=3)
+    assert matrix.sum(axis=1).tolist() == sizes and matrix.sum(axis=0).tolist() == [total // shards] * shards
+    good, bad, draws = total // 40, total - total // 40, 50_000
+    sample = [sharding._hypergeometric(rng, good, bad, draws) for _ in range(4000)]
+    mean, var = draws / 40, draws / 40 * (39 / 40)
+    assert abs(np.mean(sample) - mean) < 5 * (var / 4000) ** 0.5
+    assert abs(np.var(sample) / var - 1) < 0.12
+    assert sharding._hypergeometric(rng, 10**9, 10**9, 5) in range(6)
+    assert sharding._hypergeometric(rng, 10**9, 3, 10**9) in (10**9 - 3, 10**9 - 2, 10**9 - 1, 10**9)
+    # the same law as numpy's where both can draw
+    monkeypatch.setattr(sharding, "NUMPY_POPULATION", 0)
+    own = Counter(sharding._hypergeometric(rng, 12, 20, 7) for _ in range(20_000))
+    ways = [math.comb(12, k) * math.comb(20, 7 - k) / math.comb(32, 7) for k in range(8)]
+    assert all(abs(own[k] / 20_000 - w) < 5 * (w * (1 - w) / 20_000) ** 0.5 + 1e-4 for k, w in enumerate(ways))
+
+
 def test_assignment_is_uniform(spark):
     docs = documents(spark, [(i, "t") for i in range(300)])
     hits = Counter()
