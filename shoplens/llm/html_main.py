@@ -13,7 +13,9 @@ the page has them), nor when nothing else is left.
 
 Defined results: NULL or empty HTML gives an empty text; a page without
 content lines gives an empty text; malformed markup is read as far as it goes
-(unclosed elements end with the page); repeated rows are extracted alike; an
+(unclosed elements end with the page, a tag that never ends is left out,
+unknown ``<![...`` sections are comments); the work is linear in lines and
+elements, whatever their depth; repeated rows are extracted alike; an
 empty table gives no rows; other columns are ignored.
 """
 
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -51,20 +54,24 @@ HINTS = frozenset(
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 _WORD = re.compile(r"[A-Za-z]+")
+_OPENS_TAG = re.compile(r"<[A-Za-z!/?]")
 
 
 class Lines(HTMLParser):
-    """Collects ``(text, tags, element path, boilerplate)`` per line.
+    """Collects ``(text, tags, innermost element, boilerplate)`` per line (element -1: none).
 
-    ``hinted`` are the elements that only a hint calls boilerplate.
+    Elements are numbered as they open, so a parent's number is the smaller
+    one.  ``hinted`` are the elements that only a hint calls boilerplate.
     """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, int, bool]] = []
         self.names: list[str] = []  # element number -> name
+        self.parents: list[int] = []  # element number -> parent's number, -1 without one
         self.hinted: set[int] = set()
         self.open: list[tuple[str, int, bool]] = []  # name, number, boilerplate
+        self.inside: Counter[str] = Counter()  # open elements by name
         self.text: list[str] = []
         self.tags = 0
 
@@ -74,13 +81,13 @@ class Lines(HTMLParser):
             self.text = []
             if line:
                 skip = bool(self.open) and self.open[-1][2]
-                self.lines.append((line, self.tags, tuple(n for _, n, _ in self.open), skip))
+                self.lines.append((line, self.tags, self.open[-1][1] if self.open else -1, skip))
                 self.tags = 0
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS or tag in NO_TEXT:
             self.flush()
-            if tag in CLOSES_P and any(name == "p" for name, _, _ in self.open):
+            if tag in CLOSES_P and self.inside["p"]:
                 self._close("p")
             elif tag in ("li", "dt", "dd", "tr", "td", "th", "option") and self.open and self.open[-1][0] == tag:
                 self._close(tag)
@@ -95,6 +102,8 @@ class Lines(HTMLParser):
             self.flush()
             inherited = bool(self.open) and self.open[-1][2]
             self.names.append(tag)
+            self.parents.append(self.open[-1][1] if self.open else -1)
+            self.inside[tag] += 1
             if hint:
                 self.hinted.add(len(self.names) - 1)
             self.open.append((tag, len(self.names) - 1, inherited or skip))
@@ -105,7 +114,7 @@ class Lines(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if any(name == tag for name, _, _ in self.open):
+        if self.inside[tag]:
             self._close(tag)
         elif tag in BLOCKS:
             self.flush()
@@ -114,7 +123,17 @@ class Lines(HTMLParser):
     def handle_data(self, data):
         self.text.append(data)
 
-    def finish(self):
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # not a section that the parser knows: a bogus comment
+            return self.parse_bogus_comment(i, 0)
+
+    def read(self, html: str):
+        # behind the last ">" no tag can end: an open one there would be scanned again from every "<"
+        rest = html.rfind(">") + 1
+        tag = _OPENS_TAG.search(html, rest)
+        self.feed(html[: tag.start()] if tag else html)
         self.close()
         self.flush()
         return self.lines
@@ -122,14 +141,42 @@ class Lines(HTMLParser):
     def _close(self, tag: str) -> None:
         self.flush()
         while self.open:
-            if self.open.pop()[0] == tag:
+            name = self.open.pop()[0]
+            self.inside[name] -= 1
+            if name == tag:
                 return
 
+    def inherited(self, elements) -> list[bool]:
+        """For each element whether it or one around it is among ``elements``."""
+        out: list[bool] = []
+        for e, parent in enumerate(self.parents):
+            out.append(e in elements or (parent >= 0 and out[parent]))
+        return out
+
+    def outermost(self, name: str) -> list[int]:
+        """For each element the outermost one of this name around it (or itself), -1 without one."""
+        out: list[int] = []
+        for e, parent in enumerate(self.parents):
+            above = out[parent] if parent >= 0 else -1
+            out.append(above if above >= 0 else e if self.names[e] == name else -1)
+        return out
+
+    def totals(self, per_line) -> list[int]:
+        """The sum of a number per line over the lines in each element."""
+        out = [0] * len(self.names)
+        for (_, _, e, _), n in zip(self.lines, per_line):
+            if e >= 0:
+                out[e] += n
+        for e in range(len(out) - 1, -1, -1):
+            if self.parents[e] >= 0:
+                out[self.parents[e]] += out[e]
+        return out
+
     def _is_boilerplate(self, tag: str, attrs) -> bool:
         if tag in NO_TEXT and tag not in SOFT:
             return True
         if tag == "header":  # the page's, not an article's own
-            return not any(name in ("article", "main") for name, _, _ in self.open)
+            return not (self.inside["article"] or self.inside["main"])
         if tag in ("html", "body", "article", "main"):
             return False
         for key, value in attrs:
@@ -183,33 +230,26 @@ def threshold(values: list[float], rounds: int = 20) -> float:
     return math.expm1(cut)
 
 
-def element_mass(lines, chosen: list[bool]) -> dict[int, int]:
-    """Characters of the chosen lines in each element."""
-    mass: dict[int, int] = {}
-    for (text, _, path, _), good in zip(lines, chosen):
-        if good:
-            for element in path:
-                mass[element] = mass.get(element, 0) + len(text)
-    return mass
+def _sizes(lines, chosen) -> list[int]:
+    """Characters of the chosen lines, 0 for the others."""
+    return [len(line[0]) if good else 0 for line, good in zip(lines, chosen)]
 
 
 def without_wrappers(parser: Lines, lines, high: list[bool]) -> set[int]:
     """The hinted elements that are boilerplate: not those that hold the page's text."""
-    named = [any(parser.names[e] in ("article", "main") for e in line[2]) for line in lines]
-    clean = sum(
-        len(text) for (text, _, path, _), good in zip(lines, high) if good and not parser.hinted.intersection(path)
-    )
-    total = sum(len(line[0]) for line, good in zip(lines, high) if good)
-    mass = element_mass(lines, high)
-    inner = [good and own for good, own in zip(high, named)]
-    inner_total = sum(len(line[0]) for line, good in zip(lines, inner) if good)
-    inner_mass = element_mass(lines, inner)
+    named = parser.inherited({e for e, name in enumerate(parser.names) if name in ("article", "main")})
+    hinted = parser.inherited(parser.hinted)
+    sizes = _sizes(lines, high)
+    clean = sum(n for n, (_, _, e, _) in zip(sizes, lines) if e < 0 or not hinted[e])
+    total, mass = sum(sizes), parser.totals(sizes)
+    inner = [n if e >= 0 and named[e] else 0 for n, (_, _, e, _) in zip(sizes, lines)]
+    inner_total, inner_mass = sum(inner), parser.totals(inner)
     out = set()
     for e in parser.hinted:
         if inner_total:
-            wraps = 2 * inner_mass.get(e, 0) > inner_total and mass.get(e, 0) > clean
+            wraps = 2 * inner_mass[e] > inner_total and mass[e] > clean
         else:
-            wraps = 2 * mass.get(e, 0) > total
+            wraps = 2 * mass[e] > total
         if not wraps:
             out.add(e)
     return out
@@ -217,42 +257,33 @@ def without_wrappers(parser: Lines, lines, high: list[bool]) -> set[int]:
 
 def article_elements(parser: Lines, lines, skipped: list[bool], content: list[bool]) -> set[int]:
     """The elements whose lines are the article; empty for the whole page."""
-    mass = element_mass(lines, content)
-    total = sum(len(line[0]) for line, good in zip(lines, content) if good)
+    sizes = _sizes(lines, content)
+    total, mass = sum(sizes), parser.totals(sizes)
     # sibling articles count as one; <main> goes before an article that leaves out much of it
     groups: dict[int, set[int]] = {}
     mains: set[int] = set()
-    for (_, _, path, _), skip in zip(lines, skipped):
-        if not skip:
-            names = [parser.names[e] for e in path]
-            if "main" in names:
-                mains.add(path[names.index("main")])
-            if "article" in names:
-                at = names.index("article")
-                groups.setdefault(path[at - 1] if at else -1, set()).add(path[at])
-    articles = max(groups.values(), key=lambda g: sum(mass.get(e, 0) for e in g), default=set())
-    held = sum(mass.get(e, 0) for e in articles)
+    main_of, article_of = parser.outermost("main"), parser.outermost("article")
+    for (_, _, e, _), skip in zip(lines, skipped):
+        if not skip and e >= 0:
+            if main_of[e] >= 0:
+                mains.add(main_of[e])
+            if article_of[e] >= 0:
+                groups.setdefault(parser.parents[article_of[e]], set()).add(article_of[e])
+    articles = max(groups.values(), key=lambda g: sum(mass[e] for e in g), default=set())
+    held = sum(mass[e] for e in articles)
     if held >= 0.8 * total and articles:
         return articles
-    if 2 * sum(mass.get(e, 0) for e in mains) > total:
+    if 2 * sum(mass[e] for e in mains) > total:
         return mains
     if 2 * held > total:
         return articles
     # the deepest element around all content lines, but never a line's own element
-    paths = [path for (_, _, path, _), good in zip(lines, content) if good]
-    common = list(paths[0])
-    for path in paths[1:]:
-        same = 0
-        while same < min(len(common), len(path)) and common[same] == path[same]:
-            same += 1
-        del common[same:]
-    held_lines: dict[int, int] = {}
-    for (_, _, path, _), skip in zip(lines, skipped):
-        for element in () if skip else path:
-            held_lines[element] = held_lines.get(element, 0) + 1
-    while common and (parser.names[common[-1]] not in CONTAINERS or held_lines[common[-1]] < 2):
-        common.pop()
-    return set(common[-1:])
+    around, held_lines = parser.totals(map(int, content)), parser.totals(int(not skip) for skip in skipped)
+    all_content = sum(content)
+    common = max((e for e, n in enumerate(around) if n == all_content), default=-1)
+    while common >= 0 and (parser.names[common] not in CONTAINERS or held_lines[common] < 2):
+        common = parser.parents[common]
+    return {common} if common >= 0 else set()
 
 
 def main_text(html: str | None) -> str:
@@ -260,27 +291,29 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     parser = Lines()
-    parser.feed(html)
-    lines = parser.finish()
+    lines = parser.read(html)
     hard = [line[3] for line in lines]
     if all(hard):
         return ""
     ratios = smoothed_ratios(lines)
     cut = threshold(ratios)
-    prose = [not PROSE.isdisjoint(parser.names[e] for e in line[2]) for line in lines]
+    in_prose = parser.inherited({e for e, name in enumerate(parser.names) if name in PROSE})
+    prose = [line[2] >= 0 and in_prose[line[2]] for line in lines]
     high = [not skip and (r >= cut or p) for skip, r, p in zip(hard, ratios, prose)]
     if not any(high):
         high = [not skip for skip in hard]
     hints = without_wrappers(parser, lines, high) if parser.hinted else set()
-    skipped = [skip or not hints.isdisjoint(line[2]) for skip, line in zip(hard, lines)]
+    hinted = parser.inherited(hints)
+    skipped = [skip or (line[2] >= 0 and hinted[line[2]]) for skip, line in zip(hard, lines)]
     if all(skipped):
         skipped = hard
     content = [not skip and good for skip, good in zip(skipped, high)]
     if not any(content):
         content = [not skip for skip in skipped]
-    inside = article_elements(parser, lines, skipped, content)
+    article = article_elements(parser, lines, skipped, content)
+    inside = parser.inherited(article)
     return "\n".join(
-        line[0] for line, skip in zip(lines, skipped) if not skip and (not inside or not inside.isdisjoint(line[2]))
+        line[0] for line, skip in zip(lines, skipped) if not skip and (not article or (line[2] >= 0 and inside[line[2]]))
     )
 
 

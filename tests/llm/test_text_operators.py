@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from array import array
 from collections import Counter
@@ -394,6 +395,52 @@ def test_hints_on_wrappers_do_not_empty_the_page():
     assert main_text(f"<article><p>{one}</p></article>{comments}") == one
 
 
+JUNK = ["<![", "foo[", "]]>", "<!", "<?", "<a <", "<", '"', "'", "--", "cdata", "[", ">", "=", "/>", "&#x;", "&#99999999;",
+        "\x00", "<![if IE]>", "<![CDATA[", "<!DOCTYPE", "<div>", "</div>", "<p>", "text ", "</article>", "<article class='ad'>"]
+
+
+def test_no_markup_stops_the_parser():
+    rng = np.random.default_rng(2)
+    for _ in range(5000):
+        main_text("".join(JUNK[k] for k in rng.integers(0, len(JUNK), rng.integers(0, 30))))
+    assert main_text("<![foo[bar]]><p>text</p>") == "text"
+    assert main_text("<p>text</p><a href=") == "text"
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    start = time.process_time()
+    assert main_text("<div>word " * 20_000) == "\n".join(["word"] * 20_000)
+    assert main_text("<div>" * 20_000 + "words") == "words"
+    assert main_text("<p>text</p>" + "<a <" * 20_000) == "text"
+    assert time.process_time() - start < 10
+
+
+def generated_page(rng):
+    """A page of a random layout and the text of its article."""
+    def words(n):
+        return " ".join(f"w{k}" for k in rng.integers(0, 999, n))
+
+    blocks = [words(rng.integers(25, 60)) for _ in range(rng.integers(3, 9))]
+    body = "".join(rng.choice(["<p>{}</p>", "<p>{}</p>\n", "<blockquote>{}</blockquote>", "<h2>{}</h2>"]).format(b) for b in blocks)
+    links = "".join(f"<li><a href='/{k}'>{words(2)}</a></li>" for k in range(rng.integers(2, 9)))
+    side = [f"<nav><ul>{links}</ul></nav>", f"<div class='sidebar'><ul>{links}</ul></div>", f"<aside>{words(8)}</aside>",
+            f"<form><input><button>{words(2)}</button></form>", f"<div id='cookie-notice'>{words(12)}</div>",
+            f"<section class='comments'><p>{words(9)}</p></section>", f"<script>var x = '{words(5)}';</script>"]
+    extra = ["".join(rng.choice(side, rng.integers(0, 4)).tolist()) for _ in range(2)]
+    wrap = str(rng.choice(["<article>{}</article>", "<main>{}</main>", "<div><div>{}</div></div>", "<div class='post'>{}</div>"]))
+    for _ in range(rng.integers(0, 4)):
+        wrap = f"<div>{wrap}</div>"
+    page = f"<html><body><header>{words(3)}</header>{extra[0]}{wrap.format(body)}{extra[1]}<footer>{words(6)}</footer></body></html>"
+    return page, "\n".join(blocks)
+
+
+def test_generated_pages_give_their_article():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        page, text = generated_page(rng)
+        assert main_text(page) == text, page
+
+
 def test_pages_on_spark(spark):
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "plain text only"), (4, "u", "plain text only"),
             (None, "u", "<nav>only menu</nav>"), (6, "u", "<p>" * 3000 + "deep" + "<div>" * 3000)]
