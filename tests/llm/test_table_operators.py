@@ -250,6 +250,30 @@ def test_top_k_matches_all_products(spark):
     assert [(r["query_id"], r["vec_id"]) for r in few] == [(0, 5)]
 
 
+def test_long_vectors_take_part_with_exact_scores(spark):
+    rng = np.random.default_rng(9)
+    values = rng.normal(size=(120, 6)) * (2.0 ** rng.integers(0, 40, size=(120, 1)))
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in enumerate(values)]
+    rows += [(200, [1.0, 2.0**21] + [0.0] * 4), (300, [3e38] * 6), (301, [-3e38] * 6), (302, [2.0**22 + 1] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = top_k(df, F.col("vec_id") % 20 == 0, k=5, rows_per_bucket=16, queries_per_block=3).collect()
+    got: dict[int, list] = {}
+    for r in sorted(found, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    whole = {i: [math.floor(1024 * float(np.float32(x))) for x in v] for i, v in rows}
+    low, high, most = -(2**63), 2**63 - 1, 10**38 - 1
+    for q in (i for i, _ in rows if i % 20 == 0):
+        exact = {i: sum(a * b for a, b in zip(whole[q], v)) for i, v in whole.items() if i != q}
+        best = sorted(exact, key=lambda i: (-max(-most, min(most, exact[i])), i))[:5]
+        assert got[q] == [(i, max(low, min(high, exact[i]))) for i in best], q
+
+
+def test_vectors_go_to_blocks_that_need_them(spark):
+    df = spark.range(400).selectExpr("id AS vec_id", "array(id * 1.0D, 1.0D) AS embedding")
+    plan = top_k(df, F.col("vec_id") % 10 == 0, rows_per_bucket=32, queries_per_block=4)._jdf.queryExecution().toString()
+    assert "explode(sequence(0, 9" not in plan  # blocks are met by a join
+
+
 def test_bucket_of_is_a_binary_search(spark):
     cuts = [3, 8, 8_000_000_000, 9_000_000_000, 9_000_000_001]
     for value in (-1, 3, 7, 8, 8_000_000_001, 9_000_000_000, 2**62):
