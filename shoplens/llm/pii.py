@@ -15,7 +15,11 @@ the two bounded count tables is collected.
 
 Defined results: NULL and empty texts have no spans; repeated rows get equal
 spans; with no candidates at all only base rules apply; an empty table gives
-no rows; other columns are kept by ``mask_documents`` and ignored otherwise.
+no rows; other columns are kept by ``mask_documents`` and ignored otherwise;
+very long texts are searched whole, with work linear in their matches but for
+the loop over overlapping spans and masking, which are quick up to tens of
+thousands of spans.  The loose candidates' patterns have length limits, the
+base patterns have none: no base match is lost by them.
 """
 
 from __future__ import annotations
@@ -79,21 +83,53 @@ def matches(text: Column, pattern: str) -> Column:
                 F.substring(F.get(p, i + 1), 1, 1).alias("right"),
             ),
         )
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+        return let(pairs, located)
+
+    def located(pairs: Column) -> Column:
+        """Starts as sums of the lengths before, by blocks: no array grows match by match."""
+
+        def total(part: Column) -> Column:
+            return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+        def ends(blocks: Column) -> Column:
+            start = F.struct(F.lit(0).alias("at"), F.array(F.lit(0)).alias("out"))
+
+            def step(acc: Column, x: Column) -> Column:
+                return F.struct((acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"] + x)).alias("out"))
+
+            return F.aggregate(blocks, start, step, lambda acc: acc["out"])
+
+        def spans(sizes: Column, before: Column) -> Column:
+            def span(x: Column, i: Column) -> Column:
+                block = F.shiftright(i, BLOCK_BITS)
+                first = F.shiftleft(block, BLOCK_BITS)
+                begin = F.get(before, block) + total(F.slice(sizes, first + 1, i - first)) + x["gap"]
+                return let(
+                    begin,
+                    lambda at: F.struct(
+                        at.alias("start"),
+                        (at + F.length(x["match"])).alias("end"),
+                        x["match"].alias("match"),
+                        x["left"].alias("left"),
+                        x["right"].alias("right"),
+                    ),
+                )
+
+            return F.transform(pairs, span)
 
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + x["gap"]
-            end = begin + F.length(x["match"])
-            span = F.struct(
-                begin.alias("start"), end.alias("end"), x["match"].alias("match"), x["left"].alias("left"), x["right"].alias("right")
+        def with_sizes(sizes: Column) -> Column:
+            numbers = F.sequence(F.lit(0), F.shiftright(F.size(sizes), BLOCK_BITS))
+            blocks = F.transform(
+                numbers, lambda k: total(F.slice(sizes, F.shiftleft(k, BLOCK_BITS) + 1, F.lit(1 << BLOCK_BITS)))
             )
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
+            return let(ends(blocks), lambda before: spans(sizes, before))
 
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+        return let(F.transform(pairs, lambda x: x["gap"] + F.length(x["match"])), with_sizes)
 
     return let(found, lambda m: F.when(F.size(m) == 0, F.array().cast(SPAN)).otherwise(let(pieces, lambda p: place(m, p))))
 
 
+BLOCK_BITS = 6  # matches of a block, whose lengths are summed anew for each of them
 SPAN = "array<struct<start:int,end:int,match:string,left:string,right:string>>"
 
 

@@ -166,6 +166,22 @@ def test_base_spans_match_the_plain_patterns(spark):
             assert set(filter(None, text.split(","))) <= set(r["spans"].split(","))
 
 
+def test_texts_of_many_matches(spark):
+    """More matches than a block holds, at places that code points and bytes count differently."""
+    parts = [f"é{'x' * (k % 7)} user{k}@mail{k % 5}.example.com" for k in range(700)]
+    text = " ".join(parts) + " 10.0.0.1"
+    start = time.process_time()
+    found = find_personal_data(documents(spark, [(1, text), (2, ""), (3, None)])).filter("doc_id = 1").first()
+    at, spans = 0, []
+    for part in parts:
+        mail = part.split(" ")[1]
+        spans.append(f"email:{at + len(part) - len(mail)}:{at + len(part)}")
+        at += len(part) + 1
+    spans.append(f"ip:{at}:{at + 8}")
+    assert found["n_email"] == 700 and found["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest()
+    assert time.process_time() - start < 60
+
+
 def test_credentials_are_added_and_clean_texts_left_alone(spark):
     rows = [(i, f"{sentence(i, 20)} password={'ab12cd34ef' + str(i)} {sentence(i, 5)}") for i in range(30)]
     rows += [(100 + i, sentence(i, 40)) for i in range(30)]
