@@ -158,9 +158,17 @@ def marked_words(words: Vocabulary, labels: list[int], odds: float = 30.0) -> np
     return (np.isin(words.codes, marks) & words.marking).any(1)
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = 2000) -> ToxicityModel:
-    """Fit the chain and the document curve on a bounded sample, on the driver."""
-    return fit(training_rows(docs, labels, max_rows))
+def train_toxicity(
+    docs: DataFrame, labels: DataFrame, max_rows: int = 2000, max_segments: int = 6000
+) -> ToxicityModel:
+    """Fit the chain and the document curve on a bounded sample, on the driver.
+
+    The sample is at most ``max_rows`` labelled texts of either class; the
+    chain learns from at most ``max_segments`` segments of them, half of them
+    with a marked word, evenly spread.  Both bound training only: every text
+    is scored whole.
+    """
+    return fit(training_rows(docs, labels, max_rows), max_segments=max_segments)
 
 
 def _spread(items: list, most: int) -> list:
