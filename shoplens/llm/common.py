@@ -36,13 +36,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def splitters(df: DataFrame, key: str, rows_per_bucket: int) -> list[int]:
-    """Ascending cut points that split ``key`` into ranges of about so many rows.
+def splitters(df: DataFrame, key: str, rows_per_bucket: int, most: int) -> list[int]:
+    """Ascending cut points that split ``key`` into ranges of about so many rows, at most ``most`` ranges.
 
-    One pass over ``key`` alone; the driver gets one number per range.
+    One pass over ``key`` alone; the driver gets one number per range, so
+    ``most`` must not grow with the rows.
     """
     total = df.count()
-    n = -(-total // rows_per_bucket)
+    n = min(-(-total // rows_per_bucket), most)
     if n < 2:
         return []
     at = [i / n for i in range(1, n)]

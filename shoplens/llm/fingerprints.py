@@ -2,11 +2,18 @@
 
 The symbols of a text are its words (runs without white space, longer ones cut
 every ``SYMBOL`` code points).  Every k-mer of symbols is numbered by its
-occurrence in the text and hashed.  One random order of all numbered k-mers,
-cut by hash range into ``sketches`` bins, stands for that many sketches (one
-permutation hashing): each bin keeps its ``length`` smallest, puts them back
-into text order and hashes the tuple.  Likeness of two fingerprints is the
-share of equal tuples among the bins that either text fills.
+occurrence in the text and hashed.  Each of the ``sketches`` orders the
+numbered k-mers at random, takes the ``length`` smallest, puts them back into
+text order and hashes the tuple.  Likeness of two fingerprints is the share of
+equal tuples.
+
+The orders are rotations of ``orders`` independent random orders: a sketch
+starts at its own place of the hash range and goes round past its end.  By
+symmetry each rotation is a uniformly random order, so every sketch of every
+text is a tuple of ``length`` numbered k-mers (of all, if the text has fewer)
+and likeness is unbiased; only ``orders`` sorts are needed.  Sketches of one
+order share k-mers where a text has few, so likeness varies more than that of
+independent sketches below about ``sketches / orders`` k-mers.
 
 All steps are array expressions over one row, sorting only arrays of longs:
 work is n log n in the symbols of a text and nothing is exploded or shuffled.
@@ -29,11 +36,11 @@ POS_BITS = 28  # a position and the upper 35 bits of a hash share one long
 POS = (1 << POS_BITS) - 1
 HASH_BITS = 63 - POS_BITS
 BROADCAST_RANGES = 1_000_000
+RANGES_PER_TASK = 8
 
 
-def order_minhash(text: Column, k: int = 3, length: int = 2, sketches: int = 64) -> Column:
-    """One 32-bit tuple hash per sketch; NULL where the text has no k-mer for it."""
-    shift = (sketches - 1).bit_length()
+def order_minhash(text: Column, k: int = 3, length: int = 2, sketches: int = 64, orders: int = 4) -> Column:
+    """One 32-bit tuple hash per sketch (``sketches / orders`` a power of two)."""
     symbols = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"[^\s]{1,%d}" % SYMBOL), F.lit(0))
 
     def hashed(w: Column) -> Column:
@@ -48,12 +55,22 @@ def order_minhash(text: Column, k: int = 3, length: int = 2, sketches: int = 64)
             F.transform(kmers, lambda h, i: h.bitwiseAND(F.lit(MAX_LONG - POS)) + i.cast("long"))
         )
         powers = F.filter(F.lit([1 << b for b in reversed(range(POS_BITS))]), lambda s: s < F.size(kmers))
-        return let(grouped, lambda g: let(powers, lambda p: _with_occurrence(kmers, g, p, shift, sketches, length)))
+        return let(grouped, lambda g: let(powers, lambda p: sketched(_with_occurrence(kmers, g, p), p)))
+
+    def sketched(codes: Column, powers: Column) -> Column:
+        return let(
+            codes,
+            lambda c: F.flatten(
+                F.transform(F.lit(list(range(orders))), lambda r: _sketches(c, powers, r, length, sketches // orders))
+            ),
+        )
 
     return let(symbols, lambda w: let(hashed(w), numbered))
 
 
-def _with_occurrence(kmers, grouped, powers, shift, sketches, length) -> Column:
+def _with_occurrence(kmers, grouped, powers) -> Column:
+    """Hash of each k-mer with its occurrence number above, its place in the text below."""
+
     def code(x: Column, j: Column) -> Column:
         place = x.bitwiseAND(F.lit(POS))
         own = F.coalesce(F.get(kmers, place.cast("int")), F.lit(0).cast("long"))
@@ -68,12 +85,25 @@ def _with_occurrence(kmers, grouped, powers, shift, sketches, length) -> Column:
         mixed = F.xxhash64(own, F.when(repeated, before).otherwise(F.lit(0)))
         return mixed.bitwiseAND(F.lit(MAX_LONG - POS)) + place
 
-    order = F.sort_array(F.transform(grouped, code))
-    return let(order, lambda q: F.transform(F.sequence(F.lit(0), F.lit(sketches - 1)), lambda b: _tuple_hash(q, powers, b, shift, length)))
+    return F.transform(grouped, code)
+
+
+def _sketches(codes, powers, order, length, rotations) -> Column:
+    """Tuple hashes of one random order's rotations."""
 
+    def placed_anew(c: Column) -> Column:
+        mixed = F.xxhash64(F.shiftright(c, POS_BITS), order)
+        return mixed.bitwiseAND(F.lit(MAX_LONG - POS)) + c.bitwiseAND(F.lit(POS))
 
-def _tuple_hash(order, powers, sketch, shift, length) -> Column:
-    low = F.shiftleft(sketch.cast("long"), 63 - shift)
+    # 63 bits of hash range, cut evenly
+    starts = F.lit([(1 << 63) // rotations * b for b in range(rotations)])
+    return let(
+        F.sort_array(F.transform(codes, placed_anew)),
+        lambda q: F.transform(starts, lambda low: _tuple_hash(q, powers, low, length)),
+    )
+
+
+def _tuple_hash(order, powers, low, length) -> Column:
     first = F.aggregate(
         F.concat(powers, F.array(F.lit(1))),  # one more step: as many as all may lie below
         F.lit(0),
@@ -81,46 +111,40 @@ def _tuple_hash(order, powers, sketch, shift, length) -> Column:
     )
 
     def fold(at: Column) -> Column:
-        chosen = F.filter(
-            F.slice(order, at + 1, F.lit(length)), lambda x: F.shiftright(x, 63 - shift) == sketch.cast("long")
-        )
+        # the smallest from there on, past the end the first ones
+        steps = F.sequence(F.lit(0), F.least(F.lit(length), F.size(order)) - 1)
+        chosen = F.transform(steps, lambda j: F.get(order, (at + j) % F.size(order)))
         # back to text order: position above, hash below
         placed = F.sort_array(
             F.transform(chosen, lambda x: F.shiftleft(x.bitwiseAND(F.lit(POS)), HASH_BITS) + F.shiftright(x, POS_BITS))
         )
-        return let(
-            placed,
-            lambda t: F.when(
-                F.size(t) > 0,
-                F.aggregate(
-                    t, F.lit(0).cast("long"), lambda acc, x: F.xxhash64(acc, x.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
-                ).bitwiseAND(F.lit(0xFFFFFFFF)),
-            ),
-        )
+        return F.aggregate(
+            placed, F.lit(0).cast("long"), lambda acc, x: F.xxhash64(acc, x.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+        ).bitwiseAND(F.lit(0xFFFFFFFF))
 
     return let(first, fold)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of equal tuples among the sketches that either fingerprint has (0 to 1)."""
-    either = F.size(F.filter(F.zip_with(a, b, lambda x, y: F.coalesce(x, y)), lambda v: v.isNotNull()))
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda v: v))
-    return F.when(either > 0, equal / either).otherwise(F.lit(0.0))
+    """Share of equal tuples of two fingerprints (0 to 1)."""
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda v: v)) / F.size(a)
 
 
 def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda x: F.coalesce(F.lower(F.hex(x)), F.lit("-"))), ".")
+    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.hex(x))), ".")
 
 
 def with_next(docs: DataFrame, rows_per_bucket: int = 500) -> DataFrame:
     """``doc_id, text, print, next_text, next_print`` in id order, the last before the first.
 
-    Ids are cut into ranges by quantiles; a range's rows meet the first row of
-    the range after it, so no task sees more than a range.
+    Ids are cut into ranges by quantiles, at most ``RANGES_PER_TASK`` for each
+    task of a shuffle; a range's rows meet the first row of the range after
+    it, so no task sees the order of more than its ranges.
     """
     key = F.coalesce("doc_id", F.lit(MAX_LONG))
     rows = docs.withColumn("_key", key)
-    cuts = splitters(rows, "_key", rows_per_bucket)
+    tasks = shuffle_partitions(docs.sparkSession)
+    cuts = splitters(rows, "_key", rows_per_bucket, most=RANGES_PER_TASK * tasks)
     rows = rows.withColumn("_range", bucket_of(F.col("_key"), cuts))
     heads = rows.groupBy("_range").agg(F.min("_key").alias("_key"))
     if len(cuts) < BROADCAST_RANGES:  # two numbers a range; more of them meet the texts in a shuffle
@@ -137,7 +161,7 @@ def with_next(docs: DataFrame, rows_per_bucket: int = 500) -> DataFrame:
         F.lit(1).alias("_guest"),
     )
     every = rows.withColumn("_guest", F.lit(0)).unionByName(guests)
-    dealt = every.repartition(shuffle_partitions(docs.sparkSession), "_range")
+    dealt = every.repartition(tasks, "_range")
     printed = dealt.withColumn("print", order_minhash(F.col("text")))
     after = Window.partitionBy("_range").orderBy("_guest", "_key", "text")
     return (

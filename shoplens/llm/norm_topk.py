@@ -9,7 +9,8 @@ feasible interval of the query's largest coordinates), and the inner products
 of what is left are computed exactly.
 
 Query blocks meet vector buckets as (bucket, block) groups of bounded size; a
-bucket of many equal lengths is split by id hash.
+bucket of more rows is split by id hash: one of many equal lengths, and all of
+them in a table of more than ``MOST_BUCKETS`` buckets.
 
 A vector is sent only to query blocks that hold a query its bucket can serve.
 Products that a double holds exactly are multiplied as doubles, larger ones as
@@ -39,6 +40,7 @@ FOCUS = 3  # coordinates used in coordinate pruning
 HITS = "query_id long, vec_id long, score decimal(38,0)"
 EXACT = 2.0**53  # whole numbers below this are exact as doubles, and so are sums that stay below
 MOST = 10**38 - 1
+MOST_BUCKETS = 4096  # cut points on the driver; larger buckets are split by id hash
 LONGEST = 9e18  # norms beyond share the first bucket's key
 
 
@@ -145,9 +147,9 @@ def top_k(
     """``query_id, rank, vec_id, score``: each query's ``k`` best other vectors."""
     vectors = stored(integer_vectors(rows, id_col, vector_col, scale), "vectors")
     spark = rows.sparkSession
-    # bucket 0 holds the longest; one number per bucket comes to the driver
+    # bucket 0 holds the longest; one number per bucket, at most MOST_BUCKETS, comes to the driver
     key = F.greatest(-F.col("norm"), F.lit(-LONGEST)).cast("long")
-    cuts = splitters(vectors.select(key.alias("key")), "key", rows_per_bucket)
+    cuts = splitters(vectors.select(key.alias("key")), "key", rows_per_bucket, most=MOST_BUCKETS)
     vectors = vectors.withColumn("bucket", bucket_of(key, cuts))
     stats = vectors.groupBy("dim", "bucket").agg(F.count(F.lit(1)).alias("n"), F.max("norm").alias("longest"))
     stats = stats.withColumn("parts", F.ceil(F.col("n") / rows_per_bucket).cast("int"))

@@ -13,7 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplens.llm import pii
-from shoplens.llm.fingerprints import fingerprint_documents, order_minhash
+from shoplens.llm.common import splitters
+from shoplens.llm.fingerprints import fingerprint_documents, likeness, order_minhash
 from shoplens.llm.html_main import extract_main_text, main_text
 from shoplens.llm.merge_dropout import MergeCache, PairTable, Vocabulary, decode, encode_and_decode, encode_documents
 from shoplens.llm.pii import find_personal_data, mask_documents, pattern_probabilities
@@ -53,24 +54,26 @@ def test_fingerprints_of_empty_and_single_tables(spark):
     assert only["near_next"] == 1.0  # it is its own next
 
 
-def _brute_sketch(text, xx, k=3, length=2, sketches=64):
+def _brute_sketch(text, xx, k=3, length=2, sketches=64, orders=4):
     """The same sketches, k-mer by k-mer, from Spark's hash of each numbered k-mer."""
-    top = 2**63 - 1
+    low28 = 2**28 - 1
     symbols = re.findall(r"[^\s]{1,12}", text, re.A)
     kmers = [tuple(symbols[i : i + k]) for i in range(max(1, len(symbols) - k + 1))]
     seen, coded = Counter(), []
     for place, kmer in enumerate(kmers):
-        own = xx(*kmer) & top
-        coded.append((xx_long(xx, own, seen[kmer]) & (top - (2**28 - 1))) + place)
+        own = xx(*kmer) & (2**63 - 1)
+        coded.append(((xx_long(xx, own, seen[kmer]) & (2**63 - 1)) >> 28, place))
         seen[kmer] += 1
-    coded.sort()
     out = []
-    for b in range(sketches):
-        mine = [c for c in coded if c >> 57 == b][:length]
-        acc = 0
-        for c in sorted(mine, key=lambda c: c & (2**28 - 1)):
-            acc = xx_acc(xx, acc, c >> 28)
-        out.append(acc & 0xFFFFFFFF if mine else None)
+    for order in range(orders):
+        values = [((xx_long(xx, head, order) & (2**63 - 1)) >> 28, place) for head, place in coded]
+        for b in range(sketches // orders):
+            start = (2**35 * b) // (sketches // orders)  # of the 35 bits above the place
+            mine = sorted(values, key=lambda v: ((v[0] - start) % 2**35, v[1]))[:length]
+            acc = 0
+            for head, _ in sorted(mine, key=lambda v: v[1]):
+                acc = xx_acc(xx, acc, head)
+            out.append(acc & 0xFFFFFFFF)
     return out
 
 
@@ -105,6 +108,50 @@ def test_fingerprints_see_order(spark):
     assert alike["same"] > alike["swapped"] > alike["reversed"]
 
 
+def _likeness_of_pairs(spark, pairs, **options):
+    df = spark.createDataFrame(pairs, "a string, b string")
+    prints = [order_minhash(F.col(c), **options).alias(c) for c in "ab"]
+    return np.array([r["l"] for r in df.select(*prints).select(likeness(F.col("a"), F.col("b")).alias("l")).collect()])
+
+
+def _short_pairs(words, n):
+    """Texts of so many words, different in every pair, and each with one word in the middle replaced."""
+    pairs = []
+    for i in range(n):
+        w = [f"w{i}x{j}" for j in range(words)]
+        pairs.append((" ".join(w), " ".join(w[: words // 2] + ["other"] + w[words // 2 + 1 :])))
+    return pairs
+
+
+@pytest.mark.parametrize("words", [12, 20, 60])
+def test_rotations_are_as_good_as_independent_orders(spark, words):
+    pairs = _short_pairs(words, 300)
+    rotated = _likeness_of_pairs(spark, pairs)
+    independent = _likeness_of_pairs(spark, pairs, orders=64)
+    # no bias: the means agree within their errors
+    error = np.sqrt((rotated.var() + independent.var()) / len(pairs))
+    assert abs(rotated.mean() - independent.mean()) < 4 * error
+    assert 0 < rotated.mean() < 1
+    # few k-mers are shared by neighbouring rotations: some more spread, not a multiple of it
+    assert rotated.std() < 1.5 * independent.std()
+
+
+def test_short_texts_have_whole_tuples(spark):
+    # two k-mers: every tuple holds both, so their order decides all of them
+    pairs = [("a b c d", "a b c d"), ("x y z x y z x", "x y z x y z")]
+    same, other = _likeness_of_pairs(spark, pairs)
+    assert same == 1.0 and other < 1.0
+    df = spark.createDataFrame([(t,) for t in ("a b c d", "one two three four five six", "", "one")], "t string")
+    for row in df.select(order_minhash(F.col("t")).alias("f")).collect():
+        assert len(row["f"]) == 64 and None not in row["f"]
+
+
+def test_ranges_do_not_grow_with_the_rows(spark):
+    rows = spark.range(5000).withColumnRenamed("id", "_key")
+    assert len(splitters(rows, "_key", 10, most=1000)) > 400
+    assert len(splitters(rows, "_key", 10, most=16)) == 15
+
+
 # ---------------------------------------------------------------- personal data
 
 PLAIN = {
