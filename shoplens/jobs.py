@@ -12,6 +12,8 @@
     python -m shoplens.jobs conversion --summary /shared/funnel --show
     python -m shoplens.jobs daily_words --log /data/search-logs/2019-11-29/ --summary /shared/words --day 2019-11-29
     python -m shoplens.jobs hotwords --summary /shared/words --from-day 2019-11-01 --k 10 --show
+    python -m shoplens.jobs follow_words --log /data/search-logs/ --stream words --k 10 --out /shared/live
+    python -m shoplens.jobs follow_daily --parquet /data/shop --stream daily --out /shared/days
 
 Tables come from the Hive metastore's catalog (``<db>.t_member`` ...) or from
 Parquet (``<dir>/t_member.parquet`` ...); the search log is text, date strings
@@ -30,6 +32,14 @@ stored one, in one step, so a rerun changes nothing, a day that lost its rows
 is gone and a killed job leaves the old table.  ``growth``,
 ``growth_complete`` and ``wow``, ``marketing``, and ``conversion`` read these
 with ``--summary`` instead of the tables.
+
+``follow_words`` and ``follow_daily`` are streams, named by ``--stream``: a run
+works off the files that have appeared since the last one and ends.  The first
+keeps the running word counts in its state and reports the hottest words of all
+files so far; the second reads ``<dir>/t_member.parquet/`` and
+``<dir>/t_order.parquet/`` as growing folders and appends the registrations and
+orders of every day that is over (``--watermark`` later) to ``--out``, whose
+rows it alone writes.
 """
 
 from __future__ import annotations
@@ -52,6 +62,8 @@ from shoplens.session import build_session, checkpoint_dir
 from shoplens.sources.readers import read_catalog_table, read_parquet_table, read_text_log
 from shoplens.sources.sinks import to_json_lines, write_report
 from shoplens.sources.tables import bucketed_alike, write_table
+from shoplens.streaming import follow_daily_counts, follow_search_words
+from shoplens.streaming.reports import parquet_stream
 from shoplens.stored import DailyWords, FunnelState, coupon_summary, growth_summary, read_daily
 
 TABLES = {"t_member": MEMBER, "t_order": ORDER, "t_coupon_member": COUPON_MEMBER}
@@ -111,8 +123,13 @@ def _bucketed(spark: SparkSession, args) -> bool:
 
 def _need(parser: argparse.ArgumentParser, args) -> None:
     """Stop with a message where a job's input is not named."""
-    if args.job in ("hotwords", "words", "daily_words"):
-        if not args.log and not (args.summary and args.job != "daily_words"):
+    if args.job in FOLLOW_JOBS and not args.stream:
+        parser.error(f"{args.job} needs --stream")
+    if args.job == "follow_daily":
+        if not (args.parquet and args.out) or args.table or args.format != "parquet":
+            parser.error("follow_daily needs --parquet and --out, and writes nothing but Parquet")
+    elif args.job in ("hotwords", "words", "daily_words", "follow_words"):
+        if not args.log and not (args.summary and args.job in ("hotwords", "words")):
             parser.error(f"{args.job} needs --log")
         if args.job == "daily_words" and not args.day:
             parser.error("daily_words needs --day")
@@ -187,6 +204,20 @@ def _date_reports(spark: SparkSession, args, as_of) -> dict[str, DataFrame]:
     return {"calendar": op.calendar_enrich(rows, args.column, reference_date=as_of)}
 
 
+def _follow_daily(spark: SparkSession, args) -> None:
+    """Append the days that are over, and print the whole series with ``--show``."""
+    for name, table, column in (("registrations", "t_member", "id"), ("orders", "t_order", "order_id")):
+        rows = parquet_stream(spark, f"{args.parquet.rstrip('/')}/{table}.parquet", TABLES[table])
+        path = f"{args.out.rstrip('/')}/{name}"
+        follow_daily_counts(
+            rows, f"{args.stream}_{name}", path, count_col=column, out=name, watermark=args.watermark
+        )
+        if args.show:
+            days = spark.read.schema(f"day string, {name} long").parquet(path).orderBy("day")
+            for row in to_json_lines(days).toLocalIterator():
+                print(row["value"])
+
+
 def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     job = args.job
     as_of = dt.datetime.fromisoformat(args.as_of)
@@ -198,6 +229,12 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
     if job == "daily_words":
         DailyWords(spark, args.summary).replace_day(args.day, read_text_log(spark, args.log))
         return {}
+    if job == "follow_words":
+        counts = follow_search_words(spark, args.log, args.stream)
+        return {"hot_words": counts.orderBy(F.col("cnt").desc(), F.col("word").asc()).limit(args.k)}
+    if job == "follow_daily":
+        _follow_daily(spark, args)
+        return {}
     if job == "hotwords":
         return {"hot_words": op.search_hot_words(read_text_log(spark, args.log), k=args.k)}
     if job == "words":
@@ -247,7 +284,8 @@ def _reports(spark: SparkSession, args) -> dict[str, DataFrame]:
 
 KEEPING_JOBS = ("daily", "daily_coupons", "daily_funnel", "daily_words")
 SUMMARY_JOBS = ("growth", "growth_complete", "wow", "marketing", "conversion")
-JOBS = ["member", *SUMMARY_JOBS, *KEEPING_JOBS, "hotwords", "words", "standardise", "quality", "calendar"]
+FOLLOW_JOBS = ("follow_words", "follow_daily")
+JOBS = ["member", *SUMMARY_JOBS, *KEEPING_JOBS, *FOLLOW_JOBS, "hotwords", "words", "standardise", "quality", "calendar"]
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -262,6 +300,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--from-day", help="words, hotwords from --summary: the first day (--day: the last; default all)")
     p.add_argument("--buckets", type=int, default=256, help="parts of the funnel state, fixed when it is built")
     p.add_argument("--log", help="search log path (text, tab-separated)")
+    p.add_argument("--stream", help="follow jobs: name of the stream, whose progress and state lie under spark.checkpoint.dir")
+    p.add_argument("--watermark", default="1 day", help="follow_daily: how long after its day a row may come")
     p.add_argument("--dates", help="Parquet file or folder with a date column")
     p.add_argument("--column", default="ds", help="the date column")
     p.add_argument("--as-of", default=dt.date.today().isoformat())

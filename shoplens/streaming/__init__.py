@@ -2,6 +2,9 @@
 
 from shoplens.streaming.reports import (
     daily_counts_stream,
+    follow_daily_counts,
+    follow_search_words,
+    followed_word_counts,
     search_hot_words_stream,
     search_word_counts_stream,
     start_stream,
@@ -9,6 +12,9 @@ from shoplens.streaming.reports import (
 
 __all__ = [
     "daily_counts_stream",
+    "follow_daily_counts",
+    "follow_search_words",
+    "followed_word_counts",
     "search_hot_words_stream",
     "search_word_counts_stream",
     "start_stream",

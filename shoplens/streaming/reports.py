@@ -10,6 +10,12 @@ Parquet files.  The operators below reuse the batch expressions unchanged:
   watermark, so a day's count is emitted once, when the watermark passes the
   end of the day, and its state is then dropped (``append`` output).
 
+:func:`follow_search_words` and :func:`follow_daily_counts` work off what has
+appeared since their last run and stop, for a scheduler to start again (the
+jobs ``follow_words`` and ``follow_daily``).  The running word counts live in
+the checkpoint's state store, and :func:`followed_word_counts` reads them from
+there as a table, so a ranking needs neither the log nor a new trigger.
+
 Checkpoints go under the shared folder named by ``spark.checkpoint.dir``, so
 a restarted query resumes exactly where it stopped.
 """
@@ -79,6 +85,11 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.readStream.schema(schema).parquet(path)
 
 
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """The folder that holds the progress and the state of the stream ``name``."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
 def start_stream(
     df: DataFrame,
     name: str,
@@ -93,15 +104,43 @@ def start_stream(
     ``sink`` is any streaming sink format; ``memory`` (tests) keeps results in
     a session table called ``name``.
     """
-    spark = df.sparkSession
     writer = (
         df.writeStream.queryName(name)
         .format(sink)
         .outputMode(output_mode)
-        .option("checkpointLocation", f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+        .option("checkpointLocation", stream_checkpoint(df.sparkSession, name))
     )
     if path is not None:
         writer = writer.option("path", path)
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def _work_off(df: DataFrame, name: str, **options) -> None:
+    """Run a stream over all input that is there now; its failure is raised."""
+    start_stream(df, name, trigger={"availableNow": True}, **options).awaitTermination()
+
+
+def follow_search_words(
+    spark: SparkSession, log_dir: str, name: str, *, max_files_per_trigger: int | None = None, **options
+) -> DataFrame:
+    """Count the log files that appeared since the last run of ``name``; ``word, cnt`` of all so far.
+
+    A file is counted once, also where a run is killed and started anew.
+    """
+    counts = search_word_counts_stream(spark, log_dir, max_files_per_trigger=max_files_per_trigger, **options)
+    _work_off(counts, name, sink="noop", output_mode="update")
+    return followed_word_counts(spark, name)
+
+
+def followed_word_counts(spark: SparkSession, name: str) -> DataFrame:
+    """``word, cnt`` as the stream ``name`` left them, read from its state store in one task per state partition."""
+    state = spark.read.format("statestore").load(stream_checkpoint(spark, name))
+    # groups without a usable word count 0, as in the batch form
+    return state.select(F.col("key.word").alias("word"), F.col("value.count").alias("cnt")).filter("cnt > 0")
+
+
+def follow_daily_counts(rows: DataFrame, name: str, path: str, **options) -> None:
+    """Append to ``path`` the days of :func:`daily_counts_stream` that the rows since the last run have closed."""
+    _work_off(daily_counts_stream(rows, **options), name, sink="parquet", path=path)

@@ -1,6 +1,7 @@
 """Streaming forms give the batch answers once all input is processed."""
 
 import datetime as dt
+import json
 import os
 import tempfile
 import uuid
@@ -12,6 +13,7 @@ from shoplens.schemas import COUPON_MEMBER
 from shoplens.sources import canonical as src
 from shoplens.streaming import (
     daily_counts_stream,
+    followed_word_counts,
     search_hot_words_stream,
     search_word_counts_stream,
     start_stream,
@@ -115,3 +117,61 @@ def test_daily_stream_counts_late_rows_inside_the_watermark_only(spark):
     assert got["2024-01-01"] == 2  # the late 1 Jan row was dropped
     assert got["2024-01-02"] == 2  # the 2 Jan row within the watermark counted
     assert "2024-01-06" not in got  # still open
+
+
+def test_follow_words_job_counts_every_file_once(spark, capsys):
+    from shoplens import jobs
+
+    log = src.search_log(spark, SF_SMALL)
+    lines = [r["value"] for r in log.collect()] + ["no word", "a\tb\t", "a\tb\tonce"]
+    folder, name = tempfile.mkdtemp(prefix="shoplens-log-"), _name("follow")
+    argv = ["follow_words", "--log", folder, "--stream", name, "--k", "7", "--show"]
+    for i in range(3):
+        with open(os.path.join(folder, f"part-{i}.txt"), "w") as fh:
+            fh.write("\n".join(lines[i::3]) + "\n")
+        assert jobs.main(argv) == 0
+        printed = [tuple(json.loads(x).values()) for x in capsys.readouterr().out.strip().splitlines()]
+        so_far = spark.createDataFrame([(x,) for j in range(i + 1) for x in lines[j::3]], "value string")
+        assert printed == [tuple(r) for r in op.search_hot_words(so_far, k=7).collect()]
+    # nothing new: the same answer from the state
+    assert jobs.main(argv) == 0
+    assert [tuple(json.loads(x).values()) for x in capsys.readouterr().out.strip().splitlines()] == printed
+    counts = sorted(tuple(r) for r in followed_word_counts(spark, name).collect())
+    assert counts == sorted(tuple(r) for r in op.search_word_counts(so_far).collect())
+
+
+def test_follow_daily_job_appends_closed_days_once(spark, capsys):
+    from shoplens import jobs
+
+    base, name = tempfile.mkdtemp(prefix="shoplens-follow-"), _name("daily")
+    out = os.path.join(base, "out")
+    argv = ["follow_daily", "--parquet", base, "--out", out, "--stream", name, "--watermark", "2 days", "--show"]
+    days = [dt.datetime(2019, 11, d, 9) for d in range(1, 11)]
+    for upto in (days[:4], days[4:8], days[8:]):
+        rows = [(int(d.day * 10 + j), d) for d in upto for j in range(d.day)]
+        m = spark.createDataFrame(rows, "id long, create_time timestamp_ntz")
+        m.coalesce(1).write.mode("append").parquet(os.path.join(base, "t_member.parquet"))
+        o = m.withColumnRenamed("id", "order_id")
+        o.coalesce(1).write.mode("append").parquet(os.path.join(base, "t_order.parquet"))
+        assert jobs.main(argv) == 0
+        printed = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+        # a day is over when the latest row is two days past its end
+        closed = [(f"2019-11-{d.day:02d}", d.day) for d in days if d.day + 1 + 2 <= upto[-1].day]
+        assert [(r["day"], r["registrations"]) for r in printed if "registrations" in r] == closed
+        assert [(r["day"], r["orders"]) for r in printed if "orders" in r] == closed
+
+
+def test_follow_jobs_say_what_they_need(capsys):
+    import pytest
+
+    from shoplens import jobs
+
+    for argv in (
+        ["follow_words", "--log", "x"],
+        ["follow_words", "--stream", "x"],
+        ["follow_daily", "--stream", "x", "--parquet", "p"],
+        ["follow_daily", "--stream", "x", "--parquet", "p", "--out", "o", "--format", "json"],
+    ):
+        with pytest.raises(SystemExit):
+            jobs.main(argv)
+    assert "needs" in capsys.readouterr().err
