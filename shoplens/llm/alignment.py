@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoplens.llm.common import stored
+from shoplens.llm.common import ship_package, stored
 from shoplens.llm.tokens import WordCache, byte_letters
 
 SPACE = "▁"
@@ -297,6 +297,7 @@ SUMMARY = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_group
 def document_alignments(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per document the numbers of tokens, groups, overlap and shared-group links, the groups' digest, and
     ``pairs`` (A id times the size of B, plus B id) with ``times``, the overlap links that hold each."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def align(batches):
@@ -326,6 +327,7 @@ def link_rows(
 ) -> DataFrame:
     """Every link as a row: ``doc_id, a, b`` (token numbers in the document), ``a_id, b_id, shared_bytes``
     (NULL for shared-group links)."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def links(batches):

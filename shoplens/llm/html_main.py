@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import ship_package
+
 # HTML element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -319,6 +321,7 @@ def main_text(html: str | None) -> str:
 
 def extract_main_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` for every page."""
+    ship_package(pages.sparkSession)
 
     def run(batches):
         for batch in batches:

@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import ship_package
 from shoplens.llm.tokens import ID_BYTES
 
 SPACE = "▁"
@@ -478,6 +479,7 @@ def encode_and_decode(
 
 
 def _run(docs, model, seed, rate, variants, text_col, id_col, digest) -> DataFrame:
+    ship_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.pmod(F.xxhash64(F.lit(seed), id_col), F.lit(variants)).cast("int"), F.lit(0)).alias("variant"),

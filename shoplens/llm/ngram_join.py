@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import shuffle_partitions, stored
+from shoplens.llm.common import ship_package, shuffle_partitions, stored
 from shoplens.llm.components import connected_components
 from shoplens.llm.shingles import set_key, shingle_sets
 
@@ -304,6 +304,7 @@ def near_duplicates(
     apart whose smallest id is the same (NULL without shingles);
     ``component_id`` is NULL where no document of the group has an id.
     """
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     members = member_table(rows, threshold_percent / 100, words)
     sets = members.filter("n > 0").groupBy("k1", "k2").agg(F.min("row").alias("rep"), F.min("doc_id").alias("low"))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoplens.llm.common import MAX_LONG, bucket_of, splitters, stored
+from shoplens.llm.common import MAX_LONG, bucket_of, ship_package, splitters, stored
 
 FOCUS = 3  # coordinates used in coordinate pruning
 HITS = "query_id long, vec_id long, score decimal(38,0)"
@@ -145,6 +145,7 @@ def top_k(
     vector_col: str = "embedding",
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: each query's ``k`` best other vectors."""
+    ship_package(rows.sparkSession)
     vectors = stored(integer_vectors(rows, id_col, vector_col, scale), "vectors")
     spark = rows.sparkSession
     # bucket 0 holds the longest; one number per bucket, at most MOST_BUCKETS, comes to the driver

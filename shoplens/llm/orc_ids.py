@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoplens.llm.common import MAX_LONG, shared_path, shuffle_partitions
+from shoplens.llm.common import MAX_LONG, shared_path, ship_package, shuffle_partitions
 from shoplens.llm.tokens import ID_BYTES, packed, word_cache
 
 SCHEMA = "doc_id long, part int, local_start long, n_ids long, ids array<int>"
@@ -141,6 +141,7 @@ def document_starts(files: DataFrame) -> DataFrame:
 
 def orc_token_ids(docs: DataFrame, tokenizer: str, end_id: int, spaced: bool = False) -> DataFrame:
     """Write all documents' ids to ORC in the shared folder and digest what is read back."""
+    ship_package(docs.sparkSession)
     path = shared_path(docs.sparkSession, "orc-ids")
     write_ids(docs, path, tokenizer, end_id, spaced)
     return document_starts(read_ids(docs.sparkSession, path))

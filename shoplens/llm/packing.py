@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoplens.llm.common import stored
+from shoplens.llm.common import ship_package, stored
 from shoplens.llm.tokens import ID_BYTES, packed, word_cache
 
 # ---------------------------------------------------------------- the plan
@@ -238,6 +238,7 @@ def pack_documents(
     rows_per_block: int = 8_000,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` per piece."""
+    ship_package(docs.sparkSession)
     rows = stored(token_pieces(docs, tokenizer, end_id, capacity, spaced), "pieces")
     return place_pieces(rows, capacity, rows_per_block)
 

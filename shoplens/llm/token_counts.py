@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.llm.common import ship_package
+
 SPACE = "▁"
 CACHED = 48  # characters of the longest cut whose count is kept
 LIMIT = 1_000_000  # counts kept by a worker
@@ -143,6 +145,7 @@ def count_tokens(
     ``model`` is a merge-type SentencePiece file; ``over_limit`` says that a
     text has more than ``limit`` tokens.
     """
+    ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), text.alias("text")

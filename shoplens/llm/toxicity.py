@@ -32,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.llm.common import ship_package
+
 WORD = re.compile(r"\w+")
 DIMS = 1 << 18
 MAX_FEATURES = 9  # of a token
@@ -339,6 +341,7 @@ class Scorer(dict):
 
 def with_toxicity(df: DataFrame, model: ToxicityModel, text_col: str = "text", prefix: str = "toxicity_") -> DataFrame:
     """``df`` with ``<prefix>score`` and ``<prefix>spans`` added; all its rows and columns stay."""
+    ship_package(df.sparkSession)
     span = T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType())
     added = T.StructType(df.schema.fields[:])
     added.add(prefix + "score", T.DoubleType()).add(prefix + "spans", T.ArrayType(span))

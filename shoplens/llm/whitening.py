@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import stored
+from shoplens.llm.common import ship_package, stored
 
 HIGH = np.longdouble
 SAFE = 2**62
@@ -288,6 +288,7 @@ def whiten(
     entries of (n·x - S)² as a decimal of 38 digits (NULL beyond), ``whitened``
     the row's component over its standard deviation.
     """
+    ship_package(rows.sparkSession)
     vectors = whole_vectors(rows, id_col, vector_col, scale)
     fits = fit_whitening(vectors, components)
 

@@ -109,3 +109,24 @@ def test_queries_are_registered():
     names = [k for k in e.queries() if k.startswith("op")]
     assert [int(k[2:].split("_")[0]) for k in names] == list(range(1, 14))
     assert "pipeline" in e.queries()
+
+
+def test_operators_reach_the_workers_from_any_folder(tmp_path):
+    # only the driver's own path holds the package
+    code = """
+import sys
+sys.path.insert(0, %r)
+from pyspark.sql import SparkSession
+from shoplens.llm.html_main import extract_main_text
+from shoplens.llm.ngram_join import near_duplicates
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+same = "one two three four five six seven"
+docs = spark.createDataFrame([(4, same), (2, same), (3, "another text")], "doc_id long, text string")
+print(sorted((r.doc_id, r.component_id) for r in near_duplicates(docs).collect()))
+pages = spark.createDataFrame([(1, "u", "<p>word</p>")], "page_id long, url string, html string")
+print(extract_main_text(pages).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code % ROOT], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    assert run.stdout.split("\n")[-3:-1] == ["[(2, 2), (3, 3), (4, 2)]", "1"]

@@ -228,7 +228,10 @@ def test_components_of_paths_and_stars(spark):
 # ---------------------------------------------------------------- top-k
 
 
-def test_top_k_matches_all_products(spark):
+@pytest.mark.parametrize("most", [4096, 3])
+def test_top_k_matches_all_products(spark, monkeypatch, most):
+    # few buckets: all of them are split by id
+    monkeypatch.setattr("shoplens.llm.norm_topk.MOST_BUCKETS", most)
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(600, 12)) * rng.lognormal(0, 1, size=(600, 1))
     vectors[300:420] = vectors[300]  # one vector very often
