@@ -22,11 +22,19 @@ BROADCAST_IDS = 1_000_000  # two longs each
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain does not call toxic; learned from the table's labels."""
+    """Documents that the chain does not call toxic; learned from the table's labels.
+
+    Every row is judged by its whole text alone: repeated rows and rows without
+    an id alike; NULL and empty texts stay, and so does everything where labels
+    of either class are missing.  Other columns pass through, whatever their names.
+    """
     ship_package(spark)
     model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = with_toxicity(docs, model, prefix="_toxicity_")
-    return scored.filter(F.col("_toxicity_score") < 0.5).select(*docs.columns)
+    prefix = "_toxicity_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    scored = with_toxicity(docs, model, prefix=prefix)
+    return scored.filter(F.col(f"{prefix}score") < 0.5).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +71,12 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents left, in sequences of 1024 tokens."""
+    """The pieces of all documents left, in sequences of 1024 tokens.
+
+    A NULL or empty text is its end id alone; repeated rows, ties and rows
+    without an id are packed row by row; longer documents are cut and lose
+    nothing; an empty table gives no rows; other columns are not read.
+    """
     ship_package(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 

@@ -49,6 +49,22 @@ def test_stages(spark):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_copies", "personal_data", "packing"]
 
 
+def test_toxicity_keeps_columns_that_clash(spark):
+    labelled = [(100 + i, t, y) for i, t, y in _labelled(240)]
+    clean = "a plain text of some words"
+    rows = [(i, t) for i, t, _ in labelled] + [(1, None), (2, ""), (None, clean), (3, clean), (3, clean)]
+    path = _folder(spark, rows, [(i, 1, y) for i, _, y in labelled])
+    docs = spark.read.parquet(f"{path}/documents.parquet").selectExpr("*", "9.5 AS _toxicity_score", "1 AS __Toxicity_spans")
+    kept = corpus_pipeline.toxicity(spark, docs, path)
+    assert kept.schema == docs.schema
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.filter("doc_id is null or doc_id < 100").collect())
+    assert got == [(0, clean), (1, ""), (2, ""), (3, clean), (3, clean)]
+    assert {r["_toxicity_score"] for r in kept.collect()} == {docs.first()["_toxicity_score"]}
+    # labels of one class teach nothing: all stay
+    one = _folder(spark, rows, [(i, 1, 0) for i, _, y in labelled if not y])
+    assert corpus_pipeline.toxicity(spark, docs, one).count() == len(rows)
+
+
 def test_repeated_ids_lose_only_their_copies(spark):
     a, b, c, d = (sentence(k, 60) for k in (3, 11, 17, 23))
     rows = [(3, a), (5, a + " tail"), (5, b), (7, c), (7, c + " more"), (7, d), (9, d + " end"), (None, a)]
