@@ -25,8 +25,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain does not call toxic; learned from the table's labels.
 
     Every row is judged by its whole text alone: repeated rows and rows without
-    an id alike; NULL and empty texts stay, and so does everything where labels
-    of either class are missing.  Other columns pass through, whatever their names.
+    an id alike; NULL and empty texts stay.  With clean labels alone, or none,
+    all rows stay; with toxic labels alone none does, as every score is 1.
+    Other columns pass through, whatever their names.
     """
     ship_package(spark)
     model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))

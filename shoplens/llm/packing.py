@@ -13,8 +13,9 @@ block, with running sums over blocks) and joins each rank with the plan.
 
 Defined results: NULL text is the empty text (only the end id); a document of
 more than ``capacity`` ids is cut into full pieces, the first piece being the
-rest; repeated rows are packed once each; an empty table gives no rows; other
-columns are ignored.
+rest; repeated rows are packed once each, rows without an id like any other;
+documents of one length take their places by hash block, id and content; an
+empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

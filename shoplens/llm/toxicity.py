@@ -15,8 +15,10 @@ and ids are no inputs of a score.
 Defined results: NULL and empty texts have no tokens and get the score of a
 text without toxic tokens; labels that are NULL or whose document is missing
 teach nothing; with no toxic or no clean training row every score is the
-constant share of toxic rows; repeated rows are scored alike; an empty table
-gives no rows.
+constant share of toxic rows; repeated rows are scored alike, rows
+without an id too (they are in no held-out fold); texts of any length are
+scored whole, by their tokens' marginals; an empty table gives no rows;
+``with_toxicity`` keeps all other columns, ``score_documents`` reads none.
 """
 
 from __future__ import annotations
